@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from eventloom.operators import dimensions as dims
 from eventloom.operators import facts
+from eventloom.operators import quality
 from eventloom.operators.staging import parse_events, staging_as_text
 from eventloom.sources.raw import raw_from_events
 
@@ -30,8 +31,9 @@ def staging(spark: SparkSession, sf_dir: str) -> DataFrame:
 class Models:
     """Lazily built model DataFrames over one staging relation."""
 
-    def __init__(self, stg: DataFrame):
+    def __init__(self, stg: DataFrame, raw: DataFrame | None = None):
         self.stg = stg
+        self.raw = raw
         self._ips = self._companies = self._users = None
 
     @property
@@ -54,8 +56,24 @@ class Models:
         return self._users
 
 
+    def all_models(self) -> dict[str, DataFrame]:
+        """Every model by name, as the data-quality suite sees them."""
+        usr = self.users()
+        return {
+            "raw_events": self.raw,
+            "stg_events": self.stg,
+            "events": facts.events(self.stg, usr),
+            "users": usr,
+            "sessions": facts.sessions(self.stg),
+            "ip_addresses": self.ips,
+            "event_properties": dims.event_properties(self.stg),
+            "companies": self.companies,
+        }
+
+
 def _models(spark: SparkSession, sf_dir: str) -> Models:
-    return Models(staging(spark, sf_dir))
+    raw = raw_from_events(table(spark, sf_dir, "events"))
+    return Models(parse_events(raw), raw)
 
 
 def q_stg_events(spark, sf_dir):
@@ -91,6 +109,12 @@ def q_events(spark, sf_dir):
     return facts.events(m.stg, m.users())
 
 
+def _dq(kinds):
+    def q(spark, sf_dir):
+        return quality.run_suite(_models(spark, sf_dir).all_models(), kinds=kinds)
+    return q
+
+
 QUERIES: dict[str, Query] = {
     "stg_events": q_stg_events,
     "ip_addresses": q_ip_addresses,
@@ -100,4 +124,163 @@ QUERIES: dict[str, Query] = {
     "users_fan_out": q_users_fan_out,
     "sessions": q_sessions,
     "events": q_events,
+    "dq_not_null": _dq(("not_null",)),
+    "dq_unique": _dq(("unique",)),
+    "dq_relationships": _dq(("relationships",)),
+    "dq_suite": _dq(("not_null", "unique", "relationships")),
 }
+
+
+# --------------------------------------------------------------------------
+# hour-coverage ledger (source = event_type over the events table)
+# --------------------------------------------------------------------------
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from eventloom.functions import hours as H  # noqa: E402
+from eventloom.functions.keys import email_domain, surrogate_key  # noqa: E402
+from eventloom.operators import coverage as cov  # noqa: E402
+from eventloom.operators.latest import latest_per_key  # noqa: E402
+
+# The audited range and the mark splitting seed/increment.
+LEDGER_START = "2024-01-01 00:00:00"
+LEDGER_END = "2024-01-30 23:00:00"
+SEED_MARK = "2024-01-15 03:00:00"
+BATCH_CAP = 2
+
+
+def _ledger(spark, sf_dir):
+    ev = table(spark, sf_dir, "events")
+    sources = ev.select(F.col("event_type").alias(cov.SRC))
+    present = cov.present_hours(ev, "event_type", "ts")
+    return sources, present
+
+
+def q_hours_required(spark, sf_dir):
+    sources, _ = _ledger(spark, sf_dir)
+    return cov.required_hours(sources, LEDGER_START, LEDGER_END)
+
+
+def q_hours_missing(spark, sf_dir):
+    sources, present = _ledger(spark, sf_dir)
+    return cov.missing_hours(cov.required_hours(sources, LEDGER_START, LEDGER_END), present)
+
+
+def _batches(cap):
+    def q(spark, sf_dir):
+        return cov.batch_hours(q_hours_missing(spark, sf_dir), cap)
+    return q
+
+
+def q_resume_points(spark, sf_dir):
+    sources, present = _ledger(spark, sf_dir)
+    return cov.resume_points(sources, present, LEDGER_START, LEDGER_END)
+
+
+def _local_remote(spark, sf_dir):
+    stg = staging(spark, sf_dir)
+    local = cov.present_hours(stg, "event_type", "event_time")
+    remote = cov.present_hours(stg.where(F.col("event_time") <= F.lit(SEED_MARK).cast("timestamp_ntz")),
+                               "event_type", "event_time")
+    return local, remote
+
+
+def q_hours_publishable(spark, sf_dir):
+    return cov.publishable(*_local_remote(spark, sf_dir))
+
+
+def q_hours_discardable(spark, sf_dir):
+    return cov.discardable(*_local_remote(spark, sf_dir))
+
+
+def q_coverage_report(spark, sf_dir):
+    sources, present = _ledger(spark, sf_dir)
+    return cov.coverage_report(sources, present, LEDGER_START, LEDGER_END)
+
+
+def q_hour_key_roundtrip(spark, sf_dir):
+    _, present = _ledger(spark, sf_dir)
+    hrs = present.select(cov.HOUR).distinct()
+    short = F.concat(F.date_format(cov.HOUR, "yyyy-MM-dd_"), F.hour(cov.HOUR).cast("string"))
+    return hrs.select(
+        cov.HOUR,
+        H.format_hour(cov.HOUR, "file").alias("file_key"),
+        H.format_hour(cov.HOUR, "api").alias("api_key"),
+        H.parse_hour(H.format_hour(cov.HOUR, "file")).alias("parsed_file"),
+        H.parse_hour(H.format_hour(cov.HOUR, "api")).alias("parsed_api"),
+        H.parse_hour(H.format_hour(cov.HOUR, "space")).alias("parsed_space"),
+        H.parse_hour(short).alias("parsed_short"))
+
+
+def q_archive_names_to_hours(spark, sf_dir):
+    """Archive member names in the three observed styles, mapped back to keys."""
+    ev = table(spark, sf_dir, "events")
+    d = F.date_format("ts", "yyyy-MM-dd")
+    h1 = F.hour("ts").cast("string")
+    uid = F.col("user_id").cast("string")
+    style = F.col("event_id") % 3
+    name = (F.when(style == 0, F.concat(uid, F.lit("/"), uid, F.lit("_"), d, F.lit("_"), h1,
+                                        F.lit("#"), F.col("event_id").cast("string"), F.lit(".json.gz")))
+             .when(style == 1, F.concat(d, F.lit("_"), h1, F.lit(".json.gz")))
+             .otherwise(F.concat(uid, F.lit("_"), d, F.lit("_"), F.lpad(h1, 2, "0"), F.lit("#x.json.gz"))))
+    return (ev.select(name.alias("member_name")).distinct()
+              .select("member_name", H.hour_key_from_name("member_name").alias("hour_key")))
+
+
+def q_default_window(spark, sf_dir):
+    ev = table(spark, sf_dir, "events")
+    start, end = H.default_window_cols("ts")
+    return ev.select("event_id", start.alias("window_start"), end.alias("window_end"),
+                     F.size(H.hour_range(start, end)).cast("bigint").alias("n_hours"))
+
+
+def q_surrogate_keys(spark, sf_dir):
+    stg = staging(spark, sf_dir)
+    return stg.select(
+        "uuid", "event_time",
+        surrogate_key("uuid").alias("k_uuid"),
+        surrogate_key("session_id_raw", "amplitude_id").alias("k_session"),
+        surrogate_key("city", "region", "country").alias("k_location"),
+        surrogate_key("ip_address").alias("k_ip"),
+        surrogate_key("insert_id", "uuid").alias("k_null_first"))
+
+
+def q_consumer_domain_filter(spark, sf_dir):
+    stg = staging(spark, sf_dir)
+    dom = email_domain("user_id")
+    return (stg.where(F.col("user_id").contains("@")).select("user_id").distinct()
+               .select("user_id", dom.alias("email_domain"),
+                       (~dom.isin(*dims.CONSUMER_DOMAINS)).alias("is_company")))
+
+
+def q_latest_per_key_maxby(spark, sf_dir):
+    return dims.latest_user_rows(staging(spark, sf_dir), method="aggregate")
+
+
+def q_latest_per_key_window(spark, sf_dir):
+    return dims.latest_user_rows(staging(spark, sf_dir), method="window")
+
+
+def q_events_maxby(spark, sf_dir):
+    m = _models(spark, sf_dir)
+    return facts.events(m.stg, m.users(), method="aggregate")
+
+
+QUERIES.update({
+    "hours_required": q_hours_required,
+    "hours_missing": q_hours_missing,
+    "hour_batches": _batches(None),
+    "hour_batches_capped": _batches(BATCH_CAP),
+    "resume_points": q_resume_points,
+    "hours_publishable": q_hours_publishable,
+    "hours_discardable": q_hours_discardable,
+    "coverage_report": q_coverage_report,
+    "hour_key_roundtrip": q_hour_key_roundtrip,
+    "archive_names_to_hours": q_archive_names_to_hours,
+    "default_window": q_default_window,
+    "surrogate_keys": q_surrogate_keys,
+    "consumer_domain_filter": q_consumer_domain_filter,
+    "latest_per_key_maxby": q_latest_per_key_maxby,
+    "latest_per_key_window": q_latest_per_key_window,
+    "events_maxby": q_events_maxby,
+})

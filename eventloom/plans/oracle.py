@@ -171,3 +171,138 @@ ORACLE: dict[str, str] = {
     "sessions": with_ctes(*PRE, sessions_cte(), body="select * from sessions"),
     "events": with_ctes(*PRE, IPS, COMPANIES, USERS, events_cte(), body="select * from int_events"),
 }
+
+
+# --------------------------------------------------------------------------
+# data quality
+# --------------------------------------------------------------------------
+
+from eventloom.operators.quality import CHECKS  # noqa: E402
+
+RAW = """
+raw as (
+select to_json(a) json_data from adapter a
+)"""
+
+DQ_CTE_NAME = {
+    "raw_events": "raw", "stg_events": "stg", "events": "int_events", "users": "users",
+    "sessions": "sessions", "ip_addresses": "ips", "event_properties": "event_properties",
+    "companies": "companies",
+}
+
+MODEL_CTES = (ADAPTER, RAW, STAGING, IPS, COMPANIES, USERS, EVENT_PROPERTIES,
+              sessions_cte(), events_cte())
+
+
+def _dq_row(c) -> str:
+    t = DQ_CTE_NAME[c.model]
+    ref = f"'{c.ref}'" if c.ref else "cast(null as varchar)"
+    head = f"select '{c.model}' model, '{c.column}' \"column\", '{c.kind}' \"check\", {ref} ref"
+    if c.kind == "not_null":
+        return f"{head}, cast(count(*) filter (where {c.column} is null) as bigint) failures from {t}"
+    if c.kind == "unique":
+        return (f"{head}, cast(count(*) as bigint) failures from "
+                f"(select {c.column} from {t} where {c.column} is not null group by {c.column} having count(*) > 1)")
+    p = DQ_CTE_NAME[c.to]
+    return (f"{head}, cast(count(*) as bigint) failures from {t} ch left join {p} pa "
+            f"on ch.{c.column} = pa.{c.field} where ch.{c.column} is not null and pa.{c.field} is null")
+
+
+def dq_sql(kinds: tuple[str, ...]) -> str:
+    rows = "\nunion all\n".join(_dq_row(c) for c in CHECKS if c.kind in kinds)
+    body = (f"select model, \"column\", \"check\", ref, failures, "
+            f"case when failures = 0 then 'pass' else 'fail' end status from (\n{rows}\n) r")
+    return with_ctes(*MODEL_CTES, body=body)
+
+
+ORACLE.update({
+    "dq_not_null": dq_sql(("not_null",)),
+    "dq_unique": dq_sql(("unique",)),
+    "dq_relationships": dq_sql(("relationships",)),
+    "dq_suite": dq_sql(("not_null", "unique", "relationships")),
+})
+
+
+# --------------------------------------------------------------------------
+# hour-coverage ledger and scalar functions
+# --------------------------------------------------------------------------
+
+LEDGER = """
+sources as (select distinct event_type source from events),
+present as (select distinct event_type source, date_trunc('hour', ts) as hour from events),
+grid as (select generate_series as hour
+         from generate_series(timestamp '2024-01-01 00:00:00', timestamp '2024-01-30 23:00:00', interval 1 hour)),
+required as (select s.source, g.hour from sources s cross join grid g),
+missing as (select r.source, r.hour from required r
+            where not exists (select 1 from present p where p.source = r.source and p.hour = r.hour)),
+isl as (select source, hour,
+               hour - to_hours(cast(row_number() over (partition by source order by hour) as bigint)) grp
+        from missing)"""
+
+
+def batches_sql(cap: int | None) -> str:
+    chunk = "0" if cap is None else f"(row_number() over (partition by source, grp order by hour) - 1) // {cap}"
+    return with_ctes(LEDGER, f"""
+chunks as (select source, hour, grp, {chunk} chunk from isl)""", body="""
+select source, min(hour) batch_start, max(hour) batch_end, cast(count(*) as bigint) n_hours,
+       strftime(min(hour), '%Y%m%dT%H') start_key, strftime(max(hour), '%Y%m%dT%H') end_key
+from chunks group by source, grp, chunk""")
+
+
+LOCAL_REMOTE = """
+loc as (select distinct event_type source, date_trunc('hour', event_time) as hour from stg),
+rem as (select distinct event_type source, date_trunc('hour', event_time) as hour from stg
+        where event_time <= timestamp '2024-01-15 03:00:00')"""
+
+ORACLE.update({
+    "hours_required": with_ctes(LEDGER, body="select source, hour from required"),
+    "hours_missing": with_ctes(LEDGER, body="select source, hour from missing"),
+    "hour_batches": batches_sql(None),
+    "hour_batches_capped": batches_sql(2),
+    "resume_points": with_ctes(LEDGER, """
+fm as (select source, min(hour) first_missing from missing group by source)""", body="""
+select s.source, coalesce(fm.first_missing, timestamp '2024-01-31 00:00:00') resume_hour,
+       strftime(coalesce(fm.first_missing, timestamp '2024-01-31 00:00:00'), '%Y%m%dT%H') resume_key
+from sources s left join fm on s.source = fm.source"""),
+    "hours_publishable": with_ctes(*PRE, LOCAL_REMOTE, body="select * from loc except select * from rem"),
+    "hours_discardable": with_ctes(*PRE, LOCAL_REMOTE, body="select * from loc intersect select * from rem"),
+    "coverage_report": with_ctes(LEDGER, """
+b as (select source, count(distinct grp) batches from isl group by source),
+m as (select source, count(*) missing_hours from missing group by source),
+r as (select source, count(*) required_hours from required group by source)""", body="""
+select r.source, cast(r.required_hours as bigint) required_hours,
+       cast(r.required_hours - coalesce(m.missing_hours, 0) as bigint) present_hours,
+       cast(coalesce(m.missing_hours, 0) as bigint) missing_hours, cast(coalesce(b.batches, 0) as bigint) batches
+from r left join m on r.source = m.source left join b on r.source = b.source"""),
+    "hour_key_roundtrip": with_ctes(LEDGER, body="""
+select distinct hour as hour, strftime(hour, '%Y-%m-%d_%H') file_key, strftime(hour, '%Y%m%dT%H') api_key,
+       hour parsed_file, hour parsed_api, hour parsed_space, hour parsed_short
+from present"""),
+    "archive_names_to_hours": """
+select distinct case event_id % 3
+    when 0 then concat(cast(user_id as varchar), '/', cast(user_id as varchar), '_', strftime(ts, '%Y-%m-%d'), '_',
+                       cast(hour(ts) as varchar), '#', cast(event_id as varchar), '.json.gz')
+    when 1 then concat(strftime(ts, '%Y-%m-%d'), '_', cast(hour(ts) as varchar), '.json.gz')
+    else concat(cast(user_id as varchar), '_', strftime(ts, '%Y-%m-%d'), '_', strftime(ts, '%H'), '#x.json.gz')
+  end member_name,
+  strftime(ts, '%Y-%m-%d_%H') hour_key
+from events""",
+    "default_window": """
+select event_id, date_trunc('hour', ts - interval 12 hour) - interval 1 day window_start,
+       date_trunc('hour', ts - interval 12 hour) window_end, cast(25 as bigint) n_hours
+from events""",
+    "surrogate_keys": with_ctes(*PRE, body=f"""
+select uuid, event_time, {key('uuid')} k_uuid, {key('session_id_raw', 'amplitude_id')} k_session,
+       {key('city', 'region', 'country')} k_location, {key('ip_address')} k_ip,
+       {key('insert_id', 'uuid')} k_null_first
+from stg"""),
+    "consumer_domain_filter": with_ctes(*PRE, body=f"""
+select user_id, {_DOMAIN} email_domain, {_DOMAIN} not in ({_EXCL}) is_company
+from (select distinct user_id from stg where contains(user_id, '@')) u"""),
+    "latest_per_key_maxby": with_ctes(*PRE, body="""
+select amplitude_id, user_id, device_id, ip_address, event_time, uuid from (
+  select *, row_number() over (partition by amplitude_id order by event_time desc nulls first, uuid desc) rn
+  from stg where amplitude_id is not null) t where rn = 1"""),
+})
+ORACLE["latest_per_key_window"] = ORACLE["latest_per_key_maxby"]
+ORACLE["events_maxby"] = ORACLE["events"]
