@@ -306,3 +306,34 @@ select amplitude_id, user_id, device_id, ip_address, event_time, uuid from (
 })
 ORACLE["latest_per_key_window"] = ORACLE["latest_per_key_maxby"]
 ORACLE["events_maxby"] = ORACLE["events"]
+
+
+# --------------------------------------------------------------------------
+# incremental loads
+# --------------------------------------------------------------------------
+
+_SEED = "event_time <= timestamp '2024-01-15 03:00:00'"
+SESSION_OVERWRITE_CTES = (
+    sessions_cte("seed_sessions", where=_SEED),
+    sessions_cte("inc_sessions",
+                 where="event_time > (select max(session_end) from seed_sessions)"),
+)
+
+ORACLE.update({
+    # seeded then upserted on event_id == one-shot build (no late data)
+    "events_incremental": ORACLE["events"],
+    "events_lookback": ORACLE["events"],
+    "events_incremental_table": ORACLE["events"],
+    # exact partial merge == one-shot build
+    "sessions_incremental_merge": ORACLE["sessions"],
+    "sessions_incremental_overwrite": with_ctes(*PRE, *SESSION_OVERWRITE_CTES, body="""
+select * from seed_sessions where session_id not in (select session_id from inc_sessions)
+union all
+select * from inc_sessions"""),
+    "schema_sync": with_ctes(*PRE, *SESSION_OVERWRITE_CTES, body="""
+select session_id, session_id_raw, amplitude_id, user_id, device_id, session_start, session_end,
+       event_count, user_journey, cast(null as varchar) location_id
+from seed_sessions where session_id not in (select session_id from inc_sessions)
+union all
+select * from inc_sessions"""),
+})

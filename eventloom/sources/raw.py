@@ -60,6 +60,20 @@ def _s(c: Column) -> Column:
     return c.cast("string")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that has fewer partitions than the cluster has
+    cores, so CPU-heavy per-row work (JSON build/parse) uses every core.
+
+    Large inputs already arrive in many splits and are returned as is, so
+    at scale this adds no shuffle; it only matters for small single-file
+    inputs whose one row group would otherwise be one task.
+    """
+    n = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < n:
+        return df.repartition(n)
+    return df
+
+
 def adapter_columns(events: DataFrame) -> DataFrame:
     """Flat adapter columns (before JSON assembly).
 
@@ -67,6 +81,7 @@ def adapter_columns(events: DataFrame) -> DataFrame:
     NULL sessions/IPs, consumer/company/non-e-mail users and absent or
     empty properties from the ids, exactly as the DuckDB oracle does.
     """
+    events = spread(events.select("event_id", "ts", "user_id", "event_type"))
     base = events.select("event_id", "ts", F.col("user_id").alias("u"), "event_type")
     resent = (events.where(F.col("event_id") % 20 == 0)
               .select("event_id", (F.col("ts") + F.expr("INTERVAL 1 SECOND")).alias("ts"),
