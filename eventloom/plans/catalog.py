@@ -41,11 +41,10 @@ def staging(spark: SparkSession, sf_dir: str, materialize: bool | None = None) -
     from eventloom.operators.incremental import _exists
     from eventloom.session import scratch_path
 
-    lazy = parse_events(raw_from_events(table(spark, sf_dir, "events")))
     if materialize is None:
         materialize = os.environ.get("EVENTLOOM_LAZY_STAGING", "0") != "1"
     if not materialize:
-        return lazy
+        return parse_events(raw_from_events(table(spark, sf_dir, "events")))
     src = f"{sf_dir.rstrip('/')}/events.parquet"
     st = os.stat(src) if os.path.exists(src) else None
     k = (spark.sparkContext.applicationId, sf_dir.rstrip("/"),
@@ -53,7 +52,7 @@ def staging(spark: SparkSession, sf_dir: str, materialize: bool | None = None) -
     path = _STAGED.get(k)
     if path is None or not _exists(spark, path):
         path = scratch_path(spark, "staging")
-        lazy.write.mode("overwrite").parquet(path)
+        parse_events(raw_from_events(table(spark, sf_dir, "events"))).write.mode("overwrite").parquet(path)
         _STAGED[k] = path
     return spark.read.parquet(path)
 
@@ -61,11 +60,15 @@ def staging(spark: SparkSession, sf_dir: str, materialize: bool | None = None) -
 class Models:
     """Lazily built model DataFrames over one staging relation."""
 
-    def __init__(self, stg: DataFrame, raw: DataFrame | None = None):
+    def __init__(self, stg: DataFrame, raw_fn=None):
         self.stg = stg
-        self.raw = raw
+        self._raw_fn = raw_fn
         self._ips = self._companies = self._users = None
 
+    @property
+    def raw(self) -> DataFrame | None:
+        return self._raw_fn() if self._raw_fn else None
+
     @property
     def ips(self) -> DataFrame:
         if self._ips is None:
@@ -102,8 +105,24 @@ class Models:
 
 
 def _models(spark: SparkSession, sf_dir: str) -> Models:
-    raw = raw_from_events(table(spark, sf_dir, "events"))
-    return Models(staging(spark, sf_dir), raw)
+    return Models(staging(spark, sf_dir), lambda: raw_from_events(table(spark, sf_dir, "events")))
+
+
+_BUILT: dict[tuple, dict] = {}
+
+
+def built_models(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """All models written as tables under the checkpoint dir (once per
+    session and input), as a build run leaves them for the checks."""
+    from eventloom.plans import dag
+    from eventloom.session import scratch_path
+
+    k = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if k not in _BUILT:
+        m = _models(spark, sf_dir)
+        _BUILT[k] = dag.run(spark, scratch_path(spark, "models"),
+                            inputs={"raw_events": m.raw, "stg_events": m.stg})
+    return _BUILT[k]
 
 
 def q_stg_events(spark, sf_dir):
@@ -141,7 +160,7 @@ def q_events(spark, sf_dir):
 
 def _dq(kinds):
     def q(spark, sf_dir):
-        return quality.run_suite(_models(spark, sf_dir).all_models(), kinds=kinds)
+        return quality.run_suite(built_models(spark, sf_dir), kinds=kinds)
     return q
 
 

@@ -1,0 +1,142 @@
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import SF001
+from eventloom.functions.keys import surrogate_key
+from eventloom.operators import dimensions as dims
+from eventloom.operators import facts
+from eventloom.operators.staging import parse_events
+
+
+def ev(**kw):
+    base = {"uuid": "u1", "amplitude_id": 1, "event_time": "2024-01-01 00:00:00", "event_type": "view"}
+    base.update(kw)
+    return json.dumps({k: v for k, v in base.items() if v is not None})
+
+
+def stg_of(raw_from_json, rows):
+    return parse_events(raw_from_json([ev(**r) for r in rows]))
+
+
+def test_companies_domain_rules(raw_from_json):
+    stg = stg_of(raw_from_json, [
+        dict(uuid="1", user_id="a@", ip_address="1.1.1.1"),
+        dict(uuid="2", user_id="b@x@y", ip_address="1.1.1.1"),
+        dict(uuid="3", user_id="A@GMAIL.com", ip_address="1.1.1.1"),
+        dict(uuid="4", user_id="c@Acme.com", ip_address=None),
+        dict(uuid="5", user_id="anon", ip_address="1.1.1.1"),
+    ])
+    ips = dims.ip_addresses(stg)
+    got = sorted(r.company for r in dims.companies(stg, ips).collect())
+    assert got == ["", "x"]   # '' is kept, consumer excluded, NULL ip dropped
+
+
+def test_event_properties_canonical_distinct(raw_from_json):
+    long_url = "https://x/" + "a" * 1200
+    stg = parse_events(raw_from_json([
+        ev(uuid="1", event_properties={"b": 1, "a": 2}),
+        '{"uuid":"2","event_properties":{ "a" : 2 , "b":1 }}',
+        ev(uuid="3", event_properties={}),
+        '{"uuid":"4","event_properties":null}',
+        ev(uuid="5", event_properties={"[Amplitude] Page URL": long_url}),
+        ev(uuid="6"),
+    ]))
+    ep = dims.event_properties(stg, properties_as="text").collect()
+    texts = sorted(r.properties_json for r in ep)
+    assert texts == sorted(['{"a":2,"b":1}', "null", json.dumps({"[Amplitude] Page URL": long_url},
+                                                                  separators=(",", ":"))])
+    url = [r.url for r in ep if r.url][0]
+    assert len(url) == 1000
+    # dropping JSON null is an option
+    assert dims.event_properties(stg, drop_variant_null=True).count() == 2
+    # the fact's key matches the dimension for every non-empty object
+    keys = {r.event_properties_id for r in ep}
+    fact = facts.events(stg, stg.limit(0).select("amplitude_id", F.lit(None).cast("string").alias("company")))
+    fk = {r.event_properties_id for r in fact.collect()}
+    assert fk - {None} == keys and None in fk
+
+
+def test_null_uuid_collapses_and_ties_are_deterministic(raw_from_json):
+    stg = stg_of(raw_from_json, [
+        dict(uuid=None, event_id=1), dict(uuid=None, event_id=2),
+        dict(uuid="t", event_id=3, event_type="a"), dict(uuid="t", event_id=4, event_type="b"),
+    ])
+    usr = stg.limit(0).select("amplitude_id", F.lit(None).cast("string").alias("company"))
+    a = facts.events(stg, usr).collect()
+    b = facts.events(stg, usr, method="aggregate").collect()
+    assert len(a) == 2
+    assert sorted(map(tuple, a)) == sorted(map(tuple, b))
+
+
+def test_null_event_time_wins_dedupe(raw_from_json):
+    stg = parse_events(raw_from_json([ev(uuid="x", event_type="timed"),
+                                      '{"uuid":"x","amplitude_id":1,"event_type":"untimed"}']))
+    usr = stg.limit(0).select("amplitude_id", F.lit(None).cast("string").alias("company"))
+    assert [r.event_type for r in facts.events(stg, usr).collect()] == ["untimed"]
+
+
+def test_session_keys_and_journey(raw_from_json, spark):
+    stg = stg_of(raw_from_json, [
+        dict(uuid="1", session_id=5, event_time="2024-01-01 00:00:01", event_properties={"[Amplitude] Page Path": "/a"}),
+        dict(uuid="2", session_id=5, event_time="2024-01-01 00:59:59"),
+        dict(uuid="3", session_id=5, event_time="2024-01-01 01:30:00", event_properties={"[Amplitude] Page Path": "/b"}),
+        dict(uuid="4", session_id=5, event_time="2024-01-01 03:00:00", event_properties={"[Amplitude] Page Path": "/c"}),
+        dict(uuid="5", session_id=None),
+    ])
+    for split in ("hour", None):
+        s = facts.sessions(stg, split_by=split).collect()
+        assert len(s) == 1
+        assert s[0].user_journey == "/a >  > /b > /c" and s[0].event_count == 4
+    k = spark.range(1).select(surrogate_key(F.lit(None).cast("string"), F.lit(1)).alias("n"),
+                              surrogate_key(F.lit(""), F.lit(1)).alias("e")).first()
+    assert k.n != k.e
+
+
+def test_users_attribution_prefers_own_domain(raw_from_json):
+    stg = stg_of(raw_from_json, [
+        dict(uuid="1", amplitude_id=1, user_id="a@zeta.com", ip_address="9.9.9.9", event_time="2024-01-01 00:00:00"),
+        dict(uuid="2", amplitude_id=2, user_id="b@alpha.com", ip_address="9.9.9.9", event_time="2024-01-01 00:00:00"),
+        dict(uuid="3", amplitude_id=3, user_id="c@gmail.com", ip_address="9.9.9.9", event_time="2024-01-01 00:00:00"),
+        dict(uuid="4", amplitude_id=1, user_id="a@zeta.com", ip_address="9.9.9.9", event_time="2024-01-02 00:00:00"),
+    ])
+    ips = dims.ip_addresses(stg)
+    co = dims.companies(stg, ips)
+    fast = {r.amplitude_id: r.company for r in dims.users(stg, ips, co).collect()}
+    slow = {r.amplitude_id: r.company for r in dims.users(stg, ips, co, attribution="fan_out").collect()}
+    assert fast == slow == {1: "zeta.com", 2: "alpha.com", 3: "alpha.com"}
+
+
+EXPECTED_SF001 = dict(stg=1050, events=1000, sessions=765, event_count=1038, users=15,
+                      users_no_company=11, companies=12, ips=45, props=800, null_props=200,
+                      null_company=711)
+
+
+@pytest.fixture(scope="module")
+def sf001_models(spark):
+    from eventloom.plans.catalog import Models, staging
+
+    m = Models(staging(spark, SF001))
+    return m
+
+
+def test_fixture_counts_sf0001(sf001_models):
+    m = sf001_models
+    usr = m.users()
+    evs = facts.events(m.stg, usr)
+    ses = facts.sessions(m.stg)
+    got = dict(
+        stg=m.stg.count(), events=evs.count(), sessions=ses.count(),
+        event_count=ses.agg(F.sum("event_count")).first()[0], users=usr.count(),
+        users_no_company=usr.where("company is null").count(), companies=m.companies.count(),
+        ips=m.ips.count(), props=dims.event_properties(m.stg).count(),
+        null_props=evs.where("event_properties_id is null").count(),
+        null_company=evs.where("company_name is null").count())
+    assert got == EXPECTED_SF001
+
+
+def test_users_rewrite_equals_fan_out_sf0001(sf001_models):
+    m = sf001_models
+    a, b = m.users(), m.users("fan_out")
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
