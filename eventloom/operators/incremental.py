@@ -60,12 +60,27 @@ def since_high_water_mark(source: DataFrame, target: DataFrame | None, source_ts
 # --------------------------------------------------------------------------
 
 
-def upsert_frames(target: DataFrame, increment: DataFrame, key: str | list[str]) -> DataFrame:
+def upsert_frames(target: DataFrame, increment: DataFrame, key: str | list[str],
+                  order_by: str | None = None) -> DataFrame:
     """Rows of ``increment`` replace target rows with the same key; new keys
-    are appended.  ``increment`` must already be unique on ``key``."""
+    are appended.  ``increment`` must already be unique on ``key``.
+
+    With ``order_by`` the replacement is *latest wins*: for a key present on
+    both sides the row with the greater ``order_by`` stays (NULL greatest),
+    so batches applied out of order still converge to the latest copy.
+    """
+    from eventloom.operators.latest import latest_per_key
+
     keys = [key] if isinstance(key, str) else list(key)
-    kept = target.join(increment.select(*keys), keys, "left_anti")
-    return kept.unionByName(increment, allowMissingColumns=True).select(*increment.columns)
+    inc_keys = increment.select(*keys)
+    kept = target.join(inc_keys, keys, "left_anti")
+    if order_by is None:
+        return kept.unionByName(increment, allowMissingColumns=True).select(*increment.columns)
+    cols = increment.columns
+    touched = target.join(inc_keys, keys, "left_semi").select(*cols)
+    both = latest_per_key(touched.unionByName(increment.select(*cols)), keys, order_by,
+                          tiebreak=[F.xxhash64(*[F.col(c) for c in cols])])
+    return kept.select(*cols).unionByName(both)
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -92,7 +107,8 @@ def read_table(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def upsert(spark: SparkSession, target_path: str, increment: DataFrame, key: str | list[str],
-           partition_by: str | None = None, staging_path: str | None = None) -> dict:
+           partition_by: str | None = None, staging_path: str | None = None,
+           order_by: str | None = None) -> dict:
     """Apply ``increment`` to the Parquet table at ``target_path``.
 
     * No table yet: the increment is the table (first incremental run).
@@ -130,7 +146,7 @@ def upsert(spark: SparkSession, target_path: str, increment: DataFrame, key: str
         # number of partitions, not by rows
         touched = [r[0] for r in touched_df.collect()]
         affected = target.where(F.col(partition_by).isin(touched)) if touched else target.where(F.lit(False))
-        rebuilt = upsert_frames(affected, increment.select(*target.columns), keys)
+        rebuilt = upsert_frames(affected, increment.select(*target.columns), keys, order_by)
         rebuilt.write.mode("overwrite").partitionBy(partition_by).parquet(staging_path)
         staged = spark.read.parquet(staging_path).select(*target.columns)
         (staged.write.mode("overwrite").options(**writer_opts)
@@ -142,7 +158,7 @@ def upsert(spark: SparkSession, target_path: str, increment: DataFrame, key: str
             _delete(spark, f"{target_path.rstrip('/')}/{partition_by}={v}")
         return {"mode": "partitions", "touched": sorted(touched)}
 
-    rebuilt = upsert_frames(target, increment.select(*target.columns), keys)
+    rebuilt = upsert_frames(target, increment.select(*target.columns), keys, order_by)
     rebuilt.write.mode("overwrite").parquet(staging_path)
     spark.read.parquet(staging_path).write.mode("overwrite").parquet(target_path)
     return {"mode": "full", "touched": None}

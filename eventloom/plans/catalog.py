@@ -408,3 +408,102 @@ QUERIES.update({
     "sessions_incremental_overwrite": _sessions_incremental("overwrite"),
     "schema_sync": q_schema_sync,
 })
+
+
+# --------------------------------------------------------------------------
+# landing, archives and streaming (all write under the checkpoint dir)
+# --------------------------------------------------------------------------
+
+from eventloom.sources import archives as arch  # noqa: E402
+from eventloom.sources import landing as land  # noqa: E402
+from eventloom.sources.raw import read_raw_with_hour  # noqa: E402
+from eventloom import streaming as stream  # noqa: E402
+
+
+def _raw(spark, sf_dir):
+    return raw_from_events(table(spark, sf_dir, "events"))
+
+
+def _before_mark(raw: DataFrame, before: bool) -> DataFrame:
+    ts = F.try_variant_get(F.col("json_data"), "$.event_time", "timestamp_ntz")
+    hour_mark = F.date_trunc("hour", F.lit(SEED_MARK).cast("timestamp_ntz")).cast("timestamp_ntz")
+    return raw.where(ts < hour_mark) if before else raw.where(~(ts < hour_mark) | ts.isNull())
+
+
+def q_raw_landed_hours(spark, sf_dir):
+    """Land raw events one folder per hour, read them back with the hour
+    taken from the folder name."""
+    path = scratch_path(spark, "landed")
+    land.land_hours(land.with_hour_key(_raw(spark, sf_dir)), path)
+    stg = parse_events(read_raw_with_hour(spark, path))
+    return stg.select("uuid", "event_time", "hour")
+
+
+def q_land_new_hours(spark, sf_dir):
+    """Land the hours before the mark, then offer everything: only hours not
+    yet landed are written, so each row lands exactly once."""
+    path = scratch_path(spark, "landed-new")
+    raw = land.with_hour_key(_raw(spark, sf_dir))
+    land.land_hours(_before_mark(raw, True), path)
+    land.land_new_hours(spark, raw, path)
+    df = spark.read.format("json").option("singleVariantColumn", "json_data").load(path)
+    return parse_events(df).select("uuid", "event_time", "hour_key")
+
+
+def q_archive_unpack(spark, sf_dir):
+    """Write the raw events as hourly ZIP-of-gzip archives, then unpack
+    them: one task per archive, member name -> hour key."""
+    path = scratch_path(spark, "archives")
+    arch.write_archives(_raw(spark, sf_dir), path).write.format("noop").mode("overwrite").save()
+    stg = parse_events(arch.unpack_archives(spark, path))
+    return stg.select("uuid", "event_time", "hour_key")
+
+
+def _two_landings(spark, sf_dir, name):
+    path = scratch_path(spark, name)
+    raw = land.with_hour_key(_raw(spark, sf_dir))
+    return path, raw
+
+
+def q_stream_dedupe(spark, sf_dir):
+    path, raw = _two_landings(spark, sf_dir, "stream-dedupe-src")
+    land.land_hours(raw, path)
+    sink, ckpt = scratch_path(spark, "stream-dedupe"), scratch_path(spark, "stream-dedupe-ckpt")
+    q = stream.start_dedupe(stream.dedupe_stream(stream.stream_staging(spark, path)), sink, ckpt)
+    q.awaitTermination()
+    return spark.read.parquet(sink).select("uuid", "amplitude_id", "event_type", "event_id_raw")
+
+
+def q_stream_events_upsert(spark, sf_dir):
+    """Hourly cadence: land the hours before the mark, run the stream,
+    land the rest, run it again (several micro-batches); each batch is
+    upserted on event_id, latest copy wins."""
+    path, raw = _two_landings(spark, sf_dir, "stream-events-src")
+    out, ckpt = scratch_path(spark, "stream-events"), scratch_path(spark, "stream-events-ckpt")
+    users = built_models(spark, sf_dir)["users"]
+    land.land_hours(_before_mark(raw, True), path)
+    stream.start_events_upsert(stream.stream_staging(spark, path), out, ckpt, users).awaitTermination()
+    land.land_hours(_before_mark(raw, False), path)
+    src = stream.stream_staging(spark, path, max_files_per_trigger=150)
+    stream.start_events_upsert(src, out, ckpt, users).awaitTermination()
+    return spark.read.parquet(out).drop("event_date")
+
+
+def q_stream_sessions_upsert(spark, sf_dir):
+    path, raw = _two_landings(spark, sf_dir, "stream-sessions-src")
+    out, ckpt = scratch_path(spark, "stream-sessions"), scratch_path(spark, "stream-sessions-ckpt")
+    land.land_hours(_before_mark(raw, True), path)
+    stream.start_sessions_upsert(stream.stream_staging(spark, path), out, ckpt).awaitTermination()
+    land.land_hours(_before_mark(raw, False), path)
+    stream.start_sessions_upsert(stream.stream_staging(spark, path), out, ckpt).awaitTermination()
+    return spark.read.parquet(out)
+
+
+QUERIES.update({
+    "raw_landed_hours": q_raw_landed_hours,
+    "land_new_hours": q_land_new_hours,
+    "archive_unpack": q_archive_unpack,
+    "stream_dedupe": q_stream_dedupe,
+    "stream_events_upsert": q_stream_events_upsert,
+    "stream_sessions_upsert": q_stream_sessions_upsert,
+})

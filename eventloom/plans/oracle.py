@@ -337,3 +337,18 @@ from seed_sessions where session_id not in (select session_id from inc_sessions)
 union all
 select * from inc_sessions"""),
 })
+
+
+# --------------------------------------------------------------------------
+# landing, archives, streaming
+# --------------------------------------------------------------------------
+
+ORACLE.update({
+    "raw_landed_hours": with_ctes(*PRE, body="select uuid, event_time, date_trunc('hour', event_time) as hour from stg"),
+    "land_new_hours": with_ctes(*PRE, body="select uuid, event_time, strftime(event_time, '%Y-%m-%d_%H') hour_key from stg"),
+    "archive_unpack": with_ctes(*PRE, body="select uuid, event_time, strftime(event_time, '%Y-%m-%d_%H') hour_key from stg"),
+    # either copy of a uuid may be the one kept; these columns agree on both
+    "stream_dedupe": with_ctes(*PRE, body="select distinct uuid, amplitude_id, event_type, event_id_raw from stg"),
+    "stream_events_upsert": ORACLE["events"],
+    "stream_sessions_upsert": ORACLE["sessions"],
+})

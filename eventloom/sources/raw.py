@@ -35,21 +35,18 @@ def read_raw_with_hour(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return df.select(RAW_COL, parse_hour(key).alias("hour"))
 
 
-def write_raw_jsonl(raw: DataFrame, path: str, by_hour: bool = True) -> None:
-    """Land raw events as JSON text, one folder per hour.
+def write_raw_jsonl(raw: DataFrame, path: str, by_hour: bool = True, files_per_hour: int = 1) -> None:
+    """Land raw events as JSON lines, one folder per hour (``hour_key=``).
 
-    ``hour_key`` is derived from ``event_time``; dynamic partition overwrite
-    makes re-landing an hour idempotent (a refetch replaces, never appends).
+    Dynamic partition overwrite makes re-landing an hour idempotent (a
+    refetch replaces, never appends).
     """
-    text = F.to_json(F.col(RAW_COL)).alias("value")
     if not by_hour:
-        raw.select(text).write.mode("overwrite").text(path)
+        raw.select(F.to_json(F.col(RAW_COL)).alias("value")).write.mode("overwrite").text(path)
         return
-    ts = F.try_variant_get(F.col(RAW_COL), "$.event_time", "timestamp_ntz")
-    (raw.select(text, format_hour(ts).alias("hour_key"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("hour_key").text(path))
+    from eventloom.sources.landing import land_hours, with_hour_key
+
+    land_hours(with_hour_key(raw), path, files_per_hour=files_per_hour)
 
 
 # --------------------------------------------------------------------------
