@@ -30,7 +30,8 @@ HEADLINE = [
 
 
 def _shuffle_bytes(log_dir: str) -> dict[str, int]:
-    files = [f for f in glob.glob(os.path.join(log_dir, "*")) if os.path.isfile(f)]
+    files = [f for f in glob.glob(os.path.join(log_dir, "**", "*"), recursive=True)
+             if os.path.isfile(f) and not os.path.basename(f).startswith(".")]
     stage_group: dict[int, str] = {}
     out: dict[str, int] = {}
     for f in files:
@@ -65,6 +66,8 @@ def main() -> None:
 
     spark = get_spark(f"local[{cpus}]", app="eventloom-bench", shuffle_partitions=2 * cpus,
                       extra={"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir,
+                             "spark.eventLog.compress": "false",
+                             "spark.eventLog.rolling.enabled": "false",
                              "spark.driver.memory": "8g"})
     sc = spark.sparkContext
 

@@ -24,7 +24,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-_STAGED: dict[tuple, str] = {}
+_STAGED: dict[tuple, tuple[str, DataFrame]] = {}
 
 
 def staging(spark: SparkSession, sf_dir: str, materialize: bool | None = None) -> DataFrame:
@@ -49,12 +49,13 @@ def staging(spark: SparkSession, sf_dir: str, materialize: bool | None = None) -
     st = os.stat(src) if os.path.exists(src) else None
     k = (spark.sparkContext.applicationId, sf_dir.rstrip("/"),
          st.st_mtime_ns if st else None, st.st_size if st else None)
-    path = _STAGED.get(k)
-    if path is None or not _exists(spark, path):
+    hit = _STAGED.get(k)
+    if hit is None or not _exists(spark, hit[0]):
         path = scratch_path(spark, "staging")
         parse_events(raw_from_events(table(spark, sf_dir, "events"))).write.mode("overwrite").parquet(path)
-        _STAGED[k] = path
-    return spark.read.parquet(path)
+        hit = (path, spark.read.parquet(path))
+        _STAGED[k] = hit
+    return hit[1]
 
 
 class Models:
@@ -171,6 +172,7 @@ QUERIES: dict[str, Query] = {
     "event_properties": q_event_properties,
     "users": q_users,
     "users_fan_out": q_users_fan_out,
+    "users_two_lookup": q_users,
     "sessions": q_sessions,
     "events": q_events,
     "dq_not_null": _dq(("not_null",)),

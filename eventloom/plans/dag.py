@@ -145,3 +145,13 @@ def run(spark: SparkSession, out_dir: str, inputs: dict[str, DataFrame] | None =
             inc.upsert(spark, path, with_comments(increment), spec.key, part)
         tables[name] = spark.read.parquet(path)
     return tables
+
+
+def register_views(tables: dict[str, DataFrame], prefix: str = "") -> list[str]:
+    """Expose built tables as temporary views (the view materialisation),
+    so SQL users can query them with ``spark.sql``."""
+    names = []
+    for name, df in tables.items():
+        df.createOrReplaceTempView(prefix + name)
+        names.append(prefix + name)
+    return names

@@ -168,6 +168,7 @@ ORACLE: dict[str, str] = {
     "event_properties": with_ctes(*PRE, EVENT_PROPERTIES, body="select * from event_properties"),
     "users": with_ctes(*PRE, IPS, COMPANIES, USERS, body="select * from users"),
     "users_fan_out": with_ctes(*PRE, IPS, COMPANIES, USERS, body="select * from users"),
+    "users_two_lookup": with_ctes(*PRE, IPS, COMPANIES, USERS, body="select * from users"),
     "sessions": with_ctes(*PRE, sessions_cte(), body="select * from sessions"),
     "events": with_ctes(*PRE, IPS, COMPANIES, USERS, events_cte(), body="select * from int_events"),
 }
