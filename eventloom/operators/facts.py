@@ -112,12 +112,24 @@ def sessions(stg: DataFrame, dedupe: bool = False, separator: str = JOURNEY_SEPA
     return out
 
 
-def event_keys(stg: DataFrame, null_fk: str = "sentinel") -> DataFrame:
-    """Per staging row: the fact's columns with all keys computed before
-    any shuffle, so only 32-char keys (not VARIANT payloads) move."""
+def event_rows(stg: DataFrame) -> DataFrame:
+    """Narrow per-row input of the event fact.
+
+    The two property keys are computed here, before any shuffle, so
+    32-character keys move instead of VARIANT payloads.  Keys whose inputs
+    are narrower than their digest (uuid, session pair, IP) are computed
+    after the shuffles, in :func:`finish_events`.
+    """
     ep, up = F.col("event_properties"), F.col("user_properties")
     ep_json = canonical_json(ep)
     ep_id = F.when(ep.isNotNull() & (ep_json != F.lit("{}")), surrogate_key(ep_json))
+    return stg.select(
+        "event_id_raw", "session_id_raw", "amplitude_id", "ip_address", "event_time", "event_type",
+        surrogate_key(canonical_json(up)).alias("user_properties_id"),
+        ep_id.alias("event_properties_id"), "uuid")
+
+
+def finish_events(df: DataFrame, null_fk: str = "sentinel") -> DataFrame:
     session_id = surrogate_key("session_id_raw", "amplitude_id")
     ip_id = surrogate_key("ip_address")
     if null_fk == "null":
@@ -125,12 +137,11 @@ def event_keys(stg: DataFrame, null_fk: str = "sentinel") -> DataFrame:
         ip_id = F.when(F.col("ip_address").isNotNull(), ip_id)
     elif null_fk != "sentinel":
         raise ValueError(f"unknown null_fk {null_fk!r}")
-    return stg.select(
+    return df.select(
         surrogate_key("uuid").alias("event_id"), "event_id_raw",
         session_id.alias("session_id"), "session_id_raw", "amplitude_id",
-        ip_id.alias("ip_address_id"), "event_time", "event_type",
-        surrogate_key(canonical_json(up)).alias("user_properties_id"),
-        ep_id.alias("event_properties_id"), "uuid")
+        ip_id.alias("ip_address_id"), "event_time", "event_type", "user_properties_id",
+        "event_properties_id", "company_name", "uuid")
 
 
 def dedupe_events(keyed: DataFrame, method: str = "window") -> DataFrame:
@@ -154,10 +165,10 @@ def attach_company(ev: DataFrame, usr: DataFrame) -> DataFrame:
     keyed = ev.where(F.col("amplitude_id").isNotNull()).join(comp, "amplitude_id", "left")
     nulls = ev.where(F.col("amplitude_id").isNull()).withColumn(
         "company_name", F.lit(None).cast("string"))
-    return keyed.unionByName(nulls).select(*EVENT_COLUMNS)
+    return keyed.unionByName(nulls)
 
 
 def events(stg: DataFrame, usr: DataFrame, null_fk: str = "sentinel",
            method: str = "window") -> DataFrame:
     """M-EV: one row per uuid with surrogate keys and denormalised company."""
-    return attach_company(dedupe_events(event_keys(stg, null_fk), method), usr)
+    return finish_events(attach_company(dedupe_events(event_rows(stg), method), usr), null_fk)

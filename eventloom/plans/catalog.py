@@ -418,7 +418,7 @@ QUERIES.update({
 
 from eventloom.sources import archives as arch  # noqa: E402
 from eventloom.sources import landing as land  # noqa: E402
-from eventloom.sources.raw import read_raw_with_hour  # noqa: E402
+from eventloom.sources.raw import read_raw, read_raw_with_hour  # noqa: E402
 from eventloom import streaming as stream  # noqa: E402
 
 
@@ -448,8 +448,7 @@ def q_land_new_hours(spark, sf_dir):
     raw = land.with_hour_key(_raw(spark, sf_dir))
     land.land_hours(_before_mark(raw, True), path)
     land.land_new_hours(spark, raw, path)
-    df = spark.read.format("json").option("singleVariantColumn", "json_data").load(path)
-    return parse_events(df).select("uuid", "event_time", "hour_key")
+    return parse_events(read_raw(spark, path)).select("uuid", "event_time", "hour_key")
 
 
 def q_archive_unpack(spark, sf_dir):

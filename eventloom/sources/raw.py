@@ -19,16 +19,28 @@ from eventloom.functions.hours import format_hour, parse_hour
 RAW_COL = "json_data"
 
 
-def read_raw(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Scan JSONL into ``json_data VARIANT``; a malformed line gives NULL."""
-    return spark.read.format("json").option("singleVariantColumn", RAW_COL).load(path)
+def read_raw(spark: SparkSession, path: str | list[str], via: str = "text") -> DataFrame:
+    """Scan JSONL into ``json_data VARIANT``; a malformed line gives NULL.
+
+    ``via="text"`` (default) reads lines and applies ``try_parse_json``;
+    ``via="json"`` uses the JSON source's ``singleVariantColumn`` option.
+    Both parse each line once into VARIANT.  The text route is the default
+    because in Spark 4.1 the JSON route fails on partitioned folders
+    (``hour_key=...``) when a query needs no data column (e.g. a count).
+    Partition columns of the folder layout are kept.
+    """
+    if via == "json":
+        return spark.read.format("json").option("singleVariantColumn", RAW_COL).load(path)
+    df = spark.read.text(path)
+    return df.select(F.try_parse_json("value").alias(RAW_COL), *[c for c in df.columns if c != "value"])
 
 
 def read_raw_with_hour(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Like :func:`read_raw` plus the landing hour taken from the file name
     (``YYYY-MM-DD_HH.jsonl``) or a ``hour_key=`` partition folder."""
-    df = spark.read.format("json").option("singleVariantColumn", RAW_COL).load(path)
-    name = F.col("_metadata.file_path")
+    df = spark.read.text(path)
+    df = df.select(F.try_parse_json("value").alias(RAW_COL), "_metadata.file_path")
+    name = F.col("file_path")
     key = F.regexp_extract(name, r"(\d{4}-\d{2}-\d{2}_\d{1,2})(\.jsonl)?[^/]*$", 1)
     key = F.when(key == "", F.regexp_extract(name, r"hour_key=([^/]+)", 1)).otherwise(key)
     key = F.regexp_replace(key, "%20", " ")

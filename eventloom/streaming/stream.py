@@ -21,10 +21,13 @@ from eventloom.sources.raw import RAW_COL
 
 
 def stream_raw(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    r = spark.readStream.format("json").option("singleVariantColumn", RAW_COL)
+    """Landed JSONL (one folder per hour) as a stream of ``json_data VARIANT``
+    rows: text lines parsed once with ``try_parse_json`` (malformed -> NULL)."""
+    r = spark.readStream.format("text")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return r.load(path)
+    df = r.load(path)
+    return df.select(F.try_parse_json("value").alias(RAW_COL))
 
 
 def stream_staging(spark: SparkSession, path: str, mode: str = "permissive", **kw) -> DataFrame:

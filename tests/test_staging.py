@@ -42,6 +42,6 @@ def test_malformed_line_gives_null_raw(spark, tmp_path_spark):
 
     p = tmp_path_spark("jsonl")
     spark.createDataFrame([('{"uuid":"a"}',), ("{not json",)], "value string").coalesce(1).write.text(p)
-    raw = read_raw(spark, p)
+    raw = read_raw(spark, p, via="json")
     assert raw.where(F.col("json_data").isNull()).count() == 1
     assert parse_events(raw).where(F.col("uuid") == "a").count() == 1
