@@ -153,19 +153,25 @@ def dedupe_events(keyed: DataFrame, method: str = "window") -> DataFrame:
                           tiebreak=["__tb"], method=method).drop("__tb")
 
 
+NULL_KEY_SALT = 1024
+
+
 def attach_company(ev: DataFrame, usr: DataFrame) -> DataFrame:
-    """Left join events to users for ``company_name``.
+    """Left join events to users for ``company_name``, in one pass.
 
-    Only users with a company can contribute, so the build side is
-    filtered to those; rows with NULL amplitude_id cannot match and skip
-    the shuffle entirely (they would all hash to one partition).
+    Only users with a company can contribute, so the build side is filtered
+    to those.  Rows with NULL amplitude_id can never match; instead of all
+    hashing to one partition they join on ``(salt, is_null=true)``, a key
+    no user row has, spread over ``NULL_KEY_SALT`` values.  (Splitting them
+    into a separate branch would compute the deduplicated input twice.)
     """
     comp = (usr.where(F.col("company").isNotNull())
-               .select("amplitude_id", F.col("company").alias("company_name")))
-    keyed = ev.where(F.col("amplitude_id").isNotNull()).join(comp, "amplitude_id", "left")
-    nulls = ev.where(F.col("amplitude_id").isNull()).withColumn(
-        "company_name", F.lit(None).cast("string"))
-    return keyed.unionByName(nulls)
+               .select(F.col("amplitude_id").alias("__k"), F.lit(False).alias("__null"),
+                       F.col("company").alias("company_name")))
+    salt = F.pmod(F.xxhash64("uuid"), F.lit(NULL_KEY_SALT))
+    keyed = ev.select("*", F.coalesce(F.col("amplitude_id"), salt).alias("__k"),
+                      F.col("amplitude_id").isNull().alias("__null"))
+    return keyed.join(comp, ["__k", "__null"], "left").drop("__k", "__null")
 
 
 def events(stg: DataFrame, usr: DataFrame, null_fk: str = "sentinel",

@@ -58,14 +58,51 @@ def staging(spark: SparkSession, sf_dir: str, materialize: bool | None = None) -
     return hit[1]
 
 
+_TABLES: dict[tuple, DataFrame] = {}
+
+
+def model_table(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """A model written once per session and input as a Parquet table under
+    the shared checkpoint dir, then read back.
+
+    Downstream models read it as a table does in a build run: planning sees
+    the file size (static broadcast when small), the join side gets its own
+    exchange (AQE can still switch to broadcast at runtime), and lineage
+    stays short.
+    """
+    from eventloom.operators.incremental import _exists
+    from eventloom.session import scratch_path
+
+    k = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    hit = _TABLES.get(k)
+    if hit is not None and _exists(spark, hit.inputFiles()[0].rsplit("/", 1)[0] if hit.inputFiles() else ""):
+        return hit
+    path = scratch_path(spark, name)
+    build().write.mode("overwrite").parquet(path)
+    _TABLES[k] = spark.read.parquet(path)
+    return _TABLES[k]
+
+
 class Models:
-    """Lazily built model DataFrames over one staging relation."""
+    """Model relations over one staging relation.
+
+    With ``spark``/``sf_dir`` given, the dimensions other models depend on
+    (ip_addresses, companies, users) are written tables; without, they are
+    lazy plans (used by tests on hand-made staging).
+    """
 
-    def __init__(self, stg: DataFrame, raw_fn=None):
+    def __init__(self, stg: DataFrame, raw_fn=None, spark: SparkSession | None = None,
+                 sf_dir: str | None = None):
         self.stg = stg
         self._raw_fn = raw_fn
+        self._spark, self._sf = spark, sf_dir
         self._ips = self._companies = self._users = None
 
+    def _table(self, name, build):
+        if self._spark is None:
+            return build()
+        return model_table(self._spark, self._sf, name, build)
+
     @property
     def raw(self) -> DataFrame | None:
         return self._raw_fn() if self._raw_fn else None
@@ -73,40 +110,26 @@ class Models:
     @property
     def ips(self) -> DataFrame:
         if self._ips is None:
-            self._ips = dims.ip_addresses(self.stg)
+            self._ips = self._table("ip_addresses", lambda: dims.ip_addresses(self.stg))
         return self._ips
 
     @property
     def companies(self) -> DataFrame:
         if self._companies is None:
-            self._companies = dims.companies(self.stg, self.ips)
+            self._companies = self._table("companies", lambda: dims.companies(self.stg, self.ips))
         return self._companies
 
     def users(self, attribution: str = "two_lookup") -> DataFrame:
         if attribution != "two_lookup":
             return dims.users(self.stg, self.ips, self.companies, attribution=attribution)
         if self._users is None:
-            self._users = dims.users(self.stg, self.ips, self.companies)
+            self._users = self._table("users", lambda: dims.users(self.stg, self.ips, self.companies))
         return self._users
 
 
-    def all_models(self) -> dict[str, DataFrame]:
-        """Every model by name, as the data-quality suite sees them."""
-        usr = self.users()
-        return {
-            "raw_events": self.raw,
-            "stg_events": self.stg,
-            "events": facts.events(self.stg, usr),
-            "users": usr,
-            "sessions": facts.sessions(self.stg),
-            "ip_addresses": self.ips,
-            "event_properties": dims.event_properties(self.stg),
-            "companies": self.companies,
-        }
-
-
 def _models(spark: SparkSession, sf_dir: str) -> Models:
-    return Models(staging(spark, sf_dir), lambda: raw_from_events(table(spark, sf_dir, "events")))
+    return Models(staging(spark, sf_dir), lambda: raw_from_events(table(spark, sf_dir, "events")),
+                  spark, sf_dir)
 
 
 _BUILT: dict[tuple, dict] = {}
@@ -357,7 +380,8 @@ def q_events_incremental(spark, sf_dir, lookback=None):
     and upsert on event_id.  Users come from full staging in both steps."""
     m = _models(spark, sf_dir)
     usr = m.users()
-    target = facts.events(_seed_split(m.stg), usr)
+    # the stored target: written to the checkpoint dir, as a table would be
+    target = facts.events(_seed_split(m.stg), usr).checkpoint()
     new_rows = inc.since_high_water_mark(m.stg, target, lookback=lookback)
     return inc.upsert_frames(target, facts.events(new_rows, usr), "event_id")
 
@@ -383,7 +407,7 @@ def q_events_incremental_table(spark, sf_dir):
 def _sessions_incremental(mode):
     def q(spark, sf_dir):
         stg = staging(spark, sf_dir)
-        seed = facts.sessions(_seed_split(stg))
+        seed = facts.sessions(_seed_split(stg)).checkpoint()
         new_rows = inc.since_high_water_mark(stg, seed, target_ts="session_end")
         return inc.upsert_frames(seed, inc.merge_sessions(seed, new_rows, mode), "session_id")
     return q
@@ -394,7 +418,7 @@ def q_schema_sync(spark, sf_dir):
     dropped column meets the current model: sync_all_columns, then the
     (warehouse-style) overwrite increment."""
     stg = staging(spark, sf_dir)
-    seed = facts.sessions(_seed_split(stg))
+    seed = facts.sessions(_seed_split(stg)).checkpoint()
     stored = seed.drop("location_id").withColumn("legacy_channel", F.lit("web"))
     new_rows = inc.since_high_water_mark(stg, stored, target_ts="session_end")
     incoming = inc.merge_sessions(seed, new_rows, "overwrite")
@@ -481,7 +505,7 @@ def q_stream_events_upsert(spark, sf_dir):
     upserted on event_id, latest copy wins."""
     path, raw = _two_landings(spark, sf_dir, "stream-events-src")
     out, ckpt = scratch_path(spark, "stream-events"), scratch_path(spark, "stream-events-ckpt")
-    users = built_models(spark, sf_dir)["users"]
+    users = _models(spark, sf_dir).users()
     land.land_hours(_before_mark(raw, True), path)
     stream.start_events_upsert(stream.stream_staging(spark, path), out, ckpt, users).awaitTermination()
     land.land_hours(_before_mark(raw, False), path)
