@@ -40,9 +40,11 @@ def session_rows(stg: DataFrame, dedupe: bool = False) -> DataFrame:
         src = latest_per_key(stg, ["uuid"], "event_time", tiebreak=["event_id_raw"])
     page = F.coalesce(F.try_variant_get(F.col("event_properties"), json_path(PAGE_PATH_KEY), "string"),
                       F.lit(""))
+    # tiebreak for equal event times: an 8-byte hash of the uuid travels
+    # through the shuffle instead of the uuid string
     return (src.where(F.col("session_id_raw").isNotNull())
                .select(*SESSION_KEYS, "user_id", "device_id", "city", "region", "country",
-                       "event_time", F.coalesce("uuid", F.lit("")).alias("uuid"),
+                       "event_time", F.xxhash64(F.coalesce("uuid", F.lit(""))).alias("tb"),
                        page.alias("page")))
 
 
@@ -56,8 +58,8 @@ def session_partials(rows: DataFrame, separator: str = JOURNEY_SEPARATOR,
     because every slice holds at least one event.
     """
     first_attrs = F.min_by(F.struct("user_id", "device_id", "city", "region", "country"),
-                           F.struct("event_time", "uuid"))
-    piece = ordered_listagg("page", separator, ["event_time", "uuid"])
+                           F.struct("event_time", "tb"))
+    piece = ordered_listagg("page", separator, ["event_time", "tb"])
     slice_col = (F.date_trunc(split_by, F.col("event_time")) if split_by
                  else F.lit(None).cast("timestamp"))
     return (rows.groupBy(*SESSION_KEYS, slice_col.alias("slice"))

@@ -144,8 +144,9 @@ def built_models(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     k = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     if k not in _BUILT:
         m = _models(spark, sf_dir)
-        _BUILT[k] = dag.run(spark, scratch_path(spark, "models"),
-                            inputs={"raw_events": m.raw, "stg_events": m.stg})
+        given = {"raw_events": m.raw, "stg_events": m.stg, "ip_addresses": m.ips,
+                 "companies": m.companies, "users": m.users()}
+        _BUILT[k] = dag.run(spark, scratch_path(spark, "models"), inputs=given)
     return _BUILT[k]
 
 
