@@ -45,3 +45,20 @@ def test_malformed_line_gives_null_raw(spark, tmp_path_spark):
     raw = read_raw(spark, p, via="json")
     assert raw.where(F.col("json_data").isNull()).count() == 1
     assert parse_events(raw).where(F.col("uuid") == "a").count() == 1
+
+
+def test_struct_extraction_matches_per_path_lookup(raw_from_json):
+    from eventloom.operators.staging import STAGING_SPEC, json_path
+
+    lines = ['{"uuid":"a","amplitude_id":1,"City":"x","city":"y","event_properties":{"k":[1,2]}}',
+             "123", "[1,2]", '{"uuid":null,"session_id":null}', None]
+    raw = raw_from_json(lines)
+    fast = staging_as_text(parse_events(raw))
+    slow = staging_as_text(raw.select(*[
+        F.variant_get("json_data", json_path(k), "bigint" if t == "number" else t).alias(n)
+        for n, k, t in STAGING_SPEC]))
+    assert fast.exceptAll(slow).count() == 0 and slow.exceptAll(fast).count() == 0
+    assert [r.city for r in fast.collect()][0] == "y"          # keys are case-sensitive
+    perm = staging_as_text(parse_events(raw_from_json(['{"uuid":"a","amplitude_id":"bad"}']),
+                                        mode="permissive")).first()
+    assert perm.uuid == "a" and perm.amplitude_id is None      # one bad field, others kept
