@@ -130,29 +130,69 @@ def _with_status(df: DataFrame) -> DataFrame:
     return df.select(*RESULT_COLUMNS[:-1], status.alias("status"))
 
 
+def key_check_counts(df: DataFrame, model: str, checks: list[Check],
+                     parents: dict[str, DataFrame]) -> DataFrame:
+    """All unique and relationships checks of one model from one scan.
+
+    Each checked column is unpivoted into ``(check id, value)`` pairs,
+    counted per value with map-side partial aggregation (a hot value is one
+    row per map task), then
+    * unique: values counted more than once, per check;
+    * relationships: counted values absent from their parent's keys
+      (anti join on ``(check id, value)``), summing their row counts.
+    Values are compared as strings, which is exact for the key types used
+    (md5 text and integer ids).
+    """
+    pairs = F.array(*[F.struct(F.lit(i).alias("cid"), F.col(c.column).cast("string").alias("val"))
+                      for i, c in enumerate(checks)])
+    counts = (df.select(F.inline(pairs)).where(F.col("val").isNotNull())
+                .groupBy("cid", "val").agg(F.count(F.lit(1)).alias("n")))
+    uniq_ids = [i for i, c in enumerate(checks) if c.kind == "unique"]
+    rel_ids = [i for i, c in enumerate(checks) if c.kind == "relationships"]
+    spark = df.sparkSession
+    parts = []
+    if uniq_ids:
+        parts.append(counts.where(F.col("cid").isin(uniq_ids) & (F.col("n") > 1))
+                           .groupBy("cid").agg(F.count(F.lit(1)).alias("failures")))
+    if rel_ids:
+        keys = reduce(DataFrame.unionByName, [
+            parents[checks[i].to].select(F.lit(i).alias("cid"),
+                                         F.col(checks[i].field).cast("string").alias("val"))
+            for i in rel_ids])
+        parts.append(counts.where(F.col("cid").isin(rel_ids))
+                           .join(keys.where(F.col("val").isNotNull()), ["cid", "val"], "left_anti")
+                           .groupBy("cid").agg(F.sum("n").alias("failures")))
+    found = reduce(DataFrame.unionByName, parts)
+    listing = spark.createDataFrame(
+        [(i, c.column, c.kind, c.ref) for i, c in enumerate(checks)],
+        "cid int, column string, check string, ref string")
+    return (listing.join(found, "cid", "left")
+                   .select(F.lit(model).alias("model"), "column", "check", "ref",
+                           F.coalesce(F.col("failures"), F.lit(0)).cast("bigint").alias("failures")))
+
+
 def run_suite(models: dict[str, DataFrame], checks: list[Check] = CHECKS,
               kinds: tuple[str, ...] = ("not_null", "unique", "relationships")) -> DataFrame:
     """All checks as one DataFrame ``(model, column, check, ref, failures, status)``.
 
-    not_null checks of one model share a single scan; the rest are one
-    small aggregate each.  Checks on models missing from ``models`` are
-    skipped.
+    Per model at most two scans: one for all its not_null checks and one
+    for all its unique and relationships checks.  Checks on models missing
+    from ``models`` (or whose parent is missing) are skipped.
     """
     parts: list[DataFrame] = []
-    if "not_null" in kinds:
-        by_model: dict[str, list[str]] = {}
-        for c in checks:
-            if c.kind == "not_null" and c.model in models:
-                by_model.setdefault(c.model, []).append(c.column)
-        parts += [not_null_counts(models[m], m, cols) for m, cols in by_model.items()]
+    by_model: dict[str, dict[str, list]] = {}
     for c in checks:
         if c.kind not in kinds or c.model not in models:
             continue
-        if c.kind == "unique":
-            parts.append(unique_count(models[c.model], c.model, c.column))
-        elif c.kind == "relationships" and c.to in models:
-            parts.append(relationships_count(models[c.model], c.model, c.column,
-                                             models[c.to], c.to, c.field))
+        if c.kind == "relationships" and c.to not in models:
+            continue
+        slot = "nn" if c.kind == "not_null" else "keys"
+        by_model.setdefault(c.model, {}).setdefault(slot, []).append(c)
+    for m, slots in by_model.items():
+        if "nn" in slots:
+            parts.append(not_null_counts(models[m], m, [c.column for c in slots["nn"]]))
+        if "keys" in slots:
+            parts.append(key_check_counts(models[m], m, slots["keys"], models))
     if not parts:
         raise ValueError("no checks apply to the given models")
     return _with_status(reduce(DataFrame.unionByName, parts))
