@@ -180,3 +180,14 @@ def events(stg: DataFrame, usr: DataFrame, null_fk: str = "sentinel",
            method: str = "window") -> DataFrame:
     """M-EV: one row per uuid with surrogate keys and denormalised company."""
     return finish_events(attach_company(dedupe_events(event_rows(stg), method), usr), null_fk)
+
+
+def refresh_company(ev: DataFrame, usr: DataFrame) -> DataFrame:
+    """Re-attach ``company_name`` to stored events from the current users.
+
+    The event fact is incremental while users are rebuilt in full, so a
+    stored row keeps the company known when it was loaded; this recomputes
+    it for all rows in one left join (same null-key handling as the build).
+    """
+    cols = ev.columns
+    return attach_company(ev.drop("company_name"), usr).select(*cols)

@@ -140,3 +140,13 @@ def test_users_rewrite_equals_fan_out_sf0001(sf001_models):
     m = sf001_models
     a, b = m.users(), m.users("fan_out")
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_refresh_company_updates_frozen_names(sf001_models):
+    m = sf001_models
+    usr = m.users()
+    ev = facts.events(m.stg, usr)
+    frozen = ev.withColumn("company_name", F.lit("stale"))
+    fresh = facts.refresh_company(frozen, usr)
+    assert fresh.columns == ev.columns
+    assert fresh.exceptAll(ev).count() == 0 and ev.exceptAll(fresh).count() == 0

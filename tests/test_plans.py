@@ -44,6 +44,9 @@ def test_runner_incremental_equals_full_build(spark, tmp_path_spark):
     for name in ("sessions", "events", "users"):
         a, b = t[name], full[name]
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, name
+    # full refresh rebuilds from scratch and equals the incremental result
+    fr = dag.run(spark, out, inputs={"stg_events": stg}, models=["events"], full_refresh=True)
+    assert fr["events"].exceptAll(full["events"]).count() == 0
     # column comments travel with the table
     fields = {f.name: f.metadata for f in t["events"].schema.fields}
     assert "comment" in fields["event_id"]
