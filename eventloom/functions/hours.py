@@ -19,6 +19,19 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def ntz_lit(v) -> Column:
+    """A ``timestamp_ntz`` literal from a naive datetime or a string.
+
+    Passed as wall-clock text: ``F.lit(datetime)`` would read a naive value
+    in the Python process's time zone, which need not be the session's.
+    """
+    if isinstance(v, Column):
+        return v.cast("timestamp_ntz")
+    if isinstance(v, _dt.datetime):
+        v = v.isoformat(sep=" ")
+    return F.lit(v).cast("timestamp_ntz")
+
+
 def parse_hour(c) -> Column:
     """Parse any of the three hour-key styles to ``timestamp_ntz``.
 

@@ -19,15 +19,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventloom.functions.hours import format_hour, hour_range
+from eventloom.functions.hours import format_hour, hour_range, ntz_lit
 
 SRC, HOUR = "source", "hour"
 
 
 def _lit_ts(v) -> Column:
-    if isinstance(v, Column):
-        return v.cast("timestamp_ntz")
-    return F.lit(v).cast("timestamp_ntz")
+    return ntz_lit(v)
 
 
 def present_hours(df: DataFrame, source_col: str | Column, ts_col: str | Column) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from eventloom.functions.hours import ntz_lit
 from eventloom.functions.keys import surrogate_key
 from eventloom.operators import facts
 from eventloom.operators.facts import SESSION_KEYS, ordered_listagg
@@ -52,7 +53,11 @@ def since_high_water_mark(source: DataFrame, target: DataFrame | None, source_ts
             return source.where(F.lit(False))
         return source
     mark = hwm - lookback if lookback else hwm
-    return source.where(F.col(source_ts) > F.lit(mark).cast("timestamp_ntz"))
+    if isinstance(mark, _dt.datetime) and mark.tzinfo is None:
+        lit = ntz_lit(mark)          # wall clock, independent of time zones
+    else:
+        lit = F.lit(mark)
+    return source.where(F.col(source_ts) > lit)
 
 
 # --------------------------------------------------------------------------

@@ -57,3 +57,21 @@ def test_default_window():
     start, end = H.default_window(dt.datetime(2025, 11, 11, 9, 41))
     assert end == dt.datetime(2025, 11, 10, 21)
     assert start == dt.datetime(2025, 11, 9, 21)
+
+
+def test_ntz_literal_ignores_process_time_zone(spark):
+    import os
+    import time
+
+    old = os.environ.get("TZ")
+    os.environ["TZ"] = "America/New_York"
+    time.tzset()
+    try:
+        v = spark.range(1).select(H.ntz_lit(dt.datetime(2024, 1, 15, 3, 0, 0, 5)).alias("t")).first().t
+    finally:
+        if old is None:
+            os.environ.pop("TZ")
+        else:
+            os.environ["TZ"] = old
+        time.tzset()
+    assert v == dt.datetime(2024, 1, 15, 3, 0, 0, 5)
