@@ -82,7 +82,10 @@ def write_archives(raw: DataFrame, out_dir: str, buckets: int = 4, project: str
     """Write raw events as ZIP archives under a local/shared ``out_dir``
     (one archive per hour and bucket).  Returns ``(archive, lines)``.
     The folder must be visible to all executors (a shared mount)."""
-    out_dir = out_dir.replace("file:", "")
+    if "://" in out_dir and not out_dir.startswith("file:"):
+        raise ValueError("write_archives writes with Python file I/O in tasks; give a shared "
+                         f"POSIX path (a mount every executor sees), not {out_dir!r}")
+    out_dir = out_dir.replace("file://", "").replace("file:", "")
     text = F.to_json(F.col("json_data")).alias("value")
     ts = F.try_variant_get(F.col("json_data"), "$.event_time", "timestamp_ntz")
     src = raw.select(text, F.date_format(ts, "yyyy-MM-dd_HH").alias("hour_key"),
