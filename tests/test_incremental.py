@@ -74,3 +74,28 @@ def test_sync_schema_modes(spark):
     assert a.columns == b.columns == ["id", "old"]
     with pytest.raises(ValueError):
         inc.sync_schema(t, i, "fail")
+
+
+@pytest.mark.parametrize("marks", [("2024-01-08 00:00:00", "2024-01-20 12:30:00"),
+                                   ("2024-01-02 05:59:59", "2024-01-29 23:00:00")])
+def test_sessions_in_slices_equal_one_shot(stg, marks):
+    ts = lambda m: F.lit(m).cast("timestamp_ntz")
+    first = stg.where(F.col("event_time") <= ts(marks[0]))
+    table = facts.sessions(first).checkpoint()
+    for lo, hi in ((marks[0], marks[1]), (marks[1], None)):
+        part = stg.where(F.col("event_time") > ts(lo))
+        if hi:
+            part = part.where(F.col("event_time") <= ts(hi))
+        new_rows = inc.since_high_water_mark(part, table, target_ts="session_end")
+        table = inc.upsert_frames(table, inc.merge_sessions(table, new_rows), "session_id").checkpoint()
+    assert same(table, facts.sessions(stg))
+
+
+def test_fact_invariants(spark, stg):
+    ev = C.QUERIES["events"](spark, SF001)
+    se = C.QUERIES["sessions"](spark, SF001)
+    assert ev.count() == stg.select("uuid").distinct().count()
+    assert (se.agg(F.sum("event_count")).first()[0]
+            == stg.where(F.col("session_id_raw").isNotNull()).count())
+    for df, k in ((ev, "event_id"), (se, "session_id")):
+        assert df.groupBy(k).count().where("count > 1").count() == 0
