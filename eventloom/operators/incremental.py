@@ -111,22 +111,29 @@ def read_table(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
+BROADCAST_KEYS_MAX = 2_000_000
+
+
 def upsert(spark: SparkSession, target_path: str, increment: DataFrame, key: str | list[str],
            partition_by: str | None = None, staging_path: str | None = None,
-           order_by: str | None = None) -> dict:
+           order_by: str | None = None, broadcast_keys_max: int = BROADCAST_KEYS_MAX) -> dict:
     """Apply ``increment`` to the Parquet table at ``target_path``.
 
     * No table yet: the increment is the table (first incremental run).
-    * Partitioned (``partition_by``): reads only ``(key, partition)`` of the
-      target to find the partitions holding a key of the increment (a key
-      may sit in another partition than its new row), then rebuilds just
-      those partitions plus the increment's own, and swaps them in with
-      dynamic partition overwrite.  Untouched partitions are not read.
+    * Partitioned (``partition_by``): the increment is written once to a
+      staging folder (so it is computed once and its row count is known),
+      then only ``(key, partition)`` of the target is read to find the
+      partitions holding a key of the increment (a key may sit in another
+      partition than its new row).  When the increment has at most
+      ``broadcast_keys_max`` rows its keys are broadcast, so the target's key
+      column is probed map-side without a shuffle; above that bound a
+      shuffled semi join is used.  Only touched partitions are rebuilt and
+      swapped in with dynamic partition overwrite; untouched ones are not read.
     * Unpartitioned: full rebuild.
 
-    The rebuilt rows are first written to ``staging_path`` (a folder under
-    the shared checkpoint dir by default) and then copied over, so a path is
-    never overwritten while it is being read.
+    Rebuilt rows are written to a staging folder first and then copied over,
+    so a path is never overwritten while it is being read.  Staging folders
+    live under the shared checkpoint dir by default.
     Returns a small report with the touched partition values.
     """
     from eventloom.session import scratch_path
@@ -143,15 +150,21 @@ def upsert(spark: SparkSession, target_path: str, increment: DataFrame, key: str
 
     staging_path = staging_path or scratch_path(spark, "upsert-stage")
     if partition_by:
-        inc_keys = increment.select(*keys)
+        inc_path = f"{staging_path}-increment"
+        increment.select(*target.columns).write.mode("overwrite").parquet(inc_path)
+        inc = spark.read.parquet(inc_path)
+        n_inc = inc.count()                      # from the written files
+        inc_keys = inc.select(*keys)
+        if n_inc <= broadcast_keys_max:
+            inc_keys = F.broadcast(inc_keys)     # size proven by the count
         touched_df = (target.select(*keys, partition_by).join(inc_keys, keys, "left_semi")
                             .select(partition_by)
-                            .union(increment.select(partition_by)).distinct())
+                            .union(inc.select(partition_by)).distinct())
         # partition values, one per touched partition: bounded by the
         # number of partitions, not by rows
         touched = [r[0] for r in touched_df.collect()]
         affected = target.where(F.col(partition_by).isin(touched)) if touched else target.where(F.lit(False))
-        rebuilt = upsert_frames(affected, increment.select(*target.columns), keys, order_by)
+        rebuilt = upsert_frames(affected, inc, keys, order_by)
         rebuilt.write.mode("overwrite").partitionBy(partition_by).parquet(staging_path)
         staged = spark.read.parquet(staging_path).select(*target.columns)
         (staged.write.mode("overwrite").options(**writer_opts)
@@ -161,7 +174,8 @@ def upsert(spark: SparkSession, target_path: str, increment: DataFrame, key: str
         kept = {r[0] for r in staged.select(partition_by).distinct().collect()}
         for v in set(touched) - kept:
             _delete(spark, f"{target_path.rstrip('/')}/{partition_by}={v}")
-        return {"mode": "partitions", "touched": sorted(touched)}
+        return {"mode": "partitions", "touched": sorted(touched), "increment_rows": n_inc,
+                "broadcast_keys": n_inc <= broadcast_keys_max}
 
     rebuilt = upsert_frames(target, increment.select(*target.columns), keys, order_by)
     rebuilt.write.mode("overwrite").parquet(staging_path)

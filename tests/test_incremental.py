@@ -53,9 +53,15 @@ def test_partitioned_upsert_moves_keys(spark, tmp_path_spark):
     # 'c' moves from d2 to d3 (d2 becomes empty), 'a' changes in place, 'z' is new
     t2 = spark.createDataFrame([("a", 10, "d1"), ("c", 30, "d3"), ("z", 9, "d3")], "k string, v int, p string")
     rep = inc.upsert(spark, path, t2, "k", "p")
-    assert rep["touched"] == ["d1", "d2", "d3"]
+    assert rep["touched"] == ["d1", "d2", "d3"] and rep["broadcast_keys"]
     got = sorted((r.k, r.v, r.p) for r in spark.read.parquet(path).collect())
     assert got == [("a", 10, "d1"), ("b", 2, "d1"), ("c", 30, "d3"), ("z", 9, "d3")]
+    # above the broadcast bound the shuffled semi join gives the same table
+    path3 = tmp_path_spark("upsert-shuffled")
+    inc.upsert(spark, path3, t1, "k", "p")
+    rep3 = inc.upsert(spark, path3, t2, "k", "p", broadcast_keys_max=0)
+    assert not rep3["broadcast_keys"]
+    assert sorted(map(tuple, spark.read.parquet(path3).select("k", "v", "p").collect())) == got
     # unpartitioned
     p2 = tmp_path_spark("upsert-flat")
     inc.upsert(spark, p2, t1.drop("p"), "k")
