@@ -189,7 +189,8 @@ def upsert(spark: SparkSession, target_path: str, increment: DataFrame, key: str
 
 
 def merge_sessions(old: DataFrame, new_stg: DataFrame, mode: str = "merge_partials",
-                   separator: str = facts.JOURNEY_SEPARATOR) -> DataFrame:
+                   separator: str = facts.JOURNEY_SEPARATOR,
+                   broadcast_keys_max: int = BROADCAST_KEYS_MAX) -> DataFrame:
     """Session rows to upsert for a staging increment.
 
     ``overwrite`` (warehouse behaviour): a session already stored is
@@ -200,16 +201,23 @@ def merge_sessions(old: DataFrame, new_stg: DataFrame, mode: str = "merge_partia
     min/max/sum and ``old_journey || sep || new_journey`` equal a rebuild
     from all events, and the first-event attributes stay the stored ones.
     Only stored sessions whose key occurs in the increment are read into
-    the merge (semi join on the increment's keys).
+    the merge (semi join on the increment's keys).  The increment's
+    sessions are checkpointed (computed once, lineage cut) and counted; when
+    there are at most ``broadcast_keys_max`` of them their keys are
+    broadcast, so the stored table is probed map-side instead of shuffled.
     """
     new_s = facts.sessions(new_stg, separator=separator)
     if mode == "overwrite":
         return new_s
     if mode != "merge_partials":
         raise ValueError(f"unknown mode {mode!r}")
+    new_s = new_s.checkpoint()
+    new_keys = new_s.select(*SESSION_KEYS)
+    if new_s.count() <= broadcast_keys_max:
+        new_keys = F.broadcast(new_keys)
     attrs = F.struct("user_id", "device_id", "location_id").alias("attrs")
     cols = [*SESSION_KEYS, "session_start", "session_end", "event_count", "user_journey"]
-    touched = old.join(new_s.select(*SESSION_KEYS), SESSION_KEYS, "left_semi")
+    touched = old.join(new_keys, SESSION_KEYS, "left_semi")
     both = (touched.select(*cols, attrs)
             .unionByName(new_s.select(*cols, attrs)))
     merged = (both.groupBy(*SESSION_KEYS)
