@@ -150,3 +150,18 @@ def test_refresh_company_updates_frozen_names(sf001_models):
     fresh = facts.refresh_company(frozen, usr)
     assert fresh.columns == ev.columns
     assert fresh.exceptAll(ev).count() == 0 and ev.exceptAll(fresh).count() == 0
+
+
+def test_null_fk_option_and_session_dedupe(sf001_models):
+    m = sf001_models
+    usr = m.users()
+    faithful = facts.events(m.stg, usr)
+    nullable = facts.events(m.stg, usr, null_fk="null")
+    # sentinel keys for NULL session/ip in the faithful form, NULL keys otherwise
+    assert faithful.where("session_id is null or ip_address_id is null").count() == 0
+    assert nullable.where("session_id is null").count() == faithful.where("session_id_raw is null").count()
+    assert nullable.where("ip_address_id is null").count() > 0
+    # dedupe=True counts each uuid once: Σ event_count = deduplicated events with a session
+    dd = facts.sessions(m.stg, dedupe=True)
+    assert (dd.agg(F.sum("event_count")).first()[0]
+            == faithful.where("session_id_raw is not null").count())
