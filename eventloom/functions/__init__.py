@@ -9,5 +9,6 @@ from eventloom.functions.hours import (  # noqa: F401
     format_hour,
     hour_key_from_name,
     hour_range,
+    ntz_lit,
     parse_hour,
 )

@@ -7,15 +7,28 @@ columns leave Spark as canonical JSON text.
 
 from __future__ import annotations
 
+import datetime as _dt
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from eventloom import streaming as stream
+from eventloom.functions import hours as H
+from eventloom.functions.keys import email_domain, surrogate_key
+from eventloom.operators import coverage as cov
 from eventloom.operators import dimensions as dims
 from eventloom.operators import facts
+from eventloom.operators import incremental as inc
 from eventloom.operators import quality
+from eventloom.operators.incremental import _exists
 from eventloom.operators.staging import parse_events, staging_as_text
-from eventloom.sources.raw import raw_from_events
+from eventloom.plans import dag
+from eventloom.session import scratch_path
+from eventloom.sources import archives as arch
+from eventloom.sources import landing as land
+from eventloom.sources.raw import raw_from_events, read_raw, read_raw_with_hour
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,11 +49,6 @@ def staging(spark: SparkSession, sf_dir: str, materialize: bool | None = None) -
     re-walking JSON, and lineage is cut.  ``EVENTLOOM_LAZY_STAGING=1`` (or
     ``materialize=False``) keeps it a lazy plan.
     """
-    import os
-
-    from eventloom.operators.incremental import _exists
-    from eventloom.session import scratch_path
-
     if materialize is None:
         materialize = os.environ.get("EVENTLOOM_LAZY_STAGING", "0") != "1"
     if not materialize:
@@ -70,9 +78,6 @@ def model_table(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame
     exchange (AQE can still switch to broadcast at runtime), and lineage
     stays short.
     """
-    from eventloom.operators.incremental import _exists
-    from eventloom.session import scratch_path
-
     k = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
     hit = _TABLES.get(k)
     if hit is not None and _exists(spark, hit.inputFiles()[0].rsplit("/", 1)[0] if hit.inputFiles() else ""):
@@ -138,9 +143,6 @@ _BUILT: dict[tuple, dict] = {}
 def built_models(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """All models written as tables under the checkpoint dir (once per
     session and input), as a build run leaves them for the checks."""
-    from eventloom.plans import dag
-    from eventloom.session import scratch_path
-
     k = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     if k not in _BUILT:
         m = _models(spark, sf_dir)
@@ -210,12 +212,6 @@ QUERIES: dict[str, Query] = {
 # hour-coverage ledger (source = event_type over the events table)
 # --------------------------------------------------------------------------
 
-from pyspark.sql import functions as F  # noqa: E402
-
-from eventloom.functions import hours as H  # noqa: E402
-from eventloom.functions.keys import email_domain, surrogate_key  # noqa: E402
-from eventloom.operators import coverage as cov  # noqa: E402
-from eventloom.operators.latest import latest_per_key  # noqa: E402
 
 # The audited range and the mark splitting seed/increment.
 LEDGER_START = "2024-01-01 00:00:00"
@@ -365,11 +361,6 @@ QUERIES.update({
 # incremental loads: seed with rows up to SEED_MARK, then apply the rest
 # --------------------------------------------------------------------------
 
-import datetime as _dt  # noqa: E402
-
-from eventloom.operators import incremental as inc  # noqa: E402
-from eventloom.session import scratch_path  # noqa: E402
-
 
 def _seed_split(stg: DataFrame):
     mark = F.lit(SEED_MARK).cast("timestamp_ntz")
@@ -441,11 +432,6 @@ QUERIES.update({
 # landing, archives and streaming (all write under the checkpoint dir)
 # --------------------------------------------------------------------------
 
-from eventloom.sources import archives as arch  # noqa: E402
-from eventloom.sources import landing as land  # noqa: E402
-from eventloom.sources.raw import read_raw, read_raw_with_hour  # noqa: E402
-from eventloom import streaming as stream  # noqa: E402
-
 
 def _raw(spark, sf_dir):
     return raw_from_events(table(spark, sf_dir, "events"))

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from eventloom.functions.keys import NULL_SENTINEL
 from eventloom.operators.dimensions import CONSUMER_DOMAINS
+from eventloom.operators.quality import CHECKS
 
 
 def key(*exprs: str) -> str:
@@ -178,8 +179,6 @@ ORACLE: dict[str, str] = {
 # data quality
 # --------------------------------------------------------------------------
 
-from eventloom.operators.quality import CHECKS  # noqa: E402
-
 RAW = """
 raw as (
 select to_json(a) json_data from adapter a

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.functions.hours import format_hour, parse_hour
+from eventloom.functions.hours import parse_hour
 
 RAW_COL = "json_data"
 
