@@ -48,8 +48,18 @@ def required_hours(sources: DataFrame, start, end) -> DataFrame:
                    .select(SRC, F.explode(hour_range(_lit_ts(start), _lit_ts(end))).alias(HOUR)))
 
 
-def missing_hours(required: DataFrame, present: DataFrame) -> DataFrame:
-    return required.join(present.select(SRC, HOUR), [SRC, HOUR], "left_anti")
+def _covered(present: DataFrame, known_empty: DataFrame | None) -> DataFrame:
+    """Hours that need no fetch: present, or known to have had no events."""
+    p = present.select(SRC, HOUR)
+    return p if known_empty is None else p.unionByName(known_empty.select(SRC, HOUR))
+
+
+def missing_hours(required: DataFrame, present: DataFrame,
+                  known_empty: DataFrame | None = None) -> DataFrame:
+    """Required hours neither present nor listed in ``known_empty`` (hours a
+    source confirmed to have no events; without it such an hour never gets
+    a file and stays missing forever)."""
+    return required.join(_covered(present, known_empty), [SRC, HOUR], "left_anti")
 
 
 def covered_hours(required: DataFrame, present: DataFrame) -> DataFrame:
@@ -101,7 +111,8 @@ def batch_hours(missing: DataFrame, max_hours: int | None = None) -> DataFrame:
                       format_hour("batch_end", "api").alias("end_key"))
 
 
-def resume_points(sources: DataFrame, present: DataFrame, start, end) -> DataFrame:
+def resume_points(sources: DataFrame, present: DataFrame, start, end,
+                  known_empty: DataFrame | None = None) -> DataFrame:
     """Per source: the hour to resume fetching from.
 
     That is the first missing hour of ``[start, end]``: the hour after the
@@ -109,7 +120,7 @@ def resume_points(sources: DataFrame, present: DataFrame, start, end) -> DataFra
     missing.  With full coverage it is ``end + 1h``.
     """
     req = required_hours(sources, start, end)
-    first_gap = (missing_hours(req, present).groupBy(SRC)
+    first_gap = (missing_hours(req, present, known_empty).groupBy(SRC)
                  .agg(F.min(HOUR).alias("first_missing")))
     end_next = _lit_ts(end) + F.expr("INTERVAL 1 HOUR")
     srcs = sources.select(F.col(SRC).cast("string").alias(SRC)).distinct()
@@ -120,11 +131,13 @@ def resume_points(sources: DataFrame, present: DataFrame, start, end) -> DataFra
 
 
 def coverage_report(sources: DataFrame, present: DataFrame, start, end,
-                    max_hours: int | None = None) -> DataFrame:
-    """Per source: required, present, missing hours and request batches."""
+                    max_hours: int | None = None, known_empty: DataFrame | None = None) -> DataFrame:
+    """Per source: required, present (or known empty), missing hours and
+    request batches."""
     req = required_hours(sources, start, end)
-    have = (covered_hours(req, present).groupBy(SRC).agg(F.count(F.lit(1)).alias("present_hours")))
-    miss = missing_hours(req, present)
+    have = (covered_hours(req, _covered(present, known_empty)).groupBy(SRC)
+            .agg(F.count(F.lit(1)).alias("present_hours")))
+    miss = missing_hours(req, present, known_empty)
     nmiss = miss.groupBy(SRC).agg(F.count(F.lit(1)).alias("missing_hours"))
     nb = batch_hours(miss, max_hours).groupBy(SRC).agg(F.count(F.lit(1)).alias("batches"))
     total = req.groupBy(SRC).agg(F.count(F.lit(1)).alias("required_hours"))

@@ -102,3 +102,14 @@ def test_cap_one_is_one_batch_per_hour(spark):
     miss = spark.createDataFrame([("s", h(i)) for i in (1, 2, 3, 5)], "source string, hour timestamp_ntz")
     assert cov.batch_hours(miss, 1).count() == 4
     assert cov.batch_hours(miss).count() == 2
+
+
+def test_known_empty_hours_unblock_resume(spark):
+    sources = spark.createDataFrame([("a",)], "source string")
+    h = lambda x: dt.datetime(2025, 11, 10, x)
+    present = spark.createDataFrame([("a", h(21)), ("a", h(23))], "source string, hour timestamp_ntz")
+    empty = spark.createDataFrame([("a", h(22))], "source string, hour timestamp_ntz")
+    assert cov.resume_points(sources, present, h(21), h(23)).first().resume_key == "20251110T22"
+    assert cov.resume_points(sources, present, h(21), h(23), empty).first().resume_key == "20251111T00"
+    rep = cov.coverage_report(sources, present, h(21), h(23), known_empty=empty).first()
+    assert (rep.present_hours, rep.missing_hours, rep.batches) == (3, 0, 0)
