@@ -1,15 +1,15 @@
 """Declarative data-quality checks (not_null, unique, relationships).
 
 Each check has two forms: the failing rows (for inspection) and a
-one-row failure count (for the suite).  Counts are built so that no
-check moves raw rows through one task:
-
-* not_null: one scan per model for all its columns (``count_if`` each).
-* unique: ``groupBy(col).count()`` with map-side partial counts, then the
-  number of values seen more than once.
-* relationships: child keys are pre-counted per value before the anti
-  join, so a hot child key is one row per map task, not a third of the
-  data in one partition.
+failure count (for the suite).  The suite reads each model once for all
+of its checks: checked columns are unpivoted into ``(check, value)``
+pairs and counted per value with map-side partial aggregation, so no
+check moves raw rows through one task and a hot value (a third of the
+rows on one key) is one row per map task before the shuffle.
+
+* not_null: NULL rows emit a marker; failures = its count.
+* unique: values counted more than once.
+* relationships: counted child values absent from the parent's keys.
 """
 
 from __future__ import annotations
@@ -130,40 +130,49 @@ def _with_status(df: DataFrame) -> DataFrame:
     return df.select(*RESULT_COLUMNS[:-1], status.alias("status"))
 
 
-def key_check_counts(df: DataFrame, model: str, checks: list[Check],
-                     parents: dict[str, DataFrame]) -> DataFrame:
-    """All unique and relationships checks of one model from one scan.
+def model_check_counts(df: DataFrame, model: str, checks: list[Check],
+                       parents: dict[str, DataFrame]) -> DataFrame:
+    """Every check of one model from one scan.
 
-    Each checked column is unpivoted into ``(check id, value)`` pairs,
-    counted per value with map-side partial aggregation (a hot value is one
-    row per map task), then
-    * unique: values counted more than once, per check;
-    * relationships: counted values absent from their parent's keys
-      (anti join on ``(check id, value)``), summing their row counts.
+    Each checked column is unpivoted into ``(check id, value)`` pairs: a
+    not_null check emits a marker for NULL rows only, unique and
+    relationships checks emit the non-NULL value.  Pairs are counted per
+    value with map-side partial aggregation (a hot value is one row per map
+    task), then
+    * not_null: the marker's count;
+    * unique: values counted more than once;
+    * relationships: counted values absent from their parent's keys (anti
+      join on ``(check id, value)``), summing their row counts.
     Values are compared as strings, which is exact for the key types used
     (md5 text and integer ids).
     """
-    pairs = F.array(*[F.struct(F.lit(i).alias("cid"), F.col(c.column).cast("string").alias("val"))
+    def emitted(c: Check):
+        col = F.col(c.column)
+        return F.when(col.isNull(), F.lit("")) if c.kind == "not_null" else col.cast("string")
+
+    pairs = F.array(*[F.struct(F.lit(i).alias("cid"), emitted(c).alias("val"))
                       for i, c in enumerate(checks)])
     counts = (df.select(F.inline(pairs)).where(F.col("val").isNotNull())
                 .groupBy("cid", "val").agg(F.count(F.lit(1)).alias("n")))
-    uniq_ids = [i for i, c in enumerate(checks) if c.kind == "unique"]
-    rel_ids = [i for i, c in enumerate(checks) if c.kind == "relationships"]
-    spark = df.sparkSession
+    ids = {k: [i for i, c in enumerate(checks) if c.kind == k]
+           for k in ("not_null", "unique", "relationships")}
     parts = []
-    if uniq_ids:
-        parts.append(counts.where(F.col("cid").isin(uniq_ids) & (F.col("n") > 1))
+    if ids["not_null"]:
+        parts.append(counts.where(F.col("cid").isin(ids["not_null"]))
+                           .groupBy("cid").agg(F.sum("n").alias("failures")))
+    if ids["unique"]:
+        parts.append(counts.where(F.col("cid").isin(ids["unique"]) & (F.col("n") > 1))
                            .groupBy("cid").agg(F.count(F.lit(1)).alias("failures")))
-    if rel_ids:
+    if ids["relationships"]:
         keys = reduce(DataFrame.unionByName, [
             parents[checks[i].to].select(F.lit(i).alias("cid"),
                                          F.col(checks[i].field).cast("string").alias("val"))
-            for i in rel_ids])
-        parts.append(counts.where(F.col("cid").isin(rel_ids))
+            for i in ids["relationships"]])
+        parts.append(counts.where(F.col("cid").isin(ids["relationships"]))
                            .join(keys.where(F.col("val").isNotNull()), ["cid", "val"], "left_anti")
                            .groupBy("cid").agg(F.sum("n").alias("failures")))
     found = reduce(DataFrame.unionByName, parts)
-    listing = spark.createDataFrame(
+    listing = df.sparkSession.createDataFrame(
         [(i, c.column, c.kind, c.ref) for i, c in enumerate(checks)],
         "cid int, column string, check string, ref string")
     return (listing.join(found, "cid", "left")
@@ -175,24 +184,18 @@ def run_suite(models: dict[str, DataFrame], checks: list[Check] = CHECKS,
               kinds: tuple[str, ...] = ("not_null", "unique", "relationships")) -> DataFrame:
     """All checks as one DataFrame ``(model, column, check, ref, failures, status)``.
 
-    Per model at most two scans: one for all its not_null checks and one
-    for all its unique and relationships checks.  Checks on models missing
-    from ``models`` (or whose parent is missing) are skipped.
+    One scan per model for all of its checks (see :func:`model_check_counts`).
+    Checks on models missing from ``models`` (or whose parent is missing)
+    are skipped.
     """
-    parts: list[DataFrame] = []
-    by_model: dict[str, dict[str, list]] = {}
+    by_model: dict[str, list[Check]] = {}
     for c in checks:
         if c.kind not in kinds or c.model not in models:
             continue
         if c.kind == "relationships" and c.to not in models:
             continue
-        slot = "nn" if c.kind == "not_null" else "keys"
-        by_model.setdefault(c.model, {}).setdefault(slot, []).append(c)
-    for m, slots in by_model.items():
-        if "nn" in slots:
-            parts.append(not_null_counts(models[m], m, [c.column for c in slots["nn"]]))
-        if "keys" in slots:
-            parts.append(key_check_counts(models[m], m, slots["keys"], models))
-    if not parts:
+        by_model.setdefault(c.model, []).append(c)
+    if not by_model:
         raise ValueError("no checks apply to the given models")
+    parts = [model_check_counts(models[m], m, cs, models) for m, cs in by_model.items()]
     return _with_status(reduce(DataFrame.unionByName, parts))
