@@ -66,7 +66,7 @@ def staging(spark: SparkSession, sf_dir: str, materialize: bool | None = None) -
     return hit[1]
 
 
-_TABLES: dict[tuple, DataFrame] = {}
+_TABLES: dict[tuple, tuple[str, DataFrame]] = {}
 
 
 def model_table(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
@@ -80,12 +80,12 @@ def model_table(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame
     """
     k = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
     hit = _TABLES.get(k)
-    if hit is not None and _exists(spark, hit.inputFiles()[0].rsplit("/", 1)[0] if hit.inputFiles() else ""):
-        return hit
+    if hit is not None and _exists(spark, hit[0]):
+        return hit[1]
     path = scratch_path(spark, name)
     build().write.mode("overwrite").parquet(path)
-    _TABLES[k] = spark.read.parquet(path)
-    return _TABLES[k]
+    _TABLES[k] = (path, spark.read.parquet(path))
+    return _TABLES[k][1]
 
 
 class Models:
