@@ -211,6 +211,9 @@ def merge_sessions(old: DataFrame, new_stg: DataFrame, mode: str = "merge_partia
         return new_s
     if mode != "merge_partials":
         raise ValueError(f"unknown mode {mode!r}")
+    from eventloom.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(new_s.sparkSession)     # the configured shared dir, if any
     new_s = new_s.checkpoint()
     new_keys = new_s.select(*SESSION_KEYS)
     if new_s.count() <= broadcast_keys_max:
