@@ -84,3 +84,17 @@ def test_register_views(spark):
     stg = C.staging(spark, SF001)
     dag.register_views({"stg_events": stg}, prefix="t_")
     assert spark.sql("select count(distinct uuid) n from t_stg_events").first().n == 1000
+
+
+def test_multi_source_landing_ledger(spark, raw, tmp_path_spark):
+    path = tmp_path_spark("land-src")
+    eid = F.try_variant_get("json_data", "$.event_id", "bigint")
+    a = land.with_hour_key(raw.where(eid < 50), source="feed_a")
+    b = land.with_hour_key(raw.where(eid < 20), source="feed_b")
+    land.land_hours(a.unionByName(b), path)
+    hours = land.landed_hours(spark, path)
+    assert set(hours.columns) == {"source", "hour_key", "hour"}
+    want = {(r.source, r.hour_key) for r in a.unionByName(b).select("source", "hour_key").distinct().collect()}
+    assert {(r.source, r.hour_key) for r in hours.collect()} == want
+    # offering both feeds again lands nothing new
+    assert land.land_new_hours(spark, a.unionByName(b), path) == []
