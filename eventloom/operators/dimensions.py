@@ -73,16 +73,25 @@ def event_properties(stg: DataFrame, fields=PROPERTY_FIELDS, drop_variant_null:
     cond = ep.isNotNull() & (j != F.lit("{}"))
     if drop_variant_null:
         cond = cond & ~F.is_variant_null(ep)
+    # (key, text) pairs are 1:1, so a DISTINCT on both is a hash aggregate
+    # with partial aggregation before the shuffle (no sort, no string buffer)
     distinct = (stg.where(cond)
                    .select(surrogate_key(j).alias("event_properties_id"), j.alias("properties_text"))
-                   .groupBy("event_properties_id")
-                   .agg(F.any_value("properties_text").alias("properties_text")))
+                   .distinct())
+    # one parse and one cast of each distinct object to a struct of the
+    # wanted fields; a non-object (e.g. JSON null) gives NULL fields, as
+    # per-path lookups would
     v = F.parse_json(F.col("properties_text"))
-    get = F.variant_get if mode == "strict" else F.try_variant_get
-    extracted = [F.left(get(v, json_path(key), "string"), F.lit(n)).alias(name)
-                 for name, key, n in fields]
-    pj = v if properties_as == "variant" else F.col("properties_text")
-    return distinct.select("event_properties_id", pj.alias("properties_json"), *extracted)
+    st = "struct<" + ", ".join(f"`{k.replace('`', '``')}`: string" for _, k, _ in fields) + ">"
+    if mode == "strict":
+        is_object = F.try_variant_get(v, "$", "struct<`__object_probe`: boolean>").isNotNull()
+        s = F.when(is_object, F.variant_get(v, "$", st))
+    else:
+        s = F.try_variant_get(v, "$", st)
+    wide = distinct.select("event_properties_id", "properties_text", s.alias("__f"))
+    extracted = [F.left(F.col("__f").getField(key), F.lit(n)).alias(name) for name, key, n in fields]
+    pj = F.parse_json(F.col("properties_text")) if properties_as == "variant" else F.col("properties_text")
+    return wide.select("event_properties_id", pj.alias("properties_json"), *extracted)
 
 
 def latest_user_rows(stg: DataFrame, method: str = "window") -> DataFrame:
