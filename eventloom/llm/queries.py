@@ -4,9 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from eventloom.llm import secrets
+from eventloom.llm import packing, secrets, simhash, token_files
+from eventloom.session import scratch_path
+
+#: The installed public vocabulary; every operator takes the path as a parameter.
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,10 +20,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-files")
+    token_files.write(table(spark, sf_dir, "documents"), path, TOKENIZER)
+    return token_files.with_crc32(token_files.read(spark, path)).select(
+        "doc_id", "start", "n_tokens", "ids_crc32")
+
+
+def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER).drop("ids")
+
+
 def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(table(spark, sf_dir, "documents")))
 
 
 QUERIES: dict[str, Query] = {
+    "op1_token_files": op1_token_files,
+    "op8_simhash_near_dedup": op8_simhash_near_dedup,
+    "op9_best_fit_packing": op9_best_fit_packing,
     "op10_secret_scans": op10_secret_scans,
 }
