@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from eventloom.llm import packing, secrets, simhash, token_files
+from eventloom.llm import decontam, packing, secrets, simhash, token_files
 from eventloom.session import scratch_path
 
 #: The installed public vocabulary; every operator takes the path as a parameter.
@@ -27,6 +27,10 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -41,6 +45,7 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_token_files": op1_token_files,
+    "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_secret_scans": op10_secret_scans,
