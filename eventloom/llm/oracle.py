@@ -1,5 +1,21 @@
-"""DuckDB SQL for the queries that SQL can express."""
+"""DuckDB SQL for the queries that SQL can express.
+
+The others need a tokenizer, a hash that DuckDB lacks, a fitted model or an
+alignment; tests hold them against brute-force versions.
+"""
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+#: SHA-1 has 40 hex digits; five of them are 20 bits, which are four base-32 letters.
+_BASE32 = """array_to_string(list_transform(range(0, 32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + ((('0x' || substr(x, (i // 4 * 5 + 1)::int, 5))::bigint >> ((3 - i % 4) * 5)::int) & 31)::int, 1)), '')"""
+
+ORACLE: dict[str, str] = {
+    "op3_warc_archives": f"""
+with p as (select page_id, coalesce(html, '') h from pages),
+d as (select page_id, octet_length(encode(h)) b, sha1(h) x, max(page_id) over (partition by h) w from p)
+select page_id, b::bigint payload_bytes, {_BASE32} payload_digest,
+  case when w is null or page_id = w then 'response' else 'revisit' end record_type,
+  case when w is null or page_id = w then null else w end refers_to
+from d""",
+}

@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from eventloom.llm import decontam, packing, secrets, simhash, token_files
+from eventloom.llm import decontam, hnsw, langid, licenses, line_crf, packing, secrets, simhash, token_files, warc
 from eventloom.session import scratch_path
 
 #: The installed public vocabulary; every operator takes the path as a parameter.
@@ -31,6 +32,31 @@ def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    path = scratch_path(spark, "warc")
+    records = warc.read(spark, path, warc.write(pages, path), with_payload=False)
+    kind = pages.schema["page_id"].dataType
+    return records.select(F.col("page_id").cast(kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+                          F.col("refers_to").cast(kind).alias("refers_to"))
+
+
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_crf.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
+def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+def op7_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -46,6 +72,11 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_token_files": op1_token_files,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
+    "op3_warc_archives": op3_warc_archives,
+    "op4_quality_classifier": op4_quality_classifier,
+    "op5_language_id": op5_language_id,
+    "op6_nearest_neighbours": op6_nearest_neighbours,
+    "op7_license_scans": op7_license_scans,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_secret_scans": op10_secret_scans,

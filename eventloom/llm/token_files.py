@@ -77,7 +77,8 @@ def read(spark: SparkSession, path: str, where: Column | None = None) -> DataFra
     before = Window.orderBy("file_no").rowsBetween(Window.unboundedPreceding, -1)
     base = totals.select("file_no", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     kept = rows if where is None else rows.where(where)
-    return (kept.join(base, "file_no").withColumn("start", F.col("base") + F.col("first"))
+    # One row for each file, as many as the driver's own file listing has.
+    return (kept.join(F.broadcast(base), "file_no").withColumn("start", F.col("base") + F.col("first"))
             .drop("base", "first", "file_no"))
 
 
