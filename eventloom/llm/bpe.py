@@ -38,7 +38,7 @@ class _Table(dict):
 
 
 class WordBpe:
-    def __init__(self, path: str, max_words: int = 500_000, max_chars: int = 16_000_000):
+    def __init__(self, path: str, max_words: int = 400_000, max_chars: int = 8_000_000):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         split = self.tokenizer.pre_tokenizer

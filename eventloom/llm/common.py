@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from eventloom.session import scratch_path
 
 #: Text bytes that a task handles at once.
-RUN_BYTES = 2 << 20
+RUN_BYTES = 1 << 19
 
 #: Upper-case ASCII to lower case; every byte outside words to a space.
 #: A word is a run of ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]`` after lower-casing A-Z.
