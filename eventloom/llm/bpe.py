@@ -17,6 +17,8 @@ from itertools import chain
 import numpy as np
 from tokenizers import Tokenizer
 
+from eventloom.llm.common import per_stage
+
 #: Unicode white space, as the byte-level split sees it.
 _WS = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 _PIECES = re.compile(
@@ -103,14 +105,9 @@ class WordBpe:
         return ids, np.diff(bound)
 
 
-_OPEN: dict[str, WordBpe] = {}
-
-
 def tokenizer(path: str) -> WordBpe:
-    """The worker's own tokenizer for ``path``."""
-    if path not in _OPEN:
-        _OPEN[path] = WordBpe(path)
-    return _OPEN[path]
+    """The tokenizer for ``path`` that the tasks of a stage share in a worker."""
+    return per_stage(("bpe", path), lambda: WordBpe(path))
 
 
 def append_id(ids: np.ndarray, size: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:

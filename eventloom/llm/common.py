@@ -8,12 +8,14 @@ its longest text and not on the partition.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.session import scratch_path
@@ -49,9 +51,30 @@ def crc_mod4(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 4
 
 
+_KEPT: dict[Any, Any] = {}
+
+
+def _forget_other_stages() -> None:
+    task = TaskContext.get()
+    stage = task.stageId() if task else None
+    if _KEPT.get("stage") != stage:
+        _KEPT.clear()
+        _KEPT["stage"] = stage
+
+
+def per_stage(key: Any, make: Callable[[], Any]) -> Any:
+    """An object that the tasks of one stage share in a Python worker; the worker drops
+    it when it begins with another stage's texts."""
+    _forget_other_stages()
+    if key not in _KEPT:
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
 def runs(batches: Iterable[pa.RecordBatch], column: str,
          limit: int = RUN_BYTES) -> Iterator[pa.RecordBatch]:
     """Rows in order, in runs of at most ``limit`` bytes of ``column`` (or one row)."""
+    _forget_other_stages()
     for batch in batches:
         n = batch.num_rows
         if not n:
@@ -124,6 +147,3 @@ def gram_hashes(words: np.ndarray, first: np.ndarray, n: int) -> tuple[np.ndarra
         keep[last[(last >= 0) & (last < len(keep)) & (last >= first[:-1])]] = False
     return total[keep], np.flatnonzero(keep)
 
-
-def empty_like(spark: SparkSession, schema) -> DataFrame:
-    return spark.createDataFrame([], schema)
