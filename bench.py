@@ -26,6 +26,8 @@ HEADLINE = [
     "ip_addresses", "companies", "event_properties", "users", "sessions", "events",
     "dq_suite", "coverage_report", "hour_batches_capped", "resume_points",
     "events_incremental", "sessions_incremental_merge", "events_incremental_table",
+    "sessions_incremental_table", "raw_landed_hours", "archive_unpack",
+    "stream_events_upsert", "stream_sessions_upsert",
 ]
 
 
@@ -53,20 +55,6 @@ def _shuffle_bytes(log_dir: str) -> dict[str, int]:
     return out
 
 
-def _build_plans():
-    """Queries that return an already written dimension table: report the
-    plan that builds it instead (not executed again)."""
-    from eventloom.operators import dimensions as dims
-    from eventloom.plans.catalog import QUERIES
-
-    return {
-        "ip_addresses": lambda stg, spark, d: dims.ip_addresses(stg),
-        "companies": lambda stg, spark, d: dims.companies(stg, QUERIES["ip_addresses"](spark, d)),
-        "users": lambda stg, spark, d: dims.users(stg, QUERIES["ip_addresses"](spark, d),
-                                                 QUERIES["companies"](spark, d)),
-    }
-
-
 def _plan_shape(df) -> dict:
     """Shuffle exchanges and broadcasts in the final (AQE) plan of the
     returned DataFrame (steps run earlier by the query, e.g. staging
@@ -88,7 +76,7 @@ def main() -> None:
     os.makedirs(log_dir)
     os.environ.setdefault("EVENTLOOM_SCRATCH", os.path.join(scratch, "ckpt"))
 
-    from eventloom.plans.catalog import QUERIES, staging
+    from eventloom.plans.catalog import STEPS, Workspace
     from eventloom.session import get_spark
 
     spark = get_spark(f"local[{cpus}]", app="eventloom-bench", shuffle_partitions=2 * cpus,
@@ -105,22 +93,22 @@ def main() -> None:
     rows: dict[str, int] = {}
     sc.setJobGroup("staging", "staging")
     t0 = time.time()
-    stg = staging(spark, sf_dir)
+    w = Workspace(spark, sf_dir)
+    stg = w.stg
     times["staging"] = round(time.time() - t0, 3)
     rows["staging"] = stg.count()
 
     plans: dict[str, dict] = {}
-    BUILD_PLANS = _build_plans()
     for name in HEADLINE:
         sc.setJobGroup(name, name)
         t0 = time.time()
-        df = QUERIES[name](spark, sf_dir)
+        df = STEPS[name](w)
         df.write.format("noop").mode("overwrite").save()
         times[name] = round(time.time() - t0, 3)
-        plans[name] = _plan_shape(BUILD_PLANS[name](stg, spark, sf_dir) if name in BUILD_PLANS else df)
+        plans[name] = _plan_shape(df)
     sc.setJobGroup("rows", "rows")
     for name in ("sessions", "events", "users", "dq_suite"):
-        rows[name] = QUERIES[name](spark, sf_dir).count()
+        rows[name] = STEPS[name](w).count()
     spark.stop()
 
     sb = _shuffle_bytes(log_dir)

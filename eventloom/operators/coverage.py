@@ -7,6 +7,9 @@ relational step over ``(source, hour timestamp_ntz)`` rows:
 
 * sets of hours are DataFrames and set algebra is semi/anti joins on
   ``(source, hour)`` (shuffled by source and hour, no driver-side sets);
+* :func:`ledger` holds, per source, the missing hours of the audited range
+  as one array (at most one entry per hour of the range); report, resume
+  points and batches all come from it, so the events are read once;
 * islands of consecutive hours use a window partitioned by ``source``
   (never a global window); each partition holds at most one row per hour
   of the requested range, so no source can be skewed beyond that;
@@ -19,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventloom.functions.hours import format_hour, hour_range, ntz_lit
+from eventloom.functions.hours import format_hour, hour_range, ntz_lit, trunc_hour
 
 SRC, HOUR = "source", "hour"
 
@@ -33,7 +36,7 @@ def present_hours(df: DataFrame, source_col: str | Column, ts_col: str | Column)
     s = F.col(source_col) if isinstance(source_col, str) else source_col
     t = F.col(ts_col) if isinstance(ts_col, str) else ts_col
     return (df.select(s.cast("string").alias(SRC),
-                      F.date_trunc("hour", t).cast("timestamp_ntz").alias(HOUR))
+                      trunc_hour(t.cast("timestamp_ntz")).alias(HOUR))
               .where(F.col(HOUR).isNotNull())
               .distinct())
 
@@ -111,37 +114,68 @@ def batch_hours(missing: DataFrame, max_hours: int | None = None) -> DataFrame:
                       format_hour("batch_end", "api").alias("end_key"))
 
 
-def resume_points(sources: DataFrame, present: DataFrame, start, end,
+def ledger(present: DataFrame, start, end, sources: DataFrame | None = None,
+           known_empty: DataFrame | None = None) -> DataFrame:
+    """``(source, n_required, missing)``: per source the hours of ``[start, end]``
+    that are neither present nor known to be empty, in order.
+
+    ``sources`` adds sources that have no hour at all; by default they are
+    those of ``present``.
+    """
+    have = _covered(present, known_empty)
+    if sources is not None:
+        have = have.unionByName(sources.select(F.col(SRC).cast("string").alias(SRC),
+                                               F.lit(None).cast("timestamp_ntz").alias(HOUR)))
+    wanted = hour_range(_lit_ts(start), _lit_ts(end))
+    within = F.col(HOUR).between(trunc_hour(_lit_ts(start)), _lit_ts(end))
+    return (have.select(SRC, F.when(within, F.col(HOUR)).alias(HOUR)).distinct()
+                .groupBy(SRC).agg(F.collect_list(HOUR).alias("__have"))
+                .select(SRC, F.size(wanted).cast("bigint").alias("n_required"),
+                        F.array_except(wanted, "__have").alias("missing")))
+
+
+def ledger_missing(rows: DataFrame) -> DataFrame:
+    """The missing hours of a :func:`ledger` as ``(source, hour)`` rows."""
+    return rows.select(SRC, F.explode("missing").alias(HOUR))
+
+
+def data_range(present: DataFrame):
+    """First and last present hour (two values), the default audited range."""
+    return tuple(present.agg(F.min(HOUR), F.max(HOUR)).first())
+
+
+def resume_points(sources: DataFrame | None, present: DataFrame, start, end,
                   known_empty: DataFrame | None = None) -> DataFrame:
     """Per source: the hour to resume fetching from.
 
     That is the first missing hour of ``[start, end]``: the hour after the
     continuous present prefix, or ``start`` itself when the first hour is
-    missing.  With full coverage it is ``end + 1h``.
+    missing.  With full coverage it is ``end + 1h``; an empty range
+    (``start`` after ``end``) resumes at ``start``.
     """
-    req = required_hours(sources, start, end)
-    first_gap = (missing_hours(req, present, known_empty).groupBy(SRC)
-                 .agg(F.min(HOUR).alias("first_missing")))
-    end_next = _lit_ts(end) + F.expr("INTERVAL 1 HOUR")
-    srcs = sources.select(F.col(SRC).cast("string").alias(SRC)).distinct()
-    return (srcs.join(first_gap, SRC, "left")
-                .select(SRC, F.coalesce("first_missing", F.date_trunc("hour", end_next).cast("timestamp_ntz"))
-                        .alias("resume_hour"))
-                .withColumn("resume_key", format_hour("resume_hour", "api")))
-
-
-def coverage_report(sources: DataFrame, present: DataFrame, start, end,
+    first, last = trunc_hour(_lit_ts(start)), trunc_hour(_lit_ts(end))
+    done = F.when(first > last, first).otherwise(last + F.expr("INTERVAL 1 HOUR"))
+    return (ledger(present, start, end, sources, known_empty)
+            .select(SRC, F.coalesce(F.get("missing", F.lit(0)), done).alias("resume_hour"))
+            .withColumn("resume_key", format_hour("resume_hour", "api")))
+
+
+def coverage_report(sources: DataFrame | None, present: DataFrame, start, end,
                     max_hours: int | None = None, known_empty: DataFrame | None = None) -> DataFrame:
     """Per source: required, present (or known empty), missing hours and
-    request batches."""
-    req = required_hours(sources, start, end)
-    have = (covered_hours(req, _covered(present, known_empty)).groupBy(SRC)
-            .agg(F.count(F.lit(1)).alias("present_hours")))
-    miss = missing_hours(req, present, known_empty)
-    nmiss = miss.groupBy(SRC).agg(F.count(F.lit(1)).alias("missing_hours"))
-    nb = batch_hours(miss, max_hours).groupBy(SRC).agg(F.count(F.lit(1)).alias("batches"))
-    total = req.groupBy(SRC).agg(F.count(F.lit(1)).alias("required_hours"))
-    out = total.join(have, SRC, "left").join(nmiss, SRC, "left").join(nb, SRC, "left")
-    return out.select(SRC, "required_hours",
-                      *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c)
-                        for c in ("present_hours", "missing_hours", "batches")])
+    request batches, all from one ledger row per source.
+
+    A batch starts at a missing hour whose predecessor is not missing, and
+    with a cap also every ``max_hours`` hours within a run.
+    """
+    hour = F.expr("INTERVAL 1 HOUR")
+    runs = F.aggregate(
+        "missing",
+        F.struct(F.lit(None).cast("timestamp_ntz").alias("last"), F.lit(0).cast("bigint").alias("length"), F.lit(0).cast("bigint").alias("n")),
+        lambda a, h: F.when((a["last"] + hour == h) & (F.lit(max_hours is None) | (a["length"] < F.lit(max_hours or 0))),
+                            F.struct(h.alias("last"), (a["length"] + 1).alias("length"), a["n"].alias("n")))
+                      .otherwise(F.struct(h.alias("last"), F.lit(1).cast("bigint").alias("length"), (a["n"] + 1).alias("n"))))
+    missing = F.size("missing").cast("bigint")
+    return ledger(present, start, end, sources, known_empty).select(
+        SRC, F.col("n_required").alias("required_hours"), (F.col("n_required") - missing).alias("present_hours"),
+        missing.alias("missing_hours"), runs["n"].alias("batches"))

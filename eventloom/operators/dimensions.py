@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.functions.keys import canonical_json, email_domain, surrogate_key
+from eventloom.functions.keys import email_domain, surrogate_key
 from eventloom.operators.latest import latest_per_key
-from eventloom.operators.staging import json_path
+from eventloom.operators.staging import EVENT_PROPERTIES_KEY, EVENT_PROPERTIES_TEXT, with_property_keys
 
 # Consumer e-mail providers whose domain is not a company.
 CONSUMER_DOMAINS = (
@@ -68,16 +68,15 @@ def event_properties(stg: DataFrame, fields=PROPERTY_FIELDS, drop_variant_null:
     (partial aggregation collapses repeats before the shuffle).  Fields are
     extracted after the distinct, once per object.
     """
-    ep = F.col("event_properties")
-    j = canonical_json(ep)
-    cond = ep.isNotNull() & (j != F.lit("{}"))
+    cond = F.col(EVENT_PROPERTIES_KEY).isNotNull()
     if drop_variant_null:
-        cond = cond & ~F.is_variant_null(ep)
-    # (key, text) pairs are 1:1, so a DISTINCT on both is a hash aggregate
-    # with partial aggregation before the shuffle (no sort, no string buffer)
-    distinct = (stg.where(cond)
-                   .select(surrogate_key(j).alias("event_properties_id"), j.alias("properties_text"))
-                   .distinct())
+        cond = cond & ~F.is_variant_null("event_properties")
+    # The key alone decides; any text of a key is the same canonical text.  Repeats
+    # collapse before the shuffle, so a text travels at most once per task and key.
+    distinct = (with_property_keys(stg).where(cond)
+                .select(F.col(EVENT_PROPERTIES_KEY).alias("event_properties_id"),
+                        F.col(EVENT_PROPERTIES_TEXT).alias("properties_text"))
+                .distinct())
     # one parse and one cast of each distinct object to a struct of the
     # wanted fields; a non-object (e.g. JSON null) gives NULL fields, as
     # per-path lookups would

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.functions.keys import canonical_json, surrogate_key
+from eventloom.functions.hours import trunc_hour, trunc_minute
+from eventloom.functions.keys import surrogate_key
 from eventloom.operators.latest import latest_per_key
-from eventloom.operators.staging import json_path
+from eventloom.operators.staging import EVENT_PROPERTIES_KEY, USER_PROPERTIES_KEY, json_path, with_property_keys
 
 # The page-path property that forms the session journey and
 # the journey separator.
@@ -32,37 +33,43 @@ def ordered_listagg(value: str, separator: str, order_by: list[str]):
     return F.expr(f"listagg(`{value}`, {_sql_str(separator)}) WITHIN GROUP (ORDER BY {order})")
 
 
+#: Events without a time are ordered by their raw id; a slice of them holds ids of one such range.
+UNTIMED_SLICE_IDS = 4096
+
+
 def session_rows(stg: DataFrame, dedupe: bool = False) -> DataFrame:
     """Narrow per-event input of the session build: keys, the user
-    attributes, time, tiebreak and page path (the only VARIANT read)."""
+    attributes, time, tiebreaks and page path (the only VARIANT read)."""
     src = stg
     if dedupe:
         src = latest_per_key(stg, ["uuid"], "event_time", tiebreak=["event_id_raw"])
     page = F.coalesce(F.try_variant_get(F.col("event_properties"), json_path(PAGE_PATH_KEY), "string"),
                       F.lit(""))
-    # tiebreak for equal event times: an 8-byte hash of the uuid travels
-    # through the shuffle instead of the uuid string
+    # tiebreak for equal event times: the raw id, then an 8-byte hash of the
+    # uuid, which travels through the shuffle instead of the uuid string
     return (src.where(F.col("session_id_raw").isNotNull())
                .select(*SESSION_KEYS, "user_id", "device_id", "city", "region", "country",
-                       "event_time", F.xxhash64(F.coalesce("uuid", F.lit(""))).alias("tb"),
-                       page.alias("page")))
+                       "event_time", F.col("event_id_raw").alias("eid"),
+                       F.xxhash64(F.coalesce("uuid", F.lit(""))).alias("tb"), page.alias("page")))
 
 
 def session_partials(rows: DataFrame, separator: str = JOURNEY_SEPARATOR,
-                     split_by: str | None = "hour") -> DataFrame:
+                     split_by: str | None = "minute") -> DataFrame:
     """Per (session, time slice) partial aggregates.
 
-    Splitting a session by ``date_trunc(split_by, event_time)`` lets a huge
+    Splitting a session by the minute (or hour) of its events lets a huge
     session be sorted and concatenated by many tasks; slices are then
     joined in time order, which equals one ordered string aggregation
-    because every slice holds at least one event.
+    because every slice holds at least one event.  Events without a time come
+    first, ordered by raw id, in slices of id ranges.
     """
-    first_attrs = F.min_by(F.struct("user_id", "device_id", "city", "region", "country"),
-                           F.struct("event_time", "tb"))
-    piece = ordered_listagg("page", separator, ["event_time", "tb"])
-    slice_col = (F.date_trunc(split_by, F.col("event_time")) if split_by
-                 else F.lit(None).cast("timestamp"))
-    return (rows.groupBy(*SESSION_KEYS, slice_col.alias("slice"))
+    order = ["event_time", "eid", "tb"]
+    first_attrs = F.min_by(F.struct("user_id", "device_id", "city", "region", "country"), F.struct(*order))
+    piece = ordered_listagg("page", separator, order)
+    cut = {"minute": trunc_minute, "hour": trunc_hour, None: lambda c: F.lit(None).cast("timestamp_ntz")}[split_by]
+    untimed = F.floor(F.col("eid") / UNTIMED_SLICE_IDS) if split_by else F.lit(None).cast("bigint")
+    return (rows.groupBy(*SESSION_KEYS, cut("event_time").alias("slice"),
+                         F.when(F.col("event_time").isNull(), untimed).alias("id_slice"))
                 .agg(F.min("event_time").alias("session_start"),
                      F.max("event_time").alias("session_end"),
                      F.count(F.lit(1)).alias("event_count"),
@@ -71,16 +78,17 @@ def session_partials(rows: DataFrame, separator: str = JOURNEY_SEPARATOR,
 
 
 def combine_partials(parts: DataFrame, separator: str = JOURNEY_SEPARATOR) -> DataFrame:
-    """Merge slice partials (or old + new session rows) into one row per
-    session.  Exact: min/max/sum, the first slice's attributes, and the
-    slice journeys concatenated in time order."""
-    journey = ordered_listagg("user_journey", separator, ["session_start"])
+    """Merge slice partials into one row per session.  Exact: min/max/sum,
+    the first slice's attributes, and the slice journeys concatenated in
+    order.  The order is a struct, which is never NULL, so a session whose
+    events have no time keeps its attributes."""
+    order = ["session_start", "id_slice"]
     return (parts.groupBy(*SESSION_KEYS)
                  .agg(F.min("session_start").alias("session_start"),
                       F.max("session_end").alias("session_end"),
                       F.sum("event_count").alias("event_count"),
-                      F.min_by(F.col("first"), F.col("session_start")).alias("first"),
-                      journey.alias("user_journey")))
+                      F.min_by(F.col("first"), F.struct(*order)).alias("first"),
+                      ordered_listagg("user_journey", separator, order).alias("user_journey")))
 
 
 def finish_sessions(agg: DataFrame) -> DataFrame:
@@ -95,40 +103,36 @@ def finish_sessions(agg: DataFrame) -> DataFrame:
                       F.coalesce(f("country"), F.lit(""))).alias("location_id"))
 
 
+def sessions_from_rows(rows: DataFrame, separator: str = JOURNEY_SEPARATOR,
+                       split_by: str | None = "minute") -> DataFrame:
+    """Sessions of narrow rows (:func:`session_rows`)."""
+    return finish_sessions(combine_partials(session_partials(rows, separator, split_by), separator))
+
+
 def sessions(stg: DataFrame, dedupe: bool = False, separator: str = JOURNEY_SEPARATOR,
-             split_by: str | None = "hour", keep_partials: bool = False) -> DataFrame:
+             split_by: str | None = "minute") -> DataFrame:
     """M-SE: one row per (session_id_raw, amplitude_id) with start, end,
     event count, ordered page journey and a location key.
 
     Faithful default: reads staging (duplicates included) and skips NULL
     session ids.  User attributes and location are taken row-consistently
     from the session's first event (a legal, deterministic ``any_value``).
-    ``keep_partials`` also returns the ``first`` struct used by incremental
-    merges.
     """
-    parts = session_partials(session_rows(stg, dedupe), separator, split_by)
-    agg = combine_partials(parts, separator) if split_by else parts.drop("slice")
-    out = finish_sessions(agg)
-    if keep_partials:
-        return out.join(agg.select(*SESSION_KEYS, "first"), SESSION_KEYS)
-    return out
+    return sessions_from_rows(session_rows(stg, dedupe), separator, split_by)
 
 
 def event_rows(stg: DataFrame) -> DataFrame:
     """Narrow per-row input of the event fact.
 
-    The two property keys are computed here, before any shuffle, so
-    32-character keys move instead of VARIANT payloads.  Keys whose inputs
+    The two property keys come from staging (or are computed here, before any
+    shuffle), so 32-character keys move instead of VARIANT payloads.  Keys whose inputs
     are narrower than their digest (uuid, session pair, IP) are computed
     after the shuffles, in :func:`finish_events`.
     """
-    ep, up = F.col("event_properties"), F.col("user_properties")
-    ep_json = canonical_json(ep)
-    ep_id = F.when(ep.isNotNull() & (ep_json != F.lit("{}")), surrogate_key(ep_json))
-    return stg.select(
+    return with_property_keys(stg).select(
         "event_id_raw", "session_id_raw", "amplitude_id", "ip_address", "event_time", "event_type",
-        surrogate_key(canonical_json(up)).alias("user_properties_id"),
-        ep_id.alias("event_properties_id"), "uuid")
+        F.col(USER_PROPERTIES_KEY).alias("user_properties_id"),
+        F.col(EVENT_PROPERTIES_KEY).alias("event_properties_id"), "uuid")
 
 
 def finish_events(df: DataFrame, null_fk: str = "sentinel") -> DataFrame:
@@ -155,22 +159,19 @@ def dedupe_events(keyed: DataFrame, method: str = "window") -> DataFrame:
                           tiebreak=["__tb"], method=method).drop("__tb")
 
 
-NULL_KEY_SALT = 1024
-
-
 def attach_company(ev: DataFrame, usr: DataFrame) -> DataFrame:
     """Left join events to users for ``company_name``, in one pass.
 
     Only users with a company can contribute, so the build side is filtered
     to those.  Rows with NULL amplitude_id can never match; instead of all
-    hashing to one partition they join on ``(salt, is_null=true)``, a key
-    no user row has, spread over ``NULL_KEY_SALT`` values.  (Splitting them
+    hashing to one partition they join on ``(hash of the uuid, is_null=true)``,
+    a key no user row has, spread as widely as the uuids.  (Splitting them
     into a separate branch would compute the deduplicated input twice.)
     """
     comp = (usr.where(F.col("company").isNotNull())
                .select(F.col("amplitude_id").alias("__k"), F.lit(False).alias("__null"),
                        F.col("company").alias("company_name")))
-    salt = F.pmod(F.xxhash64("uuid"), F.lit(NULL_KEY_SALT))
+    salt = F.xxhash64("uuid")
     keyed = ev.select("*", F.coalesce(F.col("amplitude_id"), salt).alias("__k"),
                       F.col("amplitude_id").isNull().alias("__null"))
     return keyed.join(comp, ["__k", "__null"], "left").drop("__k", "__null")

@@ -1,24 +1,31 @@
 """Incremental loads: high-water mark, upsert on a unique key, session
-merges and schema sync.
+rebuilds and schema sync.
 
 Plain Parquet has no MERGE, so an upsert is expressed relationally:
 ``target ▷ increment ∪ increment`` (anti join on the key, then union).
 :func:`upsert` applies it to a folder table and, when the table is
-partitioned, rewrites only the partitions the increment touches.
+partitioned, rewrites only the partitions the increment touches.  Keys and
+partition values are matched NULL-safely throughout.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import uuid as _uuid
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from eventloom.functions.hours import ntz_lit
 from eventloom.functions.keys import surrogate_key
 from eventloom.operators import facts
 from eventloom.operators.facts import SESSION_KEYS, ordered_listagg
+from eventloom.operators.latest import latest_per_key
+
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 # --------------------------------------------------------------------------
 # high-water mark
@@ -35,7 +42,7 @@ def high_water_mark(target: DataFrame | None, col: str):
 
 def since_high_water_mark(source: DataFrame, target: DataFrame | None, source_ts: str = "event_time",
                           target_ts: str = "event_time", lookback: _dt.timedelta | None = None,
-                          empty: str = "all") -> DataFrame:
+                          empty: str = "all", untimed: bool = True) -> DataFrame:
     """Rows of ``source`` strictly after the target's high-water mark.
 
     The mark is read first and applied as a literal, so the predicate
@@ -45,7 +52,9 @@ def since_high_water_mark(source: DataFrame, target: DataFrame | None, source_ts
     ``lookback`` re-reads a window before the mark to catch late rows (the
     upsert makes the overlap idempotent).  ``empty`` decides what a missing
     or empty target yields: ``all`` (full build) or ``none`` (zero rows, the
-    warehouse behaviour of comparing with a NULL max).
+    warehouse behaviour of comparing with a NULL max).  Rows without a time
+    lie on no side of a mark: with ``untimed`` (default) every load reads
+    them again, without it they are left out, as a plain comparison does.
     """
     hwm = high_water_mark(target, target_ts)
     if hwm is None:
@@ -57,7 +66,8 @@ def since_high_water_mark(source: DataFrame, target: DataFrame | None, source_ts
         lit = ntz_lit(mark)          # wall clock, independent of time zones
     else:
         lit = F.lit(mark)
-    return source.where(F.col(source_ts) > lit)
+    after = F.col(source_ts) > lit
+    return source.where(after | F.col(source_ts).isNull() if untimed else after)
 
 
 # --------------------------------------------------------------------------
@@ -65,6 +75,13 @@ def since_high_water_mark(source: DataFrame, target: DataFrame | None, source_ts
 # --------------------------------------------------------------------------
 
 
+def matching(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left_semi") -> DataFrame:
+    """Semi or anti join on ``keys`` in which NULL equals NULL."""
+    other = right.select(*[F.col(k).alias(f"__m_{i}") for i, k in enumerate(keys)])
+    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__m_{i}")) for i, k in enumerate(keys)])
+    return left.join(other, on, how)
+
+
 def upsert_frames(target: DataFrame, increment: DataFrame, key: str | list[str],
                   order_by: str | None = None) -> DataFrame:
     """Rows of ``increment`` replace target rows with the same key; new keys
@@ -72,115 +89,143 @@ def upsert_frames(target: DataFrame, increment: DataFrame, key: str | list[str],
 
     With ``order_by`` the replacement is *latest wins*: for a key present on
     both sides the row with the greater ``order_by`` stays (NULL greatest),
-    so batches applied out of order still converge to the latest copy.
+    so batches applied out of order, or twice, converge to the latest copy.
     """
-    from eventloom.operators.latest import latest_per_key
-
     keys = [key] if isinstance(key, str) else list(key)
-    inc_keys = increment.select(*keys)
-    kept = target.join(inc_keys, keys, "left_anti")
+    kept = matching(target, increment, keys, "left_anti")
     if order_by is None:
         return kept.unionByName(increment, allowMissingColumns=True).select(*increment.columns)
     cols = increment.columns
-    touched = target.join(inc_keys, keys, "left_semi").select(*cols)
+    touched = matching(target, increment, keys).select(*cols)
     both = latest_per_key(touched.unionByName(increment.select(*cols)), keys, order_by,
                           tiebreak=[F.xxhash64(*[F.col(c) for c in cols])])
     return kept.select(*cols).unionByName(both)
 
 
+def _fs(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(conf).exists(p)
+    p, fs = _fs(spark, path)
+    return fs.exists(p)
 
 
 def _delete(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(conf).delete(p, True)
+    p, fs = _fs(spark, path)
+    fs.delete(p, True)
+
+
+def _rename(spark: SparkSession, path: str, to: str) -> None:
+    p, fs = _fs(spark, path)
+    if not fs.rename(p, _fs(spark, to)[0]):
+        raise OSError(f"could not rename {path} to {to}")
+
+
+def _old(path: str) -> str:
+    return f"{path.rstrip('/')}__replaced"
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame | None:
+    """The Parquet table at ``path``, or None.  A swap that broke off between
+    its two renames is undone first."""
     if not _exists(spark, path):
-        return None
+        if not _exists(spark, _old(path)):
+            return None
+        _rename(spark, _old(path), path)
     try:
         return spark.read.parquet(path)
     except AnalysisException:
         return None
 
 
-BROADCAST_KEYS_MAX = 2_000_000
+def replace_table(df: DataFrame, path: str, partition_by: str | None = None) -> None:
+    """Write ``df`` beside the table and swap it in by two renames.
+
+    The old table stays until the new one is in its place, so a crash never
+    leaves neither; ``df`` may read the table it replaces.
+    """
+    spark, new, old = df.sparkSession, f"{path.rstrip('/')}__new-{_uuid.uuid4().hex[:12]}", _old(path)
+    w = df.write.mode("overwrite")
+    (w.partitionBy(partition_by) if partition_by else w).parquet(new)
+    if _exists(spark, path):
+        _delete(spark, old)
+        _rename(spark, path, old)
+    _rename(spark, new, path)
+    _delete(spark, old)
+    spark.catalog.refreshByPath(path)
 
 
 def upsert(spark: SparkSession, target_path: str, increment: DataFrame, key: str | list[str],
            partition_by: str | None = None, staging_path: str | None = None,
-           order_by: str | None = None, broadcast_keys_max: int = BROADCAST_KEYS_MAX) -> dict:
+           order_by: str | None = None, keys_within: Column | None = None) -> dict:
     """Apply ``increment`` to the Parquet table at ``target_path``.
 
     * No table yet: the increment is the table (first incremental run).
     * Partitioned (``partition_by``): the increment is written once to a
-      staging folder (so it is computed once and its row count is known),
-      then only ``(key, partition)`` of the target is read to find the
-      partitions holding a key of the increment (a key may sit in another
-      partition than its new row).  When the increment has at most
-      ``broadcast_keys_max`` rows its keys are broadcast, so the target's key
-      column is probed map-side without a shuffle; above that bound a
-      shuffled semi join is used.  Only touched partitions are rebuilt and
-      swapped in with dynamic partition overwrite; untouched ones are not read.
-    * Unpartitioned: full rebuild.
-
-    Rebuilt rows are written to a staging folder first and then copied over,
-    so a path is never overwritten while it is being read.  Staging folders
-    live under the shared checkpoint dir by default.
+      staging folder, then only ``(key, partition)`` of the target is read to
+      find the partitions holding a key of the increment (a key may sit in
+      another partition than its new row).  The planner knows the written
+      increment's size and chooses the join.  Only touched partitions, the
+      NULL one included, are rebuilt and swapped in with dynamic partition
+      overwrite; untouched ones are not read.  ``keys_within``, a condition on
+      the target's columns, bounds where a key's earlier row can be (for
+      example the last 30 dates); by default every partition is searched.
+    * Unpartitioned: full rebuild, swapped in by renames.
+
+    The partitions are replaced one after the other, so a reader may meet a
+    half-applied increment, and so may a run after a crash; applying the
+    same increment again converges to the right table.
+    Scratch folders are removed at the end.
     Returns a small report with the touched partition values.
     """
     from eventloom.session import scratch_path
 
     keys = [key] if isinstance(key, str) else list(key)
     target = read_table(spark, target_path)
-    writer_opts = {"partitionOverwriteMode": "dynamic"}
     if target is None:
         w = increment.write.mode("overwrite")
         if partition_by:
             w = w.partitionBy(partition_by)
         w.parquet(target_path)
         return {"mode": "create", "touched": None}
-
+    if not partition_by:
+        replace_table(upsert_frames(target, increment.select(*target.columns), keys, order_by), target_path)
+        return {"mode": "full", "touched": None}
+
+    # partition values are text in folder names; their type is the increment's
+    kind = increment.schema[partition_by].dataType
+    target = spark.read.schema(T.StructType([
+        T.StructField(f.name, kind if f.name == partition_by else f.dataType, True, f.metadata)
+        for f in target.schema.fields])).parquet(target_path)
     staging_path = staging_path or scratch_path(spark, "upsert-stage")
-    if partition_by:
-        inc_path = f"{staging_path}-increment"
-        increment.select(*target.columns).write.mode("overwrite").parquet(inc_path)
-        inc = spark.read.parquet(inc_path)
-        n_inc = inc.count()                      # from the written files
-        inc_keys = inc.select(*keys)
-        if n_inc <= broadcast_keys_max:
-            inc_keys = F.broadcast(inc_keys)     # size proven by the count
-        touched_df = (target.select(*keys, partition_by).join(inc_keys, keys, "left_semi")
-                            .select(partition_by)
-                            .union(inc.select(partition_by)).distinct())
-        # partition values, one per touched partition: bounded by the
-        # number of partitions, not by rows
-        touched = [r[0] for r in touched_df.collect()]
-        affected = target.where(F.col(partition_by).isin(touched)) if touched else target.where(F.lit(False))
-        rebuilt = upsert_frames(affected, inc, keys, order_by)
-        rebuilt.write.mode("overwrite").partitionBy(partition_by).parquet(staging_path)
-        staged = spark.read.parquet(staging_path).select(*target.columns)
-        (staged.write.mode("overwrite").options(**writer_opts)
-               .partitionBy(partition_by).parquet(target_path))
-        # a touched partition whose rows all moved elsewhere is absent from
-        # the staged output; dynamic overwrite would leave it stale
-        kept = {r[0] for r in staged.select(partition_by).distinct().collect()}
-        for v in set(touched) - kept:
-            _delete(spark, f"{target_path.rstrip('/')}/{partition_by}={v}")
-        return {"mode": "partitions", "touched": sorted(touched), "increment_rows": n_inc,
-                "broadcast_keys": n_inc <= broadcast_keys_max}
-
-    rebuilt = upsert_frames(target, increment.select(*target.columns), keys, order_by)
-    rebuilt.write.mode("overwrite").parquet(staging_path)
-    spark.read.parquet(staging_path).write.mode("overwrite").parquet(target_path)
-    return {"mode": "full", "touched": None}
+    inc_path = f"{staging_path}-increment"
+    increment.select(*target.columns).write.mode("overwrite").parquet(inc_path)
+    inc = spark.read.schema(target.schema).parquet(inc_path)
+    searched = target if keys_within is None else target.where(keys_within)
+    # partition values, one per touched partition: bounded by the
+    # number of partitions, not by rows
+    touched = [r[0] for r in (matching(searched.select(*keys, partition_by), inc, keys).select(partition_by)
+                              .union(inc.select(partition_by)).distinct().collect())]
+    values = [v for v in touched if v is not None]
+    within = F.col(partition_by).isin(values) if values else F.lit(False)
+    if None in touched:
+        within = within | F.col(partition_by).isNull()
+    rebuilt = upsert_frames(target.where(within), inc, keys, order_by)
+    rebuilt.write.mode("overwrite").partitionBy(partition_by).parquet(staging_path)
+    staged = spark.read.schema(target.schema).parquet(staging_path).select(*target.columns)
+    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+           .partitionBy(partition_by).parquet(target_path))
+    # a touched partition whose rows all moved elsewhere is absent from
+    # the staged output; dynamic overwrite would leave it stale
+    kept = {r[0] for r in staged.select(partition_by).distinct().collect()}
+    for v in set(touched) - kept:
+        _delete(spark, f"{target_path.rstrip('/')}/{partition_by}={NULL_PARTITION if v is None else v}")
+    for scratch in (inc_path, staging_path):
+        _delete(spark, scratch)
+    spark.catalog.refreshByPath(target_path)
+    return {"mode": "partitions", "touched": sorted(touched, key=lambda v: (v is not None, v))}
 
 
 # --------------------------------------------------------------------------
@@ -189,46 +234,37 @@ def upsert(spark: SparkSession, target_path: str, increment: DataFrame, key: str
 
 
 def merge_sessions(old: DataFrame, new_stg: DataFrame, mode: str = "merge_partials",
-                   separator: str = facts.JOURNEY_SEPARATOR,
-                   broadcast_keys_max: int = BROADCAST_KEYS_MAX) -> DataFrame:
-    """Session rows to upsert for a staging increment.
+                   separator: str = facts.JOURNEY_SEPARATOR) -> DataFrame:
+    """Session rows to upsert for a staging increment that holds no row twice.
 
     ``overwrite`` (warehouse behaviour): a session already stored is
     replaced by an aggregate of only its new events.
-    ``merge_partials`` (default, exact): a touched session is combined with
-    its stored row.  New events are strictly later than every stored
-    ``session_end`` (the high-water mark guarantees it), so
-    min/max/sum and ``old_journey || sep || new_journey`` equal a rebuild
-    from all events, and the first-event attributes stay the stored ones.
-    Only stored sessions whose key occurs in the increment are read into
-    the merge (semi join on the increment's keys).  The increment's
-    sessions are checkpointed (computed once, lineage cut) and counted; when
-    there are at most ``broadcast_keys_max`` of them their keys are
-    broadcast, so the stored table is probed map-side instead of shuffled.
+    ``merge_partials`` (default): a touched session is combined with its
+    stored row.  This is exact if every new event is strictly later than
+    every stored ``session_end`` and none comes without a time or a second
+    time; then min/max/sum and ``old_journey || sep || new_journey`` equal a
+    rebuild from all events, and the first-event attributes stay the stored
+    ones.  For late, repeated or untimed events use :func:`rebuild_sessions`.
+    Only stored sessions whose key (NULL users included) occurs in the
+    increment are read into the merge.
     """
     new_s = facts.sessions(new_stg, separator=separator)
     if mode == "overwrite":
         return new_s
     if mode != "merge_partials":
         raise ValueError(f"unknown mode {mode!r}")
-    from eventloom.session import ensure_checkpoint_dir
-
-    ensure_checkpoint_dir(new_s.sparkSession)     # the configured shared dir, if any
-    new_s = new_s.checkpoint()
-    new_keys = new_s.select(*SESSION_KEYS)
-    if new_s.count() <= broadcast_keys_max:
-        new_keys = F.broadcast(new_keys)
     attrs = F.struct("user_id", "device_id", "location_id").alias("attrs")
     cols = [*SESSION_KEYS, "session_start", "session_end", "event_count", "user_journey"]
-    touched = old.join(new_keys, SESSION_KEYS, "left_semi")
-    both = (touched.select(*cols, attrs)
-            .unionByName(new_s.select(*cols, attrs)))
+    touched = matching(old, new_s, SESSION_KEYS)
+    stored, fresh = F.lit(0).alias("__new"), F.lit(1).alias("__new")
+    both = (touched.select(*cols, attrs, stored)
+            .unionByName(new_s.select(*cols, attrs, fresh)))
     merged = (both.groupBy(*SESSION_KEYS)
                   .agg(F.min("session_start").alias("session_start"),
                        F.max("session_end").alias("session_end"),
                        F.sum("event_count").alias("event_count"),
-                       F.min_by("attrs", "session_start").alias("attrs"),
-                       ordered_listagg("user_journey", separator, ["session_start"]).alias("user_journey")))
+                       F.min_by("attrs", "__new").alias("attrs"),
+                       ordered_listagg("user_journey", separator, ["__new"]).alias("user_journey")))
     return merged.select(
         surrogate_key(*SESSION_KEYS).alias("session_id"), *SESSION_KEYS,
         F.col("attrs.user_id").alias("user_id"), F.col("attrs.device_id").alias("device_id"),
@@ -236,6 +272,25 @@ def merge_sessions(old: DataFrame, new_stg: DataFrame, mode: str = "merge_partia
         "user_journey", F.col("attrs.location_id").alias("location_id"))
 
 
+def rebuild_sessions(rows: DataFrame, changed: DataFrame, old: DataFrame | None = None,
+                     separator: str = facts.JOURNEY_SEPARATOR) -> DataFrame:
+    """Sessions that ``changed`` touches, rebuilt from all their rows: exact
+    for late, repeated and untimed events alike.
+
+    ``rows`` holds every narrow session row (:func:`facts.session_rows`),
+    ``changed`` the new ones among them (or any that name the sessions).
+    With ``old``, the stored sessions, rows before the earliest start of a
+    touched session are pruned by a literal.
+    """
+    keys = changed.select(*SESSION_KEYS).distinct()
+    if old is not None:
+        starts = matching(old.select(*SESSION_KEYS, F.col("session_start").alias("t")), keys, SESSION_KEYS).select("t")
+        first = starts.unionByName(changed.select(F.col("event_time").alias("t"))).agg(F.min("t")).first()[0]
+        if first is not None:
+            rows = rows.where((F.col("event_time") >= ntz_lit(first)) | F.col("event_time").isNull())
+    return facts.sessions_from_rows(matching(rows, keys, SESSION_KEYS), separator)
+
+
 # --------------------------------------------------------------------------
 # schema sync
 # --------------------------------------------------------------------------

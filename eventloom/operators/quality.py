@@ -99,32 +99,6 @@ def relationships(child: DataFrame, col: str, parent: DataFrame, field: str) ->
 
 # -- failure counts ---------------------------------------------------------
 
-def _result(model: str, column, kind: str, ref: str | None, failures) -> list:
-    return [F.lit(model).alias("model"), (F.lit(column) if isinstance(column, str) else column).alias("column"),
-            F.lit(kind).alias("check"), F.lit(ref).cast("string").alias("ref"),
-            failures.cast("bigint").alias("failures")]
-
-
-def not_null_counts(df: DataFrame, model: str, cols: list[str]) -> DataFrame:
-    """One scan of ``df`` -> one row per column with its NULL count."""
-    wide = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"c{i}") for i, c in enumerate(cols)])
-    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"c{i}").alias("failures"))
-                      for i, c in enumerate(cols)])
-    rows = wide.select(F.inline(pairs))
-    return rows.select(*_result(model, F.col("column"), "not_null", None, F.col("failures")))
-
-
-def unique_count(df: DataFrame, model: str, col: str) -> DataFrame:
-    return unique(df, col).agg(*_result(model, col, "unique", None, F.count(F.lit(1))))
-
-
-def relationships_count(child: DataFrame, model: str, col: str, parent: DataFrame,
-                        to: str, field: str) -> DataFrame:
-    failures = F.coalesce(F.sum("n_records"), F.lit(0))
-    return relationships(child, col, parent, field).agg(
-        *_result(model, col, "relationships", f"{to}.{field}", failures))
-
-
 def _with_status(df: DataFrame) -> DataFrame:
     status = F.when(F.col("failures") == 0, F.lit("pass")).otherwise(F.lit("fail"))
     return df.select(*RESULT_COLUMNS[:-1], status.alias("status"))
@@ -132,17 +106,17 @@ def _with_status(df: DataFrame) -> DataFrame:
 
 def model_check_counts(df: DataFrame, model: str, checks: list[Check],
                        parents: dict[str, DataFrame]) -> DataFrame:
-    """Every check of one model from one scan.
+    """Every check of one model from one scan of it and one of each parent's key.
 
     Each checked column is unpivoted into ``(check id, value)`` pairs: a
     not_null check emits a marker for NULL rows only, unique and
     relationships checks emit the non-NULL value.  Pairs are counted per
     value with map-side partial aggregation (a hot value is one row per map
-    task), then
+    task), the counted values meet the parents' keys in one left join on
+    ``(check id, value)``, and one grouping by check id adds up what failed:
     * not_null: the marker's count;
     * unique: values counted more than once;
-    * relationships: counted values absent from their parent's keys (anti
-      join on ``(check id, value)``), summing their row counts.
+    * relationships: row counts of values without a parent key.
     Values are compared as strings, which is exact for the key types used
     (md5 text and integer ids).
     """
@@ -150,28 +124,24 @@ def model_check_counts(df: DataFrame, model: str, checks: list[Check],
         col = F.col(c.column)
         return F.when(col.isNull(), F.lit("")) if c.kind == "not_null" else col.cast("string")
 
-    pairs = F.array(*[F.struct(F.lit(i).alias("cid"), emitted(c).alias("val"))
-                      for i, c in enumerate(checks)])
+    ids = {k: [i for i, c in enumerate(checks) if c.kind == k] for k in ("not_null", "unique", "relationships")}
+    pairs = F.array(*[F.struct(F.lit(i).alias("cid"), emitted(c).alias("val")) for i, c in enumerate(checks)])
     counts = (df.select(F.inline(pairs)).where(F.col("val").isNotNull())
-                .groupBy("cid", "val").agg(F.count(F.lit(1)).alias("n")))
-    ids = {k: [i for i, c in enumerate(checks) if c.kind == k]
-           for k in ("not_null", "unique", "relationships")}
-    parts = []
-    if ids["not_null"]:
-        parts.append(counts.where(F.col("cid").isin(ids["not_null"]))
-                           .groupBy("cid").agg(F.sum("n").alias("failures")))
-    if ids["unique"]:
-        parts.append(counts.where(F.col("cid").isin(ids["unique"]) & (F.col("n") > 1))
-                           .groupBy("cid").agg(F.count(F.lit(1)).alias("failures")))
+                .groupBy("cid", "val").agg(F.count(F.lit(1)).alias("n")).withColumn("known", F.lit(None).cast("boolean")))
     if ids["relationships"]:
+        by_parent: dict[tuple[str, str], list[int]] = {}
+        for i in ids["relationships"]:
+            by_parent.setdefault((checks[i].to, checks[i].field), []).append(i)
         keys = reduce(DataFrame.unionByName, [
-            parents[checks[i].to].select(F.lit(i).alias("cid"),
-                                         F.col(checks[i].field).cast("string").alias("val"))
-            for i in ids["relationships"]])
-        parts.append(counts.where(F.col("cid").isin(ids["relationships"]))
-                           .join(keys.where(F.col("val").isNotNull()), ["cid", "val"], "left_anti")
-                           .groupBy("cid").agg(F.sum("n").alias("failures")))
-    found = reduce(DataFrame.unionByName, parts)
+            parents[to].where(F.col(field).isNotNull()).select(
+                F.explode(F.array(*[F.lit(i) for i in cids])).alias("cid"), F.col(field).cast("string").alias("val"))
+            for (to, field), cids in by_parent.items()])
+        counts = counts.drop("known").join(keys.distinct().withColumn("known", F.lit(True)), ["cid", "val"], "left")
+    cid, n = F.col("cid"), F.col("n")
+    failed = (F.when(cid.isin(ids["not_null"]), n)
+              .when(cid.isin(ids["unique"]), (n > 1).cast("bigint"))
+              .when(F.col("known").isNull(), n).otherwise(F.lit(0)))
+    found = counts.groupBy("cid").agg(F.sum(failed).alias("failures"))
     listing = df.sparkSession.createDataFrame(
         [(i, c.column, c.kind, c.ref) for i, c in enumerate(checks)],
         "cid int, column string, check string, ref string")

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from eventloom.functions.keys import canonical_json, surrogate_key
 from eventloom.sources.raw import RAW_COL
 
 # Staging columns in order as (output name, JSON key, type).
@@ -50,6 +51,15 @@ STAGING_COLUMNS = [name for name, _, _ in STAGING_SPEC]
 VARIANT_COLUMNS = [name for name, _, t in STAGING_SPEC if t == "variant"]
 
 
+# Further columns that a written staging table carries: canonical text and key
+# of the property objects, computed once.
+EVENT_PROPERTIES_TEXT = "event_properties_text"
+EVENT_PROPERTIES_KEY = "event_properties_key"
+USER_PROPERTIES_TEXT = "user_properties_text"
+USER_PROPERTIES_KEY = "user_properties_key"
+PROPERTY_COLUMNS = [EVENT_PROPERTIES_TEXT, EVENT_PROPERTIES_KEY, USER_PROPERTIES_TEXT, USER_PROPERTIES_KEY]
+
+
 def json_path(key: str) -> str:
     """Variant path for one top-level key; brackets allow spaces and '$'."""
     return "$['" + key.replace("'", "\\'") + "']"
@@ -106,8 +116,26 @@ def parse_events(raw: DataFrame, mode: str = "strict", number_type: str = "bigin
     return raw.select(*out_cols)
 
 
+def with_property_keys(stg: DataFrame) -> DataFrame:
+    """Staging with the canonical text and surrogate key of both property objects.
+
+    The event-property key is NULL for absent and empty objects.  A staging
+    table that has the columns already is returned as it is, so the objects
+    are serialised once, when staging is written.
+    """
+    if set(PROPERTY_COLUMNS) <= set(stg.columns):
+        return stg
+    texts = stg.withColumns({EVENT_PROPERTIES_TEXT: canonical_json("event_properties"),
+                             USER_PROPERTIES_TEXT: canonical_json("user_properties")})
+    return texts.withColumns({
+        EVENT_PROPERTIES_KEY: F.when(F.col(EVENT_PROPERTIES_TEXT) != "{}", surrogate_key(EVENT_PROPERTIES_TEXT)),
+        USER_PROPERTIES_KEY: surrogate_key(USER_PROPERTIES_TEXT)})
+
+
 def staging_as_text(stg: DataFrame) -> DataFrame:
     """Staging with VARIANT columns rendered as canonical JSON text
     (VARIANT cannot leave Spark through Arrow/pandas or be compared)."""
-    return stg.select(*[F.to_json(F.col(c)).alias(c) if c in VARIANT_COLUMNS else F.col(c)
-                        for c in stg.columns])
+    known = {"event_properties": EVENT_PROPERTIES_TEXT, "user_properties": USER_PROPERTIES_TEXT}
+    rendered = lambda c: F.col(known[c]) if known[c] in stg.columns else F.to_json(F.col(c))
+    return stg.select(*[rendered(c).alias(c) if c in VARIANT_COLUMNS else F.col(c)
+                        for c in stg.columns if c not in PROPERTY_COLUMNS])

@@ -3,12 +3,16 @@
 Every query starts from the driver's tables (the adapter turns ``events``
 into raw VARIANT events), so its work grows with the data.  VARIANT
 columns leave Spark as canonical JSON text.
+
+A query works on a :class:`Workspace`, which writes staging and the
+dimensions as tables under the shared checkpoint dir, each once, as a build
+run does.  Every call of a query makes a workspace of its own; callers that
+run many queries over the same input (the benchmark, tests) may share one.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,8 +26,7 @@ from eventloom.operators import dimensions as dims
 from eventloom.operators import facts
 from eventloom.operators import incremental as inc
 from eventloom.operators import quality
-from eventloom.operators.incremental import _exists
-from eventloom.operators.staging import parse_events, staging_as_text
+from eventloom.operators.staging import parse_events, staging_as_text, with_property_keys
 from eventloom.plans import dag
 from eventloom.session import scratch_path
 from eventloom.sources import archives as arch
@@ -37,242 +40,224 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-_STAGED: dict[tuple, tuple[str, DataFrame]] = {}
-
-
-def staging(spark: SparkSession, sf_dir: str, materialize: bool | None = None) -> DataFrame:
-    """Typed staging for ``sf_dir``, parsed once per session and input.
-
-    The parsed relation is written as Parquet (VARIANT columns included)
-    to a folder under the shared checkpoint dir and read back, so the many
-    models and checks over it scan typed columns with pruning instead of
-    re-walking JSON, and lineage is cut.  ``EVENTLOOM_LAZY_STAGING=1`` (or
-    ``materialize=False``) keeps it a lazy plan.
-    """
-    if materialize is None:
-        materialize = os.environ.get("EVENTLOOM_LAZY_STAGING", "0") != "1"
-    if not materialize:
-        return parse_events(raw_from_events(table(spark, sf_dir, "events")))
-    src = f"{sf_dir.rstrip('/')}/events.parquet"
-    st = os.stat(src) if os.path.exists(src) else None
-    k = (spark.sparkContext.applicationId, sf_dir.rstrip("/"),
-         st.st_mtime_ns if st else None, st.st_size if st else None)
-    hit = _STAGED.get(k)
-    if hit is None or not _exists(spark, hit[0]):
-        path = scratch_path(spark, "staging")
-        parse_events(raw_from_events(table(spark, sf_dir, "events"))).write.mode("overwrite").parquet(path)
-        hit = (path, spark.read.parquet(path))
-        _STAGED[k] = hit
-    return hit[1]
-
-
-_TABLES: dict[tuple, tuple[str, DataFrame]] = {}
-
-
-def model_table(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
-    """A model written once per session and input as a Parquet table under
-    the shared checkpoint dir, then read back.
-
-    Downstream models read it as a table does in a build run: planning sees
-    the file size (static broadcast when small), the join side gets its own
-    exchange (AQE can still switch to broadcast at runtime), and lineage
-    stays short.
-    """
-    k = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
-    hit = _TABLES.get(k)
-    if hit is not None and _exists(spark, hit[0]):
-        return hit[1]
-    path = scratch_path(spark, name)
-    build().write.mode("overwrite").parquet(path)
-    _TABLES[k] = (path, spark.read.parquet(path))
-    return _TABLES[k][1]
+class Models:
+    """Model relations over one staging relation, as lazy plans."""
 
+    def __init__(self, stg: DataFrame):
+        self._stg = stg
 
-class Models:
-    """Model relations over one staging relation.
+    @property
+    def stg(self) -> DataFrame:
+        return self._stg
 
-    With ``spark``/``sf_dir`` given, the dimensions other models depend on
-    (ip_addresses, companies, users) are written tables; without, they are
-    lazy plans (used by tests on hand-made staging).
-    """
+    @property
+    def ips(self) -> DataFrame:
+        return dims.ip_addresses(self.stg)
 
-    def __init__(self, stg: DataFrame, raw_fn=None, spark: SparkSession | None = None,
-                 sf_dir: str | None = None):
-        self.stg = stg
-        self._raw_fn = raw_fn
-        self._spark, self._sf = spark, sf_dir
-        self._ips = self._companies = self._users = None
+    @property
+    def companies(self) -> DataFrame:
+        return dims.companies(self.stg, self.ips)
 
-    def _table(self, name, build):
-        if self._spark is None:
-            return build()
-        return model_table(self._spark, self._sf, name, build)
+    def users(self, attribution: str = "two_lookup") -> DataFrame:
+        return dims.users(self.stg, self.ips, self.companies, attribution=attribution)
+
+
+class Workspace(Models):
+    """Models over one input, with staging and the dimensions others depend on
+    (ip_addresses, companies, users) as written tables: planning sees their
+    size (static broadcast when small), lineage stays short, and JSON is
+    parsed once."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+        self._tables: dict[str, DataFrame] = {}
+
+    def written(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        if name not in self._tables:
+            path = scratch_path(self.spark, name)
+            build().write.mode("overwrite").parquet(path)
+            self._tables[name] = self.spark.read.parquet(path)
+        return self._tables[name]
 
     @property
-    def raw(self) -> DataFrame | None:
-        return self._raw_fn() if self._raw_fn else None
+    def raw(self) -> DataFrame:
+        return raw_from_events(self.table("events"))
+
+    def table(self, name: str) -> DataFrame:
+        return table(self.spark, self.sf_dir, name)
+
+    @property
+    def stg(self) -> DataFrame:
+        return self.written("staging", lambda: with_property_keys(parse_events(self.raw)))
 
     @property
     def ips(self) -> DataFrame:
-        if self._ips is None:
-            self._ips = self._table("ip_addresses", lambda: dims.ip_addresses(self.stg))
-        return self._ips
+        return self.written("ip_addresses", lambda: dims.ip_addresses(self.stg))
 
     @property
     def companies(self) -> DataFrame:
-        if self._companies is None:
-            self._companies = self._table("companies", lambda: dims.companies(self.stg, self.ips))
-        return self._companies
+        return self.written("companies", lambda: dims.companies(self.stg, self.ips))
 
     def users(self, attribution: str = "two_lookup") -> DataFrame:
         if attribution != "two_lookup":
-            return dims.users(self.stg, self.ips, self.companies, attribution=attribution)
-        if self._users is None:
-            self._users = self._table("users", lambda: dims.users(self.stg, self.ips, self.companies))
-        return self._users
+            return super().users(attribution)
+        return self.written("users", lambda: super(Workspace, self).users())
+
+    @property
+    def present(self) -> DataFrame:
+        """Hours that hold events, per event type: the one pass that the ledger makes over the events."""
+        return self.written("present", lambda: cov.present_hours(self.table("events"), "event_type", "ts"))
+
+    def built(self) -> dict[str, DataFrame]:
+        """All models as a build run leaves them for the checks."""
+        if not hasattr(self, "_built"):
+            given = {"raw_events": self.raw, "stg_events": self.stg, "ip_addresses": self.ips,
+                     "companies": self.companies, "users": self.users()}
+            self._built = dag.run(self.spark, scratch_path(self.spark, "models"), inputs=given)
+        return self._built
 
 
-def _models(spark: SparkSession, sf_dir: str) -> Models:
-    return Models(staging(spark, sf_dir), lambda: raw_from_events(table(spark, sf_dir, "events")),
-                  spark, sf_dir)
+def staging(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed staging of ``sf_dir`` as a freshly written table."""
+    return Workspace(spark, sf_dir).stg
 
 
-_BUILT: dict[tuple, dict] = {}
+#: The queries as functions of a workspace.
+STEPS: dict[str, Callable[[Workspace], DataFrame]] = {}
+QUERIES: dict[str, Query] = {}
 
 
-def built_models(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All models written as tables under the checkpoint dir (once per
-    session and input), as a build run leaves them for the checks."""
-    k = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-    if k not in _BUILT:
-        m = _models(spark, sf_dir)
-        given = {"raw_events": m.raw, "stg_events": m.stg, "ip_addresses": m.ips,
-                 "companies": m.companies, "users": m.users()}
-        _BUILT[k] = dag.run(spark, scratch_path(spark, "models"), inputs=given)
-    return _BUILT[k]
+def query(step: Callable[[Workspace], DataFrame], name: str | None = None) -> Callable[[Workspace], DataFrame]:
+    """Register ``step`` (named ``q_...`` unless ``name`` is given)."""
+    name = name or step.__name__.removeprefix("q_")
+    STEPS[name] = step
+    QUERIES[name] = lambda spark, sf_dir: step(Workspace(spark, sf_dir))
+    return step
+
+
+# --------------------------------------------------------------------------
+# models and checks
+# --------------------------------------------------------------------------
 
 
-def q_stg_events(spark, sf_dir):
-    return staging_as_text(staging(spark, sf_dir))
+@query
+def q_stg_events(w):
+    return staging_as_text(w.stg)
 
 
-def q_ip_addresses(spark, sf_dir):
-    return _models(spark, sf_dir).ips
+@query
+def q_ip_addresses(w):
+    return dims.ip_addresses(w.stg)
 
 
-def q_companies(spark, sf_dir):
-    return _models(spark, sf_dir).companies
+@query
+def q_companies(w):
+    return dims.companies(w.stg, w.ips)
 
 
-def q_event_properties(spark, sf_dir):
-    return dims.event_properties(staging(spark, sf_dir), properties_as="text")
+@query
+def q_event_properties(w):
+    return dims.event_properties(w.stg, properties_as="text")
 
 
-def q_users(spark, sf_dir):
-    return _models(spark, sf_dir).users()
+@query
+def q_users(w):
+    return dims.users(w.stg, w.ips, w.companies)
 
 
-def q_users_fan_out(spark, sf_dir):
-    return _models(spark, sf_dir).users("fan_out")
+@query
+def q_users_fan_out(w):
+    return w.users("fan_out")
 
 
-def q_sessions(spark, sf_dir):
-    return facts.sessions(staging(spark, sf_dir))
+@query
+def q_users_two_lookup(w):
+    """The latest rows found by aggregation instead of a window."""
+    return dims.users(w.stg, w.ips, w.companies, method="aggregate")
 
 
-def q_events(spark, sf_dir):
-    m = _models(spark, sf_dir)
-    return facts.events(m.stg, m.users())
+@query
+def q_sessions(w):
+    return facts.sessions(w.stg)
 
 
-def _dq(kinds):
-    def q(spark, sf_dir):
-        return quality.run_suite(built_models(spark, sf_dir), kinds=kinds)
-    return q
+@query
+def q_events(w):
+    return facts.events(w.stg, w.users())
 
 
-QUERIES: dict[str, Query] = {
-    "stg_events": q_stg_events,
-    "ip_addresses": q_ip_addresses,
-    "companies": q_companies,
-    "event_properties": q_event_properties,
-    "users": q_users,
-    "users_fan_out": q_users_fan_out,
-    "users_two_lookup": q_users,
-    "sessions": q_sessions,
-    "events": q_events,
-    "dq_not_null": _dq(("not_null",)),
-    "dq_unique": _dq(("unique",)),
-    "dq_relationships": _dq(("relationships",)),
-    "dq_suite": _dq(("not_null", "unique", "relationships")),
-}
+for _name, _kinds in {"dq_not_null": ("not_null",), "dq_unique": ("unique",), "dq_relationships": ("relationships",),
+                      "dq_suite": ("not_null", "unique", "relationships")}.items():
+    query(lambda w, kinds=_kinds: quality.run_suite(w.built(), kinds=kinds), _name)
 
 
 # --------------------------------------------------------------------------
-# hour-coverage ledger (source = event_type over the events table)
+# hour-coverage ledger (source = event_type over the events table); the
+# audited range is that of the data unless a caller names another
 # --------------------------------------------------------------------------
 
-
-# The audited range and the mark splitting seed/increment.
-LEDGER_START = "2024-01-01 00:00:00"
-LEDGER_END = "2024-01-30 23:00:00"
+# The mark splitting seed/increment, and the cap on a batch.
 SEED_MARK = "2024-01-15 03:00:00"
-BATCH_CAP = 2
+BATCH_CAP = 1
+
+
+def _range(w, start=None, end=None):
+    first, last = cov.data_range(w.present) if start is None or end is None else (start, end)
+    return start or first, end or last
 
 
-def _ledger(spark, sf_dir):
-    ev = table(spark, sf_dir, "events")
-    sources = ev.select(F.col("event_type").alias(cov.SRC))
-    present = cov.present_hours(ev, "event_type", "ts")
-    return sources, present
+@query
+def q_hours_required(w, start=None, end=None):
+    return cov.required_hours(w.present, *_range(w, start, end))
 
 
-def q_hours_required(spark, sf_dir):
-    sources, _ = _ledger(spark, sf_dir)
-    return cov.required_hours(sources, LEDGER_START, LEDGER_END)
+@query
+def q_hours_missing(w, start=None, end=None):
+    return cov.ledger_missing(cov.ledger(w.present, *_range(w, start, end)))
 
 
-def q_hours_missing(spark, sf_dir):
-    sources, present = _ledger(spark, sf_dir)
-    return cov.missing_hours(cov.required_hours(sources, LEDGER_START, LEDGER_END), present)
+@query
+def q_hour_batches(w, cap=None):
+    return cov.batch_hours(q_hours_missing(w), cap)
 
 
-def _batches(cap):
-    def q(spark, sf_dir):
-        return cov.batch_hours(q_hours_missing(spark, sf_dir), cap)
-    return q
+@query
+def q_hour_batches_capped(w):
+    return q_hour_batches(w, BATCH_CAP)
 
 
-def q_resume_points(spark, sf_dir):
-    sources, present = _ledger(spark, sf_dir)
-    return cov.resume_points(sources, present, LEDGER_START, LEDGER_END)
+@query
+def q_resume_points(w, start=None, end=None):
+    return cov.resume_points(None, w.present, *_range(w, start, end))
 
 
-def _local_remote(spark, sf_dir):
-    stg = staging(spark, sf_dir)
+@query
+def q_coverage_report(w, start=None, end=None):
+    return cov.coverage_report(None, w.present, *_range(w, start, end))
+
+
+def _local_remote(w):
+    stg = w.stg
     local = cov.present_hours(stg, "event_type", "event_time")
     remote = cov.present_hours(stg.where(F.col("event_time") <= F.lit(SEED_MARK).cast("timestamp_ntz")),
                                "event_type", "event_time")
     return local, remote
 
 
-def q_hours_publishable(spark, sf_dir):
-    return cov.publishable(*_local_remote(spark, sf_dir))
-
+@query
+def q_hours_publishable(w):
+    return cov.publishable(*_local_remote(w))
 
-def q_hours_discardable(spark, sf_dir):
-    return cov.discardable(*_local_remote(spark, sf_dir))
 
+@query
+def q_hours_discardable(w):
+    return cov.discardable(*_local_remote(w))
 
-def q_coverage_report(spark, sf_dir):
-    sources, present = _ledger(spark, sf_dir)
-    return cov.coverage_report(sources, present, LEDGER_START, LEDGER_END)
 
-
-def q_hour_key_roundtrip(spark, sf_dir):
-    _, present = _ledger(spark, sf_dir)
-    hrs = present.select(cov.HOUR).distinct()
-    short = F.concat(F.date_format(cov.HOUR, "yyyy-MM-dd_"), F.hour(cov.HOUR).cast("string"))
+@query
+def q_hour_key_roundtrip(w):
+    hrs = w.present.select(cov.HOUR).distinct()
+    short = F.concat(F.substring(F.col(cov.HOUR).cast("string"), 1, 10), F.lit("_"), F.hour(cov.HOUR).cast("string"))
     return hrs.select(
         cov.HOUR,
         H.format_hour(cov.HOUR, "file").alias("file_key"),
@@ -283,10 +268,11 @@ def q_hour_key_roundtrip(spark, sf_dir):
         H.parse_hour(short).alias("parsed_short"))
 
 
-def q_archive_names_to_hours(spark, sf_dir):
+@query
+def q_archive_names_to_hours(w):
     """Archive member names in the three observed styles, mapped back to keys."""
-    ev = table(spark, sf_dir, "events")
-    d = F.date_format("ts", "yyyy-MM-dd")
+    ev = w.table("events")
+    d = F.substring(F.col("ts").cast("string"), 1, 10)
     h1 = F.hour("ts").cast("string")
     uid = F.col("user_id").cast("string")
     style = F.col("event_id") % 3
@@ -298,63 +284,45 @@ def q_archive_names_to_hours(spark, sf_dir):
               .select("member_name", H.hour_key_from_name("member_name").alias("hour_key")))
 
 
-def q_default_window(spark, sf_dir):
-    ev = table(spark, sf_dir, "events")
+@query
+def q_default_window(w):
     start, end = H.default_window_cols("ts")
-    return ev.select("event_id", start.alias("window_start"), end.alias("window_end"),
-                     F.size(H.hour_range(start, end)).cast("bigint").alias("n_hours"))
+    return w.table("events").select("event_id", start.alias("window_start"), end.alias("window_end"),
+                                    F.size(H.hour_range(start, end)).cast("bigint").alias("n_hours"))
 
 
-def q_surrogate_keys(spark, sf_dir):
-    stg = staging(spark, sf_dir)
-    return stg.select(
+@query
+def q_surrogate_keys(w):
+    return w.stg.select(
         "uuid", "event_time",
         surrogate_key("uuid").alias("k_uuid"),
         surrogate_key("session_id_raw", "amplitude_id").alias("k_session"),
         surrogate_key("city", "region", "country").alias("k_location"),
         surrogate_key("ip_address").alias("k_ip"),
-        surrogate_key("insert_id", "uuid").alias("k_null_first"))
+        surrogate_key("device_type", "uuid").alias("k_null_first"))
 
 
-def q_consumer_domain_filter(spark, sf_dir):
-    stg = staging(spark, sf_dir)
+@query
+def q_consumer_domain_filter(w):
     dom = email_domain("user_id")
-    return (stg.where(F.col("user_id").contains("@")).select("user_id").distinct()
-               .select("user_id", dom.alias("email_domain"),
-                       (~dom.isin(*dims.CONSUMER_DOMAINS)).alias("is_company")))
-
+    return (w.stg.where(F.col("user_id").contains("@")).select("user_id").distinct()
+             .select("user_id", dom.alias("email_domain"),
+                     (~dom.isin(*dims.CONSUMER_DOMAINS)).alias("is_company")))
 
-def q_latest_per_key_maxby(spark, sf_dir):
-    return dims.latest_user_rows(staging(spark, sf_dir), method="aggregate")
 
+@query
+def q_latest_per_key_maxby(w):
+    return dims.latest_user_rows(w.stg, method="aggregate")
 
-def q_latest_per_key_window(spark, sf_dir):
-    return dims.latest_user_rows(staging(spark, sf_dir), method="window")
 
+@query
+def q_latest_per_key_window(w):
+    return dims.latest_user_rows(w.stg, method="window")
 
-def q_events_maxby(spark, sf_dir):
-    m = _models(spark, sf_dir)
-    return facts.events(m.stg, m.users(), method="aggregate")
 
-
-QUERIES.update({
-    "hours_required": q_hours_required,
-    "hours_missing": q_hours_missing,
-    "hour_batches": _batches(None),
-    "hour_batches_capped": _batches(BATCH_CAP),
-    "resume_points": q_resume_points,
-    "hours_publishable": q_hours_publishable,
-    "hours_discardable": q_hours_discardable,
-    "coverage_report": q_coverage_report,
-    "hour_key_roundtrip": q_hour_key_roundtrip,
-    "archive_names_to_hours": q_archive_names_to_hours,
-    "default_window": q_default_window,
-    "surrogate_keys": q_surrogate_keys,
-    "consumer_domain_filter": q_consumer_domain_filter,
-    "latest_per_key_maxby": q_latest_per_key_maxby,
-    "latest_per_key_window": q_latest_per_key_window,
-    "events_maxby": q_events_maxby,
-})
+@query
+def q_events_maxby(w):
+    return facts.events(w.stg, w.users(), method="aggregate")
 
 
 # --------------------------------------------------------------------------
@@ -362,70 +330,111 @@ QUERIES.update({
 # --------------------------------------------------------------------------
 
 
-def _seed_split(stg: DataFrame):
+def _seed_split(stg: DataFrame) -> DataFrame:
+    """What a first load sees: rows up to the mark, and those without a time."""
     mark = F.lit(SEED_MARK).cast("timestamp_ntz")
-    return stg.where(F.col("event_time") <= mark)
+    return stg.where((F.col("event_time") <= mark) | F.col("event_time").isNull())
 
 
-def q_events_incremental(spark, sf_dir, lookback=None):
+@query
+def q_events_incremental(w, lookback=None):
     """Seed the event fact, then load everything after its high-water mark
     and upsert on event_id.  Users come from full staging in both steps."""
-    m = _models(spark, sf_dir)
-    usr = m.users()
-    # the stored target: written to the checkpoint dir, as a table would be
-    target = facts.events(_seed_split(m.stg), usr).checkpoint()
-    new_rows = inc.since_high_water_mark(m.stg, target, lookback=lookback)
-    return inc.upsert_frames(target, facts.events(new_rows, usr), "event_id")
+    usr = w.users()
+    target = w.written("events-seed", lambda: facts.events(_seed_split(w.stg), usr))
+    new_rows = inc.since_high_water_mark(w.stg, target, lookback=lookback)
+    increment = w.written(f"events-increment-{lookback}", lambda: facts.events(new_rows, usr))
+    return inc.upsert_frames(target, increment, "event_id")
+
 
+@query
+def q_events_lookback(w):
+    return q_events_incremental(w, lookback=_dt.timedelta(hours=6))
 
-def q_events_lookback(spark, sf_dir):
-    return q_events_incremental(spark, sf_dir, lookback=_dt.timedelta(hours=6))
 
+def _dated(df: DataFrame) -> DataFrame:
+    return df.withColumn("event_date", F.to_date("event_time"))
 
-def q_events_incremental_table(spark, sf_dir):
+
+@query
+def q_events_incremental_table(w):
     """Same load against a Parquet table partitioned by event date: only the
     partitions the increment touches are rewritten."""
-    m = _models(spark, sf_dir)
-    usr = m.users()
-    path = scratch_path(spark, "events-table")
-    dated = lambda df: df.withColumn("event_date", F.to_date("event_time"))
-    inc.upsert(spark, path, dated(facts.events(_seed_split(m.stg), usr)), "event_id", "event_date")
-    target = spark.read.parquet(path)
-    new_rows = inc.since_high_water_mark(m.stg, target)
-    inc.upsert(spark, path, dated(facts.events(new_rows, usr)), "event_id", "event_date")
-    return spark.read.parquet(path).drop("event_date")
+    usr = w.users()
+    path = scratch_path(w.spark, "events-table")
+    inc.upsert(w.spark, path, _dated(facts.events(_seed_split(w.stg), usr)), "event_id", "event_date")
+    new_rows = inc.since_high_water_mark(w.stg, w.spark.read.parquet(path))
+    inc.upsert(w.spark, path, _dated(facts.events(new_rows, usr)), "event_id", "event_date")
+    return w.spark.read.parquet(path).drop("event_date")
+
+
+@query
+def q_events_upsert_null_time(w):
+    """The untimed events are stored first, alone in the NULL partition; then
+    everything is upserted in two parts, each of which meets that partition."""
+    usr = w.users()
+    path = scratch_path(w.spark, "events-untimed")
+    for part in (F.col("event_time").isNull(), F.col("event_id_raw") % 2 == 0, F.col("event_id_raw") % 2 == 1):
+        inc.upsert(w.spark, path, _dated(facts.events(w.stg.where(part), usr)), "event_id", "event_date", order_by="event_time")
+    return w.spark.read.parquet(path).drop("event_date")
 
 
 def _sessions_incremental(mode):
-    def q(spark, sf_dir):
-        stg = staging(spark, sf_dir)
-        seed = facts.sessions(_seed_split(stg)).checkpoint()
-        new_rows = inc.since_high_water_mark(stg, seed, target_ts="session_end")
+    def step(w):
+        timed = w.stg.where(F.col("event_time").isNotNull())
+        seed = w.written("sessions-seed", lambda: facts.sessions(_seed_split(timed)))
+        new_rows = inc.since_high_water_mark(timed, seed, target_ts="session_end")
         return inc.upsert_frames(seed, inc.merge_sessions(seed, new_rows, mode), "session_id")
-    return q
+    return step
+
+
+query(_sessions_incremental("merge_partials"), "sessions_incremental_merge")
+query(_sessions_incremental("overwrite"), "sessions_incremental_overwrite")
+
+
+@query
+def q_sessions_merge_null_user(w):
+    """Sessions of unknown users only, merged over the mark: their key is NULL."""
+    unknown = w.stg.where(F.col("amplitude_id").isNull() & F.col("event_time").isNotNull())
+    seed = w.written("unknown-seed", lambda: facts.sessions(_seed_split(unknown)))
+    new_rows = inc.since_high_water_mark(unknown, seed, target_ts="session_end")
+    return inc.upsert_frames(seed, inc.merge_sessions(seed, new_rows), "session_id")
+
+
+def _run_twice(w, name, first, models, **options):
+    """A build over ``first``, then one over all of staging, into the same tables."""
+    out = scratch_path(w.spark, name)
+    dag.run(w.spark, out, inputs={"stg_events": first}, models=models)
+    dag.run(w.spark, out, inputs={"stg_events": w.stg}, models=models, **options)
+    return w.spark.read.parquet(f"{out}/{models[0]}")
+
+
+@query
+def q_sessions_incremental_table(w):
+    """The runner's session table, partitioned by start date."""
+    return _run_twice(w, "sessions-table", _seed_split(w.stg), ["sessions"]).drop("session_date")
 
 
-def q_schema_sync(spark, sf_dir):
-    """A stored session table that predates ``location_id`` and still has a
-    dropped column meets the current model: sync_all_columns, then the
-    (warehouse-style) overwrite increment."""
-    stg = staging(spark, sf_dir)
-    seed = facts.sessions(_seed_split(stg)).checkpoint()
-    stored = seed.drop("location_id").withColumn("legacy_channel", F.lit("web"))
-    new_rows = inc.since_high_water_mark(stg, stored, target_ts="session_end")
-    incoming = inc.merge_sessions(seed, new_rows, "overwrite")
-    target2, incoming2 = inc.sync_schema(stored, incoming, "sync_all_columns")
-    return inc.upsert_frames(target2, incoming2, "session_id")
+@query
+def q_sessions_lookback(w):
+    """Every tenth event up to the mark arrives late; a lookback to the first
+    event picks it up and counts the others once."""
+    on_time = _seed_split(w.stg).where(F.col("event_id_raw") % 10 != 0)
+    return _run_twice(w, "sessions-late", on_time, ["sessions"], lookback=_dt.timedelta(days=60)).drop("session_date")
 
 
-QUERIES.update({
-    "events_incremental": q_events_incremental,
-    "events_lookback": q_events_lookback,
-    "events_incremental_table": q_events_incremental_table,
-    "sessions_incremental_merge": _sessions_incremental("merge_partials"),
-    "sessions_incremental_overwrite": _sessions_incremental("overwrite"),
-    "schema_sync": q_schema_sync,
-})
+@query
+def q_schema_sync(w):
+    """The runner meets a stored session table that predates ``location_id``,
+    still has a dropped column, and counts in another type; the increment is
+    the warehouse's (``overwrite``)."""
+    out = scratch_path(w.spark, "schema-sync")
+    timed = w.written("timed", lambda: w.stg.where(F.col("event_time").isNotNull()))
+    stored = (facts.sessions(_seed_split(timed)).drop("location_id").withColumn("legacy_channel", F.lit("web"))
+              .withColumns({"event_count": F.col("event_count").cast("int"), "session_date": F.to_date("session_start")}))
+    inc.replace_table(stored, f"{out}/sessions", "session_date")
+    t = dag.run(w.spark, out, inputs={"stg_events": timed}, models=["sessions"], session_mode="overwrite")
+    return t["sessions"].drop("session_date")
 
 
 # --------------------------------------------------------------------------
@@ -433,89 +442,123 @@ QUERIES.update({
 # --------------------------------------------------------------------------
 
 
-def _raw(spark, sf_dir):
-    return raw_from_events(table(spark, sf_dir, "events"))
-
-
 def _before_mark(raw: DataFrame, before: bool) -> DataFrame:
     ts = F.try_variant_get(F.col("json_data"), "$.event_time", "timestamp_ntz")
-    hour_mark = F.date_trunc("hour", F.lit(SEED_MARK).cast("timestamp_ntz")).cast("timestamp_ntz")
-    return raw.where(ts < hour_mark) if before else raw.where(~(ts < hour_mark) | ts.isNull())
+    mark = H.trunc_hour(F.lit(SEED_MARK).cast("timestamp_ntz"))
+    return raw.where(ts < mark) if before else raw.where(~(ts < mark) | ts.isNull())
 
 
-def q_raw_landed_hours(spark, sf_dir):
+@query
+def q_raw_landed_hours(w):
     """Land raw events one folder per hour, read them back with the hour
     taken from the folder name."""
-    path = scratch_path(spark, "landed")
-    land.land_hours(land.with_hour_key(_raw(spark, sf_dir)), path)
-    stg = parse_events(read_raw_with_hour(spark, path))
-    return stg.select("uuid", "event_time", "hour")
-
-
-def q_land_new_hours(spark, sf_dir):
-    """Land the hours before the mark, then offer everything: only hours not
-    yet landed are written, so each row lands exactly once."""
-    path = scratch_path(spark, "landed-new")
-    raw = land.with_hour_key(_raw(spark, sf_dir))
+    path = scratch_path(w.spark, "landed")
+    land.land_hours(land.with_hour_key(w.raw), path)
+    return parse_events(read_raw_with_hour(w.spark, path)).select("uuid", "event_time", "hour")
+
+
+@query
+def q_flat_hour_files(w):
+    """One flat ``YYYY-MM-DD_HH.jsonl`` per hour, read back with the hour
+    taken from the file name."""
+    path = scratch_path(w.spark, "flat")
+    land.land_flat_hours(land.with_hour_key(w.raw), path).write.format("noop").mode("overwrite").save()
+    return parse_events(read_raw_with_hour(w.spark, path)).select("uuid", "event_time", "hour")
+
+
+@query
+def q_land_new_hours(w):
+    """Land the hours before the mark, then offer everything, twice: only hours
+    not yet landed are written, so each row lands exactly once, and rows
+    without an hour are neither lost nor repeated."""
+    path = scratch_path(w.spark, "landed-new")
+    raw = land.with_hour_key(w.raw)
     land.land_hours(_before_mark(raw, True), path)
-    land.land_new_hours(spark, raw, path)
-    return parse_events(read_raw(spark, path)).select("uuid", "event_time", "hour_key")
+    land.land_new_hours(w.spark, raw, path)
+    land.land_new_hours(w.spark, raw, path)
+    return parse_events(read_raw(w.spark, path)).select("uuid", "event_time", "hour_key")
 
 
-def q_archive_unpack(spark, sf_dir):
+@query
+def q_archive_unpack(w):
     """Write the raw events as hourly ZIP-of-gzip archives, then unpack
     them: one task per archive, member name -> hour key."""
-    path = scratch_path(spark, "archives")
-    arch.write_archives(_raw(spark, sf_dir), path).write.format("noop").mode("overwrite").save()
-    stg = parse_events(arch.unpack_archives(spark, path))
-    return stg.select("uuid", "event_time", "hour_key")
-
-
-def _two_landings(spark, sf_dir, name):
-    path = scratch_path(spark, name)
-    raw = land.with_hour_key(_raw(spark, sf_dir))
-    return path, raw
+    path = scratch_path(w.spark, "archives")
+    arch.write_archives(w.raw, path).write.format("noop").mode("overwrite").save()
+    stg = parse_events(arch.unpack_archives(w.spark, path))
+    return stg.select("uuid", "event_time", F.when(F.col("hour").isNotNull(), F.col("hour_key")).alias("hour_key"))
+
+
+def _dedupe(w, first, second, files=None):
+    """Two landings, streamed one after the other through one checkpoint;
+    (kept, late) as written."""
+    path = scratch_path(w.spark, "stream-dedupe-src")
+    sink, late, ckpt = (scratch_path(w.spark, n) for n in ("stream-dedupe", "stream-dedupe-late", "stream-dedupe-ckpt"))
+    for part in (first, second):
+        land.land_hours(part, path)
+        src = stream.stream_staging(w.spark, path, max_files_per_trigger=files)
+        stream.start_dedupe(src, sink, late, ckpt).awaitTermination()
+    columns = ["uuid", "amplitude_id", "event_type", "event_id_raw"]
+    none = w.stg.select(*columns).limit(0)
+    return [none if t is None else t.select(*columns) for t in (inc.read_table(w.spark, p) for p in (sink, late))]
+
+
+@query
+def q_stream_dedupe(w):
+    raw = land.with_hour_key(w.raw)
+    kept, late = _dedupe(w, _before_mark(raw, True), _before_mark(raw, False))
+    return kept.unionByName(late)
+
+
+@query
+def q_stream_dedupe_late(w):
+    """Later hours land first: what comes behind the watermark is kept in the
+    side table, and the two tables hold every uuid once."""
+    raw = land.with_hour_key(w.raw)
+    kept, late = _dedupe(w, _before_mark(raw, False), _before_mark(raw, True))
+    return kept.withColumn("late", F.lit(False)).unionByName(late.withColumn("late", F.lit(True)))
+
+
+def _land_and_stream(w, start, parts, files=None, checkpoints=None):
+    """Land each part, then run the stream over what has landed; several checkpoints
+    make it several streams, each over a landing of its own."""
+    out = scratch_path(w.spark, "stream-out")
+    source, ckpt = scratch_path(w.spark, "stream-src"), scratch_path(w.spark, "stream-ckpt")
+    for i, part in enumerate(parts):
+        path, own = (f"{source}-{i}", f"{ckpt}-{i}") if checkpoints else (source, ckpt)
+        land.land_hours(part, path)
+        start(stream.stream_staging(w.spark, path, max_files_per_trigger=files), out, own).awaitTermination()
+    return w.spark.read.parquet(out)
+
+
+@query
+def q_stream_events_upsert(w):
+    """Hourly cadence: land the hours before the mark, run the stream,
+    land the rest, run it again (several micro-batches); each batch is
+    upserted on event_id, latest copy wins."""
+    users, raw = w.users(), land.with_hour_key(w.raw)
+    start = lambda src, out, ckpt: stream.start_events_upsert(src, out, ckpt, users)
+    return _land_and_stream(w, start, [_before_mark(raw, True), _before_mark(raw, False)], files=400).drop("event_date")
 
 
-def q_stream_dedupe(spark, sf_dir):
-    path, raw = _two_landings(spark, sf_dir, "stream-dedupe-src")
-    land.land_hours(raw, path)
-    sink, ckpt = scratch_path(spark, "stream-dedupe"), scratch_path(spark, "stream-dedupe-ckpt")
-    q = stream.start_dedupe(stream.dedupe_stream(stream.stream_staging(spark, path)), sink, ckpt)
-    q.awaitTermination()
-    return spark.read.parquet(sink).select("uuid", "amplitude_id", "event_type", "event_id_raw")
+@query
+def q_stream_two_checkpoints(w):
+    """Two streams, each with its own source and checkpoint, into one table."""
+    users, raw = w.users(), land.with_hour_key(w.raw)
+    even = F.try_variant_get("json_data", "$.event_id", "bigint") % 2 == 0
+    start = lambda src, out, ckpt: stream.start_events_upsert(src, out, ckpt, users)
+    return _land_and_stream(w, start, [raw.where(even), raw.where(~even)], checkpoints=True).drop("event_date")
 
 
-def q_stream_events_upsert(spark, sf_dir):
-    """Hourly cadence: land the hours before the mark, run the stream,
-    land the rest, run it again (several micro-batches); each batch is
-    upserted on event_id, latest copy wins."""
-    path, raw = _two_landings(spark, sf_dir, "stream-events-src")
-    out, ckpt = scratch_path(spark, "stream-events"), scratch_path(spark, "stream-events-ckpt")
-    users = _models(spark, sf_dir).users()
-    land.land_hours(_before_mark(raw, True), path)
-    stream.start_events_upsert(stream.stream_staging(spark, path), out, ckpt, users).awaitTermination()
-    land.land_hours(_before_mark(raw, False), path)
-    src = stream.stream_staging(spark, path, max_files_per_trigger=150)
-    stream.start_events_upsert(src, out, ckpt, users).awaitTermination()
-    return spark.read.parquet(out).drop("event_date")
+@query
+def q_stream_sessions_upsert(w):
+    raw = land.with_hour_key(w.raw)
+    return _land_and_stream(w, stream.start_sessions_upsert, [_before_mark(raw, True), _before_mark(raw, False)]).drop("session_date")
 
 
-def q_stream_sessions_upsert(spark, sf_dir):
-    path, raw = _two_landings(spark, sf_dir, "stream-sessions-src")
-    out, ckpt = scratch_path(spark, "stream-sessions"), scratch_path(spark, "stream-sessions-ckpt")
-    land.land_hours(_before_mark(raw, True), path)
-    stream.start_sessions_upsert(stream.stream_staging(spark, path), out, ckpt).awaitTermination()
-    land.land_hours(_before_mark(raw, False), path)
-    stream.start_sessions_upsert(stream.stream_staging(spark, path), out, ckpt).awaitTermination()
-    return spark.read.parquet(out)
-
-
-QUERIES.update({
-    "raw_landed_hours": q_raw_landed_hours,
-    "land_new_hours": q_land_new_hours,
-    "archive_unpack": q_archive_unpack,
-    "stream_dedupe": q_stream_dedupe,
-    "stream_events_upsert": q_stream_events_upsert,
-    "stream_sessions_upsert": q_stream_sessions_upsert,
-})
+@query
+def q_stream_sessions_out_of_order(w):
+    """Later hours land first, and files fall into several micro-batches."""
+    raw = land.with_hour_key(w.raw)
+    return _land_and_stream(w, stream.start_sessions_upsert, [_before_mark(raw, False), _before_mark(raw, True)],
+                            files=400).drop("session_date")

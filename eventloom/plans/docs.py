@@ -1,7 +1,9 @@
-"""Column descriptions attached to written models (``metadata['comment']``).
+"""Descriptions of models and columns.
 
-Parquet keeps Spark field metadata in its footer, so the descriptions
-travel with the tables and show in ``DESCRIBE`` / ``schema.fields``.
+Column descriptions are attached to written models (``metadata['comment']``):
+Parquet keeps Spark field metadata in its footer, so they travel with the
+tables and show in ``DESCRIBE`` / ``schema.fields``.  Model descriptions
+become the comments of catalog tables (:func:`eventloom.plans.dag.publish`).
 """
 
 from __future__ import annotations
@@ -32,6 +34,32 @@ COLUMN_DOCS: dict[str, str] = {
     "event_properties_id": "md5 key of the canonical event-properties JSON; NULL when absent or empty.",
     "company_name": "Company of the user when the event was loaded.",
     "uuid": "Event uuid; duplicates are removed in the event fact.",
+    "insert_id": "Deduplication id set by the sending library.",
+    "app": "Project number of the sending application.",
+    "city": "City of the client.",
+    "client_event_time": "Event time by the client's clock.",
+    "client_upload_time": "Time the client sent the event.",
+    "country": "Country of the client.",
+    "device_family": "Device family.",
+    "device_type": "Device model.",
+    "dma": "Designated market area of the client.",
+    "event_properties": "Properties of the event, as sent.",
+    "language": "Language of the client.",
+    "library": "Sending library and its version.",
+    "os_name": "Operating system.",
+    "os_version": "Version of the operating system.",
+    "platform": "Platform of the client.",
+    "processed_time": "Time the event was processed by the tracking source.",
+    "region": "Region of the client.",
+    "server_received_time": "Time the event reached the tracking source.",
+    "server_upload_time": "Time the event was stored by the tracking source.",
+    "user_properties": "Properties of the user, as sent.",
+    "event_properties_text": "Canonical JSON text of the event properties.",
+    "event_properties_key": "md5 key of that text; NULL when absent or empty.",
+    "user_properties_text": "Canonical JSON text of the user properties.",
+    "user_properties_key": "md5 key of that text.",
+    "event_date": "Date of the event time (partition).",
+    "session_date": "Date of the session start (partition).",
     "user_id": "Application user id (often an e-mail address).",
     "device_id": "Device id.",
     "company": "Lower-cased e-mail domain used as company name.",

@@ -2,157 +2,150 @@
 
 The driver registers only the base tables as views, so every statement
 inlines the adapter (FIXTURES.md §3) and a typed staging CTE, then states
-the model in plain SQL the way a warehouse user would.  Column names and
-types are aliased to match the Spark results.
+the result in plain SQL.  Nothing is imported from the code under test: key
+sentinel, mail providers and checks are stated here again, and the models
+are written from their meaning, not after the DataFrame code.
 """
 
 from __future__ import annotations
 
-from eventloom.functions.keys import NULL_SENTINEL
-from eventloom.operators.dimensions import CONSUMER_DOMAINS
-from eventloom.operators.quality import CHECKS
+MARK = "timestamp '2024-01-15 03:00:00'"
+
+# Providers whose domain is no company.
+PROVIDERS = ["gmail.com", "yahoo.com", "hotmail.com", "outlook.com", "aol.com", "icloud.com", "mail.com", "protonmail.com",
+             "live.com", "msn.com", "ymail.com", "googlemail.com", "me.com", "mac.com", "comcast.net", "verizon.net"]
+_PROVIDERS = ", ".join(f"'{p}'" for p in PROVIDERS)
 
 
 def key(*exprs: str) -> str:
-    """Surrogate-key macro in DuckDB syntax."""
-    parts = ", ".join(f"coalesce(cast({e} as varchar), '{NULL_SENTINEL}')" for e in exprs)
-    return f"md5(concat_ws('-', {parts}))"
+    """Surrogate key: md5 of the fields as text, '-' between them, a sentinel for NULL."""
+    return "md5(" + " || '-' || ".join(f"coalesce(cast({e} as varchar), '_dbt_utils_surrogate_key_null_')" for e in exprs) + ")"
 
 
-ADAPTER = """
-base as (
-  select event_id, ts, user_id u, event_type from events
-  union all
-  select event_id, ts + interval '1' second, user_id, event_type from events where event_id % 20 = 0
+ADAPTER = f"""
+sent as (
+  select event_id, event_type, props, case when event_id % 89 <> 3 then user_id end u, ts first_ts,
+    unnest(case when event_id % 40 = 20 then [0, 1382400] when event_id % 20 = 0 then [0, 1] else [0] end) later
+  from events
 ),
+base as (select *, first_ts + to_seconds(later) ts from sent),
 adapter as (
-select concat('u-',cast(event_id as varchar)) uuid, u amplitude_id, event_id event_id_raw,
- cast(case when event_id % 97 = 0 then null
-      else 10000 + extract(day from ts)*100 + (extract(hour from ts) - extract(hour from ts) % 6) end as bigint) session_id_raw,
- case u % 4 when 0 then null
-            when 1 then concat('user',cast(u as varchar),'@gmail.com')
-            when 2 then concat('User',cast(u as varchar),'@Acme',cast(u % 7 as varchar),'.com')
-            else concat('anon-',cast(u as varchar)) end user_id,
- concat('d-',cast(u % 3 as varchar)) device_id,
+select 'i-' || event_id insert_id, 'u-' || event_id uuid, u amplitude_id, event_id % 5 + 100 app, event_id event_id_raw,
+ cast(case when event_id % 97 <> 0
+      then 10000 + extract(day from ts) * 100 + (extract(hour from ts) - extract(hour from ts) % 6) end as bigint) session_id_raw,
+ case u % 4 when 1 then 'user' || u || '@' || ([{_PROVIDERS}])[u // 4 % 16 + 1]
+            when 2 then 'User' || u || '@Acme' || (u // 8) || '.com'
+            when 3 then 'anon-' || u end user_id,
+ 'd-' || (u % 3) device_id,
+ case u % 3 when 0 then 'phone' when 1 then 'tablet' end device_family,
+ case when u % 3 = 0 then 'model-' || (u % 5) end device_type,
+ case when u % 5 <> 0 then 'dma-' || (u % 7) end dma,
  case when event_id % 50 = 7 then null
-      else concat('10.0.',cast(u % 37 as varchar),'.',cast(event_id % 3 as varchar)) end ip_address,
- ts event_time, event_type,
- case when u % 6 = 0 then null else concat('city',cast(u % 9 as varchar)) end city,
- concat('r',cast(u % 4 as varchar)) region, 'GB' country,
- case event_id % 10 when 0 then '{}' when 1 then null
-   else concat('{"[Amplitude] Page Path":"/p',cast(event_id % 13 as varchar),
-     '","[Amplitude] Page URL":"https://x.example/p',cast(event_id % 13 as varchar),
-     '","k":',cast(event_id % 29 as varchar),
-     ',"referrer":"https://r',cast(event_id % 4 as varchar),'.example/"}') end ep,
- concat('{"plan":',cast(u % 3 as varchar),'}') up
+      when event_id % 3 = 0 then '10.0.' || (coalesce(u, 0) % 37) || '.0'
+      else '10.' || (coalesce(u, 0) // 250 + 1) || '.' || (coalesce(u, 0) % 250) || '.' || (event_id % 3) end ip_address,
+ case when event_id % 101 <> 5 or event_id % 20 = 0 then ts end event_time,
+ case when event_id % 6 <> 0 then ts - interval 2 second end client_event_time,
+ case when event_id % 6 <> 1 then ts + interval 3 second end client_upload_time,
+ case when event_id % 6 <> 2 then ts + interval 4 second end server_received_time,
+ case when event_id % 6 <> 3 then ts + interval 5 second end server_upload_time,
+ case when event_id % 6 <> 4 then ts + interval 6 second end processed_time,
+ event_type,
+ case when u % 6 <> 0 then 'city' || (u % 9) end city,
+ 'r' || (u % 4) region, 'GB' country,
+ case when u % 2 = 0 then 'English' else 'French' end "language",
+ 'lib/' || (event_id % 2) library,
+ case when u % 3 = 0 then 'ios' else 'android' end os_name,
+ cast(event_id % 4 as varchar) os_version,
+ case when event_id % 2 = 0 then 'Web' else 'Mobile' end platform,
+ case event_id % 10 when 0 then '{{}}' when 1 then null else '{{'
+   || case when event_id % 3 = 0 then '"[Amplitude] Element Text":"el' || (event_id % 13) || case when event_id % 223 = 0 then repeat('e', 600) else '' end || '",' else '' end
+   || '"[Amplitude] Page Path":"/p' || (event_id % 13) || '",'
+   || case when event_id % 4 <> 2 then '"[Amplitude] Page Title":"Title ' || (event_id % 13) || case when event_id % 227 = 0 then repeat('t', 600) else '' end || '",' else '' end
+   || '"[Amplitude] Page URL":"https://x.example/p' || (event_id % 13) || '?s=' || (event_id // 7) || case when event_id % 211 = 0 then repeat('u', 1200) else '' end || '",'
+   || '"k":' || cast(json_extract_string(props, '$.k') as bigint) || ','
+   || '"referrer":"https://r' || (event_id % 4) || '.example/' || case when event_id % 229 = 0 then repeat('r', 1100) else '' end || '",'
+   || '"referring_domain":"r' || (event_id % 4) || '.example' || case when event_id % 233 = 0 then repeat('d', 300) else '' end || '"'
+   || '}}' end ep,
+ '{{"plan":' || (coalesce(u, 0) % 3) || '}}' up
 from base
 )"""
 
 STAGING = """
-stg as (
-select cast(null as varchar) insert_id, amplitude_id, cast(null as bigint) app, city,
- cast(null as timestamp) client_event_time, cast(null as timestamp) client_upload_time, country,
- cast(null as varchar) device_family, device_id, cast(null as varchar) device_type, cast(null as varchar) dma,
- event_id_raw, json(ep) event_properties, event_time, event_type, ip_address,
- cast(null as varchar) "language", cast(null as varchar) library, cast(null as varchar) os_name,
- cast(null as varchar) os_version, cast(null as varchar) platform, cast(null as timestamp) processed_time,
- region, cast(null as timestamp) server_received_time, cast(null as timestamp) server_upload_time,
- session_id_raw, user_id, json(up) user_properties, uuid
-from adapter
-)"""
+stg as (select * exclude (ep, up), ep event_properties, up user_properties from adapter)"""
 
-STG_TEXT = """
-select insert_id, amplitude_id, app, city, client_event_time, client_upload_time, country,
- device_family, device_id, device_type, dma, event_id_raw, cast(event_properties as varchar) event_properties,
- event_time, event_type, ip_address, "language", library, os_name, os_version, platform, processed_time,
- region, server_received_time, server_upload_time, session_id_raw, user_id,
- cast(user_properties as varchar) user_properties, uuid
-from stg"""
+STAGING_COLUMNS = (
+    "insert_id amplitude_id app city client_event_time client_upload_time country device_family device_id device_type dma "
+    "event_id_raw event_properties event_time event_type ip_address language library os_name os_version platform "
+    "processed_time region server_received_time server_upload_time session_id_raw user_id user_properties uuid").split()
 
-_EXCL = ", ".join(f"'{d}'" for d in CONSUMER_DOMAINS)
 _DOMAIN = "lower(split_part(user_id, '@', 2))"
+_HAS_MAIL = "position('@' in user_id) > 0"
 
 IPS = f"""
-ips as (
-select distinct {key('ip_address')} ip_address_id, ip_address from stg where ip_address is not null
-)"""
+ips as (select {key('ip_address')} ip_address_id, ip_address from stg where ip_address is not null group by ip_address)"""
 
 COMPANIES = f"""
-user_companies as (
-select distinct {_DOMAIN} company, ip_address from stg
-where user_id is not null and contains(user_id, '@') and {_DOMAIN} not in ({_EXCL})
-),
 companies as (
-select distinct {key('c.company', 'i.ip_address')} company_id, c.company, i.ip_address
-from user_companies c join ips i on c.ip_address = i.ip_address
+select {key('company', 'ip_address')} company_id, company, ip_address
+from (select {_DOMAIN} company, ip_address, count(*) seen from stg where {_HAS_MAIL} and ip_address is not null group by all) t
+where company not in ({_PROVIDERS})
 )"""
 
+
+def _property(name: str, column: str, most: int) -> str:
+    return f"""substr(json_extract_string(properties_json, '$."{name}"'), 1, {most}) {column}"""
+
+
 EVENT_PROPERTIES = f"""
 event_properties as (
-select distinct {key('cast(event_properties as varchar)')} event_properties_id,
- cast(event_properties as varchar) properties_json,
- left(json_extract_string(event_properties, '$."[Amplitude] Page URL"'), 1000) url,
- left(json_extract_string(event_properties, '$.referrer'), 1000) referrer,
- left(json_extract_string(event_properties, '$.referring_domain'), 255) referring_domain,
- left(json_extract_string(event_properties, '$."[Amplitude] Element Text"'), 500) element_text,
- left(json_extract_string(event_properties, '$."[Amplitude] Page Title"'), 500) page_title
-from stg where event_properties is not null and cast(event_properties as varchar) != '{{}}'
+select {key('properties_json')} event_properties_id, properties_json,
+ {_property('[Amplitude] Page URL', 'url', 1000)}, {_property('referrer', 'referrer', 1000)},
+ {_property('referring_domain', 'referring_domain', 255)}, {_property('[Amplitude] Element Text', 'element_text', 500)},
+ {_property('[Amplitude] Page Title', 'page_title', 500)}
+from (select event_properties properties_json from stg where event_properties <> '{{}}' group by 1) t
 )"""
 
-USERS = f"""
-ranked_users as (
-select amplitude_id, user_id, device_id, ip_address, event_time,
- row_number() over (partition by amplitude_id order by event_time desc nulls first, uuid desc nulls last) rn
+NEWEST = """
+newest as (
+select distinct on (amplitude_id) amplitude_id, user_id, device_id, ip_address, event_time, uuid
 from stg where amplitude_id is not null
-),
-user_company_match as (
-select amplitude_id, user_id, device_id, ip_address, event_time,
- case when user_id is not null and contains(user_id, '@') then {_DOMAIN} end user_email_domain
-from ranked_users where rn = 1
-),
+order by amplitude_id, event_time desc nulls first, uuid desc nulls last
+)"""
+
+USERS = NEWEST + f""",
+first_of_ip as (select ip_address, min(company) company from companies group by ip_address),
 users as (
-select u.amplitude_id, u.user_id, u.device_id, i.ip_address_id,
- coalesce(max(case when c.company = u.user_email_domain then c.company end), min(c.company)) company,
- u.event_time last_seen
-from user_company_match u
-left join ips i on u.ip_address = i.ip_address
-left join companies c on c.ip_address = i.ip_address
-group by u.amplitude_id, u.user_id, u.device_id, i.ip_address_id, u.event_time
+select n.amplitude_id, n.user_id, n.device_id, i.ip_address_id, coalesce(own.company, f.company) company, n.event_time last_seen
+from newest n
+left join ips i using (ip_address)
+left join companies own on own.ip_address = n.ip_address and {_HAS_MAIL.replace('user_id', 'n.user_id')}
+  and own.company = {_DOMAIN.replace('user_id', 'n.user_id')}
+left join first_of_ip f on f.ip_address = n.ip_address
 )"""
 
 
-def sessions_cte(name: str = "sessions", source: str = "stg", where: str = "") -> str:
-    cond = "session_id_raw is not null" + (f" and {where}" if where else "")
+def sessions_cte(name: str = "sessions", where: str = "true") -> str:
     return f"""
 {name} as (
-select {key('session_id_raw', 'amplitude_id')} session_id, session_id_raw, amplitude_id,
- min(user_id) user_id, min(device_id) device_id,
- min(event_time) session_start, max(event_time) session_end, cast(count(*) as bigint) event_count,
+select {key('session_id_raw', 'amplitude_id')} session_id, session_id_raw, amplitude_id, min(user_id) user_id, min(device_id) device_id,
+ min(event_time) session_start, max(event_time) session_end, count(*)::bigint event_count,
  string_agg(coalesce(json_extract_string(event_properties, '$."[Amplitude] Page Path"'), ''), ' > '
-            order by event_time, uuid) user_journey,
+            order by event_time nulls first, event_id_raw, uuid) user_journey,
  {key("coalesce(min(city), '')", "coalesce(min(region), '')", "coalesce(min(country), '')")} location_id
-from {source}
-where {cond}
+from stg where session_id_raw is not null and {where}
 group by session_id_raw, amplitude_id
 )"""
 
 
-def events_cte(name: str = "int_events", source: str = "stg", where: str = "") -> str:
-    cond = f"where {where}" if where else ""
-    return f"""
-deduplicated_{name} as (
-select *, row_number() over (partition by uuid order by event_time desc nulls first) rn
-from {source} {cond}
-),
-{name} as (
-select {key('d.uuid')} event_id, d.event_id_raw, {key('d.session_id_raw', 'd.amplitude_id')} session_id,
- d.session_id_raw, d.amplitude_id, {key('d.ip_address')} ip_address_id, d.event_time, d.event_type,
- {key('cast(d.user_properties as varchar)')} user_properties_id,
- case when d.event_properties is not null and cast(d.event_properties as varchar) != '{{}}'
-      then {key('cast(d.event_properties as varchar)')} end event_properties_id,
- u.company company_name, d.uuid
-from deduplicated_{name} d left join users u on d.amplitude_id = u.amplitude_id
-where d.rn = 1
+EVENTS = f"""
+last_copy as (select distinct on (uuid) * from stg order by uuid, event_time desc nulls first),
+int_events as (
+select {key('e.uuid')} event_id, e.event_id_raw, {key('e.session_id_raw', 'e.amplitude_id')} session_id,
+ e.session_id_raw, e.amplitude_id, {key('e.ip_address')} ip_address_id, e.event_time, e.event_type,
+ {key('e.user_properties')} user_properties_id,
+ case when e.event_properties <> '{{}}' then {key('e.event_properties')} end event_properties_id,
+ (select u.company from users u where u.amplitude_id = e.amplitude_id) company_name, e.uuid
+from last_copy e
 )"""
 
 
@@ -161,65 +154,66 @@ def with_ctes(*ctes: str, body: str) -> str:
 
 
 PRE = (ADAPTER, STAGING)
+DIMS = (*PRE, IPS, COMPANIES, USERS)
 
 ORACLE: dict[str, str] = {
-    "stg_events": with_ctes(*PRE, body=STG_TEXT),
+    "stg_events": with_ctes(*PRE, body="select " + ", ".join(f'"{c}"' for c in STAGING_COLUMNS) + " from stg"),
     "ip_addresses": with_ctes(*PRE, IPS, body="select * from ips"),
-    "companies": with_ctes(*PRE, IPS, COMPANIES, body="select * from companies"),
+    "companies": with_ctes(*PRE, COMPANIES, body="select * from companies"),
     "event_properties": with_ctes(*PRE, EVENT_PROPERTIES, body="select * from event_properties"),
-    "users": with_ctes(*PRE, IPS, COMPANIES, USERS, body="select * from users"),
-    "users_fan_out": with_ctes(*PRE, IPS, COMPANIES, USERS, body="select * from users"),
-    "users_two_lookup": with_ctes(*PRE, IPS, COMPANIES, USERS, body="select * from users"),
+    "users": with_ctes(*DIMS, body="select * from users"),
     "sessions": with_ctes(*PRE, sessions_cte(), body="select * from sessions"),
-    "events": with_ctes(*PRE, IPS, COMPANIES, USERS, events_cte(), body="select * from int_events"),
+    "events": with_ctes(*DIMS, EVENTS, body="select * from int_events"),
 }
+ORACLE["users_fan_out"] = ORACLE["users_two_lookup"] = ORACLE["users"]
 
 
 # --------------------------------------------------------------------------
 # data quality
 # --------------------------------------------------------------------------
 
-RAW = """
-raw as (
-select to_json(a) json_data from adapter a
-)"""
-
-DQ_CTE_NAME = {
-    "raw_events": "raw", "stg_events": "stg", "events": "int_events", "users": "users",
-    "sessions": "sessions", "ip_addresses": "ips", "event_properties": "event_properties",
-    "companies": "companies",
+# The declared checks, by relation.
+NOT_NULL = {
+    "raw_events": "json_data", "stg_events": "uuid event_time event_type",
+    "events": "event_id session_id amplitude_id event_time event_type", "users": "amplitude_id last_seen",
+    "sessions": "session_id session_id_raw amplitude_id session_start session_end event_count location_id",
+    "ip_addresses": "ip_address_id ip_address", "event_properties": "event_properties_id properties_json",
+    "companies": "company_id company ip_address",
 }
-
-MODEL_CTES = (ADAPTER, RAW, STAGING, IPS, COMPANIES, USERS, EVENT_PROPERTIES,
-              sessions_cte(), events_cte())
-
-
-def _dq_row(c) -> str:
-    t = DQ_CTE_NAME[c.model]
-    ref = f"'{c.ref}'" if c.ref else "cast(null as varchar)"
-    head = f"select '{c.model}' model, '{c.column}' \"column\", '{c.kind}' \"check\", {ref} ref"
-    if c.kind == "not_null":
-        return f"{head}, cast(count(*) filter (where {c.column} is null) as bigint) failures from {t}"
-    if c.kind == "unique":
-        return (f"{head}, cast(count(*) as bigint) failures from "
-                f"(select {c.column} from {t} where {c.column} is not null group by {c.column} having count(*) > 1)")
-    p = DQ_CTE_NAME[c.to]
-    return (f"{head}, cast(count(*) as bigint) failures from {t} ch left join {p} pa "
-            f"on ch.{c.column} = pa.{c.field} where ch.{c.column} is not null and pa.{c.field} is null")
-
-
-def dq_sql(kinds: tuple[str, ...]) -> str:
-    rows = "\nunion all\n".join(_dq_row(c) for c in CHECKS if c.kind in kinds)
-    body = (f"select model, \"column\", \"check\", ref, failures, "
-            f"case when failures = 0 then 'pass' else 'fail' end status from (\n{rows}\n) r")
-    return with_ctes(*MODEL_CTES, body=body)
+UNIQUE = {"events": "event_id", "users": "amplitude_id", "sessions": "session_id", "ip_addresses": "ip_address_id ip_address",
+          "event_properties": "event_properties_id", "companies": "company_id"}
+RELATIONSHIPS = [
+    ("events", "session_id", "sessions", "session_id"), ("events", "amplitude_id", "users", "amplitude_id"),
+    ("events", "ip_address_id", "ip_addresses", "ip_address_id"),
+    ("events", "event_properties_id", "event_properties", "event_properties_id"),
+    ("users", "ip_address_id", "ip_addresses", "ip_address_id"), ("sessions", "amplitude_id", "users", "amplitude_id"),
+]
+RELATION = {"raw_events": "(select to_json(a) json_data from adapter a)", "stg_events": "stg", "events": "int_events", "ip_addresses": "ips"}
+
+
+def dq_sql(*kinds: str) -> str:
+    rows = []
+    if "not_null" in kinds:
+        rows += [(m, c, "not_null", None, f"select count(*) - count({c}) from {RELATION.get(m, m)} t")
+                 for m, cs in NOT_NULL.items() for c in cs.split()]
+    if "unique" in kinds:
+        rows += [(m, c, "unique", None, f"select count(*) from (select {c} from {RELATION.get(m, m)} t where {c} is not null group by 1 having count(*) > 1) g")
+                 for m, cs in UNIQUE.items() for c in cs.split()]
+    if "relationships" in kinds:
+        rows += [(m, c, "relationships", f"{p}.{f}",
+                  f"select count(*) from {RELATION.get(m, m)} t where {c} is not null and {c} not in (select {f} from {RELATION.get(p, p)} where {f} is not null)")
+                 for m, c, p, f in RELATIONSHIPS]
+    body = "\nunion all\n".join(
+        f"""select '{m}' model, '{c}' "column", '{k}' "check", {f"'{r}'" if r else 'null::varchar'} ref, ({q})::bigint failures""" for m, c, k, r, q in rows)
+    return with_ctes(*DIMS, EVENT_PROPERTIES, sessions_cte(), EVENTS, body=(
+        f"""select model, "column", "check", ref, failures, if(failures = 0, 'pass', 'fail') status from (\n{body}\n) r"""))
 
 
 ORACLE.update({
-    "dq_not_null": dq_sql(("not_null",)),
-    "dq_unique": dq_sql(("unique",)),
-    "dq_relationships": dq_sql(("relationships",)),
-    "dq_suite": dq_sql(("not_null", "unique", "relationships")),
+    "dq_not_null": dq_sql("not_null"),
+    "dq_unique": dq_sql("unique"),
+    "dq_relationships": dq_sql("relationships"),
+    "dq_suite": dq_sql("not_null", "unique", "relationships"),
 })
 
 
@@ -228,13 +222,10 @@ ORACLE.update({
 # --------------------------------------------------------------------------
 
 LEDGER = """
-sources as (select distinct event_type source from events),
-present as (select distinct event_type source, date_trunc('hour', ts) as hour from events),
-grid as (select generate_series as hour
-         from generate_series(timestamp '2024-01-01 00:00:00', timestamp '2024-01-30 23:00:00', interval 1 hour)),
-required as (select s.source, g.hour from sources s cross join grid g),
-missing as (select r.source, r.hour from required r
-            where not exists (select 1 from present p where p.source = r.source and p.hour = r.hour)),
+present as (select event_type source, date_trunc('hour', ts) as hour from events group by all),
+bounds as (select min(hour) lo, max(hour) hi from present),
+required as (select source, unnest(generate_series(lo, hi, interval 1 hour)) as hour from (select distinct source from present) s, bounds),
+missing as (select * from required except select * from present),
 isl as (select source, hour,
                hour - to_hours(cast(row_number() over (partition by source order by hour) as bigint)) grp
         from missing)"""
@@ -249,31 +240,25 @@ select source, min(hour) batch_start, max(hour) batch_end, cast(count(*) as bigi
 from chunks group by source, grp, chunk""")
 
 
-LOCAL_REMOTE = """
-loc as (select distinct event_type source, date_trunc('hour', event_time) as hour from stg),
-rem as (select distinct event_type source, date_trunc('hour', event_time) as hour from stg
-        where event_time <= timestamp '2024-01-15 03:00:00')"""
+LOCAL_REMOTE = f"""
+loc as (select distinct event_type source, date_trunc('hour', event_time) as hour from stg where event_time is not null),
+rem as (select distinct event_type source, date_trunc('hour', event_time) as hour from stg where event_time <= {MARK})"""
 
 ORACLE.update({
     "hours_required": with_ctes(LEDGER, body="select source, hour from required"),
     "hours_missing": with_ctes(LEDGER, body="select source, hour from missing"),
     "hour_batches": batches_sql(None),
-    "hour_batches_capped": batches_sql(2),
-    "resume_points": with_ctes(LEDGER, """
-fm as (select source, min(hour) first_missing from missing group by source)""", body="""
-select s.source, coalesce(fm.first_missing, timestamp '2024-01-31 00:00:00') resume_hour,
-       strftime(coalesce(fm.first_missing, timestamp '2024-01-31 00:00:00'), '%Y%m%dT%H') resume_key
-from sources s left join fm on s.source = fm.source"""),
+    "hour_batches_capped": batches_sql(1),
+    "resume_points": with_ctes(LEDGER, body="""
+select source, resume_hour, strftime(resume_hour, '%Y%m%dT%H') resume_key from (
+  select r.source, coalesce(min(m.hour), (select hi + interval 1 hour from bounds)) resume_hour
+  from required r left join missing m on m.source = r.source and m.hour = r.hour group by r.source) t"""),
     "hours_publishable": with_ctes(*PRE, LOCAL_REMOTE, body="select * from loc except select * from rem"),
     "hours_discardable": with_ctes(*PRE, LOCAL_REMOTE, body="select * from loc intersect select * from rem"),
-    "coverage_report": with_ctes(LEDGER, """
-b as (select source, count(distinct grp) batches from isl group by source),
-m as (select source, count(*) missing_hours from missing group by source),
-r as (select source, count(*) required_hours from required group by source)""", body="""
-select r.source, cast(r.required_hours as bigint) required_hours,
-       cast(r.required_hours - coalesce(m.missing_hours, 0) as bigint) present_hours,
-       cast(coalesce(m.missing_hours, 0) as bigint) missing_hours, cast(coalesce(b.batches, 0) as bigint) batches
-from r left join m on r.source = m.source left join b on r.source = b.source"""),
+    "coverage_report": with_ctes(LEDGER, body="""
+select r.source, count(*)::bigint required_hours, (count(*) - count(i.hour))::bigint present_hours,
+       count(i.hour)::bigint missing_hours, count(distinct i.grp)::bigint batches
+from required r left join isl i on i.source = r.source and i.hour = r.hour group by r.source"""),
     "hour_key_roundtrip": with_ctes(LEDGER, body="""
 select distinct hour as hour, strftime(hour, '%Y-%m-%d_%H') file_key, strftime(hour, '%Y%m%dT%H') api_key,
        hour parsed_file, hour parsed_api, hour parsed_space, hour parsed_short
@@ -294,48 +279,45 @@ from events""",
     "surrogate_keys": with_ctes(*PRE, body=f"""
 select uuid, event_time, {key('uuid')} k_uuid, {key('session_id_raw', 'amplitude_id')} k_session,
        {key('city', 'region', 'country')} k_location, {key('ip_address')} k_ip,
-       {key('insert_id', 'uuid')} k_null_first
+       {key('device_type', 'uuid')} k_null_first
 from stg"""),
     "consumer_domain_filter": with_ctes(*PRE, body=f"""
-select user_id, {_DOMAIN} email_domain, {_DOMAIN} not in ({_EXCL}) is_company
-from (select distinct user_id from stg where contains(user_id, '@')) u"""),
-    "latest_per_key_maxby": with_ctes(*PRE, body="""
-select amplitude_id, user_id, device_id, ip_address, event_time, uuid from (
-  select *, row_number() over (partition by amplitude_id order by event_time desc nulls first, uuid desc) rn
-  from stg where amplitude_id is not null) t where rn = 1"""),
+select user_id, {_DOMAIN} email_domain, {_DOMAIN} not in ({_PROVIDERS}) is_company
+from (select distinct user_id from stg where {_HAS_MAIL}) u"""),
+    "latest_per_key_maxby": with_ctes(*PRE, NEWEST, body="select * from newest"),
 })
 ORACLE["latest_per_key_window"] = ORACLE["latest_per_key_maxby"]
 ORACLE["events_maxby"] = ORACLE["events"]
 
 
 # --------------------------------------------------------------------------
-# incremental loads
+# incremental loads: whatever the steps, the tables end up as the one-shot
+# models over the same rows; only the warehouse's "overwrite" differs
 # --------------------------------------------------------------------------
 
-_SEED = "event_time <= timestamp '2024-01-15 03:00:00'"
-SESSION_OVERWRITE_CTES = (
-    sessions_cte("seed_sessions", where=_SEED),
-    sessions_cte("inc_sessions",
-                 where="event_time > (select max(session_end) from seed_sessions)"),
+_TIMED = "event_time is not null"
+OVERWRITTEN = (
+    sessions_cte("seed_sessions", f"event_time <= {MARK}"),
+    sessions_cte("inc_sessions", "event_time > (select max(session_end) from seed_sessions)"),
 )
 
+
+def _overwritten(stored: str) -> str:
+    return with_ctes(*PRE, *OVERWRITTEN, body=f"""
+select {stored} from seed_sessions s where not exists (select 1 from inc_sessions i where i.session_id = s.session_id)
+union all by name
+select * from inc_sessions""")
+
+
+for _name in ("events_incremental", "events_lookback", "events_incremental_table", "events_upsert_null_time"):
+    ORACLE[_name] = ORACLE["events"]
+for _name in ("sessions_incremental_table", "sessions_lookback"):
+    ORACLE[_name] = ORACLE["sessions"]
 ORACLE.update({
-    # seeded then upserted on event_id == one-shot build (no late data)
-    "events_incremental": ORACLE["events"],
-    "events_lookback": ORACLE["events"],
-    "events_incremental_table": ORACLE["events"],
-    # exact partial merge == one-shot build
-    "sessions_incremental_merge": ORACLE["sessions"],
-    "sessions_incremental_overwrite": with_ctes(*PRE, *SESSION_OVERWRITE_CTES, body="""
-select * from seed_sessions where session_id not in (select session_id from inc_sessions)
-union all
-select * from inc_sessions"""),
-    "schema_sync": with_ctes(*PRE, *SESSION_OVERWRITE_CTES, body="""
-select session_id, session_id_raw, amplitude_id, user_id, device_id, session_start, session_end,
-       event_count, user_journey, cast(null as varchar) location_id
-from seed_sessions where session_id not in (select session_id from inc_sessions)
-union all
-select * from inc_sessions"""),
+    "sessions_incremental_merge": with_ctes(*PRE, sessions_cte(where=_TIMED), body="select * from sessions"),
+    "sessions_merge_null_user": with_ctes(*PRE, sessions_cte(where=f"amplitude_id is null and {_TIMED}"), body="select * from sessions"),
+    "sessions_incremental_overwrite": _overwritten("*"),
+    "schema_sync": _overwritten("* replace (null::varchar as location_id)"),
 })
 
 
@@ -343,12 +325,20 @@ select * from inc_sessions"""),
 # landing, archives, streaming
 # --------------------------------------------------------------------------
 
+_LANDED = with_ctes(*PRE, body="select uuid, event_time, date_trunc('hour', event_time) as hour from stg")
+_KEYED = with_ctes(*PRE, body="select uuid, event_time, strftime(event_time, '%Y-%m-%d_%H') hour_key from stg")
+_ONE_COPY = "select uuid, amplitude_id, event_type, event_id_raw{} from stg group by all"
+
 ORACLE.update({
-    "raw_landed_hours": with_ctes(*PRE, body="select uuid, event_time, date_trunc('hour', event_time) as hour from stg"),
-    "land_new_hours": with_ctes(*PRE, body="select uuid, event_time, strftime(event_time, '%Y-%m-%d_%H') hour_key from stg"),
-    "archive_unpack": with_ctes(*PRE, body="select uuid, event_time, strftime(event_time, '%Y-%m-%d_%H') hour_key from stg"),
+    "raw_landed_hours": _LANDED,
+    "flat_hour_files": _LANDED,
+    "land_new_hours": _KEYED,
+    "archive_unpack": _KEYED,
     # either copy of a uuid may be the one kept; these columns agree on both
-    "stream_dedupe": with_ctes(*PRE, body="select distinct uuid, amplitude_id, event_type, event_id_raw from stg"),
+    "stream_dedupe": with_ctes(*PRE, body=_ONE_COPY.format("")),
+    "stream_dedupe_late": with_ctes(*PRE, body=_ONE_COPY.format(f", coalesce(max(event_time) < {MARK}, false) late")),
     "stream_events_upsert": ORACLE["events"],
+    "stream_two_checkpoints": ORACLE["events"],
     "stream_sessions_upsert": ORACLE["sessions"],
+    "stream_sessions_out_of_order": ORACLE["sessions"],
 })

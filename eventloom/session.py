@@ -10,12 +10,12 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
+#: Applied where the cluster's configuration sets nothing.
 DEFAULT_CONF = {
-    "spark.ui.enabled": "false",
-    "spark.ui.showConsoleProgress": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -28,18 +28,21 @@ DEFAULT_CONF = {
 def get_spark(master: str | None = None, app: str = "eventloom",
               shuffle_partitions: int | None = None,
               extra: dict[str, str] | None = None) -> SparkSession:
-    builder = SparkSession.builder.appName(app)
+    """A session with the defaults above; ``extra`` is the caller's own choice and always applies."""
+    builder = (SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false"))
     if master:
         builder = builder.master(master)
-    for k, v in DEFAULT_CONF.items():
-        builder = builder.config(k, v)
     if shuffle_partitions is not None:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    given = spark.sparkContext.getConf()
+    for k, v in DEFAULT_CONF.items():
+        if not given.contains(k):
+            spark.conf.set(k, v)
     return spark
 
 
@@ -47,22 +50,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, creating a local one only if unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared filesystem folder
-    and is used as is.  Only when nothing is configured (local tests) a
-    scratch folder is created and registered with ``setCheckpointDir``.
+    and is used as is.  Only in local mode, where driver and tasks share one
+    machine, a scratch folder is made when nothing is configured; elsewhere
+    that would scatter files over the executors' disks, so it is an error.
     """
     sc = spark.sparkContext
     cur = sc.getCheckpointDir()
     if cur:
         return cur.rstrip("/")
-    conf = sc.getConf().get("spark.checkpoint.dir", None)
-    base = conf or os.environ.get("EVENTLOOM_SCRATCH") or tempfile.mkdtemp(prefix="eventloom-ckpt-")
+    base = sc.getConf().get("spark.checkpoint.dir", None)
+    if base is None:
+        if sc.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = os.environ.get("EVENTLOOM_SCRATCH") or tempfile.mkdtemp(prefix="eventloom-ckpt-")
     sc.setCheckpointDir(base)
     return (sc.getCheckpointDir() or base).rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint dir for written tables."""
-    import uuid
-
-    base = ensure_checkpoint_dir(spark)
-    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"

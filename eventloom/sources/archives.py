@@ -1,94 +1,87 @@
 """Export archives: ZIP files whose members are gzip'd JSON lines.
 
-Reading: ``binaryFile`` gives one row per archive; ``mapInPandas`` opens
-each archive and yields rows member by member, line batch by line batch,
-so a task holds one archive's bytes plus one batch of lines, never a whole
-day of parsed rows.  The member name becomes the hour key (same rules as
+Reading: ``binaryFile`` gives one row per archive; ``mapInArrow`` opens each
+archive and streams its members through gzip, a batch of lines at a time, so a
+task holds an archive's compressed bytes (``binaryFile`` reads up to 2 GB) plus
+one batch of lines.  The member name becomes the hour key (same rules as
 :func:`hour_key_from_name`, applied natively after the Python step).
 
-Writing (used to produce fixtures from the driver tables): lines are
-grouped by ``(hour, bucket)`` so one archive holds one bucket of one hour;
-``buckets`` bounds the group a single task must hold even for a hot hour.
+Writing (used to produce archives from the driver tables): one archive holds
+one bucket of one hour, streamed by :func:`eventloom.sources.files.write_named`.
 """
 
 from __future__ import annotations
 
 import gzip
 import io
-import os
 import zipfile
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.functions.hours import hour_key_from_name, parse_hour
+from eventloom.functions.hours import format_hour, hour_key_from_name, parse_hour
+from eventloom.sources.files import write_named
 
 UNPACK_SCHEMA = "archive string, member string, line string"
-LINES_PER_BATCH = 10_000
+#: A batch of lines ends at this many lines or bytes.
+BATCH_LINES, BATCH_BYTES = 10_000, 8 << 20
 
 
-def _unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        for path, content in zip(pdf["path"], pdf["content"]):
-            with zipfile.ZipFile(io.BytesIO(content)) as z:
+def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def batch_of(path: str, member: str, lines: list[str]) -> pa.RecordBatch:
+        n = len(lines)
+        return pa.RecordBatch.from_arrays([pa.array([path] * n), pa.array([member] * n), pa.array(lines)],
+                                          names=["archive", "member", "line"])
+
+    for batch in batches:
+        for path, content in zip(batch.column("path"), batch.column("content")):
+            path, data = path.as_py(), content.as_buffer()
+            with zipfile.ZipFile(io.BufferedReader(pa.BufferReader(data))) as z:
                 for member in z.namelist():
                     if not member.endswith(".json.gz"):
                         continue
-                    text = gzip.decompress(z.read(member)).decode("utf-8")
-                    lines = [ln for ln in text.split("\n") if ln.strip()]
-                    for i in range(0, len(lines), LINES_PER_BATCH):
-                        chunk = lines[i:i + LINES_PER_BATCH]
-                        yield pd.DataFrame({"archive": path, "member": member, "line": chunk})
-
-
-def unpack_archives(spark: SparkSession, path: str, max_archive_bytes: int | None = None) -> DataFrame:
+                    lines, size = [], 0
+                    with z.open(member) as raw, gzip.GzipFile(fileobj=raw) as text:
+                        for line in text:
+                            line = line.rstrip(b"\r\n")
+                            if not line.strip():
+                                continue
+                            lines.append(line.decode("utf-8", "replace"))
+                            size += len(line)
+                            if len(lines) >= BATCH_LINES or size >= BATCH_BYTES:
+                                yield batch_of(path, member, lines)
+                                lines, size = [], 0
+                    if lines:
+                        yield batch_of(path, member, lines)
+
+
+def unpack_archives(spark: SparkSession, path: str) -> DataFrame:
     """Archives under ``path`` -> ``(archive, member, hour_key, hour, json_data)``.
 
     A line that is not valid JSON gives NULL ``json_data`` (like the JSON
     source), for the not_null check on the raw relation to report.
     """
-    reader = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip")
-    if max_archive_bytes:
-        spark.conf.set("spark.sql.sources.binaryFile.maxLength", str(max_archive_bytes))
-    files = reader.option("recursiveFileLookup", "true").load(path).select("path", "content")
-    rows = files.mapInPandas(_unpack, UNPACK_SCHEMA)
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.zip")
+             .option("recursiveFileLookup", "true").load(path).select("path", "content"))
+    rows = files.mapInArrow(_unpack, UNPACK_SCHEMA)
     key = hour_key_from_name("member")
     return rows.select("archive", "member", key.alias("hour_key"), parse_hour(key).alias("hour"),
                        F.try_parse_json("line").alias("json_data"))
 
 
-def _write_group(out_dir: str, project: str):
-    def write(pdf: pd.DataFrame) -> pd.DataFrame:
-        hour_key, bucket = pdf["hour_key"].iloc[0], int(pdf["bucket"].iloc[0])
-        date_part, hour_part = hour_key.rsplit("_", 1)
-        # unpadded hour and a '#' suffix, as export archives name members
-        member = f"{project}/{project}_{date_part}_{int(hour_part)}#{bucket}.json.gz"
-        buf = io.BytesIO()
-        with zipfile.ZipFile(buf, "w", compression=zipfile.ZIP_STORED) as z:
-            z.writestr(member, gzip.compress(("\n".join(pdf["value"]) + "\n").encode("utf-8")))
-        os.makedirs(out_dir, exist_ok=True)
-        target = os.path.join(out_dir, f"{hour_key}-{bucket}.zip")
-        tmp = target + ".tmp"
-        with open(tmp, "wb") as fh:
-            fh.write(buf.getvalue())
-        os.replace(tmp, target)          # a retried task rewrites the same file
-        return pd.DataFrame({"archive": [target], "lines": [len(pdf)]})
-    return write
-
-
-def write_archives(raw: DataFrame, out_dir: str, buckets: int = 4, project: str = "100011471") -> DataFrame:
-    """Write raw events as ZIP archives under a local/shared ``out_dir``
-    (one archive per hour and bucket).  Returns ``(archive, lines)``.
-    The folder must be visible to all executors (a shared mount)."""
-    if "://" in out_dir and not out_dir.startswith("file:"):
-        raise ValueError("write_archives writes with Python file I/O in tasks; give a shared "
-                         f"POSIX path (a mount every executor sees), not {out_dir!r}")
-    out_dir = out_dir.replace("file://", "").replace("file:", "")
-    text = F.to_json(F.col("json_data")).alias("value")
+def write_archives(raw: DataFrame, out_dir: str, buckets: int = 16, project: str = "100011471") -> DataFrame:
+    """Write raw events as ZIP archives into the shared folder ``out_dir``: an
+    hour is spread over ``buckets`` archives, each streamed by one task.
+    Events without a time go to archives whose member has no hour.
+    Returns ``(archive, lines)``; the archives are written when it is computed."""
+    text = F.to_json(F.col("json_data"))
     ts = F.try_variant_get(F.col("json_data"), "$.event_time", "timestamp_ntz")
-    src = raw.select(text, F.date_format(ts, "yyyy-MM-dd_HH").alias("hour_key"),
-                     F.pmod(F.xxhash64(text), F.lit(buckets)).alias("bucket"))
-    return src.groupBy("hour_key", "bucket").applyInPandas(
-        _write_group(out_dir, project), "archive string, lines long")
+    bucket = F.pmod(F.xxhash64("value"), F.lit(buckets)).cast("string")
+    key = F.coalesce(F.col("hour_key"), F.lit("untimed"))
+    # unpadded hour and a '#' suffix, as export archives name members
+    member = F.concat(F.lit(f"{project}/{project}_"), F.regexp_replace(key, "_0(\\d)$", "_$1"), F.lit("#"), bucket, F.lit(".json.gz"))
+    src = raw.select(text.alias("value"), format_hour(ts).alias("hour_key"))
+    return (write_named(src.select(F.concat(key, F.lit("-"), bucket, F.lit(".zip")).alias("file"), "value", member.alias("member")), out_dir, zipped=True)
+            .select(F.col("file").alias("archive"), "lines"))

@@ -2,11 +2,14 @@
 
 * :func:`land_hours` writes raw events one folder per hour
   (``hour_key=YYYY-MM-DD_HH``) with dynamic partition overwrite: landing an
-  hour again replaces it, so a refetch never duplicates lines.
+  hour again replaces it, so a refetch never duplicates lines.  Rows without
+  an hour belong to no hour that could be fetched again; they lie in the NULL
+  partition, to which only lines not yet in it are added.
 * :func:`land_new_hours` publishes only hours absent from the target (an
   anti join on the hour ledger), leaving present hours untouched.
 * :func:`landed_hours` reads the ledger of a landed dataset from its
-  partition values (no data files opened).
+  partition folders (no data files opened).
+* :func:`land_flat_hours` writes one flat ``YYYY-MM-DD_HH.jsonl`` per hour.
 """
 
 from __future__ import annotations
@@ -14,73 +17,91 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.functions.hours import FILE_FORMAT, parse_hour
-from eventloom.operators.incremental import _exists
+from eventloom.functions.hours import format_hour, parse_hour
+from eventloom.operators.incremental import _exists, matching
+from eventloom.sources.files import write_named
 
 HOUR_KEY = "hour_key"
 
 
 def with_hour_key(raw: DataFrame, source: str | None = None) -> DataFrame:
     ts = F.try_variant_get(F.col("json_data"), "$.event_time", "timestamp_ntz")
-    out = raw.withColumn(HOUR_KEY, F.date_format(ts, FILE_FORMAT))
+    out = raw.withColumn(HOUR_KEY, format_hour(ts))
     if source is not None:
         out = out.withColumn("source", F.lit(source))
     return out
 
 
-def land_hours(raw_keyed: DataFrame, path: str, files_per_hour: int = 1) -> None:
+def _lines(raw_keyed: DataFrame) -> tuple[DataFrame, list[str]]:
+    parts = [c for c in ("source", HOUR_KEY) if c in raw_keyed.columns]
+    return raw_keyed.select(F.to_json(F.col("json_data")).alias("value"), *parts), parts
+
+
+def _add_untimed(lines: DataFrame, parts: list[str], path: str) -> None:
+    """Append the lines without an hour that the dataset does not hold yet."""
+    new = lines.where(F.col(HOUR_KEY).isNull())
+    if _exists(lines.sparkSession, path):
+        landed = lines.sparkSession.read.text(path)
+        if set(parts) <= set(landed.columns):
+            held = landed.where(F.col(HOUR_KEY).isNull()).select("value", *[F.col(c).cast("string").alias(c) for c in parts])
+            new = matching(new, held, ["value", *parts], "left_anti")
+    new.write.mode("append").partitionBy(*parts).text(path)
+
+
+def land_hours(raw_keyed: DataFrame, path: str) -> None:
     """Write JSON lines partitioned by ``hour_key`` (and ``source`` if present).
 
-    Each line is the raw object itself.  Rows are distributed by
-    ``(hour_key, bucket)`` with ``files_per_hour`` buckets, so an hour is
-    written by that many tasks: small hours give one file, a burst hour is
-    spread by raising ``files_per_hour``.
+    Each line is the raw object itself.  Rows are rebalanced by hour: small
+    hours share tasks and give one file each, an hour beyond the advisory
+    partition size (``spark.sql.adaptive.advisoryPartitionSizeInBytes``) is
+    split over as many tasks as it needs.
     """
-    parts = [c for c in ("source", HOUR_KEY) if c in raw_keyed.columns]
-    text = F.to_json(F.col("json_data"))
-    bucket = F.pmod(F.xxhash64(text), F.lit(files_per_hour))
-    df = (raw_keyed.select(text.alias("value"), *parts)
-                   .repartition(*[F.col(c) for c in parts], bucket))
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy(*parts).text(path))
+    lines, parts = _lines(raw_keyed)
+    (lines.where(F.col(HOUR_KEY).isNotNull()).hint("rebalance", *[F.col(c) for c in parts])
+          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+          .partitionBy(*parts).text(path))
+    _add_untimed(lines, parts, path)
 
 
 def landed_hours(spark: SparkSession, path: str) -> DataFrame:
     """``(source?, hour_key, hour)`` present in a landed dataset.
 
-    Taken from the dataset's file index (the partition folders of its
-    files), so no data file is opened; the index is what any read of the
-    dataset lists anyway, and it holds one entry per file, not per row.
+    The ``binaryFile`` source lists one row per file and opens none unless
+    its content is asked for; the keys are read off the paths.
     """
-    import re
-
     if not _exists(spark, path):
         return spark.createDataFrame([], "hour_key string, hour timestamp_ntz")
-    files = spark.read.text(path).inputFiles()
-    rows = set()
-    for f in files:
-        m_hour = re.search(r"hour_key=([^/]+)", f)
-        if not m_hour:
-            continue
-        m_src = re.search(r"source=([^/]+)", f)
-        rows.add((m_src.group(1) if m_src else None, m_hour.group(1)))
-    with_source = any(s is not None for s, _ in rows)
-    if with_source:
-        df = spark.createDataFrame(sorted(rows), "source string, hour_key string")
-    else:
-        df = spark.createDataFrame(sorted((h,) for _, h in rows), "hour_key string")
-    return df.withColumn("hour", parse_hour(F.col(HOUR_KEY)))
-
-
-def land_new_hours(spark: SparkSession, raw_keyed: DataFrame, path: str, **kw) -> list[str]:
-    """Land only the hours not yet present at ``path``; return their keys.
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+             .select(F.regexp_extract("path", r"source=([^/]+)/", 1).alias("source"),
+                     F.regexp_extract("path", r"hour_key=(\d[^/]+)/", 1).alias(HOUR_KEY)))
+    keys = files.where(F.col(HOUR_KEY) != "").distinct()
+    if not keys.where(F.col("source") != "").take(1):
+        keys = keys.drop("source")
+    return keys.withColumn("hour", parse_hour(F.col(HOUR_KEY)))
+
+
+def land_new_hours(spark: SparkSession, raw_keyed: DataFrame, path: str) -> list[str]:
+    """Land only the hours not yet present at ``path`` (and the lines without
+    an hour that are not); return the keys of the hours.
 
     The hour list is read before writing (it is one value per landed hour,
     not per row), because afterwards the ledger already contains them.
     """
     present = landed_hours(spark, path)
     keys = [c for c in ("source", HOUR_KEY) if c in raw_keyed.columns and c in present.columns]
-    new = raw_keyed.join(present.select(*keys), keys, "left_anti") if keys else raw_keyed
-    landed = sorted("/".join(str(v) for v in r) for r in new.select(*keys).distinct().collect())
-    land_hours(new, path, **kw)
+    untimed = F.col(HOUR_KEY).isNull()
+    new = raw_keyed.where(untimed).unionByName(
+        raw_keyed.where(~untimed).join(present.select(*keys), keys, "left_anti").select(*raw_keyed.columns))
+    landed = sorted("/".join(str(v) for v in r) for r in new.where(~untimed).select(*keys).distinct().collect())
+    land_hours(new, path)
     return landed
+
+
+def land_flat_hours(raw_keyed: DataFrame, path: str) -> DataFrame:
+    """One flat file ``<hour>.jsonl`` per hour, the layout of a downloaded
+    export; lines without an hour go to ``untimed.jsonl``.  A flat file is
+    written by one task (streamed); large hours belong in :func:`land_hours`.
+    Returns ``(file, lines)``; the files are written when it is computed."""
+    lines, _ = _lines(raw_keyed)
+    name = F.concat(F.coalesce(F.col(HOUR_KEY), F.lit("untimed")), F.lit(".jsonl"))
+    return write_named(lines.select(name.alias("file"), "value"), path)

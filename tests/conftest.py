@@ -39,3 +39,30 @@ def tmp_path_spark(spark):
     def make(name="t"):
         return scratch_path(spark, name)
     return make
+
+
+@pytest.fixture(scope="session")
+def w(spark):
+    """The models' workspace over the smallest input, shared by the tests."""
+    from eventloom.plans.catalog import Workspace
+
+    return Workspace(spark, SF001)
+
+
+def rows_of(result):
+    """Rows of a Spark or DuckDB result as comparable text, in one order."""
+    from tools.check_oracle import norm
+
+    pdf = result.toPandas() if hasattr(result, "toPandas") else result.df()
+    return sorted(pdf.columns), norm(pdf)
+
+
+def oracle(name, sf_dir=SF001):
+    """The DuckDB result of a registered query."""
+    import duckdb
+
+    from eventloom.plans.oracle import ORACLE
+
+    con = duckdb.connect()
+    con.execute(f"create view events as select * from read_parquet('{sf_dir}/events.parquet')")
+    return con.execute(ORACLE[name])

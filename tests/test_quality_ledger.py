@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from conftest import SF001, oracle, rows_of
 from eventloom.operators import coverage as cov
 from eventloom.operators import quality as q
 from eventloom.plans import catalog as C
@@ -14,13 +14,12 @@ def test_check_inventory():
     assert (kinds.count("not_null"), kinds.count("unique"), kinds.count("relationships")) == (25, 7, 6)
 
 
-def test_suite_expected_failures_sf0001(spark):
-    res = {(r.model, r.column, r.check): r.failures
-           for r in C.QUERIES["dq_suite"](spark, SF001).collect()}
-    assert len(res) == 38
-    failing = {k: v for k, v in res.items() if v}
-    assert failing == {("events", "session_id", "relationships"): 11,
-                       ("events", "ip_address_id", "relationships"): 20}
+def test_suite_equals_its_oracle_sf0001(w):
+    res = C.STEPS["dq_suite"](w)
+    assert rows_of(res) == rows_of(oracle("dq_suite"))
+    failing = {(r.model, r.column, r.check) for r in res.collect() if r.failures}
+    assert {("stg_events", "event_time", "not_null"), ("events", "session_id", "relationships"),
+            ("events", "ip_address_id", "relationships")} <= failing
 
 
 def test_checks_on_hand_made_rows(spark):
@@ -36,12 +35,15 @@ def test_checks_on_hand_made_rows(spark):
     assert q.relationships(child, "amplitude_id", parent, "amplitude_id").first().amplitude_id == 3
 
 
+START, END = "2024-01-01 00:00:00", "2024-01-30 23:00:00"
+
+
 @pytest.fixture(scope="module")
 def ledger(spark):
     ev = C.table(spark, SF001, "events")
     sources = ev.select(F.col("event_type").alias("source"))
     present = cov.present_hours(ev, "event_type", "ts")
-    req = cov.required_hours(sources, C.LEDGER_START, C.LEDGER_END)
+    req = cov.required_hours(sources, START, END)
     return sources, present, req
 
 
@@ -113,3 +115,40 @@ def test_known_empty_hours_unblock_resume(spark):
     assert cov.resume_points(sources, present, h(21), h(23), empty).first().resume_key == "20251111T00"
     rep = cov.coverage_report(sources, present, h(21), h(23), known_empty=empty).first()
     assert (rep.present_hours, rep.missing_hours, rep.batches) == (3, 0, 0)
+
+
+def test_reports_equal_their_oracle_in_any_time_zone(spark, w):
+    names = ("coverage_report", "resume_points", "hours_missing", "hour_batches_capped", "hour_key_roundtrip", "default_window")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            for name in names:
+                assert rows_of(C.STEPS[name](w)) == rows_of(oracle(name)), (zone, name)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_hours_that_a_time_zone_skips(spark):
+    """02:30 on 2024-03-10 does not exist in New York; as wall-clock time it is an hour like any other."""
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        h = lambda x, m=0: dt.datetime(2024, 3, 10, x, m)
+        ev = spark.createDataFrame([("a", h(1, 59)), ("a", h(2, 30)), ("a", h(3))], "s string, t timestamp_ntz")
+        present = cov.present_hours(ev, "s", "t")
+        assert sorted(r.hour for r in present.collect()) == [h(1), h(2), h(3)]
+        assert cov.coverage_report(None, present, h(1), h(3)).first().missing_hours == 0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_empty_range_and_capped_batches(spark, ledger):
+    sources, present, _ = ledger
+    r = cov.resume_points(sources, present, "2024-02-01 00:00:00", "2024-01-01 00:00:00").collect()
+    assert {x.resume_hour for x in r} == {dt.datetime(2024, 2, 1)}
+    req = cov.required_hours(sources, START, END)
+    miss = cov.missing_hours(req, present)
+    for cap in (None, 1, 2, 5):
+        want = {x.source: x.n for x in cov.batch_hours(miss, cap).groupBy("source").agg(F.count("*").alias("n")).collect()}
+        assert {x.source: x.batches for x in cov.coverage_report(sources, present, START, END, cap).collect()} == want
