@@ -55,6 +55,23 @@ class WordBpe:
         self.ids = np.empty(1 << 20, dtype=np.int32)
         self.used = self.chars = 0
         self.start = np.zeros(1, dtype=np.int64)
+        self.uses = np.zeros(0, dtype=np.int64)
+
+    def _shrink(self) -> None:
+        """Keep the pieces used more than once, at most half a table of the most used."""
+        pieces, ids, start, uses = list(self.table), self.ids, self.start, self.uses
+        keep = np.argsort(-uses, kind="stable")[:self.max_words // 2]
+        keep = np.sort(keep[uses[keep] > 1])
+        kept = [pieces[i] for i in keep.tolist()]
+        self._clear()
+        if sum(map(len, kept)) > self.max_chars // 2:
+            return
+        self.table.update(zip(kept, range(len(kept))))
+        size = start[keep + 1] - start[keep]
+        ends = np.cumsum(size)
+        self._store(ids[np.repeat(start[keep] - (ends - size), size) + np.arange(int(size.sum()))], size)
+        self.chars = sum(map(len, kept))
+        self.uses = np.zeros(len(kept), dtype=np.int64)
 
     def _encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids and the number of ids of each piece.  Pieces without white space but
@@ -81,22 +98,27 @@ class WordBpe:
         pieces, self.table.waiting = self.table.waiting, []
         if not pieces:
             return
-        flat, size = self._encode_pieces(pieces)
+        self._store(*self._encode_pieces(pieces))
+        self.chars += sum(map(len, pieces))
+
+    def _store(self, flat: np.ndarray, size: np.ndarray) -> None:
         while self.used + len(flat) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
         self.ids[self.used:self.used + len(flat)] = flat
         self.start = np.concatenate([self.start, self.used + np.cumsum(size)])
         self.used += len(flat)
-        self.chars += sum(map(len, pieces))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other (int32), and the number of ids of each."""
         if len(self.table) > self.max_words or self.chars > self.max_chars:
-            self._clear()
+            self._shrink()
         pieces = [_PIECES.findall(t) for t in texts]
         count = np.fromiter(map(len, pieces), np.int64, len(pieces))
         number = np.fromiter(map(self.table.__getitem__, chain.from_iterable(pieces)), np.int64, int(count.sum()))
         self._learn()
+        uses = np.bincount(number, minlength=len(self.table))
+        uses[:len(self.uses)] += self.uses
+        self.uses = uses
         first, size = self.start[number], self.start[number + 1] - self.start[number]
         ends = np.cumsum(size)
         total = int(ends[-1]) if len(ends) else 0
