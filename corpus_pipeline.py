@@ -35,7 +35,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents' token pieces, each with its sequence and place there."""
-    return packing.pack(docs, TOKENIZER)
+    return packing.pack(docs, TOKENIZER, added_tokens=True)
 
 
 STAGES = [

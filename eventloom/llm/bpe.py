@@ -7,6 +7,10 @@ together, if the text is cut only where that first split cuts it too.
 (whose last character stays with what follows, as the split does it), and
 between a Latin word and one of the signs listed.  Pieces are looked up in a
 table of bounded size; the library encodes those not in it.
+
+The tokenizer's added tokens (``<|endoftext|>``) come before that split: with
+``added_tokens`` a text is cut at them first, as the library's default call
+does it, and each gets its own id; without, special ones are plain text.
 """
 
 from __future__ import annotations
@@ -40,12 +44,17 @@ class _Table(dict):
 
 
 class WordBpe:
-    def __init__(self, path: str, max_words: int = 400_000, max_chars: int = 8_000_000):
+    def __init__(self, path: str, max_words: int = 400_000, max_chars: int = 8_000_000, added_tokens: bool = False):
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not added_tokens
         split = self.tokenizer.pre_tokenizer
         if type(split).__name__ != "ByteLevel" or split.add_prefix_space or self.tokenizer.normalizer is not None:
             raise ValueError(f"{path} does not split like a byte-level tokenizer without normalizer")
+        added = [t for t in self.tokenizer.get_added_tokens_decoder().values() if added_tokens or not t.special]
+        if any(t.lstrip or t.rstrip or t.single_word for t in added):
+            raise ValueError(f"{path} has added tokens that take white space or stand as single words only")
+        # The longest first, as the library takes the leftmost longest.
+        self.added = re.compile("(" + "|".join(re.escape(c) for c in sorted((t.content for t in added), key=len, reverse=True)) + ")") if added else None
         self.max_words, self.max_chars = max_words, max_chars
         (self.newline,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self._clear()
@@ -108,11 +117,18 @@ class WordBpe:
         self.start = np.concatenate([self.start, self.used + np.cumsum(size)])
         self.used += len(flat)
 
+    def _pieces(self, text: str) -> list[str]:
+        """Pieces and added tokens; no other piece can equal one of these."""
+        if self.added is None or not self.added.search(text):
+            return _PIECES.findall(text)
+        return list(chain.from_iterable(
+            [part] if i % 2 else _PIECES.findall(part) for i, part in enumerate(self.added.split(text))))
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other (int32), and the number of ids of each."""
         if len(self.table) > self.max_words or self.chars > self.max_chars:
             self._shrink()
-        pieces = [_PIECES.findall(t) for t in texts]
+        pieces = [self._pieces(t) for t in texts]
         count = np.fromiter(map(len, pieces), np.int64, len(pieces))
         number = np.fromiter(map(self.table.__getitem__, chain.from_iterable(pieces)), np.int64, int(count.sum()))
         self._learn()
@@ -127,9 +143,9 @@ class WordBpe:
         return ids, np.diff(bound)
 
 
-def tokenizer(path: str) -> WordBpe:
+def tokenizer(path: str, added_tokens: bool = False) -> WordBpe:
     """The tokenizer for ``path`` that the tasks of a stage share in a worker."""
-    return per_stage(("bpe", path), lambda: WordBpe(path))
+    return per_stage(("bpe", path, added_tokens), lambda: WordBpe(path, added_tokens=added_tokens))
 
 
 def append_id(ids: np.ndarray, size: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:

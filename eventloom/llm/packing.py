@@ -137,14 +137,14 @@ def _ranks(length: np.ndarray, seen: np.ndarray) -> np.ndarray:
 
 
 def pieces_of(docs: DataFrame, tokenizer_path: str, end_id: int = 2, capacity: int = 1024,
-              id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+              id_col: str = "doc_id", text_col: str = "text", added_tokens: bool = False) -> DataFrame:
     """Pieces with their ids, written once: part, id, piece, start, length, rank, ids_crc32, ids."""
     schema = T.StructType([
         T.StructField("part", T.IntegerType()), T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("piece", T.IntegerType()),
         *(T.StructField(c, T.LongType()) for c in ("start", "length", "rank", "ids_crc32")), T.StructField("ids", T.ArrayType(T.IntegerType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe, part, seen = tokenizer(tokenizer_path), TaskContext.get().partitionId(), np.zeros(capacity + 1, dtype=np.int64)
+        bpe, part, seen = tokenizer(tokenizer_path, added_tokens), TaskContext.get().partitionId(), np.zeros(capacity + 1, dtype=np.int64)
         for batch in runs(batches, text_col):
             ids, size = append_id(*bpe.encode(texts(batch, text_col)), end_id)
             doc, piece, length = cut(size, capacity)
@@ -161,10 +161,11 @@ def pieces_of(docs: DataFrame, tokenizer_path: str, end_id: int = 2, capacity: i
 
 
 def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 2, capacity: int = 1024,
-         id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+         id_col: str = "doc_id", text_col: str = "text", added_tokens: bool = False) -> DataFrame:
     """Pieces with ``sequence_id`` and ``offset``; columns: the id, piece, start, length,
-    ids_crc32, ids, sequence_id, offset."""
-    pieces = pieces_of(docs, tokenizer_path, end_id, capacity, id_col, text_col)
+    ids_crc32, ids, sequence_id, offset.  ``added_tokens``: special tokens in a text get
+    their own id, as by the library's default."""
+    pieces = pieces_of(docs, tokenizer_path, end_id, capacity, id_col, text_col, added_tokens)
     counts = pieces.groupBy("length", "part").agg(F.count("*").alias("n"))
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     base = counts.select("part", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))

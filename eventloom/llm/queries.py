@@ -23,7 +23,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
-    token_files.write(table(spark, sf_dir, "documents"), path, TOKENIZER)
+    token_files.write(table(spark, sf_dir, "documents"), path, TOKENIZER, added_tokens=True)
     return token_files.with_crc32(token_files.read(spark, path)).select(
         "doc_id", "start", "n_tokens", "ids_crc32")
 
@@ -62,7 +62,7 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER).drop("ids")
+    return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER, added_tokens=True).drop("ids")
 
 
 def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:

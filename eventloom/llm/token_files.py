@@ -37,15 +37,16 @@ def _lists(ids: np.ndarray, size: np.ndarray) -> pa.Array:
 
 def write(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 0, id_col: str = "doc_id",
           text_col: str = "text", row_group_bytes: int = 16 << 20, page_bytes: int = 256 << 10,
-          page_rows: int = 2000) -> None:
-    """Columns written: file_no, the id, first (ids before it in the file), n_tokens, tokens."""
+          page_rows: int = 2000, added_tokens: bool = False) -> None:
+    """Columns written: file_no, the id, first (ids before it in the file), n_tokens, tokens.
+    ``added_tokens``: special tokens in a text get their own id, as by the library's default."""
     id_field = docs.schema[id_col]
     schema = T.StructType([
         T.StructField("file_no", T.IntegerType()), T.StructField(id_col, id_field.dataType), T.StructField("first", T.LongType()),
         T.StructField("n_tokens", T.LongType()), T.StructField("tokens", T.ArrayType(T.IntegerType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe, file_no, done = tokenizer(tokenizer_path), TaskContext.get().partitionId(), 0
+        bpe, file_no, done = tokenizer(tokenizer_path, added_tokens), TaskContext.get().partitionId(), 0
         for batch in runs(batches, text_col):
             ids, size = append_id(*bpe.encode(texts(batch, text_col)), end_id)
             ends = done + np.cumsum(size)
