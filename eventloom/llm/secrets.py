@@ -12,12 +12,23 @@ in that encoding":
 
 joined by Fisher's method into one p-value.  Tokens are then dismissed as
 structured by the Benjamini-Hochberg procedure, run separately for every
-(encoding, length doubling) over the whole corpus, so that the share of truly
-random tokens among the dismissed ones stays below ``fdr``: a short token
-competes with short tokens only.  What is not dismissed becomes a span of kind
-``random``.  The procedure needs ranks; they come from a histogram of the
-p-values (``BINS`` per decade, rounded against dismissal), so nothing is
-sorted or gathered whole.
+(encoding, length doubling) over the whole corpus: a short token competes with
+short tokens only.
+
+At 16 characters those tests see little, so what they leave is no discovery
+yet.  The discoveries, spans of kind ``random``, are the tokens that reject
+the opposite hypothesis, "a natural identifier": words, numbers and separators
+by a chain of character classes (``CHAIN``), the letters by pair counts of all
+words of the corpus outside the runs.  The ratio of a token's uniform to its
+natural probability, divided by the number of encodings to choose from, has a
+mean of at most one for natural identifiers, so its inverse is a p-value.
+Benjamini-Hochberg on these (1 for dismissed tokens), again for every encoding
+and length doubling, keeps the expected share of natural identifiers among the
+spans of a class below ``fdr``, however the tokens depend on each other, as far
+as identifiers follow that model.
+
+The procedure needs ranks; they come from a histogram of the p-values
+(``BINS`` per decade, rounded upwards), so nothing is sorted or gathered whole.
 
 Defined cases: NULL text counts as empty; an empty text or table has no spans;
 a NULL id stays NULL; repeated rows are scanned each for itself; spans count
@@ -26,7 +37,9 @@ code points, the end exclusive; other columns are not looked at.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import math
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from eventloom.llm.common import documents, staged
@@ -51,6 +64,15 @@ ALPHABETS = {
     "BASE36": DIGITS + LOWER.upper(),
     "base64": LOWER.upper() + LOWER + DIGITS + "+/-_",
 }
+SYMBOLS = ALPHABETS["base64"]
+#: Classes of characters in identifiers (lower, upper, digit, other; ^ is the start):
+#: the probability of each after each.
+CHAIN = {"^": (0.50, 0.30, 0.15, 0.05), "l": (0.85, 0.05, 0.05, 0.05), "u": (0.60, 0.34, 0.03, 0.03),
+         "d": (0.15, 0.10, 0.60, 0.15), "s": (0.50, 0.20, 0.25, 0.05)}
+#: Letters a to z in English text, per thousand: what is known before any pair is counted,
+#: with the weight of PRIOR words.
+ENGLISH = (82, 15, 28, 43, 127, 22, 20, 61, 70, 2, 8, 40, 24, 67, 75, 19, 1, 60, 63, 91, 28, 10, 24, 2, 20, 1)
+PRIOR = 20.0
 #: Histogram cells of -log10(p) for each factor of ten.
 BINS = 50
 MASK = "[SECRET]"
@@ -135,24 +157,69 @@ def randomness(tokens: DataFrame) -> DataFrame:
     ).drop("alphabet", "k", "n", "idx", "squares", "n1", "runs", "mean", "cross", "spread", "half")
 
 
-def _dismissed_below(tokens: DataFrame, fdr: float) -> DataFrame:
+def letter_pairs(texts: DataFrame, text_col: str) -> DataFrame:
+    """(pair, weight) over all words of letters outside the runs, ``^`` before the first
+    letter; a word that occurs n times weighs log2(1 + n).  At most 27 x 26 rows."""
+    text = F.col(f"`{text_col}`")
+    outside = F.when(text.rlike(TOKEN), F.regexp_replace(text, TOKEN, " ")).otherwise(text)
+    words = (texts.select(F.explode(F.regexp_extract_all(outside, F.lit("[A-Za-z]+"), F.lit(0))).alias("word"))
+             .groupBy("word").agg(F.log2(1.0 + F.count("*")).alias("weight"))
+             .withColumn("word", F.concat(F.lit("^"), F.lower("word"))))
+    pairs = F.transform(F.sequence(F.lit(1), F.length("word") - 1), lambda i: F.substring("word", i, F.lit(2)))
+    return words.select(F.explode(pairs).alias("pair"), "weight").groupBy("pair").agg(F.sum("weight").alias("weight"))
+
+
+def natural_costs(spark: SparkSession, weight: dict[str, float]) -> DataFrame:
+    """One row, ``costs``: -ln of the probability of each symbol of SYMBOLS in a natural
+    identifier, at the start and then after each symbol."""
+    known = {c: 0.9 * n / sum(ENGLISH) + 0.1 / 26 for c, n in zip(LOWER, ENGLISH)}
+    whole = {a: sum(weight.get(a + c, 0.0) for c in LOWER) for a in "^" + LOWER}
+    kind = lambda c: "l" if c in LOWER else "u" if c.lower() in LOWER else "d" if c in DIGITS else "s"
+
+    def cost(before: str, c: str) -> float:
+        p = CHAIN["^" if before == "^" else kind(before)]["luds".index(kind(c))]
+        if kind(c) in "lu":
+            a = before.lower() if before.lower() in LOWER else "^"
+            p *= (weight.get(a + c.lower(), 0.0) + PRIOR * known[c.lower()]) / (whole[a] + PRIOR)
+        else:
+            p /= 10 if kind(c) == "d" else 4
+        return -math.log(p)
+
+    flat = ",".join(f"{cost(b, c):.4f}" for b in ("^", *SYMBOLS) for c in SYMBOLS)
+    return spark.range(1).select(F.split(F.lit(flat), ",").cast("array<double>").alias("costs"))
+
+
+def naturalness(tokens: DataFrame, costs: DataFrame) -> DataFrame:
+    """Adds ``natural``: the p-value of ``token`` for the hypothesis of a natural identifier."""
+    size = F.element_at(F.create_map(*[F.lit(x) for k, v in ALPHABETS.items() for x in (k, float(len(v)))]), F.col("encoding"))
+    place = F.transform(F.filter(F.split("token", ""), lambda c: c != ""), lambda c: F.instr(F.lit(SYMBOLS), c))
+    step = lambda i: F.get("costs", F.when(i == 0, 0).otherwise(F.get("place", i - 1)) * len(SYMBOLS) + F.get("place", i) - 1)
+    df = tokens.withColumn("place", place).crossJoin(F.broadcast(costs))
+    df = df.withColumn("cost", F.aggregate(F.sequence(F.lit(0), F.size("place") - 1), F.lit(0.0), lambda a, i: a + step(i)))
+    ratio = F.col("cost") - F.length("token") * F.log(size) - math.log(len(ALPHABETS))
+    return df.withColumn("natural", F.exp(-F.greatest(F.least(ratio, F.lit(690.0)), F.lit(0.0)))).drop("place", "costs", "cost")
+
+
+def _rejected_below(tokens: DataFrame, p: str, fdr: float) -> DataFrame:
     """For each class the largest p-value that Benjamini-Hochberg rejects.
 
     At most one row for each encoding and doubling of the length.
     """
-    cells = (tokens.withColumn("cell", F.floor(-F.log10(F.greatest("p", F.lit(1e-300))) * BINS))
+    cells = (tokens.withColumn("cell", F.floor(-F.log10(F.greatest(p, F.lit(1e-300))) * BINS))
              .groupBy("encoding", "doubling", "cell").agg(F.count("*").alias("n")))
     own = Window.partitionBy("encoding", "doubling")
     edge = F.pow(F.lit(10.0), -F.col("cell") / BINS)
     return (cells.withColumn("rank", F.sum("n").over(own.orderBy(F.desc("cell"))))
             .withColumn("m", F.sum("n").over(own))
             .where(edge <= fdr * F.col("rank") / F.col("m"))
-            .groupBy("encoding", "doubling").agg(F.max(edge).alias("limit")))
+            .groupBy("encoding", "doubling").agg(F.max(edge).alias(f"{p}_limit")))
 
 
-def spans_of(rows: DataFrame, fdr: float = 0.01) -> DataFrame:
+def spans_of(rows: DataFrame, texts: DataFrame, text_col: str, fdr: float = 0.01) -> DataFrame:
     """(__row, kind, start, end) of every secret; ``rows`` has __row and __hits, and is
-    a written table (it is read twice)."""
+    a written table (it is read twice); ``texts`` has the corpus' texts."""
+    # At most 27 x 26 rows.
+    costs = natural_costs(rows.sparkSession, {r.pair: r.weight for r in letter_pairs(texts, text_col).collect()})
     hits = rows.select("__row", F.explode("__hits").alias("h")).select("__row", "h.*")
     own = Window.partitionBy("__row", "kind").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
     placed = (hits.withColumn("end", F.sum(F.col("gap").cast("long") + F.col("len")).over(own))
@@ -160,10 +227,12 @@ def spans_of(rows: DataFrame, fdr: float = 0.01) -> DataFrame:
     tokens = (placed.where("kind = 3").withColumn("encoding", _encoding(F.col("token")))
               .where("encoding is not null")
               .withColumn("doubling", F.floor(F.log2(F.length("token")))))
-    tested = staged(randomness(tokens).select("__row", "kind", "start", "end", "encoding", "doubling", "p"),
+    tested = staged(naturalness(randomness(tokens), costs).select("__row", "kind", "start", "end", "encoding", "doubling", "p", "natural"),
                     "secret-tokens")
-    random = (tested.join(F.broadcast(_dismissed_below(tested, fdr)), ["encoding", "doubling"], "left")
-              .where("limit is null or p > limit"))
+    judged = (tested.join(F.broadcast(_rejected_below(tested, "p", fdr)), ["encoding", "doubling"], "left")
+              .withColumn("natural", F.when(F.col("p") <= F.col("p_limit"), 1.0).otherwise(F.col("natural"))))
+    random = (judged.join(F.broadcast(_rejected_below(judged, "natural", fdr)), ["encoding", "doubling"])
+              .where("natural <= natural_limit"))
     same = ["__row", "kind", "start", "end"]
     return placed.where("kind < 3").select(same).unionByName(random.select(same))
 
@@ -173,7 +242,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fdr: f
     rows = staged(documents(docs, id_col, text_col).select(
         F.monotonically_increasing_id().alias("__row"), F.col(id_col),
         _all_hits(F.coalesce(F.col(text_col), F.lit(""))).alias("__hits")), "secret-hits")
-    spans = spans_of(rows, fdr).groupBy("__row").agg(
+    spans = spans_of(rows, docs, text_col, fdr).groupBy("__row").agg(
         F.array_sort(F.collect_list(F.struct("start", "kind", "end"))).alias("spans"))
     return rows.select("__row", id_col).join(spans, "__row", "left").select(
         id_col, F.coalesce("spans", F.expr("array()").cast("array<struct<start:bigint,kind:int,end:bigint>>")).alias("spans"))
@@ -189,7 +258,7 @@ def redact(docs: DataFrame, text_col: str = "text", length_col: str | None = "n_
         *[F.col(f"`{c}`") for c in columns], F.monotonically_increasing_id().alias("__row"),
         _all_hits(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))).alias("__hits")), "redact-hits")
     before = Window.partitionBy("__row").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
-    spans = (spans_of(rows, fdr).withColumn("past", F.coalesce(F.max("end").over(before), F.lit(0)))
+    spans = (spans_of(rows, docs, text_col, fdr).withColumn("past", F.coalesce(F.max("end").over(before), F.lit(0)))
              .groupBy("__row").agg(F.array_sort(F.collect_list(F.struct("start", "end", "past"))).alias("__spans"),
                                    F.max("end").alias("__last")))
     text = F.col(f"`{text_col}`")
