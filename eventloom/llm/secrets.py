@@ -1,10 +1,12 @@
 """Secret scans: patterns plus a battery of randomness tests, in DataFrame functions only.
 
 Three patterns find credentials by their form.  Beside them every run of
-``[A-Za-z0-9+/_-]{16,}`` whose characters infer an encoding (hexadecimal,
-base 36 in one case, base 64; letters and digits must both occur, and base 64
-needs both cases) is put to three tests of the hypothesis "uniformly random
-in that encoding":
+``[A-Za-z0-9+/_-]{16,}``, and every part of 16 or more characters between its
+separators ``+ / _ -``, is a token (so a prefix hides nothing).  Its characters
+infer an encoding: hexadecimal, base 36 in one case without or with
+separators, base 64 if both cases occur.  Tokens of one case need a digit, and
+those without a letter are numbers; these two are not tested.  The others are
+put to three tests of the hypothesis "uniformly random in that encoding":
 
 * chi-squared statistic of the alphabet counts (upper tail),
 * Wald-Wolfowitz runs above and below the middle of the alphabet,
@@ -31,6 +33,7 @@ The procedure needs ranks; they come from a histogram of the p-values
 (``BINS`` per decade, rounded upwards), so nothing is sorted or gathered whole.
 
 Defined cases: NULL text counts as empty; an empty text or table has no spans;
+a run and a part of it may both be found;
 a NULL id stays NULL; repeated rows are scanned each for itself; spans count
 code points, the end exclusive; other columns are not looked at.
 """
@@ -62,6 +65,8 @@ ALPHABETS = {
     "HEX": DIGITS + "ABCDEF",
     "base36": DIGITS + LOWER,
     "BASE36": DIGITS + LOWER.upper(),
+    "base36+": DIGITS + LOWER + "+/-_",
+    "BASE36+": DIGITS + LOWER.upper() + "+/-_",
     "base64": LOWER.upper() + LOWER + DIGITS + "+/-_",
 }
 SYMBOLS = ALPHABETS["base64"]
@@ -105,12 +110,23 @@ def _all_hits(text: Column) -> Column:
 
 def _encoding(token: Column) -> Column:
     digit, low, up = (token.rlike(p) for p in ("[0-9]", "[a-z]", "[A-Z]"))
-    return (F.when(~digit, None)
+    return (F.when(low & up, "base64").when(~digit, None)
             .when(token.rlike("^[0-9a-f]+$") & low, "hex")
             .when(token.rlike("^[0-9A-F]+$") & up, "HEX")
             .when(token.rlike("^[0-9a-z]+$") & low, "base36")
             .when(token.rlike("^[0-9A-Z]+$") & up, "BASE36")
-            .when(low & up, "base64"))
+            .when(low, "base36+").when(up, "BASE36+"))
+
+
+def _with_parts(tokens: DataFrame) -> DataFrame:
+    """The runs, and the parts of 16 or more characters of those that have separators."""
+    split = tokens.where(F.col("token").rlike("[-_/+]") & F.col("token").rlike("[A-Za-z0-9]{16}"))
+    before = Window.partitionBy("__row", "start").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
+    parts = (split.select("__row", "kind", "start", F.posexplode(F.split("token", "[-_/+]")).alias("pos", "token"))
+             .withColumn("from", F.col("start") + F.coalesce(F.sum(F.length("token") + 1).over(before), F.lit(0)))
+             .where(F.length("token") >= 16)
+             .select("__row", "kind", F.col("from").alias("start"), (F.col("from") + F.length("token")).alias("end"), "token"))
+    return tokens.unionByName(parts)
 
 
 def _tail(z: Column) -> Column:
@@ -190,9 +206,11 @@ def natural_costs(spark: SparkSession, weight: dict[str, float]) -> DataFrame:
 
 
 def naturalness(tokens: DataFrame, costs: DataFrame) -> DataFrame:
-    """Adds ``natural``: the p-value of ``token`` for the hypothesis of a natural identifier."""
+    """Adds ``natural``: the p-value of ``token`` for the hypothesis of a natural identifier.
+    In the encodings without small letters capitals count as these."""
     size = F.element_at(F.create_map(*[F.lit(x) for k, v in ALPHABETS.items() for x in (k, float(len(v)))]), F.col("encoding"))
-    place = F.transform(F.filter(F.split("token", ""), lambda c: c != ""), lambda c: F.instr(F.lit(SYMBOLS), c))
+    folded = F.when(F.col("encoding").isin("HEX", "BASE36", "BASE36+"), F.lower("token")).otherwise(F.col("token"))
+    place = F.transform(F.filter(F.split(folded, ""), lambda c: c != ""), lambda c: F.instr(F.lit(SYMBOLS), c))
     step = lambda i: F.get("costs", F.when(i == 0, 0).otherwise(F.get("place", i - 1)) * len(SYMBOLS) + F.get("place", i) - 1)
     df = tokens.withColumn("place", place).crossJoin(F.broadcast(costs))
     df = df.withColumn("cost", F.aggregate(F.sequence(F.lit(0), F.size("place") - 1), F.lit(0.0), lambda a, i: a + step(i)))
@@ -224,7 +242,7 @@ def spans_of(rows: DataFrame, texts: DataFrame, text_col: str, fdr: float = 0.01
     own = Window.partitionBy("__row", "kind").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
     placed = (hits.withColumn("end", F.sum(F.col("gap").cast("long") + F.col("len")).over(own))
               .where("ok").select("__row", "kind", (F.col("end") - F.col("len")).alias("start"), "end", "token"))
-    tokens = (placed.where("kind = 3").withColumn("encoding", _encoding(F.col("token")))
+    tokens = (_with_parts(placed.where("kind = 3")).withColumn("encoding", _encoding(F.col("token")))
               .where("encoding is not null")
               .withColumn("doubling", F.floor(F.log2(F.length("token")))))
     tested = staged(naturalness(randomness(tokens), costs).select("__row", "kind", "start", "end", "encoding", "doubling", "p", "natural"),

@@ -34,3 +34,32 @@ def test_identifiers_are_no_discoveries(spark):
 def test_a_corpus_of_identifiers_has_no_discoveries(spark):
     got, _ = spans(spark, NAMES * 5)
     assert not any(got)
+
+
+def test_prefixes_and_separators_hide_nothing(spark):
+    rng = random.Random(4)
+    lower, upper = string.ascii_lowercase + string.digits, string.ascii_uppercase + string.digits
+    pick = lambda k, n: "".join(rng.choices(k, k=n))
+    cores = [pick(lower, 32) for _ in range(30)] + [pick(upper, 32) for _ in range(30)]
+    prefixes = ["key-", "tok_", "path/", "a/b-c_"]
+    tokens = [prefixes[i % 4] + c for i, c in enumerate(cores)]
+    letters = [pick(string.ascii_letters, n) for n in (20, 28) for _ in range(15)]
+    got, at = spans(spark, tokens + letters + NAMES)
+    parts = sum(f"random:{at + len(t) - 32}:{at + len(t)}" in s for t, s in zip(tokens, got))
+    whole = sum(f"random:{at}:{at + len(t)}" in s for t, s in zip(letters, got[len(tokens):]))
+    assert parts >= 0.95 * len(tokens) and whole >= 0.95 * len(letters)
+    assert not any(got[len(tokens) + len(letters):])
+
+
+def test_prefixed_tokens_are_masked(spark):
+    rng = random.Random(6)
+    tokens = ["".join(rng.choices(string.ascii_lowercase + string.digits, k=32)) for _ in range(20)]
+    docs = spark.createDataFrame([(i, f"{PROSE}key-{t} x/{t}/y end") for i, t in enumerate(tokens)], "doc_id long, text string")
+    texts = {r.doc_id: r.text for r in secrets.redact(docs).collect()}
+    assert sum(t in texts[i] for i, t in enumerate(tokens)) <= 1
+
+
+def test_no_words_outside_the_runs(spark):
+    rows = [(1, "a1B2" * 10), (2, "-" * 40), (3, "/_+-" * 9 + "x1"), (4, None)]
+    got = secrets.digest(secrets.scan(spark.createDataFrame(rows, "doc_id long, text string"))).collect()
+    assert len(got) == 4
