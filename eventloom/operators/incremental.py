@@ -291,6 +291,17 @@ def rebuild_sessions(rows: DataFrame, changed: DataFrame, old: DataFrame | None
     return facts.sessions_from_rows(matching(rows, keys, SESSION_KEYS), separator)
 
 
+def merge_or_rebuild_sessions(old: DataFrame, stg: DataFrame, separator: str = facts.JOURNEY_SEPARATOR) -> DataFrame:
+    """Session rows to upsert for a load from whole staging: rows after the mark
+    are merged as partials, and sessions with rows without a time, which lie on no
+    side of a mark, are rebuilt."""
+    rows = facts.session_rows(stg)
+    untimed = rows.where(F.col("event_time").isNull())
+    timed = since_high_water_mark(stg, old, target_ts="session_end", untimed=False)
+    merged = merge_sessions(old, matching(timed, untimed.select(*SESSION_KEYS).distinct(), SESSION_KEYS, "left_anti"), separator=separator)
+    return merged.unionByName(rebuild_sessions(rows, untimed, old, separator))
+
+
 # --------------------------------------------------------------------------
 # schema sync
 # --------------------------------------------------------------------------

@@ -401,6 +401,21 @@ def q_sessions_merge_null_user(w):
     return inc.upsert_frames(seed, inc.merge_sessions(seed, new_rows), "session_id")
 
 
+@query
+def q_sessions_incremental_merge_whole(w):
+    """Partials merged over the mark, over whole staging: events without a time
+    are in the first load, and their sessions are rebuilt in the second."""
+    seed = w.written("sessions-seed-whole", lambda: facts.sessions(_seed_split(w.stg)))
+    return inc.upsert_frames(seed, inc.merge_or_rebuild_sessions(seed, w.stg), "session_id")
+
+
+@query
+def q_sessions_merge_whole_late_untimed(w):
+    """The same, where all events without a time arrive after the first load."""
+    seed = w.written("sessions-seed-timed", lambda: facts.sessions(_seed_split(w.stg.where(F.col("event_time").isNotNull()))))
+    return inc.upsert_frames(seed, inc.merge_or_rebuild_sessions(seed, w.stg), "session_id")
+
+
 def _run_twice(w, name, first, models, **options):
     """A build over ``first``, then one over all of staging, into the same tables."""
     out = scratch_path(w.spark, name)

@@ -115,9 +115,12 @@ def _load(spark: SparkSession, m: Model, path: str, existing: DataFrame, ins: di
     elif session_mode == "rebuild":
         increment = _dated(inc.rebuild_sessions(change, new, existing))
     else:
-        part = inc.since_high_water_mark(stg, existing, target_ts=spec.target_ts, untimed=False)
         known, _ = inc.sync_schema(existing, _dated(facts.sessions(stg.limit(0))))
-        increment = _dated(inc.merge_sessions(known, part, session_mode))
+        if session_mode == "merge_partials":
+            increment = _dated(inc.merge_or_rebuild_sessions(known, stg))
+        else:
+            part = inc.since_high_water_mark(stg, existing, target_ts=spec.target_ts, untimed=False)
+            increment = _dated(inc.merge_sessions(known, part, session_mode))
     target, increment = inc.sync_schema(existing, increment, spec.on_schema_change)
     if dict(target.dtypes) != dict(existing.dtypes):
         # columns or types changed: the stored table takes the new ones first
@@ -140,7 +143,9 @@ def run(spark: SparkSession, out_dir: str, inputs: dict[str, DataFrame] | None =
     again, for late rows.  ``session_mode``: ``rebuild`` (default, exact for
     any data) rebuilds the sessions that the new rows touch from staging;
     ``merge_partials`` and ``overwrite`` combine only rows after the mark
-    (see :func:`inc.merge_sessions`) and take no lookback.
+    (see :func:`inc.merge_sessions`) and take no lookback; with
+    ``merge_partials`` sessions with rows without a time are rebuilt, with
+    ``overwrite`` such rows come in by a first run only.
     """
     if lookback and session_mode != "rebuild":
         raise ValueError("a lookback reads events again, which only session_mode='rebuild' counts once")

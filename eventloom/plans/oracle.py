@@ -311,7 +311,8 @@ select * from inc_sessions""")
 
 for _name in ("events_incremental", "events_lookback", "events_incremental_table", "events_upsert_null_time"):
     ORACLE[_name] = ORACLE["events"]
-for _name in ("sessions_incremental_table", "sessions_lookback"):
+for _name in ("sessions_incremental_table", "sessions_lookback", "sessions_incremental_merge_whole",
+              "sessions_merge_whole_late_untimed"):
     ORACLE[_name] = ORACLE["sessions"]
 ORACLE.update({
     "sessions_incremental_merge": with_ctes(*PRE, sessions_cte(where=_TIMED), body="select * from sessions"),
