@@ -1,12 +1,11 @@
-"""Token ids by the ``tokenizers`` library, each distinct word encoded once per worker.
+"""Token ids by the ``tokenizers`` library, each distinct piece encoded once per worker.
 
 Byte-level BPE splits a text into words, runs of signs and white space before
 it merges anything, so the ids of a text are the ids of its pieces put
-together, if the text is cut only where that first split cuts it too.
-``_PIECES`` cuts there: before a space and a word, around runs of white space
-(whose last character stays with what follows, as the split does it), and
-between a Latin word and one of the signs listed.  Pieces are looked up in a
-table of bounded size; the library encodes those not in it.
+together, if the text is cut only where that first split cuts it too: between
+Latin letters, ASCII digits and ASCII signs (but the apostrophe), and around
+runs of white space, whose last character stays with what follows, as the split
+does it.
 
 The tokenizer's added tokens (``<|endoftext|>``) come before that split: with
 ``added_tokens`` a text is cut at them first, as the library's default call
@@ -15,32 +14,66 @@ does it, and each gets its own id; without, special ones are plain text.
 
 from __future__ import annotations
 
+import os
 import re
-from itertools import chain
 
 import numpy as np
-from tokenizers import Tokenizer
-
-from eventloom.llm.common import per_stage
-
-#: Unicode white space, as the byte-level split sees it.
-_WS = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
-_PIECES = re.compile(
-    f" ?[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]++(?=[ \n,.!?;:|*#%&$)])| ?[^{_WS}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]+")
-_BLANK = re.compile(f"[{_WS}]+")
-
-
-class _Table(dict):
-    """Piece -> number; an unknown piece gets the next number and waits to be encoded."""
-
-    def __init__(self) -> None:
-        super().__init__()
-        self.waiting: list[str] = []
-
-    def __missing__(self, piece: str) -> int:
-        self[piece] = number = len(self)
-        self.waiting.append(piece)
-        return number
+import pyarrow as pa
+from tokenizers import Tokenizer, pre_tokenizers
+
+from eventloom.llm.common import per_stage, text_bytes
+from eventloom.llm.pieces import SPACE, PieceTable, kind_changes, kinds, per_text
+
+# A Spark task has one core.
+os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+
+#: Pieces that the split leaves whole: letters, digits or signs, after a blank or not.
+_WHOLE = re.compile(rb" ?(?:(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+|[0-9]+|[!-&(-/:-@\[-`{-~]+)")
+
+#: White space beyond ASCII, in UTF-8, by the first byte.
+_WIDE = {0xC2: [b"\xc2\x85", b"\xc2\xa0"], 0xE1: [" ".encode()],
+         0xE2: [chr(c).encode() for c in [*range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F]], 0xE3: ["　".encode()]}
+
+
+def byte_letters() -> dict[int, str]:
+    """The letters that stand for bytes in a byte-level vocabulary: printable Latin-1 for
+    itself, the other bytes in order from U+0100."""
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in set(own)]
+    return {b: chr(b) for b in own} | {b: chr(256 + k) for k, b in enumerate(rest)}
+
+
+def _white(data: np.ndarray, kind: np.ndarray) -> np.ndarray:
+    """The length of the white space character that ends at each byte, 0 elsewhere, and -1 at
+    its earlier bytes."""
+    out = (kind == SPACE).astype(np.int8)
+    for lead, forms in _WIDE.items():
+        at = np.flatnonzero(data == lead)
+        for form in forms if len(at) else ():
+            here = at[at + len(form) <= len(data)]
+            for k, b in enumerate(form):
+                here = here[data[here + k] == b]
+            for k in range(len(form)):
+                out[here + k] = -1
+            out[here + len(form) - 1] = len(form)
+    return out
+
+
+def borders(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Whether a piece begins at each byte of the texts that start at ``offsets`` (and end at its last)."""
+    kind = kinds(data)
+    begins = kind_changes(kind)
+    edge = np.zeros(len(data) + 1, dtype=bool)
+    edge[offsets] = True
+    white = _white(data, kind)
+    inside = white != 0
+    before = np.concatenate(([False], inside[:-1]))
+    begins |= edge[:-1] | (inside & ~before)
+    last = np.flatnonzero(inside & (edge[1:] | ~np.append(inside[1:], False)))
+    last = last[~edge[last + 1]]
+    begins[last + 1 - white[last]] = True
+    begins[last[data[last] != 32] + 1] = True
+    return begins
 
 
 class WordBpe:
@@ -54,93 +87,76 @@ class WordBpe:
         if any(t.lstrip or t.rstrip or t.single_word for t in added):
             raise ValueError(f"{path} has added tokens that take white space or stand as single words only")
         # The longest first, as the library takes the leftmost longest.
-        self.added = re.compile("(" + "|".join(re.escape(c) for c in sorted((t.content for t in added), key=len, reverse=True)) + ")") if added else None
-        self.max_words, self.max_chars = max_words, max_chars
+        self.added = re.compile(b"|".join(re.escape(c) for c in sorted((t.content.encode() for t in added), key=len, reverse=True))) if added else None
         (self.newline,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
-        self._clear()
-
-    def _clear(self) -> None:
-        self.table = _Table()
-        self.ids = np.empty(1 << 20, dtype=np.int32)
-        self.used = self.chars = 0
-        self.start = np.zeros(1, dtype=np.int64)
-        self.uses = np.zeros(0, dtype=np.int64)
-
-    def _shrink(self) -> None:
-        """Keep the pieces used more than once, at most half a table of the most used."""
-        pieces, ids, start, uses = list(self.table), self.ids, self.start, self.uses
-        keep = np.argsort(-uses, kind="stable")[:self.max_words // 2]
-        keep = np.sort(keep[uses[keep] > 1])
-        kept = [pieces[i] for i in keep.tolist()]
-        self._clear()
-        if sum(map(len, kept)) > self.max_chars // 2:
-            return
-        self.table.update(zip(kept, range(len(kept))))
-        size = start[keep + 1] - start[keep]
-        ends = np.cumsum(size)
-        self._store(ids[np.repeat(start[keep] - (ends - size), size) + np.arange(int(size.sum()))], size)
-        self.chars = sum(map(len, kept))
-        self.uses = np.zeros(len(kept), dtype=np.int64)
-
-    def _encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Flat ids and the number of ids of each piece.  Pieces without white space but
-        a leading blank go as lines of one text; the ids of line ends part them again."""
-        out: list[np.ndarray | None] = [None] * len(pieces)
-        alone = [i for i, p in enumerate(pieces) if _BLANK.fullmatch(p)]
-        lines = [i for i, p in enumerate(pieces) if not _BLANK.fullmatch(p)]
-        groups = [lines[at:at + 1000] for at in range(0, len(lines), 1000)]
-        joined = self.tokenizer.encode_batch_fast(["\n".join([pieces[i] for i in g]) for g in groups], add_special_tokens=False)
+        # The same model for words that are split already and written in the vocabulary's letters.
+        self.words = Tokenizer.from_file(path)
+        self.words.pre_tokenizer = pre_tokenizers.CharDelimiterSplit("\n")
+        self.letter_count = np.zeros(max(self.words.get_vocab().values()) + 1, dtype=np.int64)
+        for token, i in self.words.get_vocab(with_added_tokens=False).items():
+            self.letter_count[i] = len(token)
+        self.letters = str.maketrans({chr(b): c for b, c in byte_letters().items() if b != 10})
+        self.table = PieceTable(self._encode_pieces, max_words, max_chars)
+
+    def _encode_pieces(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Words as the split leaves them go to the model in lists; other pieces without white
+        space but a leading blank as lines of one text, whose line ends part their ids
+        again; white space alone and added tokens by themselves."""
+        whole = [i for i, p in enumerate(pieces) if _WHOLE.fullmatch(p)]
+        others = sorted(set(range(len(pieces))).difference(whole))
+        text = {i: pieces[i].decode("utf-8", "surrogatepass") for i in others}
+        lines = [i for i in others if not text[i].isspace() and not (self.added and self.added.search(pieces[i]))]
+        apart = set(others).difference(lines)
+        size = np.zeros(len(pieces), dtype=np.int64)
+        found: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def thousands(of: list[int]) -> list[list[int]]:
+            return [of[at:at + 1000] for at in range(0, len(of), 1000)]
+
+        groups = thousands(whole)
+        listed = self.words.encode_batch_fast(
+            [b"\n".join([pieces[i] for i in g]).decode("latin-1").translate(self.letters) for g in groups], add_special_tokens=False)
+        for g, e in zip(groups, listed):
+            ids = np.array(e.ids, dtype=np.int32)
+            ends = np.cumsum([len(pieces[i]) for i in g])
+            size[g] = np.diff(np.searchsorted(np.cumsum(self.letter_count[ids]), ends, side="right"), prepend=0)
+            found.append((np.array(g), ids))
+        groups = thousands(lines)
+        joined = self.tokenizer.encode_batch_fast(["\n".join([text[i] for i in g]) for g in groups], add_special_tokens=False)
         for g, e in zip(groups, joined):
             ids = np.array(e.ids, dtype=np.int32)
             cuts = np.flatnonzero(ids == self.newline)
             if len(cuts) != len(g) - 1:
-                alone += g
+                apart.update(g)
                 continue
-            for i, lo, hi in zip(g, [0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)]):
-                out[i] = ids[lo:hi]
-        for i, e in zip(alone, self.tokenizer.encode_batch_fast([pieces[i] for i in alone], add_special_tokens=False)):
-            out[i] = np.array(e.ids, dtype=np.int32)
-        size = np.fromiter(map(len, out), np.int64, len(out))
-        return (np.concatenate(out) if out else np.empty(0, np.int32)), size
-
-    def _learn(self) -> None:
-        pieces, self.table.waiting = self.table.waiting, []
-        if not pieces:
-            return
-        self._store(*self._encode_pieces(pieces))
-        self.chars += sum(map(len, pieces))
-
-    def _store(self, flat: np.ndarray, size: np.ndarray) -> None:
-        while self.used + len(flat) > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
-        self.ids[self.used:self.used + len(flat)] = flat
-        self.start = np.concatenate([self.start, self.used + np.cumsum(size)])
-        self.used += len(flat)
-
-    def _pieces(self, text: str) -> list[str]:
-        """Pieces and added tokens; no other piece can equal one of these."""
-        if self.added is None or not self.added.search(text):
-            return _PIECES.findall(text)
-        return list(chain.from_iterable(
-            [part] if i % 2 else _PIECES.findall(part) for i, part in enumerate(self.added.split(text))))
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+            size[g] = np.diff(np.concatenate(([-1], cuts, [len(ids)]))) - 1
+            found.append((np.array(g), np.delete(ids, cuts)))
+        rest = sorted(apart)
+        alone = self.tokenizer.encode_batch_fast([text[i] for i in rest], add_special_tokens=False)
+        size[rest] = [len(e.ids) for e in alone]
+        found.append((np.array(rest, dtype=np.int64), np.array([i for e in alone for i in e.ids], dtype=np.int32)))
+        flat = np.empty(int(size.sum()), dtype=np.int32)
+        first = np.cumsum(size) - size
+        for which, ids in found:
+            n = size[which]
+            flat[np.repeat(first[which] - (np.cumsum(n) - n), n) + np.arange(len(ids))] = ids
+        return flat, size
+
+    def encode(self, texts: list[str] | pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other (int32), and the number of ids of each."""
-        if len(self.table) > self.max_words or self.chars > self.max_chars:
-            self._shrink()
-        pieces = [self._pieces(t) for t in texts]
-        count = np.fromiter(map(len, pieces), np.int64, len(pieces))
-        number = np.fromiter(map(self.table.__getitem__, chain.from_iterable(pieces)), np.int64, int(count.sum()))
-        self._learn()
-        uses = np.bincount(number, minlength=len(self.table))
-        uses[:len(self.uses)] += self.uses
-        self.uses = uses
-        first, size = self.start[number], self.start[number + 1] - self.start[number]
-        ends = np.cumsum(size)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = self.ids[np.repeat(first - (ends - size), size) + np.arange(total)]
-        bound = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(count)))]
-        return ids, np.diff(bound)
+        values = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string())
+        raw, offsets = text_bytes(values)
+        data = np.frombuffer(raw, dtype=np.uint8)
+        edges, marks = offsets, []
+        if self.added is not None and self.added.search(raw):
+            bounds = offsets.tolist()
+            marks = [(a + m.start(), a + m.end()) for a, b in zip(bounds, bounds[1:]) for m in self.added.finditer(raw[a:b])]
+            edges = np.unique(np.concatenate([offsets, np.array(marks, dtype=np.int64).ravel()]))
+        begins = borders(data, edges) if len(data) else np.empty(0, dtype=bool)
+        for a, b in marks:
+            begins[a + 1:b] = False
+        ids, start, size = self.table.encode(data, begins)
+        return ids, per_text(offsets, start, size)
 
 
 def tokenizer(path: str, added_tokens: bool = False) -> WordBpe:

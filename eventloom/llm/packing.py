@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventloom.llm.bpe import append_id, tokenizer
-from eventloom.llm.common import documents, runs, staged, texts
+from eventloom.llm.common import documents, runs, staged
 
 PLAN = "length int, lo long, hi long, each int, first_sequence long, first_offset int"
 
@@ -146,7 +146,7 @@ def pieces_of(docs: DataFrame, tokenizer_path: str, end_id: int = 2, capacity: i
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, part, seen = tokenizer(tokenizer_path, added_tokens), TaskContext.get().partitionId(), np.zeros(capacity + 1, dtype=np.int64)
         for batch in runs(batches, text_col):
-            ids, size = append_id(*bpe.encode(texts(batch, text_col)), end_id)
+            ids, size = append_id(*bpe.encode(batch.column(text_col)), end_id)
             doc, piece, length = cut(size, capacity)
             at = np.concatenate(([0], np.cumsum(length)))
             raw = memoryview(ids.astype("<i4", copy=False)).cast("B")

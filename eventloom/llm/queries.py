@@ -8,11 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm import decontam, hnsw, langid, licenses, line_crf, packing, secrets, simhash, token_files, warc
+from eventloom.llm import (
+    alignment, decontam, hnsw, langid, licenses, line_crf, minhash, packing, secrets, simhash, spelling, token_files, warc)
 from eventloom.session import scratch_path
 
-#: The installed public vocabulary; every operator takes the path as a parameter.
+#: The installed public vocabularies; every operator takes their paths as parameters.
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_TOKENIZER = public_tokenizers.path("piece_bpe_32k.model")
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -69,6 +71,18 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(table(spark, sf_dir, "documents")))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op12_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignments(table(spark, sf_dir, "documents"), TOKENIZER, PIECE_TOKENIZER)
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_files": op1_token_files,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
@@ -80,4 +94,7 @@ QUERIES: dict[str, Query] = {
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_secret_scans": op10_secret_scans,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_minhash_near_dedup": op12_minhash_near_dedup,
+    "op13_tokenizer_alignment": op13_tokenizer_alignment,
 }

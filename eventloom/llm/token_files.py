@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventloom.llm.bpe import append_id, tokenizer
-from eventloom.llm.common import documents, runs, texts
+from eventloom.llm.common import documents, runs
 
 
 def _lists(ids: np.ndarray, size: np.ndarray) -> pa.Array:
@@ -48,7 +48,7 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 0, id_c
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, file_no, done = tokenizer(tokenizer_path, added_tokens), TaskContext.get().partitionId(), 0
         for batch in runs(batches, text_col):
-            ids, size = append_id(*bpe.encode(texts(batch, text_col)), end_id)
+            ids, size = append_id(*bpe.encode(batch.column(text_col)), end_id)
             ends = done + np.cumsum(size)
             done = int(ends[-1])
             yield pa.RecordBatch.from_arrays(
