@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventloom import streaming as stream
+from eventloom.streaming import keyed
 from eventloom.functions import hours as H
 from eventloom.functions.keys import email_domain, surrogate_key
 from eventloom.operators import coverage as cov
@@ -26,6 +27,7 @@ from eventloom.operators import dimensions as dims
 from eventloom.operators import facts
 from eventloom.operators import incremental as inc
 from eventloom.operators import quality
+from eventloom.operators.keyed_table import KeyedTable
 from eventloom.operators.staging import parse_events, staging_as_text, with_property_keys
 from eventloom.plans import dag
 from eventloom.session import scratch_path
@@ -358,14 +360,38 @@ def _dated(df: DataFrame) -> DataFrame:
 
 @query
 def q_events_incremental_table(w):
-    """Same load against a Parquet table partitioned by event date: only the
-    partitions the increment touches are rewritten."""
+    """Same load into a versioned table partitioned by event date: key filters name the
+    partitions to search, and only those that the increment touches are rewritten."""
     usr = w.users()
-    path = scratch_path(w.spark, "events-table")
-    inc.upsert(w.spark, path, _dated(facts.events(_seed_split(w.stg), usr)), "event_id", "event_date")
-    new_rows = inc.since_high_water_mark(w.stg, w.spark.read.parquet(path))
-    inc.upsert(w.spark, path, _dated(facts.events(new_rows, usr)), "event_id", "event_date")
-    return w.spark.read.parquet(path).drop("event_date")
+    out = KeyedTable(w.spark, scratch_path(w.spark, "events-table"), "event_id", "event_date")
+    out.upsert(_dated(facts.events(_seed_split(w.stg), usr)))
+    new_rows = inc.since_high_water_mark(w.stg, out.read())
+    out.upsert(_dated(facts.events(new_rows, usr)))
+    return out.read().drop("event_date")
+
+
+@query
+def q_events_moved_keys(w):
+    """Every third event is first stored under a date some days off, or none; its
+    true row is upserted in the second load and leaves no other copy behind."""
+    ev = w.written("events-model", lambda: _dated(facts.events(w.stg, w.users())))
+    off = F.pmod(F.xxhash64("event_id"), F.lit(3)) == 0
+    wrong = F.when(F.pmod(F.xxhash64("event_id"), F.lit(2)) == 0, F.date_add("event_date", 3))
+    out = KeyedTable(w.spark, scratch_path(w.spark, "events-moved"), "event_id", "event_date")
+    out.upsert(ev.where(~off).unionByName(ev.where(off).withColumn("event_date", wrong)))
+    out.upsert(ev.where(off))
+    return out.read().drop("event_date")
+
+
+@query
+def q_events_table_version(w):
+    """A table after two loads, read as its first load left it."""
+    ev = w.written("events-model", lambda: _dated(facts.events(w.stg, w.users())))
+    out = KeyedTable(w.spark, scratch_path(w.spark, "events-versions"), "event_id", "event_date")
+    out.upsert(ev)
+    out.upsert(ev.where(F.pmod(F.xxhash64("event_id"), F.lit(5)) == 0).withColumn("company_name", F.lit("changed")))
+    out.vacuum(keep=2)
+    return out.read(version=1).drop("event_date")
 
 
 @query
@@ -379,26 +405,34 @@ def q_events_upsert_null_time(w):
     return w.spark.read.parquet(path).drop("event_date")
 
 
-def _sessions_incremental(mode):
-    def step(w):
-        timed = w.stg.where(F.col("event_time").isNotNull())
-        seed = w.written("sessions-seed", lambda: facts.sessions(_seed_split(timed)))
-        new_rows = inc.since_high_water_mark(timed, seed, target_ts="session_end")
-        return inc.upsert_frames(seed, inc.merge_sessions(seed, new_rows, mode), "session_id")
-    return step
+@query
+def q_sessions_incremental_merge(w):
+    """Partials merged over the mark; sessions with events without a time, which lie on
+    no side of it, are rebuilt."""
+    seed = w.written("sessions-seed", lambda: facts.sessions(_seed_split(w.stg)))
+    return inc.upsert_frames(seed, inc.merge_or_rebuild_sessions(seed, w.stg), "session_id")
 
 
-query(_sessions_incremental("merge_partials"), "sessions_incremental_merge")
-query(_sessions_incremental("overwrite"), "sessions_incremental_overwrite")
+@query
+def q_sessions_incremental_overwrite(w):
+    """The warehouse's load: a comparison with the mark, which rows without a time never
+    pass, and sessions replaced by the aggregate of their new rows."""
+    seed = w.written("sessions-seed", lambda: facts.sessions(_seed_split(w.stg)))
+    new_rows = inc.since_high_water_mark(w.stg, seed, target_ts="session_end", untimed=False)
+    return inc.upsert_frames(seed, inc.merge_sessions(seed, new_rows, "overwrite"), "session_id")
 
 
 @query
 def q_sessions_merge_null_user(w):
-    """Sessions of unknown users only, merged over the mark: their key is NULL."""
-    unknown = w.stg.where(F.col("amplitude_id").isNull() & F.col("event_time").isNotNull())
-    seed = w.written("unknown-seed", lambda: facts.sessions(_seed_split(unknown)))
-    new_rows = inc.since_high_water_mark(unknown, seed, target_ts="session_end")
-    return inc.upsert_frames(seed, inc.merge_sessions(seed, new_rows), "session_id")
+    """All sessions, where those of unknown users, whose key is NULL, are first stored up to
+    the mark and then merged with the rest of their events."""
+    unknown = F.col("amplitude_id").isNull()
+    first = _seed_split(w.stg.where(unknown)).unionByName(w.stg.where(~unknown))
+    seed = w.written("unknown-seed", lambda: facts.sessions(first))
+    later = inc.since_high_water_mark(w.stg.where(unknown), facts.sessions(_seed_split(w.stg.where(unknown))), target_ts="session_end", untimed=False)
+    rows, untimed = facts.session_rows(w.stg), facts.session_rows(w.stg).where("event_time is null")
+    merged = inc.merge_sessions(seed, inc.matching(later, untimed.select(*facts.SESSION_KEYS).distinct(), facts.SESSION_KEYS, "left_anti"))
+    return inc.upsert_frames(seed, merged.unionByName(inc.rebuild_sessions(rows, untimed, seed)), "session_id")
 
 
 @query
@@ -444,11 +478,10 @@ def q_schema_sync(w):
     still has a dropped column, and counts in another type; the increment is
     the warehouse's (``overwrite``)."""
     out = scratch_path(w.spark, "schema-sync")
-    timed = w.written("timed", lambda: w.stg.where(F.col("event_time").isNotNull()))
-    stored = (facts.sessions(_seed_split(timed)).drop("location_id").withColumn("legacy_channel", F.lit("web"))
+    stored = (facts.sessions(_seed_split(w.stg)).drop("location_id").withColumn("legacy_channel", F.lit("web"))
               .withColumns({"event_count": F.col("event_count").cast("int"), "session_date": F.to_date("session_start")}))
     inc.replace_table(stored, f"{out}/sessions", "session_date")
-    t = dag.run(w.spark, out, inputs={"stg_events": timed}, models=["sessions"], session_mode="overwrite")
+    t = dag.run(w.spark, out, inputs={"stg_events": w.stg}, models=["sessions"], session_mode="overwrite")
     return t["sessions"].drop("session_date")
 
 
@@ -505,36 +538,33 @@ def q_archive_unpack(w):
 
 
 def _dedupe(w, first, second, files=None):
-    """Two landings, streamed one after the other through one checkpoint;
-    (kept, late) as written."""
-    path = scratch_path(w.spark, "stream-dedupe-src")
-    sink, late, ckpt = (scratch_path(w.spark, n) for n in ("stream-dedupe", "stream-dedupe-late", "stream-dedupe-ckpt"))
+    """Two landings, streamed one after the other through one checkpoint; the rows kept,
+    with whether they came late."""
+    path, out, ckpt = (scratch_path(w.spark, n) for n in ("stream-dedupe-src", "stream-dedupe", "stream-dedupe-ckpt"))
     for part in (first, second):
         land.land_hours(part, path)
         src = stream.stream_staging(w.spark, path, max_files_per_trigger=files)
-        stream.start_dedupe(src, sink, late, ckpt).awaitTermination()
+        keyed.start_dedupe(src, out, ckpt).awaitTermination()
     columns = ["uuid", "amplitude_id", "event_type", "event_id_raw"]
-    none = w.stg.select(*columns).limit(0)
-    return [none if t is None else t.select(*columns) for t in (inc.read_table(w.spark, p) for p in (sink, late))]
+    kept = keyed.unique_table(w.spark, out).read()
+    return w.stg.select(*columns, F.lit(False).alias("late")).limit(0) if kept is None else kept.select(*columns, "late")
 
 
 @query
 def q_stream_dedupe(w):
     raw = land.with_hour_key(w.raw)
-    kept, late = _dedupe(w, _before_mark(raw, True), _before_mark(raw, False))
-    return kept.unionByName(late)
+    return _dedupe(w, _before_mark(raw, True), _before_mark(raw, False)).drop("late")
 
 
 @query
 def q_stream_dedupe_late(w):
-    """Later hours land first: what comes behind the watermark is kept in the
-    side table, and the two tables hold every uuid once."""
+    """Later hours land first: what comes behind the watermark is kept and marked, and the
+    table holds every uuid once."""
     raw = land.with_hour_key(w.raw)
-    kept, late = _dedupe(w, _before_mark(raw, False), _before_mark(raw, True))
-    return kept.withColumn("late", F.lit(False)).unionByName(late.withColumn("late", F.lit(True)))
+    return _dedupe(w, _before_mark(raw, False), _before_mark(raw, True))
 
 
-def _land_and_stream(w, start, parts, files=None, checkpoints=None):
+def _land_and_stream(w, start, table, parts, files=None, checkpoints=None):
     """Land each part, then run the stream over what has landed; several checkpoints
     make it several streams, each over a landing of its own."""
     out = scratch_path(w.spark, "stream-out")
@@ -543,7 +573,7 @@ def _land_and_stream(w, start, parts, files=None, checkpoints=None):
         path, own = (f"{source}-{i}", f"{ckpt}-{i}") if checkpoints else (source, ckpt)
         land.land_hours(part, path)
         start(stream.stream_staging(w.spark, path, max_files_per_trigger=files), out, own).awaitTermination()
-    return w.spark.read.parquet(out)
+    return table(w.spark, out).read()
 
 
 @query
@@ -552,8 +582,8 @@ def q_stream_events_upsert(w):
     land the rest, run it again (several micro-batches); each batch is
     upserted on event_id, latest copy wins."""
     users, raw = w.users(), land.with_hour_key(w.raw)
-    start = lambda src, out, ckpt: stream.start_events_upsert(src, out, ckpt, users)
-    return _land_and_stream(w, start, [_before_mark(raw, True), _before_mark(raw, False)], files=400).drop("event_date")
+    start = lambda src, out, ckpt: keyed.start_events(src, out, ckpt, users)
+    return _land_and_stream(w, start, keyed.events_table, [_before_mark(raw, True), _before_mark(raw, False)], files=400).drop("event_date")
 
 
 @query
@@ -561,19 +591,20 @@ def q_stream_two_checkpoints(w):
     """Two streams, each with its own source and checkpoint, into one table."""
     users, raw = w.users(), land.with_hour_key(w.raw)
     even = F.try_variant_get("json_data", "$.event_id", "bigint") % 2 == 0
-    start = lambda src, out, ckpt: stream.start_events_upsert(src, out, ckpt, users)
-    return _land_and_stream(w, start, [raw.where(even), raw.where(~even)], checkpoints=True).drop("event_date")
+    start = lambda src, out, ckpt: keyed.start_events(src, out, ckpt, users)
+    return _land_and_stream(w, start, keyed.events_table, [raw.where(even), raw.where(~even)], checkpoints=True).drop("event_date")
 
 
 @query
 def q_stream_sessions_upsert(w):
     raw = land.with_hour_key(w.raw)
-    return _land_and_stream(w, stream.start_sessions_upsert, [_before_mark(raw, True), _before_mark(raw, False)]).drop("session_date")
+    return _land_and_stream(w, keyed.start_sessions, keyed.sessions_table,
+                            [_before_mark(raw, True), _before_mark(raw, False)]).drop("session_date")
 
 
 @query
 def q_stream_sessions_out_of_order(w):
     """Later hours land first, and files fall into several micro-batches."""
     raw = land.with_hour_key(w.raw)
-    return _land_and_stream(w, stream.start_sessions_upsert, [_before_mark(raw, False), _before_mark(raw, True)],
-                            files=400).drop("session_date")
+    return _land_and_stream(w, keyed.start_sessions, keyed.sessions_table,
+                            [_before_mark(raw, False), _before_mark(raw, True)], files=400).drop("session_date")

@@ -295,9 +295,8 @@ ORACLE["events_maxby"] = ORACLE["events"]
 # models over the same rows; only the warehouse's "overwrite" differs
 # --------------------------------------------------------------------------
 
-_TIMED = "event_time is not null"
 OVERWRITTEN = (
-    sessions_cte("seed_sessions", f"event_time <= {MARK}"),
+    sessions_cte("seed_sessions", f"(event_time <= {MARK} or event_time is null)"),
     sessions_cte("inc_sessions", "event_time > (select max(session_end) from seed_sessions)"),
 )
 
@@ -309,14 +308,13 @@ union all by name
 select * from inc_sessions""")
 
 
-for _name in ("events_incremental", "events_lookback", "events_incremental_table", "events_upsert_null_time"):
+for _name in ("events_incremental", "events_lookback", "events_incremental_table", "events_upsert_null_time",
+              "events_moved_keys", "events_table_version"):
     ORACLE[_name] = ORACLE["events"]
 for _name in ("sessions_incremental_table", "sessions_lookback", "sessions_incremental_merge_whole",
-              "sessions_merge_whole_late_untimed"):
+              "sessions_merge_whole_late_untimed", "sessions_incremental_merge", "sessions_merge_null_user"):
     ORACLE[_name] = ORACLE["sessions"]
 ORACLE.update({
-    "sessions_incremental_merge": with_ctes(*PRE, sessions_cte(where=_TIMED), body="select * from sessions"),
-    "sessions_merge_null_user": with_ctes(*PRE, sessions_cte(where=f"amplitude_id is null and {_TIMED}"), body="select * from sessions"),
     "sessions_incremental_overwrite": _overwritten("*"),
     "schema_sync": _overwritten("* replace (null::varchar as location_id)"),
 })
