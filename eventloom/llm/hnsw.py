@@ -4,9 +4,11 @@ Equal vectors are collapsed before indexing (with as many of their smallest ids
 as an answer can hold), so that copies neither crowd the graph nor hide each
 other.  Distinct vectors are dealt into shards of about ``shard_size`` by a hash;
 each shard is a group of bounded size and becomes one row of a written table:
-the flat neighbour arrays of its layers beside its vectors.  Queries meet every
-shard in groups of bounded size, and the shards' best answers are merged by
-score and id.
+the flat neighbour arrays of its layers beside its vectors.  A shard then asks
+itself for the neighbours of some of its own vectors and keeps the beam width
+that finds them (all of its nodes, if no width does).  Queries meet every shard
+in groups of bounded size, and the shards' best answers are merged by score and
+id.
 
 Within a shard vectors get one more component that makes their lengths equal,
 which turns the largest inner product into the smallest distance.  A vector's
@@ -31,7 +33,9 @@ from pyspark.sql import functions as F
 
 from eventloom.llm.common import staged
 
-GRAPH = "dim int, shard int, vectors binary, ids array<long>, first array<int>, sizes array<int>, neighbours array<binary>"
+GRAPH = "dim int, shard int, ef int, vectors binary, ids array<long>, first array<int>, sizes array<int>, neighbours array<binary>"
+#: Beam widths tried, vectors asked and neighbours wanted when a shard measures its own recall.
+WIDTHS, ASKED, WANTED = (96, 192, 384, 768), 128, 20
 #: Queries that advance together.
 CHUNK = 256
 
@@ -179,6 +183,24 @@ def build(data: np.ndarray, m: int = 16, ef: int = 64, seed: int = 1) -> tuple[G
     return graph, row
 
 
+def width(graph: Graph, target: float) -> int:
+    """The least beam width whose recall, measured on some of the graph's own vectors against
+    all of it, reaches ``target``; the number of nodes (an exact search) if none does."""
+    n = len(graph.data)
+    asked = graph.data[np.linspace(0, n - 1, min(n, ASKED)).astype(int)].copy()
+    asked[:, -1] = 0  # as queries come: without the component that levels the lengths
+    few = min(WANTED, n)
+    scores = asked @ graph.data.T
+    best = np.argpartition(-scores, few - 1, axis=1)[:, :few]
+    for ef in WIDTHS:
+        if ef >= n:
+            break
+        found = graph.search(asked, ef)[:, :few]
+        if (found[:, :, None] == best[:, None, :]).any(axis=1).mean() >= target:
+            return ef
+    return n
+
+
 def distinct_vectors(rows: DataFrame, keep: int) -> DataFrame:
     """(vector, ids): each distinct vector with its ``keep`` smallest ids, ascending."""
     own = Window.partitionBy("vector").orderBy("id")
@@ -195,8 +217,9 @@ def usable(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
         F.col("id").isNotNull() & F.coalesce(~bad & some, F.lit(False)))
 
 
-def index(vectors: DataFrame, shard_size: int, m: int, ef: int) -> DataFrame:
-    """One row (GRAPH) for each shard of the distinct vectors, written."""
+def index(vectors: DataFrame, shard_size: int, m: int, ef: int, recall: float) -> DataFrame:
+    """One row (GRAPH) for each shard of the distinct vectors, written, with the beam width
+    that a search of the shard needs for ``recall``."""
     shards = max(1, -(-vectors.count() // shard_size))
 
     def run(table: pa.Table) -> pa.Table:
@@ -208,7 +231,8 @@ def index(vectors: DataFrame, shard_size: int, m: int, ef: int) -> DataFrame:
         row = [order[i] for i in row]
         ids = [ids[i] for i in row]
         return pa.table({
-            "dim": pa.array([dim], pa.int32()), "shard": pa.array([shard], pa.int32()), "vectors": pa.array([raw[row].tobytes()], pa.binary()),
+            "dim": pa.array([dim], pa.int32()), "shard": pa.array([shard], pa.int32()),
+            "ef": pa.array([width(graph, recall)], pa.int32()), "vectors": pa.array([raw[row].tobytes()], pa.binary()),
             "ids": pa.array([[i for x in ids for i in x]], pa.list_(pa.int64())),
             "first": pa.array([np.cumsum([0, *map(len, ids)]).tolist()], pa.list_(pa.int32())),
             "sizes": pa.array([[len(x) for x in graph.layers]], pa.list_(pa.int32())),
@@ -218,15 +242,25 @@ def index(vectors: DataFrame, shard_size: int, m: int, ef: int) -> DataFrame:
     return staged(dealt.groupBy("dim", "shard").applyInArrow(run, GRAPH), "hnsw")
 
 
-def _answers(graph_row: dict, queries: np.ndarray, keep: int, m: int, ef: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each query at most ``keep`` ids of a shard, by falling score and rising id: (query, id, score)."""
+def unpacked(graph_row: dict) -> tuple[Graph, np.ndarray, np.ndarray, np.ndarray]:
+    """A shard's graph, its vectors, and the ids of each node with where they start."""
     dim = graph_row["dim"]
     raw = np.frombuffer(graph_row["vectors"], dtype=np.float64).reshape(-1, dim)
     layers = [np.frombuffer(b, dtype=np.int32).reshape(s, -1) for s, b in zip(graph_row["sizes"], graph_row["neighbours"])]
-    graph = Graph(level(raw), layers)
-    ids, first = np.array(graph_row["ids"], dtype=np.int64), np.array(graph_row["first"], dtype=np.int64)
+    return Graph(level(raw), layers), raw, np.array(graph_row["ids"], dtype=np.int64), np.array(graph_row["first"], dtype=np.int64)
+
+
+def _answers(shard: tuple[Graph, np.ndarray, np.ndarray, np.ndarray], queries: np.ndarray, keep: int,
+             ef: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each query at most ``keep`` ids of a shard, by falling score and rising id: (query, id, score)."""
+    graph, raw, ids, first = shard
     scale = np.sqrt(np.einsum("qd,qd->q", queries, queries))[:, None]
-    found = graph.search(np.column_stack([queries / scale, np.zeros(len(queries))]).astype(np.float32), max(ef, keep))
+    asked = np.column_stack([queries / scale, np.zeros(len(queries))]).astype(np.float32)
+    if max(ef, keep) < len(raw):
+        found = graph.search(asked, max(ef, keep))
+    else:
+        few = min(len(raw), 2 * keep)  # more than are kept, as these scores are rounded
+        found = np.argpartition(-(asked @ graph.data.T), few - 1, axis=1)[:, :few]
     who, node = np.nonzero(found >= 0)
     node = found[who, node]
     score = np.concatenate([np.einsum("nd,nd->n", queries[who[a:a + 4096]], raw[node[a:a + 4096]]) for a in range(0, len(who), 4096)] or [np.empty(0)])
@@ -240,11 +274,13 @@ def _answers(graph_row: dict, queries: np.ndarray, keep: int, m: int, ef: int) -
 
 
 def search(df: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", shard_size: int = 8192,
-           m: int = 16, ef_build: int = 64, ef_search: int = 96, group: int = 1024) -> DataFrame:
-    """The ``k`` nearest rows found for each row where ``is_query`` holds: query_id, rank, vec_id, score."""
+           m: int = 16, ef_build: int = 64, recall: float = 0.97, group: int = 16384) -> DataFrame:
+    """The ``k`` nearest rows found for each row where ``is_query`` holds: query_id, rank, vec_id, score.
+    Each shard is searched as wide as it measured to need for ``recall``.  Queries go to every
+    shard; a shard is repeated only for each ``group`` of queries."""
     rows = usable(df.select(F.col(f"`{id_col}`"), F.col(f"`{vector_col}`"), F.coalesce(is_query, F.lit(False)).alias("__query")), id_col, vector_col)
     vectors = staged(distinct_vectors(rows, k + 1), "vectors")
-    graphs = index(vectors, shard_size, m, ef_build)
+    graphs = index(vectors, shard_size, m, ef_build, recall)
     asked = rows.where("__query").select("id", "vector").distinct()
     named = staged(asked.join(vectors, "vector").select(F.col("id").alias("query_id"), F.col("ids")[0].alias("key"), "vector"), "queries")
     keys = named.select("key", "vector").distinct()
@@ -259,8 +295,11 @@ def search(df: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id",
             return pa.table({"key": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
         graph_row = left.slice(0, 1).to_pylist()[0]
         queries = np.array(right["vector"].combine_chunks().flatten(), dtype=np.float64).reshape(len(right), -1)
-        who, own, score = _answers(graph_row, queries, k + 1, m, ef_search)
-        return pa.table({"key": right["key"].combine_chunks().take(pa.array(who)), "vec_id": pa.array(own), "score": pa.array(score)})
+        keys, shard, parts = right["key"].combine_chunks(), unpacked(graph_row), []
+        for at in range(0, len(queries), 2 * CHUNK):
+            who, own, score = _answers(shard, queries[at:at + 2 * CHUNK], k + 1, graph_row["ef"])
+            parts.append(pa.table({"key": keys.take(pa.array(who + at)), "vec_id": pa.array(own), "score": pa.array(score)}))
+        return pa.concat_tables(parts)
 
     by = ["dim", "shard", "part"]
     found = indexes.groupBy(*by).cogroup(met.groupBy(*by)).applyInArrow(run, "key long, vec_id long, score double")

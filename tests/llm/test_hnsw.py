@@ -85,3 +85,32 @@ def test_graph_is_flat_and_layered():
         assert layer.max() < len(layer) and all(len(set(x[x >= 0])) == (x >= 0).sum() for x in layer)
     found = graph.search(graph.data, 8)
     assert (found[:, 0] == np.arange(3000)).mean() > 0.99
+
+
+def test_recall_with_production_parameters_over_three_shards():
+    """Shards of 8,192 clustered, and of Gaussian, vectors: each finds the width it needs."""
+    rng = np.random.default_rng(11)
+    centres = rng.normal(size=(200, 64)) * 3
+    clustered = centres[rng.integers(0, 200, 3 * 8192)] + rng.normal(size=(3 * 8192, 64))
+    for data, queries in ((clustered, clustered[::200]), (rng.normal(size=(3 * 8192, 64)), rng.normal(size=(120, 64)))):
+        best = np.argsort(-(queries @ data.T), axis=1)[:, :20]
+        found = [[] for _ in queries]
+        for s in range(3):
+            part = np.ascontiguousarray(data[s * 8192:(s + 1) * 8192])
+            graph, row = hnsw.build(hnsw.level(part))
+            shard = (graph, part[row], row + s * 8192, np.arange(8193))
+            who, own, score = hnsw._answers(shard, queries, 20, hnsw.width(graph, 0.97))
+            for q, i, v in zip(who, own, score):
+                found[q].append((-v, i))
+        assert np.mean([len({i for _, i in sorted(f)[:20]} & set(b)) / 20 for f, b in zip(found, best.tolist())]) > 0.93
+
+
+def test_a_shard_without_a_wide_enough_beam_is_searched_whole(monkeypatch):
+    data = hnsw.level(np.random.default_rng(3).normal(size=(500, 16)))
+    graph, row = hnsw.build(data)
+    assert hnsw.width(graph, 1.1) == 500
+    raw = np.random.default_rng(3).normal(size=(500, 16))[row]
+    queries = np.random.default_rng(4).normal(size=(30, 16))
+    who, own, _ = hnsw._answers((graph, raw, row, np.arange(501)), queries, 10, 500)
+    want = np.argsort(-(queries @ raw.T), axis=1)[:, :10]
+    assert sorted(zip(who, own)) == sorted((q, row[i]) for q, w in enumerate(want) for i in w)
