@@ -46,6 +46,18 @@ def documents(docs: DataFrame, *columns: str) -> DataFrame:
     return docs.select(*[F.col(f"`{c}`") for c in columns])
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, each made longer until no column of ``df`` has it (in any case of letters)."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def crc_mod4(doc_id: Column) -> Column:
     """crc32 of the id as text, modulo 4 (NULL id: NULL)."""
     return F.crc32(doc_id.cast("string").cast("binary")) % 4

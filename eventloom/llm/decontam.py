@@ -11,7 +11,9 @@
 3. Smith-Waterman over words scores each (passage, item); the best score for a
    text and item, divided by that of the whole item, is ``similarity``.  A text
    is contaminated from ``min_similarity`` on, if at least ``min_words`` words (or the
-   whole item, if shorter) are equal.
+   whole item, if shorter) are equal.  A part of a long item counts too, whatever its
+   share of the item: ``long_words`` or more words that score ``LONG_RATE`` each (about
+   four in five equal).
 
 Passages are keyed by the MD5 of their document's text, so copies of a
 document are aligned once.
@@ -20,7 +22,9 @@ Words are runs of letters, digits and non-ASCII characters after lower-casing.
 Defined cases: NULL and empty texts and items have no words and never match,
 nor does an item of fewer words than a seed; items repeated under one id are
 aligned each and the best counts; NULL ids are kept; rows that repeat both id
-and text are reported once; other columns are not looked at.
+and text are reported once; texts of any length are searched whole, by passages; an
+empty table of documents or items gives an empty result; other columns, whatever their
+names, stay as they are.
 """
 
 from __future__ import annotations
@@ -35,11 +39,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import WORD_BYTES, documents, gram_hashes, runs, staged, text_bytes, word_hashes, word_spans
+from eventloom.llm.common import WORD_BYTES, documents, gram_hashes, runs, staged, text_bytes, unused, word_hashes, word_spans
 
 #: Bits of a membership map (8 MB), whatever is put in.
 BITS = 1 << 26
 MATCH, MISMATCH, GAP = 2, -1, 1
+#: Of a long part of an item: the least score for each word spanned, over that of an equal word.
+LONG_RATE = 0.7
 
 
 def _words(column: pa.Array) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -171,7 +177,7 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int]:
     return best, end
 
 
-def _aligned(min_similarity: float, min_words: int):
+def _aligned(min_similarity: float, min_words: int, long_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple] = []
@@ -180,11 +186,18 @@ def _aligned(min_similarity: float, min_words: int):
                 starts, ends, _ = word_spans(data, np.array([0, len(data)]))
                 found, item = word_hashes(data, starts, ends).view(np.int64), np.array(words, dtype=np.int64)
                 score, end = align(item, found)
-                if score < min_similarity * MATCH * len(item) or not end:
+                whole = score >= min_similarity * MATCH * len(item)
+                if not end or not (whole or score >= LONG_RATE * MATCH * long_words):
                     continue
                 back, length = align(item[::-1], found[:end][::-1])
                 part = found[end - length:end]
-                if len(np.intersect1d(part, item)) and np.isin(part, item).sum() >= min(min_words, len(item)):
+                if not whole:
+                    # Part of a long item: judged by the words it spans in the item and in the text.
+                    _, stop = align(part, item)
+                    _, of_item = align(part[::-1], item[:stop][::-1])
+                    span = max(of_item, length)
+                    whole = span >= long_words and score >= LONG_RATE * MATCH * span
+                if whole and np.isin(part, item).sum() >= min(min_words, len(item)):
                     out.append((key, number, score / (MATCH * len(item)), base + end - length, base + end - 1))
             if out:
                 columns = list(zip(*out))
@@ -197,7 +210,7 @@ def _aligned(min_similarity: float, min_words: int):
 
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id",
           item_text_col: str = "text", n: int = 3, max_seed_rate: float = 1e-8, min_similarity: float = 0.5,
-          min_words: int = 8) -> tuple[DataFrame, DataFrame]:
+          min_words: int = 8, long_words: int = 30) -> tuple[DataFrame, DataFrame]:
     """(text_key, item_id, similarity, first_word, last_word) for contaminated texts, the best
     alignment for each item, and (id, text_key) of the documents with candidate passages."""
     items = items_of(benchmark, n, item_id_col, item_text_col)
@@ -210,7 +223,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
              .select("text_key", "first_word", "item").distinct())
     both = (pairs.join(own.drop("seeds"), ["text_key", "first_word"]).join(items.select("item", "words"), "item")
             .select("text_key", "first_word", "passage", "item", "words"))
-    found = both.mapInArrow(_aligned(min_similarity, min_words),
+    found = both.mapInArrow(_aligned(min_similarity, min_words, long_words),
                             "text_key string, item long, similarity double, first_word int, last_word int")
     best = (found.join(items.select("item", F.col("id").alias("item_id")), "item").groupBy("text_key", "item_id")
             .agg(F.max(F.struct("similarity", F.negative("first_word").alias("back"), "last_word")).alias("b"))
@@ -230,5 +243,6 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     """The documents whose text contains no test item; columns and rows stay as they are."""
     best, _ = leaks(docs, benchmark, id_col, text_col, **options)
     gone = staged(best.select("text_key").distinct(), "leaks")
-    return docs.withColumn("__key", F.md5(F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("binary"))).join(
-        gone.withColumnRenamed("text_key", "__key"), "__key", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    (key,) = unused(docs, "__key")
+    return docs.withColumn(key, F.md5(F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("binary"))).join(
+        gone.withColumnRenamed("text_key", key), key, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

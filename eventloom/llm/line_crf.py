@@ -8,13 +8,15 @@ document's score.
 
 Only documents carry labels, so in training every line has its document's.
 The model is fitted on a bounded sample: at most ``max_rows`` labelled rows, those
-with the smallest hash of text and id, and of each at most ``max_lines`` lines.
-Scoring reads every line of every text.
+with the smallest hash of text and id, with all their lines.  Scoring reads every
+line of every text.
 
 Defined cases: a text always has a line (NULL and empty texts one empty line);
 without any usable label the score is 0.5 everywhere; a label of a repeated id
 counts for each row with that id, a NULL label or id never; NULL ids are scored
-and are not held out.  Other columns are not looked at.
+and are not held out; repeated rows are scored each for itself; texts of any
+length are read whole; an empty table gives an empty result.  Other columns,
+whatever their names, are not looked at.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventloom.llm.common import WORD_BYTES, crc_mod4, documents, runs, text_bytes, word_hashes, word_spans
+from eventloom.llm.common import WORD_BYTES, crc_mod4, documents, runs, text_bytes, unused, word_hashes, word_spans
 
 #: Byte classes: 0 lower case, 1 upper case, 2 digit, 3 blank, 4 sentence sign, 5 other sign, 6 non-ASCII.
 CLASSES = np.array([
@@ -144,7 +146,7 @@ def fit(x: np.ndarray, first: np.ndarray, label: np.ndarray, steps: int = 200, r
 
 
 def train(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str = "text",
-          label_col: str = "quality", max_rows: int = 3000, max_lines: int = 60) -> Model:
+          label_col: str = "quality", max_rows: int = 3000) -> Model:
     """Fit on at most ``max_rows`` rows of ``docs`` whose label is 0 or 1 and for which ``usable`` holds."""
     known = labels.select(F.col(id_col).alias("__label_id"), F.col(label_col).alias("__label")).where("__label in (0, 1)").distinct()
     own = documents(docs, id_col, text_col).where(usable)
@@ -156,7 +158,7 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in runs(batches, text_col):
             x, _, first = line_features(batch.column(text_col))
-            size = np.minimum(np.diff(np.concatenate([first, [len(x)]])), max_lines)
+            size = np.diff(np.concatenate([first, [len(x)]]))
             own = [x[a:a + n].astype(np.float32).ravel() for a, n in zip(first, size)]
             yield pa.RecordBatch.from_arrays([batch.column("__label"), batch.column("__rank"), pa.array(own, pa.list_(pa.float32()))], names=["label", "rank", "x"])
 
@@ -190,7 +192,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", name: str = "sc
 def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = 0.7) -> DataFrame:
     """One row per document: the id, held_out, score and predicted (1 from ``least`` on)."""
     model = train(docs, labels, learnable(id_col), id_col, text_col)
-    scored = score(documents(docs, id_col, text_col), model, text_col, "__score")
+    scored = score(documents(docs, id_col, text_col), model, text_col, "__score")  # of two columns only
     return scored.select(id_col, F.coalesce(crc_mod4(F.col(id_col)) == 2, F.lit(False)).alias("held_out"),
                          F.col("__score").alias("score"), (F.col("__score") >= least).cast("int").alias("predicted"))
 
@@ -198,4 +200,5 @@ def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = 0.7) -> DataFrame:
     """The documents that are not rejected; columns stay as they are."""
     model = train(docs, labels, learnable(id_col), id_col, text_col)
-    return score(docs, model, text_col, "__score", least).drop("__score")
+    (name,) = unused(docs, "__score")
+    return score(docs, model, text_col, name, least).drop(name)

@@ -20,7 +20,9 @@ that join what it has not joined yet (a spanning forest), never all pairs.
 Defined cases: a text of fewer words than a shingle hashes its whole word
 sequence; one without words (NULL and empty texts too) has fingerprint zero
 and is linked like any other; repeated rows share a component; NULL ids are
-kept and never become a component's id unless the component has no other.
+kept and never become a component's id unless the component has no other; texts
+of any length are read whole, one at a time where they are long; an empty table
+gives an empty result; other columns, whatever their names, stay as they are.
 """
 
 from __future__ import annotations
@@ -34,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventloom.llm.common import documents, runs, staged, texts
+from eventloom.llm.common import documents, runs, staged, texts, unused
 from eventloom.llm.components import components
 
 TILE = 4096
@@ -248,10 +250,11 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """The documents, one of each component: that with the smallest id (of rows with
     that id any one); a component of NULL ids keeps one of its rows."""
     columns = docs.columns
-    marked = staged(with_fingerprint(docs.withColumn("__row", F.monotonically_increasing_id()),
-                                     text_col, shingle, "__fp"), "simhash-docs")
-    fps = marked.select(F.col("__fp").alias("fp"), F.col(f"`{id_col}`").alias("__id"), "__row")
+    row, print_ = unused(docs, "__row", "__fp")
+    marked = staged(with_fingerprint(docs.withColumn(row, F.monotonically_increasing_id()),
+                                     text_col, shingle, print_), "simhash-docs")
+    fps = marked.select(F.col(print_).alias("fp"), F.col(f"`{id_col}`").alias("__id"), F.col(row).alias("__row"))
     stay = (fps.join(groups(fps, "__id", radius), "fp").groupBy("root")
             .agg(F.min(F.struct(F.col("__id").isNull(), F.col("__id"), F.col("__row"))).alias("s"))
-            .select(F.col("s.__row").alias("__row")))
-    return marked.join(stay, "__row", "left_semi").select(*[F.col(f"`{c}`") for c in columns])
+            .select(F.col("s.__row").alias(row)))
+    return marked.join(stay, row, "left_semi").select(*[F.col(f"`{c}`") for c in columns])

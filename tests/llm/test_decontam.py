@@ -81,3 +81,18 @@ def test_edited_copies_hot_passages_and_odd_rows(spark):
     assert decontam.contaminated(none, bench).count() == 0 and decontam.without_leaks(none, bench).count() == 0
     assert decontam.contaminated(docs, bench.limit(0)).count() == 0
     assert decontam.without_leaks(docs, bench.limit(0)).count() == len(rows)
+
+
+def test_a_long_part_of_a_long_item(spark):
+    """450 words of an item of 1,000: less than half of it, and a leak."""
+    rng = random.Random(12)
+    item = [f"z{rng.randrange(10**5)}" for _ in range(1000)]
+    prose = lambda n: [f"y{rng.randrange(10**5)}" for _ in range(n)]
+    edited = [w if i % 8 else "other" for i, w in enumerate(item[600:700])]
+    rows = [(1, prose(50) + item[100:550] + prose(50)), (2, prose(80)), (3, prose(40) + edited + prose(9)),
+            (4, prose(40) + item[700:720] + prose(40)), (5, [w for p in zip(item[:60], prose(60)) for w in p])]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")
+    bench = spark.createDataFrame([(9, " ".join(item))], "item_id long, text string")
+    found = {r.doc_id: r for r in decontam.contaminated(docs, bench).collect()}
+    assert set(found) == {1, 3} and (found[1].first_word, found[1].last_word) == (50, 499)
+    assert [r.doc_id for r in decontam.without_leaks(docs, bench).orderBy("doc_id").collect()] == [2, 4, 5]
