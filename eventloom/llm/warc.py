@@ -41,6 +41,8 @@ from eventloom.llm.common import documents, runs, staged
 DICTIONARY_MAGIC = 0x184D2A5D
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 WINDOW = 16 << 10
+#: Long records train the dictionary in parts of this many bytes, all of them.
+TRAINED = 128 << 10
 
 
 def with_reference(pages: DataFrame, min_bytes: int, id_col: str, url_col: str, html_col: str) -> DataFrame:
@@ -72,7 +74,8 @@ def dictionary(records: list[bytes], size: int) -> zstd.ZstdCompressionDict:
     total = sum(map(len, records))
     step = max(1, -(-total // (50 * size)))
     try:
-        return zstd.train_dictionary(size, [r[:128 << 10] for r in records[::step]], k=1024, d=8)
+        parts = [r[at:at + TRAINED] for r in records[::step] for at in range(0, len(r), TRAINED)]
+        return zstd.train_dictionary(size, parts, k=1024, d=8)
     except zstd.ZstdError:  # too little to train on
         return zstd.ZstdCompressionDict(b"".join(records)[-size:] or b"WARC/1.1\r\n", dict_type=zstd.DICT_TYPE_RAWCONTENT)
 
@@ -172,9 +175,7 @@ def read(spark: SparkSession, path: str, manifest: DataFrame, with_payload: bool
     kinds = ["string", "string", "binary", "long", "string", "string", "string"]
     kept = [i for i, n in enumerate(names) if with_payload or n != "payload"]
     schema = ", ".join(f"{names[i]} {kinds[i]}" for i in kept)
-    # One short row for each file: what Spark's own file listing holds on the driver too.
-    files = [f"{path}/{r.file}" for r in manifest.select("file").collect()]
-    if not files:
+    if not manifest.take(1):
         return spark.createDataFrame([], schema)
     types = {"string": pa.string(), "binary": pa.binary(), "long": pa.int64()}
 
@@ -186,4 +187,8 @@ def read(spark: SparkSession, path: str, manifest: DataFrame, with_payload: bool
                     columns = list(zip(*part))
                     yield pa.RecordBatch.from_arrays([pa.array(columns[i], types[kinds[i]]) for i in kept], names=[names[i] for i in kept])
 
-    return spark.read.format("binaryFile").load(files).select("content").mapInArrow(run, schema)
+    # Spark lists the folder; archives of attempts that failed are not in the manifest.
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").load(path)
+    name = F.element_at(F.split("path", "/"), -1)
+    return (listed.select(name.alias("file"), "content").join(manifest.select("file"), "file", "left_semi")
+            .select("content").mapInArrow(run, schema))
