@@ -120,14 +120,24 @@ def model_check_counts(df: DataFrame, model: str, checks: list[Check],
     Values are compared as strings, which is exact for the key types used
     (md5 text and integer ids).
     """
+    return check_failures(counted_values(df, checks), model, checks, parents)
+
+
+def counted_values(df: DataFrame, checks: list[Check], *by: str) -> DataFrame:
+    """(check id, value, n) of every checked column, for each ``by`` if given."""
     def emitted(c: Check):
         col = F.col(c.column)
         return F.when(col.isNull(), F.lit("")) if c.kind == "not_null" else col.cast("string")
 
-    ids = {k: [i for i, c in enumerate(checks) if c.kind == k] for k in ("not_null", "unique", "relationships")}
     pairs = F.array(*[F.struct(F.lit(i).alias("cid"), emitted(c).alias("val")) for i, c in enumerate(checks)])
-    counts = (df.select(F.inline(pairs)).where(F.col("val").isNotNull())
-                .groupBy("cid", "val").agg(F.count(F.lit(1)).alias("n")).withColumn("known", F.lit(None).cast("boolean")))
+    return (df.select(*by, F.inline(pairs)).where(F.col("val").isNotNull())
+              .groupBy(*by, "cid", "val").agg(F.count(F.lit(1)).alias("n")))
+
+
+def check_failures(counts: DataFrame, model: str, checks: list[Check], parents: dict[str, DataFrame]) -> DataFrame:
+    """The failures of each check from a model's counted values."""
+    ids = {k: [i for i, c in enumerate(checks) if c.kind == k] for k in ("not_null", "unique", "relationships")}
+    counts = counts.withColumn("known", F.lit(None).cast("boolean"))
     if ids["relationships"]:
         by_parent: dict[tuple[str, str], list[int]] = {}
         for i in ids["relationships"]:
@@ -142,7 +152,7 @@ def model_check_counts(df: DataFrame, model: str, checks: list[Check],
               .when(cid.isin(ids["unique"]), (n > 1).cast("bigint"))
               .when(F.col("known").isNull(), n).otherwise(F.lit(0)))
     found = counts.groupBy("cid").agg(F.sum(failed).alias("failures"))
-    listing = df.sparkSession.createDataFrame(
+    listing = counts.sparkSession.createDataFrame(
         [(i, c.column, c.kind, c.ref) for i, c in enumerate(checks)],
         "cid int, column string, check string, ref string")
     return (listing.join(found, "cid", "left")

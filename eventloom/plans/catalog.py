@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +23,7 @@ from eventloom import streaming as stream
 from eventloom.streaming import keyed
 from eventloom.functions import hours as H
 from eventloom.functions.keys import email_domain, surrogate_key
+from eventloom.operators import check_state
 from eventloom.operators import coverage as cov
 from eventloom.operators import dimensions as dims
 from eventloom.operators import facts
@@ -193,6 +195,21 @@ for _name, _kinds in {"dq_not_null": ("not_null",), "dq_unique": ("unique",), "d
     query(lambda w, kinds=_kinds: quality.run_suite(w.built(), kinds=kinds), _name)
 
 
+@query
+def q_dq_suite_incremental(w):
+    """The suite after the second load of events and sessions, whose checks are kept as counts
+    beside each load: the second update counts that load's partitions only."""
+    built, tables = w.built(), {}
+    for name, key, day, time in (("events", "event_id", "event_date", "event_time"), ("sessions", "session_id", "session_date", "session_start")):
+        tables[name] = t = KeyedTable(w.spark, scratch_path(w.spark, f"checked-{name}"), key, day)
+        mark = F.lit(SEED_MARK).cast("timestamp_ntz")
+        first = F.coalesce(F.col(time) <= mark, F.lit(True))
+        for part in (first, ~first):
+            t.upsert(built[name].where(part))
+            check_state.update(t, name)
+    return check_state.run_suite(tables, {n: df for n, df in {**built, "raw_events": w.raw, "stg_events": w.stg}.items() if n not in tables})
+
+
 # --------------------------------------------------------------------------
 # hour-coverage ledger (source = event_type over the events table); the
 # audited range is that of the data unless a caller names another
@@ -485,6 +502,63 @@ def q_schema_sync(w):
     return t["sessions"].drop("session_date")
 
 
+# --------------------------------------------------------------------------
+# the build runner: parents' tables, views, layers, full refresh, descriptions
+# --------------------------------------------------------------------------
+
+
+@query
+def q_run_from_stored_parents(w):
+    """One model built by itself, in a later run: its parents are read from their tables."""
+    out = scratch_path(w.spark, "run-parents")
+    dag.run(w.spark, out, inputs={"stg_events": w.stg}, models=["ip_addresses", "companies"])
+    return dag.run(w.spark, out, inputs={"stg_events": w.stg}, models=["users"])["users"]
+
+
+@query
+def q_run_with_parents(w):
+    """The same model with all it depends on, in one run."""
+    return dag.run(w.spark, scratch_path(w.spark, "run-upstream"), inputs={"raw_events": w.raw}, models=["users"], with_parents=True)["users"]
+
+
+@query
+def q_published_views(w):
+    """SQL over the built models as temporary views: events and journeys by company."""
+    dag.register_views({"events": w.built()["events"], "sessions": w.built()["sessions"]}, prefix="v_")
+    return w.spark.sql("""
+        select e.company_name, count(*) n_events, count(distinct s.session_id) n_sessions,
+               max(s.event_count) longest
+        from v_events e left join v_sessions s on s.session_id = e.session_id group by e.company_name""")
+
+
+@query
+def q_run_layer(w):
+    """The selector of a layer: what a run of ``silver`` builds, with its rows."""
+    built = dag.run(w.spark, scratch_path(w.spark, "run-layer"), inputs={"stg_events": w.stg}, models=["silver"])
+    names = [n for n in built if n != "stg_events"]
+    return reduce(DataFrame.unionByName, [built[n].agg(F.count("*").alias("n_rows")).select(F.lit(n).alias("model"), "n_rows") for n in names])
+
+
+@query
+def q_run_full_refresh(w):
+    """Tables built from every fifth event, then refreshed in full: nothing of the first run stays."""
+    out = scratch_path(w.spark, "run-refresh")
+    given = {"ip_addresses": w.ips, "companies": w.companies, "users": w.users()}
+    some = w.stg.where(F.pmod(F.xxhash64("uuid"), F.lit(5)) == 0).withColumn("event_time", F.expr("event_time + interval 400 days"))
+    dag.run(w.spark, out, inputs={"stg_events": some, **given}, models=["events"])
+    return dag.run(w.spark, out, inputs={"stg_events": w.stg, **given}, models=["events"], full_refresh=True)["events"].drop("event_date")
+
+
+@query
+def q_described_columns(w):
+    """The session table's columns as its files describe them, with how many rows have a value."""
+    t = w.built()["sessions"].drop("session_date")
+    known = t.agg(*[F.count(c).alias(c) for c in t.columns])
+    rows = F.array(*[F.struct(F.lit(f.name).alias("column"), F.lit(f.metadata.get("comment")).alias("comment"), F.col(f.name).alias("n_known"))
+                     for f in t.schema.fields])
+    return known.select(F.inline(rows))
+
+
 # --------------------------------------------------------------------------
 # landing, archives and streaming (all write under the checkpoint dir)
 # --------------------------------------------------------------------------

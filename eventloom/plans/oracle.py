@@ -9,6 +9,8 @@ are written from their meaning, not after the DataFrame code.
 
 from __future__ import annotations
 
+from eventloom.plans.docs import COLUMN_DOCS
+
 MARK = "timestamp '2024-01-15 03:00:00'"
 
 # Providers whose domain is no company.
@@ -320,6 +322,36 @@ ORACLE.update({
 })
 
 
+# --------------------------------------------------------------------------
+# the build runner
+# --------------------------------------------------------------------------
+
+_MODELS = {"ip_addresses": "ips", "companies": "companies", "users": "users", "event_properties": "event_properties",
+           "sessions": "sessions", "events": "int_events"}
+_ALL_MODELS = (*DIMS, EVENT_PROPERTIES, sessions_cte(), EVENTS)
+_SESSION_COLUMNS = ("session_id session_id_raw amplitude_id user_id device_id session_start session_end event_count "
+                    "user_journey location_id").split()
+
+
+def _text(value: str | None) -> str:
+    return "null::varchar" if value is None else "'" + value.replace("'", "''") + "'"
+
+
+ORACLE.update({
+    "dq_suite_incremental": ORACLE["dq_suite"],
+    "run_from_stored_parents": ORACLE["users"],
+    "run_with_parents": ORACLE["users"],
+    "run_full_refresh": ORACLE["events"],
+    "run_layer": with_ctes(*_ALL_MODELS, body=" union all ".join(
+        f"select '{m}' model, count(*) n_rows from {t}" for m, t in _MODELS.items())),
+    "published_views": with_ctes(*DIMS, sessions_cte(), EVENTS, body="""
+select e.company_name, count(*) n_events, count(distinct s.session_id) n_sessions, max(s.event_count) longest
+from int_events e left join sessions s on s.session_id = e.session_id group by e.company_name"""),
+    "described_columns": with_ctes(*PRE, sessions_cte(), body=" union all ".join(
+        f"""select '{c}' "column", {_text(COLUMN_DOCS.get(c))} "comment", count({c}) n_known from sessions""" for c in _SESSION_COLUMNS)),
+})
+
+
 # --------------------------------------------------------------------------
 # landing, archives, streaming
 # --------------------------------------------------------------------------

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from eventloom.functions.hours import format_hour, parse_hour
 from eventloom.operators.incremental import _exists, matching
 from eventloom.sources.files import write_named
+from eventloom.sources.parts import PART_BYTES, with_parts
 
 HOUR_KEY = "hour_key"
 
@@ -97,11 +98,12 @@ def land_new_hours(spark: SparkSession, raw_keyed: DataFrame, path: str) -> list
     return landed
 
 
-def land_flat_hours(raw_keyed: DataFrame, path: str) -> DataFrame:
-    """One flat file ``<hour>.jsonl`` per hour, the layout of a downloaded
-    export; lines without an hour go to ``untimed.jsonl``.  A flat file is
-    written by one task (streamed); large hours belong in :func:`land_hours`.
+def land_flat_hours(raw_keyed: DataFrame, path: str, max_bytes: int = PART_BYTES) -> DataFrame:
+    """Flat files ``<hour>.jsonl``, the layout of a downloaded export; lines without an
+    hour go to ``untimed.jsonl``.  An hour of more than ``max_bytes`` goes on in
+    ``<hour>.1.jsonl`` and so on, each file written by a task of its own.
     Returns ``(file, lines)``; the files are written when it is computed."""
     lines, _ = _lines(raw_keyed)
-    name = F.concat(F.coalesce(F.col(HOUR_KEY), F.lit("untimed")), F.lit(".jsonl"))
-    return write_named(lines.select(name.alias("file"), "value"), path)
+    cut = with_parts(lines.select(F.coalesce(F.col(HOUR_KEY), F.lit("untimed")).alias("name"), "value"), "name", max_bytes=max_bytes)
+    number = F.when(F.col("part") == 0, "").otherwise(F.concat(F.lit("."), F.col("part")))
+    return write_named(cut.select(F.concat("name", number, F.lit(".jsonl")).alias("file"), "value"), path)

@@ -40,7 +40,7 @@ def read_raw_with_hour(spark: SparkSession, path: str | list[str]) -> DataFrame:
     (``YYYY-MM-DD_HH.jsonl``) or a ``hour_key=`` partition folder."""
     df = spark.read.text(path).select(F.try_parse_json("value").alias(RAW_COL), "_metadata.file_path")
     name = F.col("file_path")
-    flat, folder = r"/(\d{4}-\d{2}-\d{2}_\d{1,2})\.jsonl$", r"hour_key=(\d{4}-\d{2}-\d{2}_\d{1,2})/"
+    flat, folder = r"/(\d{4}-\d{2}-\d{2}_\d{1,2})(?:\.\d+)?\.jsonl$", r"hour_key=(\d{4}-\d{2}-\d{2}_\d{1,2})/"
     key = F.when(name.rlike(flat), F.regexp_extract(name, flat, 1)).otherwise(F.regexp_extract(name, folder, 1))
     return df.select(RAW_COL, parse_hour(key).alias("hour"))
 
