@@ -27,6 +27,7 @@ from eventloom.operators import check_state
 from eventloom.operators import coverage as cov
 from eventloom.operators import dimensions as dims
 from eventloom.operators import facts
+from eventloom.operators import hour_bitmaps as bitmaps
 from eventloom.operators import incremental as inc
 from eventloom.operators import quality
 from eventloom.operators.keyed_table import KeyedTable
@@ -255,6 +256,33 @@ def q_coverage_report(w, start=None, end=None):
     return cov.coverage_report(None, w.present, *_range(w, start, end))
 
 
+def _stored_ledger(w):
+    """Two landings that overlap, each adding its hours to the stored ledger."""
+    path = scratch_path(w.spark, "hour-ledger")
+    mark = F.lit(SEED_MARK).cast("timestamp_ntz")
+    for part in (F.col("ts") <= mark, F.col("ts") > F.expr(f"timestamp_ntz'{SEED_MARK}' - interval 2 days")):
+        bitmaps.record(cov.present_hours(w.table("events").where(part), "event_type", "ts"), path)
+    return bitmaps.ledger(w.spark, path)
+
+
+@query
+def q_hours_missing_stored(w):
+    """Missing hours by bit tests on the stored ledger; no event is read again."""
+    return bitmaps.missing(_stored_ledger(w), *_range(w))
+
+
+@query
+def q_coverage_report_stored(w):
+    """The coverage report from the stored ledger."""
+    start, end = _range(w)
+    return cov.coverage_report(None, bitmaps.hours(_stored_ledger(w), start, end), start, end)
+
+
+@query
+def q_hours_per_source(w):
+    return bitmaps.counts(_stored_ledger(w))
+
+
 def _local_remote(w):
     stg = w.stg
     local = cov.present_hours(stg, "event_type", "event_time")

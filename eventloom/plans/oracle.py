@@ -288,6 +288,11 @@ select user_id, {_DOMAIN} email_domain, {_DOMAIN} not in ({_PROVIDERS}) is_compa
 from (select distinct user_id from stg where {_HAS_MAIL}) u"""),
     "latest_per_key_maxby": with_ctes(*PRE, NEWEST, body="select * from newest"),
 })
+ORACLE.update({
+    "hours_missing_stored": ORACLE["hours_missing"],
+    "coverage_report_stored": ORACLE["coverage_report"],
+    "hours_per_source": with_ctes(LEDGER, body="select source, count(*) n_hours from present group by source"),
+})
 ORACLE["latest_per_key_window"] = ORACLE["latest_per_key_maxby"]
 ORACLE["events_maxby"] = ORACLE["events"]
 
