@@ -31,13 +31,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventloom.llm.bpe import byte_letters, tokenizer
+from eventloom.llm.bpe import WordBpe, byte_letters
 from eventloom.llm.common import documents, per_stage, runs, staged, text_bytes
 from eventloom.llm.pieces import gather
 from eventloom.llm.sentence_bpe import SentenceBpe
 
 #: Text bytes of a run; the larger, the fewer times a pair is handed on.
-RUN = 1 << 20
+RUN = 1 << 19
+#: Pieces that a worker holds of each tokenizer, and bytes of a group of runs as written.
+PIECES, RUN_GROUP = 200_000, 8 << 20
 
 
 class Vocabulary:
@@ -79,7 +81,7 @@ class Pair:
     """The two tokenizers of an alignment: a byte-level JSON file and a SentencePiece model."""
 
     def __init__(self, a_path: str, b_path: str):
-        self.a_encoder, self.b_encoder = tokenizer(a_path), SentenceBpe(b_path)
+        self.a_encoder, self.b_encoder = WordBpe(a_path, PIECES), SentenceBpe(b_path, PIECES)
         inner = self.a_encoder.tokenizer
         names = {i: t for t, i in inner.get_vocab(with_added_tokens=True).items()}
         special = {i: t.content.encode() for i, t in inner.get_added_tokens_decoder().items()}
@@ -199,7 +201,7 @@ def alignments(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id"
     the SHA-256 of its groups."""
     named = documents(docs, id_col, text_col).select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     kind = named.schema["id"].dataType.simpleString()
-    found = staged(aligned_runs(named, a_path, b_path), "alignment-runs")
+    found = staged(aligned_runs(named, a_path, b_path), "alignment-runs", **{"parquet.block.size": str(RUN_GROUP)})
     counts = staged(pair_counts(found), "alignment-pairs")
     asked = found.select("run", F.posexplode("pairs").alias("at", "pair"))
     # One row for each run and pair of the run: no more than the run has links.
