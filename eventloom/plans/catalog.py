@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from eventloom import streaming as stream
 from eventloom.streaming import keyed
 from eventloom.functions import hours as H
-from eventloom.functions.keys import email_domain, surrogate_key
+from eventloom.functions.keys import canonical_json, email_domain, surrogate_key
 from eventloom.operators import check_state
 from eventloom.operators import coverage as cov
 from eventloom.operators import dimensions as dims
@@ -31,6 +31,7 @@ from eventloom.operators import hour_bitmaps as bitmaps
 from eventloom.operators import incremental as inc
 from eventloom.operators import quality
 from eventloom.operators.keyed_table import KeyedTable
+from eventloom.operators.maintained import Dimensions
 from eventloom.operators.staging import parse_events, staging_as_text, with_property_keys
 from eventloom.plans import dag
 from eventloom.session import scratch_path
@@ -480,6 +481,40 @@ def q_sessions_merge_null_user(w):
     return inc.upsert_frames(seed, merged.unionByName(inc.rebuild_sessions(rows, untimed, seed)), "session_id")
 
 
+def _maintained(w):
+    """The dimensions after three loads: some rows up to the mark, the later ones, then the
+    late and untimed rest."""
+    if not hasattr(w, "_maintained"):
+        kept = Dimensions(w.spark, scratch_path(w.spark, "maintained"), buckets=8)
+        mark = F.lit(SEED_MARK).cast("timestamp_ntz")
+        late = (F.col("event_id_raw") % 4 == 0) | F.col("event_time").isNull() | F.col("event_id_raw").isNull()
+        for part in (~late & (F.col("event_time") <= mark), ~late & (F.col("event_time") > mark), late):
+            kept.load(w.stg.where(part))
+        w._maintained = kept.tables()
+    return w._maintained
+
+
+@query
+def q_users_maintained(w):
+    return _maintained(w)["users"]
+
+
+@query
+def q_companies_maintained(w):
+    return _maintained(w)["companies"]
+
+
+@query
+def q_ip_addresses_maintained(w):
+    return _maintained(w)["ip_addresses"]
+
+
+@query
+def q_event_properties_maintained(w):
+    t = _maintained(w)["event_properties"]
+    return t.withColumn("properties_json", canonical_json("properties_json"))
+
+
 @query
 def q_sessions_incremental_merge_whole(w):
     """Partials merged over the mark, over whole staging: events without a time

@@ -342,6 +342,8 @@ def _text(value: str | None) -> str:
     return "null::varchar" if value is None else "'" + value.replace("'", "''") + "'"
 
 
+for _name in ("users", "companies", "ip_addresses", "event_properties"):
+    ORACLE[f"{_name}_maintained"] = ORACLE[_name]
 ORACLE.update({
     "dq_suite_incremental": ORACLE["dq_suite"],
     "run_from_stored_parents": ORACLE["users"],
