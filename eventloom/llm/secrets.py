@@ -45,7 +45,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import documents, staged
+from eventloom.llm.common import documents, staged, unused
 
 #: Order of kinds at the same start.
 KINDS = ("assign", "access", "hex", "random")
@@ -58,6 +58,7 @@ ACCESS = r"AKIA[A-Z0-9]{14,}"
 HEX = r"[0-9a-f]{16,}"
 TOKEN = r"[A-Za-z0-9+/_-]{16,}"
 
+HITS = "array<struct<kind:int,i:int,gap:int,len:int,ok:boolean,token:string>>"
 DIGITS = "0123456789"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 ALPHABETS = {
@@ -98,7 +99,8 @@ def _hits(text: Column, kind: int, pattern: str, ok) -> Column:
             F.lit(kind).alias("kind"), i.alias("i"), F.length(x["g"]).alias("gap"),
             F.length(x["m"]).alias("len"), ok(x["v"]).alias("ok"),
             (x["m"] if kind == 3 else F.lit("")).alias("token")))
-    return F.when(text.rlike(pattern), hit).otherwise(F.slice(hit, 1, 0))
+    # Most texts have no match and cost one search.
+    return F.when(text.rlike(pattern), hit).otherwise(F.expr("array()").cast(HITS))
 
 
 def _all_hits(text: Column) -> Column:
@@ -272,24 +274,26 @@ def redact(docs: DataFrame, text_col: str = "text", length_col: str | None = "n_
     overlap: one mark); ``length_col``, where the table has it, follows the new text.
     NULL texts stay NULL, columns and rows stay as they are."""
     columns = docs.columns
+    row, hits, marks, last, new = unused(docs, "__row", "__hits", "__spans", "__last", "__clean")
     rows = staged(docs.select(
-        *[F.col(f"`{c}`") for c in columns], F.monotonically_increasing_id().alias("__row"),
-        _all_hits(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))).alias("__hits")), "redact-hits")
+        *[F.col(f"`{c}`") for c in columns], F.monotonically_increasing_id().alias(row),
+        _all_hits(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))).alias(hits)), "redact-hits")
+    found = rows.select(F.col(row).alias("__row"), F.col(hits).alias("__hits"))
     before = Window.partitionBy("__row").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
-    spans = (spans_of(rows, docs, text_col, fdr).withColumn("past", F.coalesce(F.max("end").over(before), F.lit(0)))
-             .groupBy("__row").agg(F.array_sort(F.collect_list(F.struct("start", "end", "past"))).alias("__spans"),
-                                   F.max("end").alias("__last")))
+    spans = (spans_of(found, docs, text_col, fdr).withColumn("past", F.coalesce(F.max("end").over(before), F.lit(0)))
+             .groupBy(F.col("__row").alias(row)).agg(F.array_sort(F.collect_list(F.struct("start", "end", "past"))).alias(marks),
+                                                     F.max("end").alias(last)))
     text = F.col(f"`{text_col}`")
-    pieces = F.transform("__spans", lambda s: F.when(
+    pieces = F.transform(marks, lambda s: F.when(
         (s["start"] > s["past"]) | (s["start"] == 0),
         F.concat(F.substring(text, (s["past"] + 1).cast("int"), (s["start"] - s["past"]).cast("int")), F.lit(MASK))).otherwise(""))
-    clean = F.when(F.col("__spans").isNull(), text).otherwise(
-        F.concat(F.array_join(pieces, ""), F.substring(text, (F.col("__last") + 1).cast("int"), F.length(text))))
-    out = rows.drop("__hits").join(spans, "__row", "left").withColumn("__clean", clean)
-    changed = {text_col: F.col("__clean")}
+    clean = F.when(F.col(marks).isNull(), text).otherwise(
+        F.concat(F.array_join(pieces, ""), F.substring(text, (F.col(last) + 1).cast("int"), F.length(text))))
+    out = rows.drop(hits).join(spans, row, "left").withColumn(new, clean)
+    changed = {text_col: F.col(new)}
     if length_col in columns:
-        changed[length_col] = F.when(F.col("__spans").isNull(), F.col(f"`{length_col}`")).otherwise(
-            F.length("__clean").cast(docs.schema[length_col].dataType))
+        changed[length_col] = F.when(F.col(marks).isNull(), F.col(f"`{length_col}`")).otherwise(
+            F.length(new).cast(docs.schema[length_col].dataType))
     return out.select(*[changed.get(c, F.col(f"`{c}`")).alias(c) for c in columns])
 
 
