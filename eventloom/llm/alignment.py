@@ -22,12 +22,12 @@ result; columns other than the two named are not read.
 from __future__ import annotations
 
 import hashlib
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,7 +37,7 @@ from eventloom.llm.pieces import gather
 from eventloom.llm.sentence_bpe import SentenceBpe
 
 #: Text bytes of a run; the larger, the fewer times a pair is handed on.
-RUN = 1 << 19
+RUN = 1 << 18
 #: Pieces that a worker holds of each tokenizer, and bytes of a group of runs as written.
 PIECES, RUN_GROUP = 200_000, 8 << 20
 
@@ -157,7 +157,7 @@ class Alignment:
             yield out[lo:hi].tobytes().translate(None, b"\0")
 
 
-_RUN = ("run string, id array<{id}>, n_a array<long>, n_b array<long>, n_groups array<long>, n_links array<long>, "
+_RUN = ("run long, id array<{id}>, n_a array<long>, n_b array<long>, n_groups array<long>, n_links array<long>, "
         "groups_sha256 array<string>, links array<int>, pairs array<long>, times array<long>")
 _PER_TEXT = "id {id}, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 
@@ -168,8 +168,9 @@ def aligned_runs(named: DataFrame, a_path: str, b_path: str) -> DataFrame:
     kind = named.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pair = None
+        pair, number = None, TaskContext.get().partitionId() << 32  # one attempt of a task is committed
         for batch in runs(batches, "text", RUN):
+            number += 1
             pair = per_stage(("pair", a_path, b_path), lambda: Pair(a_path, b_path))
             a, b = pair.encode(batch.column("text"))
             found = Alignment(a, b)
@@ -177,7 +178,7 @@ def aligned_runs(named: DataFrame, a_path: str, b_path: str) -> DataFrame:
             pairs, index, times = np.unique(found.links, return_inverse=True, return_counts=True)
             long = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays([
-                pa.array([uuid.uuid4().hex]), pa.ListArray.from_arrays(pa.array([0, batch.num_rows], pa.int32()), batch.column("id")),
+                pa.array([number], pa.int64()), pa.ListArray.from_arrays(pa.array([0, batch.num_rows], pa.int32()), batch.column("id")),
                 pa.array([np.diff(a.bound)], long), pa.array([np.diff(b.bound)], long), pa.array([found.n_groups], long),
                 pa.array([found.n_links], long), pa.array([sha], pa.list_(pa.string())), pa.array([index.astype(np.int32)], pa.list_(pa.int32())),
                 pa.array([pairs], long), pa.array([times], long)],
