@@ -7,7 +7,7 @@ alignment; tests hold them against brute-force versions.
 from __future__ import annotations
 
 #: SHA-1 has 40 hex digits; five of them are 20 bits, which are four base-32 letters.
-_BASE32 = """array_to_string(list_transform(range(0, 32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+_BASE32 = """array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
     1 + ((('0x' || substr(x, (i // 4 * 5 + 1)::int, 5))::bigint >> ((3 - i % 4) * 5)::int) & 31)::int, 1)), '')"""
 
 ORACLE: dict[str, str] = {
