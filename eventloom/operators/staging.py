@@ -73,7 +73,7 @@ def staging_struct_type(number_type: str = "bigint") -> str:
 
 
 def parse_events(raw: DataFrame, mode: str = "strict", number_type: str = "bigint",
-                 raw_col: str = RAW_COL) -> DataFrame:
+                 raw_col: str = RAW_COL, lookup: str = "object") -> DataFrame:
     """Typed staging relation.
 
     mode: ``strict`` raises on a value that does not cast (the warehouse's
@@ -87,12 +87,20 @@ def parse_events(raw: DataFrame, mode: str = "strict", number_type: str = "bigin
     a struct (one walk over each object instead of 29 path lookups); a root
     that is not an object yields NULL fields, as per-path lookups would.
     quarantine looks fields up one by one to tell which failed.
+    ``lookup="fields"`` does so in the other modes too: right for a stored
+    VARIANT table, whose scan then reads the columns of the fields used.
     """
     if mode not in ("strict", "permissive", "quarantine"):
         raise ValueError(f"unknown mode {mode!r}")
+    if lookup not in ("object", "fields"):
+        raise ValueError(f"unknown lookup {lookup!r}")
     v = F.col(raw_col)
     extra = [c for c in raw.columns if c != raw_col]
-    if mode in ("strict", "permissive"):
+    if mode != "quarantine" and lookup == "fields":
+        get = F.variant_get if mode == "strict" else F.try_variant_get
+        return raw.select(*[get(v, json_path(key), number_type if t == "number" else t).alias(name) for name, key, t in STAGING_SPEC],
+                          *extra)
+    if mode != "quarantine":
         st = staging_struct_type(number_type)
         if mode == "permissive":
             s = F.try_variant_get(v, "$", st)

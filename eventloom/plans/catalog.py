@@ -38,6 +38,7 @@ from eventloom.session import scratch_path
 from eventloom.sources import archives as arch
 from eventloom.sources import landing as land
 from eventloom.sources.raw import raw_from_events, read_raw, read_raw_with_hour
+from eventloom.sources.raw_table import land_raw_table, read_raw_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -664,6 +665,35 @@ def q_land_new_hours(w):
     return parse_events(read_raw(w.spark, path)).select("uuid", "event_time", "hour_key")
 
 
+def _raw_table(w):
+    path = scratch_path(w.spark, "raw-table")
+    land_raw_table(land.with_hour_key(w.raw), path)
+    return read_raw_table(w.spark, path)
+
+
+@query
+def q_raw_table_staging(w):
+    """Raw events stored as VARIANT, staging read from the shredded columns of all 29 fields."""
+    return staging_as_text(parse_events(_raw_table(w), lookup="fields").drop("hour_key"))
+
+
+@query
+def q_raw_table_sessions(w):
+    """Sessions straight from the stored raw table: the scan reads the fields sessions use."""
+    return facts.sessions(parse_events(_raw_table(w), lookup="fields"))
+
+
+@query
+def q_raw_table_landed_again(w):
+    """The hours before the mark, then everything, twice: an hour landed again replaces itself,
+    and rows without an hour come once."""
+    path = scratch_path(w.spark, "raw-table-again")
+    raw = land.with_hour_key(w.raw)
+    for part in (_before_mark(raw, True), raw, raw):
+        land_raw_table(part, path)
+    return parse_events(read_raw_table(w.spark, path), lookup="fields").select("uuid", "event_time", "hour_key")
+
+
 @query
 def q_archive_unpack(w):
     """Write the raw events as hourly ZIP-of-gzip archives, then unpack

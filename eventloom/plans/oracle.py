@@ -371,6 +371,9 @@ ORACLE.update({
     "raw_landed_hours": _LANDED,
     "flat_hour_files": _LANDED,
     "land_new_hours": _KEYED,
+    "raw_table_staging": ORACLE["stg_events"],
+    "raw_table_sessions": ORACLE["sessions"],
+    "raw_table_landed_again": _KEYED,
     "archive_unpack": _KEYED,
     # either copy of a uuid may be the one kept; these columns agree on both
     "stream_dedupe": with_ctes(*PRE, body=_ONE_COPY.format("")),
