@@ -17,17 +17,24 @@ structured by the Benjamini-Hochberg procedure, run separately for every
 (encoding, length doubling) over the whole corpus: a short token competes with
 short tokens only.
 
-At 16 characters those tests see little, so what they leave is no discovery
-yet.  The discoveries, spans of kind ``random``, are the tokens that reject
-the opposite hypothesis, "a natural identifier": words, numbers and separators
-by a chain of character classes (``CHAIN``), the letters by pair counts of all
-words of the corpus outside the runs.  The ratio of a token's uniform to its
-natural probability, divided by the number of encodings to choose from, has a
-mean of at most one for natural identifiers, so its inverse is a p-value.
-Benjamini-Hochberg on these (1 for dismissed tokens), again for every encoding
-and length doubling, keeps the expected share of natural identifiers among the
-spans of a class below ``fdr``, however the tokens depend on each other, as far
-as identifiers follow that model.
+What they leave is no discovery yet.  The discoveries, spans of kind
+``random``, are the tokens that reject the opposite hypothesis, "a natural
+identifier".  How the battery's p-value is distributed under that one is
+estimated from the corpus: identifiers in all usual styles are put together
+from its words (``natural_tokens``, every distinct word outside the runs takes
+part), the battery runs over them, and counts per encoding, length doubling and
+cell of the p-value (``battery_gains``) say how much likelier a token's p-value
+is if the token is random.  At 16 characters that says little, so the letters
+support it: a chain of character classes (``CHAIN``), with the letters by pair
+counts of the same words, gives the ratio of the token's uniform to its natural
+probability.  Either ratio (the second divided by the number of encodings to
+choose from) has a mean of at most one for natural identifiers; their product
+has too as far as the two are independent for these, so its inverse is a
+p-value.  Benjamini-Hochberg on these (1 for dismissed tokens), again for every
+encoding and length doubling, keeps the expected share of natural identifiers
+among the spans of a class below ``fdr``, however the tokens depend on each
+other, as far as identifiers follow that model.  An encoding and length of which
+the corpus' words give no identifiers (hexadecimal, mostly) has gains of one.
 
 The procedure needs ranks; they come from a histogram of the p-values
 (``BINS`` per decade, rounded upwards), so nothing is sorted or gathered whole.
@@ -81,6 +88,11 @@ ENGLISH = (82, 15, 28, 43, 127, 22, 20, 61, 70, 2, 8, 40, 24, 67, 75, 19, 1, 60,
 PRIOR = 20.0
 #: Histogram cells of -log10(p) for each factor of ten.
 BINS = 50
+#: The battery, and the cells of its joint p-value: so many for each factor of ten, so many in all.
+TESTS = ("chi", "runs", "serial")
+GAIN_BINS, GAIN_CELLS = 2, 24
+#: Identifiers that count as seen, with uniform p-values, before any is.
+GAIN_PRIOR = 50.0
 MASK = "[SECRET]"
 
 
@@ -169,24 +181,77 @@ def randomness(tokens: DataFrame) -> DataFrame:
     p_chi = F.when(chi > 0, _tail(chi)).otherwise(1 - _tail(chi))
     p_runs = F.when(variance > 0, 2 * _tail((F.col("runs") - expected) / F.sqrt(variance))).otherwise(F.pow(F.lit(2.0), 1 - n))
     p_serial = F.when(F.col("spread") > 0, 2 * _tail((F.col("cross") / F.col("spread") + 1 / n) * F.sqrt(n))).otherwise(F.pow(F.lit(2.0), 1 - n))
-    half = -sum((F.log(F.greatest(F.least(p, F.lit(1.0)), F.lit(1e-300))) for p in (p_chi, p_runs, p_serial)), F.lit(0.0))
-    return df.withColumn("half", half).withColumn(
-        "p", F.exp(-F.col("half")) * (1 + F.col("half") + F.col("half") * F.col("half") / 2)
-    ).drop("alphabet", "k", "n", "idx", "squares", "n1", "runs", "mean", "cross", "spread", "half")
+    ps = {"chi": p_chi, "runs": p_runs, "serial": p_serial}
+    half = -sum((F.log(F.greatest(F.least(ps[t], F.lit(1.0)), F.lit(1e-300))) for t in TESTS), F.lit(0.0))
+    series = sum((F.pow("half", F.lit(float(j))) / math.factorial(j) for j in range(1, len(TESTS))), F.lit(1.0))
+    return df.withColumn("half", half).withColumn("p", F.exp(-F.col("half")) * series).drop(
+        "alphabet", "k", "n", "idx", "squares", "n1", "runs", "mean", "cross", "spread", "half")
 
 
-def letter_pairs(texts: DataFrame, text_col: str) -> DataFrame:
-    """(pair, weight) over all words of letters outside the runs, ``^`` before the first
-    letter; a word that occurs n times weighs log2(1 + n).  At most 27 x 26 rows."""
+def vocabulary(texts: DataFrame, text_col: str) -> DataFrame:
+    """(word, weight) of all words of letters outside the runs, in small letters; a word
+    that occurs n times weighs log2(1 + n)."""
     text = F.col(f"`{text_col}`")
     outside = F.when(text.rlike(TOKEN), F.regexp_replace(text, TOKEN, " ")).otherwise(text)
-    words = (texts.select(F.explode(F.regexp_extract_all(outside, F.lit("[A-Za-z]+"), F.lit(0))).alias("word"))
-             .groupBy("word").agg(F.log2(1.0 + F.count("*")).alias("weight"))
-             .withColumn("word", F.concat(F.lit("^"), F.lower("word"))))
+    return (texts.select(F.explode(F.regexp_extract_all(outside, F.lit("[A-Za-z]+"), F.lit(0))).alias("word"))
+            .groupBy("word").agg(F.count("*").alias("n"))
+            .groupBy(F.lower("word").alias("word")).agg(F.sum(F.log2(1.0 + F.col("n"))).alias("weight")))
+
+
+def letter_pairs(words: DataFrame) -> DataFrame:
+    """(pair, weight) over the words, ``^`` before the first letter.  At most 27 x 26 rows."""
+    words = words.withColumn("word", F.concat(F.lit("^"), "word"))
     pairs = F.transform(F.sequence(F.lit(1), F.length("word") - 1), lambda i: F.substring("word", i, F.lit(2)))
     return words.select(F.explode(pairs).alias("pair"), "weight").groupBy("pair").agg(F.sum("weight").alias("weight"))
 
 
+def natural_tokens(words: DataFrame) -> DataFrame:
+    """(token, encoding, doubling): an identifier for every word, made of it and up to
+    ten words that precede it in hash order, with a number in most; style, count and
+    number go by the word's hash.  Those that the battery would not test are left out."""
+    bits = lambda shift, n: F.pmod(F.shiftright("hash", shift), F.lit(n))
+    # hash ranges of about 20,000 words
+    groups = 1 + words.count() // 20000
+    near = Window.partitionBy(F.pmod("hash", F.lit(groups))).orderBy("hash", "word").rowsBetween(-10, 0)
+    rows = (words.select("word", F.xxhash64("word").alias("hash"))
+            .withColumn("parts", F.collect_list("word").over(near))
+            .withColumn("parts", F.slice("parts", 1, (2 + bits(12, 10)).cast("int"))))
+    title = F.transform("parts", lambda x, i: F.when(i == 0, x).otherwise(F.initcap(x)))
+    low, up = F.col("parts"), F.transform("parts", lambda x: F.upper(x))
+    number = F.when(bits(20, 3) == 0, 1990 + bits(22, 40)).otherwise(1 + bits(22, 99)).cast("string")
+    styles = [F.array_join(title, ""), F.concat(F.array_join(title, ""), number),
+              F.concat(F.array_join(F.transform("parts", lambda x: F.initcap(x)), "/"), number),
+              F.concat(F.array_join(low, ""), number), F.concat(F.array_join(low, "-"), F.lit("-"), number),
+              F.concat(F.array_join(low, "_"), number), F.concat(F.array_join(up, ""), number),
+              F.concat(F.array_join(up, "_"), F.lit("_"), number)]
+    token = F.element_at(F.array(*styles), (1 + bits(32, len(styles))).cast("int"))
+    return (rows.select(token.alias("token")).where(F.length("token") >= 16)
+            .withColumn("encoding", _encoding(F.col("token"))).where("encoding is not null")
+            .withColumn("doubling", F.floor(F.log2(F.length("token")))))
+
+
+def _gain_cell(p: Column) -> Column:
+    return F.least(F.floor(-F.log10(F.greatest(p, F.lit(1e-300))) * GAIN_BINS), F.lit(GAIN_CELLS - 1))
+
+
+def battery_gains(words: DataFrame) -> DataFrame:
+    """(encoding, doubling, gain_cell, gain): how much likelier a battery p-value in that
+    cell is for a random token than for an identifier of the corpus' words.
+
+    At most one row for each encoding, doubling and cell.
+    """
+    seen = (randomness(staged(natural_tokens(words), "secret-identifiers")).withColumn("gain_cell", _gain_cell(F.col("p")))
+            .groupBy("encoding", "doubling", "gain_cell").agg(F.count("*").alias("n")))
+    classes = seen.groupBy("encoding", "doubling").agg(F.sum("n").alias("m"))
+    cells = classes.withColumn("gain_cell", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(GAIN_CELLS - 1).cast("long"))))
+    edge = lambda c: F.pow(F.lit(10.0), -c / GAIN_BINS)
+    share = F.when(F.col("gain_cell") == GAIN_CELLS - 1, edge(F.col("gain_cell"))).otherwise(
+        edge(F.col("gain_cell")) - edge(F.col("gain_cell") + 1))
+    known = (F.coalesce("n", F.lit(0)) + GAIN_PRIOR * share) / (F.col("m") + GAIN_PRIOR)
+    return (cells.join(seen, ["encoding", "doubling", "gain_cell"], "left")
+            .select("encoding", "doubling", "gain_cell", (share / known).alias("gain")))
+
+
 def natural_costs(spark: SparkSession, weight: dict[str, float]) -> DataFrame:
     """One row, ``costs``: -ln of the probability of each symbol of SYMBOLS in a natural
     identifier, at the start and then after each symbol."""
@@ -207,17 +272,21 @@ def natural_costs(spark: SparkSession, weight: dict[str, float]) -> DataFrame:
     return spark.range(1).select(F.split(F.lit(flat), ",").cast("array<double>").alias("costs"))
 
 
-def naturalness(tokens: DataFrame, costs: DataFrame) -> DataFrame:
-    """Adds ``natural``: the p-value of ``token`` for the hypothesis of a natural identifier.
-    In the encodings without small letters capitals count as these."""
+def naturalness(tokens: DataFrame, costs: DataFrame, gains: DataFrame) -> DataFrame:
+    """Adds ``natural``: the p-value of ``token`` for the hypothesis of a natural identifier,
+    by its battery p-value ``p`` and its letters.  In the encodings without small
+    letters capitals count as these."""
     size = F.element_at(F.create_map(*[F.lit(x) for k, v in ALPHABETS.items() for x in (k, float(len(v)))]), F.col("encoding"))
     folded = F.when(F.col("encoding").isin("HEX", "BASE36", "BASE36+"), F.lower("token")).otherwise(F.col("token"))
     place = F.transform(F.filter(F.split(folded, ""), lambda c: c != ""), lambda c: F.instr(F.lit(SYMBOLS), c))
     step = lambda i: F.get("costs", F.when(i == 0, 0).otherwise(F.get("place", i - 1)) * len(SYMBOLS) + F.get("place", i) - 1)
     df = tokens.withColumn("place", place).crossJoin(F.broadcast(costs))
     df = df.withColumn("cost", F.aggregate(F.sequence(F.lit(0), F.size("place") - 1), F.lit(0.0), lambda a, i: a + step(i)))
-    ratio = F.col("cost") - F.length("token") * F.log(size) - math.log(len(ALPHABETS))
-    return df.withColumn("natural", F.exp(-F.greatest(F.least(ratio, F.lit(690.0)), F.lit(0.0)))).drop("place", "costs", "cost")
+    df = df.withColumn("gain_cell", _gain_cell(F.col("p"))).join(F.broadcast(gains), ["encoding", "doubling", "gain_cell"], "left")
+    ratio = (F.col("cost") - F.length("token") * F.log(size) - math.log(len(ALPHABETS))
+             + F.log(F.coalesce("gain", F.lit(1.0))))
+    return df.withColumn("natural", F.exp(-F.greatest(F.least(ratio, F.lit(690.0)), F.lit(0.0)))).drop(
+        "place", "costs", "cost", "gain_cell", "gain")
 
 
 def _rejected_below(tokens: DataFrame, p: str, fdr: float) -> DataFrame:
@@ -238,8 +307,9 @@ def _rejected_below(tokens: DataFrame, p: str, fdr: float) -> DataFrame:
 def spans_of(rows: DataFrame, texts: DataFrame, text_col: str, fdr: float = 0.01) -> DataFrame:
     """(__row, kind, start, end) of every secret; ``rows`` has __row and __hits, and is
     a written table (it is read twice); ``texts`` has the corpus' texts."""
+    words = staged(vocabulary(texts, text_col), "secret-words")
     # At most 27 x 26 rows.
-    costs = natural_costs(rows.sparkSession, {r.pair: r.weight for r in letter_pairs(texts, text_col).collect()})
+    costs = natural_costs(rows.sparkSession, {r.pair: r.weight for r in letter_pairs(words).collect()})
     hits = rows.select("__row", F.explode("__hits").alias("h")).select("__row", "h.*")
     own = Window.partitionBy("__row", "kind").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
     placed = (hits.withColumn("end", F.sum(F.col("gap").cast("long") + F.col("len")).over(own))
@@ -247,7 +317,7 @@ def spans_of(rows: DataFrame, texts: DataFrame, text_col: str, fdr: float = 0.01
     tokens = (_with_parts(placed.where("kind = 3")).withColumn("encoding", _encoding(F.col("token")))
               .where("encoding is not null")
               .withColumn("doubling", F.floor(F.log2(F.length("token")))))
-    tested = staged(naturalness(randomness(tokens), costs).select("__row", "kind", "start", "end", "encoding", "doubling", "p", "natural"),
+    tested = staged(naturalness(randomness(tokens), costs, battery_gains(words)).select("__row", "kind", "start", "end", "encoding", "doubling", "p", "natural"),
                     "secret-tokens")
     judged = (tested.join(F.broadcast(_rejected_below(tested, "p", fdr)), ["encoding", "doubling"], "left")
               .withColumn("natural", F.when(F.col("p") <= F.col("p_limit"), 1.0).otherwise(F.col("natural"))))
