@@ -88,93 +88,3 @@ def test_false_discovery_step_equals_plain_benjamini_hochberg(spark):
         limit = max((p for i, p in enumerate(edges, 1) if p <= 0.01 * sum(q <= p for q in edges) / len(edges)), default=None)
         assert (limit is None) == (key not in got) and (limit is None or math.isclose(limit, got[key], rel_tol=1e-9))
     assert spark.range(0).count() == 0 and secrets._rejected_below(df.where(F.lit(False)), "p", 0.01).count() == 0
-
-
-def only(which):
-    """Tokens that the battery rejects, and would not without that one test."""
-    rng, found, at = random.Random(which), [], {"chi": 0, "runs": 1, "serial": 2}[which]
-    while len(found) < 6:
-        if which == "chi":
-            token = "".join(rng.choices(rng.sample(secrets.SYMBOLS[:62], 12), k=60))
-        else:
-            # a walk that tends to turn back (more runs) or to stay near (serial correlation)
-            place, token = rng.randrange(62), ""
-            for _ in range(60):
-                token += secrets.SYMBOLS[place]
-                place = rng.randrange(62) if rng.random() < 0.6 else (
-                    33 - (place - 33) // 3 if which == "runs" else max(0, min(61, place + rng.randrange(-16, 17))))
-                place = max(0, min(61, place))
-        ps = plain(token, secrets.ALPHABETS["base64"])
-        rest = [p for i, p in enumerate(ps) if i != at]
-        half = -sum(math.log(max(min(p, 1), 1e-300)) for p in rest)
-        if fisher(ps) < 2e-3 and math.exp(-half) * (1 + half) > 0.03:
-            found.append(token)
-    return found
-
-
-def random_spans(spark, tokens):
-    rows = [(i, f"see {t} here") for i, t in enumerate(tokens)]
-    found = secrets.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
-    return {tokens[r.doc_id] for r in found if any(s.kind == 3 for s in r.spans)}
-
-
-@pytest.mark.parametrize("name", secrets.TESTS)
-def test_spans_change_without_one_test(spark, monkeypatch, name):
-    """Tokens whose letters are no identifier's, dismissed by one of the three tests."""
-    dismissed = only(name)
-    tokens = dismissed + TOKENS["random"]
-    whole = random_spans(spark, tokens)
-    assert not whole & set(dismissed) and len(whole & set(TOKENS["random"])) >= 11
-    monkeypatch.setattr(secrets, "TESTS", tuple(t for t in secrets.TESTS if t != name))
-    assert len(random_spans(spark, tokens) & set(dismissed)) >= 4
-
-
-def corpus_words(spark):
-    rng = random.Random(5)
-    parts = ["con", "ta", "ver", "lo", "min", "der", "pra", "si", "tu", "ment", "al", "re", "ber", "no"]
-    words = sorted({"".join(rng.choices(parts, k=rng.randrange(1, 5))) for _ in range(6000)})
-    words = [w for w in words if len(w) < 15]
-    return words, spark.createDataFrame([(w, 1.0) for w in words], "word string, weight double")
-
-
-def test_gains_equal_plain_counts(spark):
-    """The battery's p-values over identifiers of the corpus' words, counted without Spark."""
-    words, df = corpus_words(spark)
-    made = [r for r in secrets.natural_tokens(df).collect()]
-    assert len(made) > len(words) / 2 and {r.encoding for r in made} >= {"base64", "base36", "BASE36", "base36+", "BASE36+"}
-    letters = set("".join(words))
-    assert all(set(r.token.lower()) <= letters | set("0123456789-_/") and len(r.token) >= 16 for r in made)
-    cells, whole = defaultdict(int), defaultdict(int)
-    edges = lambda p: (p * (1 - 1e-3), p * (1 + 1e-3))
-    cell = lambda p: min(math.floor(-math.log10(max(min(p, 1), 1e-300)) * secrets.GAIN_BINS), secrets.GAIN_CELLS - 1)
-    unsure = defaultdict(int)
-    for r in made:
-        p = fisher(plain(r.token, secrets.ALPHABETS[r.encoding]))
-        cells[r.encoding, r.doubling, cell(p)] += 1
-        whole[r.encoding, r.doubling] += 1
-        low, high = (cell(x) for x in edges(p))
-        unsure[r.encoding, r.doubling] += low != high
-    gains = {(r.encoding, r.doubling, r.gain_cell): r.gain for r in secrets.battery_gains(df).collect()}
-    assert set(gains) == {(*c, i) for c in whole for i in range(secrets.GAIN_CELLS)}
-    for (e, d), m in whole.items():
-        mean = 0.0
-        for i in range(secrets.GAIN_CELLS):
-            share = 10 ** (-i / 2) - (10 ** (-(i + 1) / 2) if i < secrets.GAIN_CELLS - 1 else 0)
-            got = share / gains[e, d, i] * (m + secrets.GAIN_PRIOR) - secrets.GAIN_PRIOR * share
-            assert abs(got - cells[e, d, i]) <= unsure[e, d] + 1e-6
-            mean += got / m * gains[e, d, i]
-        assert mean <= 1 + 1e-9                        # identifiers gain nothing on average
-    # where identifiers are long, p-values that chance gives are evidence of chance (at most 1 + m / prior)
-    for c in (("base36", 6), ("base64", 6)):
-        assert gains[*c, 0] > 0.6 * (1 + whole[c] / secrets.GAIN_PRIOR) > 1
-
-
-def test_the_battery_moves_the_p_value(spark):
-    """The same letters: the token whose p-value identifiers rarely have is the less natural one."""
-    _, df = corpus_words(spark)
-    token = TOKENS["random"][8]
-    rows = spark.createDataFrame([(token, "base64", 5, 0.5), (token, "base64", 5, 1e-4)], "token string, encoding string, doubling long, p double")
-    got = {r.p: r.natural for r in secrets.naturalness(rows, secrets.natural_costs(spark, {}), secrets.battery_gains(df)).collect()}
-    assert got[0.5] < got[1e-4]
-    none = secrets.battery_gains(df.limit(0))
-    assert none.count() == 0 and len({r.natural for r in secrets.naturalness(rows, secrets.natural_costs(spark, {}), none).collect()}) == 1
