@@ -88,8 +88,16 @@ class Workspace(Models):
 
     @property
     def raw(self) -> DataFrame:
+        """The raw events as a view: building them anew for each pass over them."""
         return raw_from_events(self.table("events"))
 
+    @property
+    def raw_keyed(self) -> DataFrame:
+        """Raw events with their hour, as a written table.  Landings pass over them several
+        times with a filter each; over a view, Spark moves such a filter below the adapter's
+        exchange, where it builds and parses every event in the few tasks that read ``events``."""
+        return self.written("raw-hours", lambda: land.with_hour_key(self.raw))
+
     def table(self, name: str) -> DataFrame:
         return table(self.spark, self.sf_dir, name)
 
@@ -639,7 +647,7 @@ def q_raw_landed_hours(w):
     """Land raw events one folder per hour, read them back with the hour
     taken from the folder name."""
     path = scratch_path(w.spark, "landed")
-    land.land_hours(land.with_hour_key(w.raw), path)
+    land.land_hours(w.raw_keyed, path)
     return parse_events(read_raw_with_hour(w.spark, path)).select("uuid", "event_time", "hour")
 
 
@@ -648,7 +656,7 @@ def q_flat_hour_files(w):
     """One flat ``YYYY-MM-DD_HH.jsonl`` per hour, read back with the hour
     taken from the file name."""
     path = scratch_path(w.spark, "flat")
-    land.land_flat_hours(land.with_hour_key(w.raw), path).write.format("noop").mode("overwrite").save()
+    land.land_flat_hours(w.raw_keyed, path).write.format("noop").mode("overwrite").save()
     return parse_events(read_raw_with_hour(w.spark, path)).select("uuid", "event_time", "hour")
 
 
@@ -658,7 +666,7 @@ def q_land_new_hours(w):
     not yet landed are written, so each row lands exactly once, and rows
     without an hour are neither lost nor repeated."""
     path = scratch_path(w.spark, "landed-new")
-    raw = land.with_hour_key(w.raw)
+    raw = w.raw_keyed
     land.land_hours(_before_mark(raw, True), path)
     land.land_new_hours(w.spark, raw, path)
     land.land_new_hours(w.spark, raw, path)
@@ -667,7 +675,7 @@ def q_land_new_hours(w):
 
 def _raw_table(w):
     path = scratch_path(w.spark, "raw-table")
-    land_raw_table(land.with_hour_key(w.raw), path)
+    land_raw_table(w.raw_keyed, path)
     return read_raw_table(w.spark, path)
 
 
@@ -688,7 +696,7 @@ def q_raw_table_landed_again(w):
     """The hours before the mark, then everything, twice: an hour landed again replaces itself,
     and rows without an hour come once."""
     path = scratch_path(w.spark, "raw-table-again")
-    raw = land.with_hour_key(w.raw)
+    raw = w.raw_keyed
     for part in (_before_mark(raw, True), raw, raw):
         land_raw_table(part, path)
     return parse_events(read_raw_table(w.spark, path), lookup="fields").select("uuid", "event_time", "hour_key")
@@ -719,7 +727,7 @@ def _dedupe(w, first, second, files=None):
 
 @query
 def q_stream_dedupe(w):
-    raw = land.with_hour_key(w.raw)
+    raw = w.raw_keyed
     return _dedupe(w, _before_mark(raw, True), _before_mark(raw, False)).drop("late")
 
 
@@ -727,7 +735,7 @@ def q_stream_dedupe(w):
 def q_stream_dedupe_late(w):
     """Later hours land first: what comes behind the watermark is kept and marked, and the
     table holds every uuid once."""
-    raw = land.with_hour_key(w.raw)
+    raw = w.raw_keyed
     return _dedupe(w, _before_mark(raw, False), _before_mark(raw, True))
 
 
@@ -748,7 +756,7 @@ def q_stream_events_upsert(w):
     """Hourly cadence: land the hours before the mark, run the stream,
     land the rest, run it again (several micro-batches); each batch is
     upserted on event_id, latest copy wins."""
-    users, raw = w.users(), land.with_hour_key(w.raw)
+    users, raw = w.users(), w.raw_keyed
     start = lambda src, out, ckpt: keyed.start_events(src, out, ckpt, users)
     return _land_and_stream(w, start, keyed.events_table, [_before_mark(raw, True), _before_mark(raw, False)], files=400).drop("event_date")
 
@@ -756,7 +764,7 @@ def q_stream_events_upsert(w):
 @query
 def q_stream_two_checkpoints(w):
     """Two streams, each with its own source and checkpoint, into one table."""
-    users, raw = w.users(), land.with_hour_key(w.raw)
+    users, raw = w.users(), w.raw_keyed
     even = F.try_variant_get("json_data", "$.event_id", "bigint") % 2 == 0
     start = lambda src, out, ckpt: keyed.start_events(src, out, ckpt, users)
     return _land_and_stream(w, start, keyed.events_table, [raw.where(even), raw.where(~even)], checkpoints=True).drop("event_date")
@@ -764,7 +772,7 @@ def q_stream_two_checkpoints(w):
 
 @query
 def q_stream_sessions_upsert(w):
-    raw = land.with_hour_key(w.raw)
+    raw = w.raw_keyed
     return _land_and_stream(w, keyed.start_sessions, keyed.sessions_table,
                             [_before_mark(raw, True), _before_mark(raw, False)]).drop("session_date")
 
@@ -772,6 +780,6 @@ def q_stream_sessions_upsert(w):
 @query
 def q_stream_sessions_out_of_order(w):
     """Later hours land first, and files fall into several micro-batches."""
-    raw = land.with_hour_key(w.raw)
+    raw = w.raw_keyed
     return _land_and_stream(w, keyed.start_sessions, keyed.sessions_table,
                             [_before_mark(raw, False), _before_mark(raw, True)], files=400).drop("session_date")

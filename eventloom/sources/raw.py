@@ -101,7 +101,10 @@ def adapter_columns(events: DataFrame) -> DataFrame:
               text('"k":', F.get_json_object("props", "$.k").cast("bigint"), ","),
               text('"referrer":"https://r', eid % 4, ".example/", F.when(eid % 229 == 0, F.repeat(F.lit("r"), 1100)).otherwise(F.lit("")), '",'),
               text('"referring_domain":"r', eid % 4, ".example", F.when(eid % 233 == 0, F.repeat(F.lit("d"), 300)).otherwise(F.lit("")), '"'))))
-    ep = F.when((eid % 10 == 0) | ep.isNull(), ep).otherwise(F.concat(F.lit("{"), ep, F.lit("}")))
+    # Through a lambda, as Spark then keeps these columns out of whole-stage code: all in one method they
+    # pass the 8000 bytecodes beyond which the JVM never compiles a method, and run interpreted.
+    braced = F.transform(F.array(ep), lambda x: F.concat(F.lit("{"), x, F.lit("}")))[0]
+    ep = F.when((eid % 10 == 0) | ep.isNull(), ep).otherwise(braced)
     null = lambda kind: F.lit(None).cast(kind)
     return b.select(
         text("i-", eid).alias("insert_id"),
@@ -154,5 +157,8 @@ def raw_from_events(events: DataFrame) -> DataFrame:
     times = {n for n, t in a.dtypes if t == "timestamp_ntz"}
     fields = [(F.col(c).cast("string") if c in times else F.col(c)).alias(renamed.get(c, c))
               for c in a.columns if c not in ("ep", "up")]
-    obj = F.struct(*fields, F.parse_json("ep").alias("event_properties"), F.parse_json("up").alias("user_properties"))
-    return a.select(F.parse_json(F.to_json(obj)).alias(RAW_COL))
+    # the property objects are JSON text already and go in as they are: no parsing and rendering of their own
+    part = lambda key, c: F.when(F.col(c).isNotNull(), F.concat(F.lit(f',"{key}":'), F.col(c))).otherwise(F.lit(""))
+    flat = F.to_json(F.struct(*fields))
+    text = F.concat(F.substring(flat, F.lit(1), F.length(flat) - 1), part("event_properties", "ep"), part("user_properties", "up"), F.lit("}"))
+    return a.select(F.parse_json(text).alias(RAW_COL))
