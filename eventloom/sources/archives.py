@@ -31,6 +31,8 @@ from eventloom.sources.parts import PART_BYTES, with_parts
 UNPACK_SCHEMA = "archive string, member string, line string"
 #: A batch of lines ends at this many lines or bytes.
 BATCH_LINES, BATCH_BYTES = 10_000, 8 << 20
+#: Compressed bytes of members that a task unpacks, about.
+TASK_BYTES = 8 << 20
 
 
 def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -85,7 +87,11 @@ def unpack_archives(spark: SparkSession, path: str) -> DataFrame:
     source), for the not_null check on the raw relation to report.
     """
     members = archive_members(spark, path)
-    dealt = members.repartition("archive", "member").select("archive", "member")
+    # A number of its own: by columns alone, adaptive execution would see only the members' names,
+    # a few bytes each, and put them all into one task.
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                -(-(members.agg(F.sum("bytes")).first()[0] or 0) // TASK_BYTES))
+    dealt = members.repartition(tasks, "archive", "member").select("archive", "member")
     rows = dealt.mapInArrow(_unpack, UNPACK_SCHEMA)
     key = hour_key_from_name("member")
     return rows.select("archive", "member", key.alias("hour_key"), parse_hour(key).alias("hour"),
