@@ -76,8 +76,11 @@ def since_high_water_mark(source: DataFrame, target: DataFrame | None, source_ts
 
 
 def matching(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left_semi") -> DataFrame:
-    """Semi or anti join on ``keys`` in which NULL equals NULL."""
-    other = right.select(*[F.col(k).alias(f"__m_{i}") for i, k in enumerate(keys)])
+    """Semi or anti join on ``keys`` in which NULL equals NULL.
+
+    Never broadcast: the keys come from Parquet files, whose compressed size is all that the
+    planner goes by, and keys of a few megabytes there are hundreds in the driver."""
+    other = right.select(*[F.col(k).alias(f"__m_{i}") for i, k in enumerate(keys)]).hint("merge")
     on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__m_{i}")) for i, k in enumerate(keys)])
     return left.join(other, on, how)
 

@@ -162,12 +162,9 @@ class KeyedTable:
          .withColumn(LOAD, F.lit(load)).write.partitionBy(LOAD).mode("append").parquet(f"{self.path}/filters"))
         return counted
 
-    def candidates(self, keys: DataFrame, m: Manifest | None = None, entries: list[Entry] | None = None) -> list[Entry]:
-        """The entries whose filter has some key of ``keys``: all that hold one, and few others."""
-        m = m or self.manifest()
-        entries = list(m.entries) if entries is None else entries
-        if not entries:
-            return []
+    def _hits(self, keys: DataFrame, entries: list[Entry]) -> DataFrame:
+        """The filter blocks of the entries' loads that have some key of ``keys``; joined by a shuffle,
+        as both sides grow with the data and are larger than their files say."""
         loads = sorted({e.load for e in entries})
         filters = (self.spark.read.schema(_FILTER).option("basePath", f"{self.path}/filters")
                    .parquet(*[f"{self.path}/filters/{LOAD}={x}" for x in loads]))
@@ -176,8 +173,15 @@ class KeyedTable:
         probe = (keys.select(*self.keys).distinct().withColumn("k_blocks", F.explode(sizes))
                  .select("k_blocks", self._block(F.col("k_blocks")).alias("k_block"), *[w.alias(f"k{i}") for i, w in enumerate(self._words())]))
         on = reduce(lambda a, b: a & b, [F.col(f"w{i}").bitwiseAND(F.col(f"k{i}")) == F.col(f"k{i}") for i in range(WORDS)])
-        hit = probe.join(filters, (F.col("k_blocks") == F.col("blocks")) & (F.col("k_block") == F.col("block")) & on)
-        found = {(r.part, r.load) for r in hit.select("part", LOAD).distinct().collect()}
+        return probe.join(filters.hint("merge"), (F.col("k_blocks") == F.col("blocks")) & (F.col("k_block") == F.col("block")) & on)
+
+    def candidates(self, keys: DataFrame, m: Manifest | None = None, entries: list[Entry] | None = None) -> list[Entry]:
+        """The entries whose filter has some key of ``keys``: all that hold one, and few others."""
+        m = m or self.manifest()
+        entries = list(m.entries) if entries is None else entries
+        if not entries:
+            return []
+        found = {(r.part, r.load) for r in self._hits(keys, entries).select("part", LOAD).distinct().collect()}
         return [e for e in entries if (e.part, e.load) in found]
 
     def lookup(self, keys: DataFrame, m: Manifest | None = None, without_tag: str | None = None) -> DataFrame:
