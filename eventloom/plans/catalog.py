@@ -705,7 +705,7 @@ def q_raw_table_landed_again(w):
 @query
 def q_archive_unpack(w):
     """Write the raw events as hourly ZIP-of-gzip archives, then unpack
-    them: one task per archive, member name -> hour key."""
+    them: members dealt over the tasks, member name -> hour key."""
     path = scratch_path(w.spark, "archives")
     arch.write_archives(w.raw, path).write.format("noop").mode("overwrite").save()
     stg = parse_events(arch.unpack_archives(w.spark, path))
