@@ -7,7 +7,7 @@ Catalyst prunes the ``variant_get`` calls a model does not use.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.functions.keys import canonical_json, surrogate_key
@@ -66,12 +66,19 @@ def json_path(key: str) -> str:
 
 
 def staging_struct_type(number_type: str = "bigint") -> str:
-    """DDL of all staging fields as one struct, keyed by their JSON names."""
+    """DDL of all staging fields as one struct, keyed by their JSON names; times as text."""
     def ddl(t):
-        return number_type if t == "number" else t
+        return {"number": number_type, "timestamp_ntz": "string"}.get(t, t)
     return "struct<" + ", ".join(f"`{k.replace('`', '``')}`: {ddl(t)}" for _, k, t in STAGING_SPEC) + ">"
 
 
+def _time(text: Column, exact: Column) -> Column:
+    """A time from its text, by Spark's compiled cast.  The cast inside VARIANT (``exact``), which
+    builds an expression for each value, is left for what is not text of a date, a space and more."""
+    plain = F.when(text.like("____-__-__ %"), text.try_cast("timestamp_ntz"))
+    return F.when(text.isNotNull(), F.coalesce(plain, exact))
+
+
 def parse_events(raw: DataFrame, mode: str = "strict", number_type: str = "bigint",
                  raw_col: str = RAW_COL, lookup: str = "object") -> DataFrame:
     """Typed staging relation.
@@ -107,9 +114,14 @@ def parse_events(raw: DataFrame, mode: str = "strict", number_type: str = "bigin
         else:
             is_object = F.try_variant_get(v, "$", "struct<`__object_probe`: boolean>").isNotNull()
             s = F.when(is_object, F.variant_get(v, "$", st))
-        wide = raw.select(s.alias("__s"), *extra)
-        return wide.select(*[F.col("__s").getField(key).alias(name) for name, key, _ in STAGING_SPEC],
-                           *extra)
+        wide = raw.select(s.alias("__s"), v.alias("__v"), *extra)
+        get = F.variant_get if mode == "strict" else F.try_variant_get
+
+        def field(key, t):
+            c = F.col("__s").getField(key)
+            return _time(c, get(F.col("__v"), json_path(key), t)) if t == "timestamp_ntz" else c
+
+        return wide.select(*[field(key, t).alias(name) for name, key, t in STAGING_SPEC], *extra)
     cols, errs = [], []
     for name, key, typ in STAGING_SPEC:
         t = number_type if typ == "number" else typ
