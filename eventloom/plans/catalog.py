@@ -98,12 +98,20 @@ class Workspace(Models):
         exchange, where it builds and parses every event in the few tasks that read ``events``."""
         return self.written("raw-hours", lambda: land.with_hour_key(self.raw))
 
+    @property
+    def raw_lines(self) -> DataFrame:
+        """Raw events as JSON text with their hour, as a written table: for queries that land them in
+        several parts, each of which would put every stored object together and render it again."""
+        return self.written("raw-lines", lambda: land.as_lines(land.with_hour_key(self.raw)))
+
     def table(self, name: str) -> DataFrame:
         return table(self.spark, self.sf_dir, name)
 
     @property
     def stg(self) -> DataFrame:
-        return self.written("staging", lambda: with_property_keys(parse_events(self.raw)))
+        """Typed staging, from the written lines where a query has them, else from the view."""
+        raw = self.raw_lines.select(F.parse_json("value").alias("json_data")) if "raw-lines" in self._tables else self.raw
+        return self.written("staging", lambda: with_property_keys(parse_events(raw)))
 
     @property
     def ips(self) -> DataFrame:
@@ -637,9 +645,13 @@ def q_described_columns(w):
 
 
 def _before_mark(raw: DataFrame, before: bool) -> DataFrame:
-    ts = F.try_variant_get(F.col("json_data"), "$.event_time", "timestamp_ntz")
-    mark = H.trunc_hour(F.lit(SEED_MARK).cast("timestamp_ntz"))
-    return raw.where(ts < mark) if before else raw.where(~(ts < mark) | ts.isNull())
+    """Raw events (objects or lines) with their hour, before the mark's hour or not.  Keys of four-digit
+    years are in the order of time; other events are told by their time inside the object."""
+    event = F.col("json_data") if "json_data" in raw.columns else F.try_parse_json("value")
+    ts = F.try_variant_get(event, "$.event_time", "timestamp_ntz")
+    mark, key = H.trunc_hour(F.lit(SEED_MARK).cast("timestamp_ntz")), F.col(land.HOUR_KEY)
+    early = F.when(key.like(r"____-__-__\___"), key < H.format_hour(mark)).otherwise(ts < mark)
+    return raw.where(early) if before else raw.where(~early | early.isNull())
 
 
 @query
@@ -727,7 +739,7 @@ def _dedupe(w, first, second, files=None):
 
 @query
 def q_stream_dedupe(w):
-    raw = w.raw_keyed
+    raw = w.raw_lines
     return _dedupe(w, _before_mark(raw, True), _before_mark(raw, False)).drop("late")
 
 
@@ -735,7 +747,7 @@ def q_stream_dedupe(w):
 def q_stream_dedupe_late(w):
     """Later hours land first: what comes behind the watermark is kept and marked, and the
     table holds every uuid once."""
-    raw = w.raw_keyed
+    raw = w.raw_lines
     return _dedupe(w, _before_mark(raw, False), _before_mark(raw, True))
 
 
@@ -756,7 +768,7 @@ def q_stream_events_upsert(w):
     """Hourly cadence: land the hours before the mark, run the stream,
     land the rest, run it again (several micro-batches); each batch is
     upserted on event_id, latest copy wins."""
-    users, raw = w.users(), w.raw_keyed
+    raw, users = w.raw_lines, w.users()
     start = lambda src, out, ckpt: keyed.start_events(src, out, ckpt, users)
     return _land_and_stream(w, start, keyed.events_table, [_before_mark(raw, True), _before_mark(raw, False)], files=400).drop("event_date")
 
@@ -764,15 +776,15 @@ def q_stream_events_upsert(w):
 @query
 def q_stream_two_checkpoints(w):
     """Two streams, each with its own source and checkpoint, into one table."""
-    users, raw = w.users(), w.raw_keyed
-    even = F.try_variant_get("json_data", "$.event_id", "bigint") % 2 == 0
+    raw, users = w.raw_lines, w.users()
+    even = F.try_variant_get(F.try_parse_json("value"), "$.event_id", "bigint") % 2 == 0
     start = lambda src, out, ckpt: keyed.start_events(src, out, ckpt, users)
     return _land_and_stream(w, start, keyed.events_table, [raw.where(even), raw.where(~even)], checkpoints=True).drop("event_date")
 
 
 @query
 def q_stream_sessions_upsert(w):
-    raw = w.raw_keyed
+    raw = w.raw_lines
     return _land_and_stream(w, keyed.start_sessions, keyed.sessions_table,
                             [_before_mark(raw, True), _before_mark(raw, False)]).drop("session_date")
 
@@ -780,6 +792,6 @@ def q_stream_sessions_upsert(w):
 @query
 def q_stream_sessions_out_of_order(w):
     """Later hours land first, and files fall into several micro-batches."""
-    raw = w.raw_keyed
+    raw = w.raw_lines
     return _land_and_stream(w, keyed.start_sessions, keyed.sessions_table,
                             [_before_mark(raw, False), _before_mark(raw, True)], files=400).drop("session_date")

@@ -33,8 +33,15 @@ def with_hour_key(raw: DataFrame, source: str | None = None) -> DataFrame:
     return out
 
 
+def as_lines(raw_keyed: DataFrame) -> DataFrame:
+    """Raw events as JSON text in place of the object: what landings write, rendered once for several of them."""
+    return _lines(raw_keyed)[0]
+
+
 def _lines(raw_keyed: DataFrame) -> tuple[DataFrame, list[str]]:
     parts = [c for c in ("source", HOUR_KEY) if c in raw_keyed.columns]
+    if "json_data" not in raw_keyed.columns:
+        return raw_keyed.select("value", *parts), parts
     return raw_keyed.select(F.to_json(F.col("json_data")).alias("value"), *parts), parts
 
 
@@ -52,7 +59,7 @@ def _add_untimed(lines: DataFrame, parts: list[str], path: str) -> None:
 def land_hours(raw_keyed: DataFrame, path: str) -> None:
     """Write JSON lines partitioned by ``hour_key`` (and ``source`` if present).
 
-    Each line is the raw object itself.  Rows are rebalanced by hour: small
+    Each line is the raw object itself (or text that :func:`as_lines` made).  Rows are rebalanced by hour: small
     hours share tasks and give one file each, an hour beyond the advisory
     partition size (``spark.sql.adaptive.advisoryPartitionSizeInBytes``) is
     split over as many tasks as it needs.
