@@ -20,6 +20,7 @@ from eventloom.operators import incremental as inc
 from eventloom.operators.facts import SESSION_KEYS
 from eventloom.operators.keyed_table import KeyedTable
 from eventloom.operators.latest import latest_per_key
+from eventloom.session import scratch_path
 from eventloom.streaming.stream import _start, _tag
 
 #: Loads of a partition from which its files are put together.
@@ -90,8 +91,11 @@ def start_dedupe(stg_stream: DataFrame, out_path: str, checkpoint: str, delay: s
         _tidy(table)
         m = table.manifest()
         new = latest_per_key(batch, [key], "event_time", tiebreak=["event_id_raw"])
-        late = F.lit(False)
+        late, path = F.lit(False), scratch_path(spark, "dedupe")
         if m.version:
+            # Written once: the lookup passes over the keys twice, and each pass over the batch parses its lines again.
+            new.write.parquet(path)
+            new = spark.read.schema(new.schema).parquet(path)
             new = inc.matching(new, table.lookup(new.select(key), m, without_tag=tag), [key], "left_anti")
             dated = [e for e in m.entries if e.part is not None and e.tag != tag]
             if dated:
@@ -99,5 +103,6 @@ def start_dedupe(stg_stream: DataFrame, out_path: str, checkpoint: str, delay: s
                 mark = table._rows(m, [e for e in dated if e.part == last]).agg(F.max("event_time")).first()[0]
                 late = F.coalesce(F.col("event_time") < ntz_lit(mark) - F.expr(f"INTERVAL {delay}"), F.lit(False))
         table.append(new.withColumns({"late": late, "event_date": F.to_date("event_time")}), tag)
+        inc._delete(spark, path)
 
     return _start(stg_stream, apply, checkpoint, available_now)
