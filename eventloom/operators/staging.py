@@ -109,17 +109,18 @@ def parse_events(raw: DataFrame, mode: str = "strict", number_type: str = "bigin
                           *extra)
     if mode != "quarantine":
         st = staging_struct_type(number_type)
-        if mode == "permissive":
-            s = F.try_variant_get(v, "$", st)
-        else:
-            is_object = F.try_variant_get(v, "$", "struct<`__object_probe`: boolean>").isNotNull()
-            s = F.when(is_object, F.variant_get(v, "$", st))
-        wide = raw.select(s.alias("__s"), v.alias("__v"), *extra)
+        # without raising, so that no second walk has to tell objects from other roots; what may
+        # fail to cast, numbers and times, is then asked for by itself where the struct has no value
+        wide = raw.select(F.try_variant_get(v, "$", st).alias("__s"), v.alias("__v"), *extra)
         get = F.variant_get if mode == "strict" else F.try_variant_get
 
         def field(key, t):
             c = F.col("__s").getField(key)
-            return _time(c, get(F.col("__v"), json_path(key), t)) if t == "timestamp_ntz" else c
+            if t == "timestamp_ntz":
+                return _time(c, get(F.col("__v"), json_path(key), t))
+            if t == "number" and mode == "strict":
+                return F.coalesce(c, get(F.col("__v"), json_path(key), number_type))
+            return c
 
         return wide.select(*[field(key, t).alias(name) for name, key, t in STAGING_SPEC], *extra)
     cols, errs = [], []

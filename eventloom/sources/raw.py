@@ -160,5 +160,7 @@ def raw_from_events(events: DataFrame) -> DataFrame:
     # the property objects are JSON text already and go in as they are: no parsing and rendering of their own
     part = lambda key, c: F.when(F.col(c).isNotNull(), F.concat(F.lit(f',"{key}":'), F.col(c))).otherwise(F.lit(""))
     flat = F.to_json(F.struct(*fields))
-    text = F.concat(F.substring(flat, F.lit(1), F.length(flat) - 1), part("event_properties", "ep"), part("user_properties", "up"), F.lit("}"))
+    # cut by bytes: by characters, each text is counted through twice
+    body = F.substring(flat.cast("binary"), F.lit(1), F.octet_length(flat) - 1).cast("string")
+    text = F.concat(body, part("event_properties", "ep"), part("user_properties", "up"), F.lit("}"))
     return a.select(F.parse_json(text).alias(RAW_COL))
