@@ -112,45 +112,52 @@ def model_check_counts(df: DataFrame, model: str, checks: list[Check],
     not_null check emits a marker for NULL rows only, unique and
     relationships checks emit the non-NULL value.  Pairs are counted per
     value with map-side partial aggregation (a hot value is one row per map
-    task), the counted values meet the parents' keys in one left join on
-    ``(check id, value)``, and one grouping by check id adds up what failed:
+    task) in one grouping that the parents' keys go into too, as pairs that
+    count nothing, and one grouping by check id adds up what failed:
     * not_null: the marker's count;
     * unique: values counted more than once;
     * relationships: row counts of values without a parent key.
     Values are compared as strings, which is exact for the key types used
     (md5 text and integer ids).
     """
-    return check_failures(counted_values(df, checks), model, checks, parents)
+    return check_failures(checked_values(df, checks).withColumn("n", F.lit(1).cast("bigint")), model, checks, parents)
 
 
-def counted_values(df: DataFrame, checks: list[Check], *by: str) -> DataFrame:
-    """(check id, value, n) of every checked column, for each ``by`` if given."""
+def checked_values(df: DataFrame, checks: list[Check], *by: str) -> DataFrame:
+    """A (check id, value) pair for every row and checked column, with ``by`` if given."""
     def emitted(c: Check):
         col = F.col(c.column)
         return F.when(col.isNull(), F.lit("")) if c.kind == "not_null" else col.cast("string")
 
     pairs = F.array(*[F.struct(F.lit(i).alias("cid"), emitted(c).alias("val")) for i, c in enumerate(checks)])
-    return (df.select(*by, F.inline(pairs)).where(F.col("val").isNotNull())
-              .groupBy(*by, "cid", "val").agg(F.count(F.lit(1)).alias("n")))
+    return df.select(*by, F.inline(pairs)).where(F.col("val").isNotNull())
+
+
+def counted_values(df: DataFrame, checks: list[Check], *by: str) -> DataFrame:
+    """(check id, value, n) of every checked column, for each ``by`` if given."""
+    return checked_values(df, checks, *by).groupBy(*by, "cid", "val").agg(F.count(F.lit(1)).alias("n"))
 
 
 def check_failures(counts: DataFrame, model: str, checks: list[Check], parents: dict[str, DataFrame]) -> DataFrame:
-    """The failures of each check from a model's counted values."""
+    """The failures of each check from a model's values with their counts; a value may have several rows."""
     ids = {k: [i for i, c in enumerate(checks) if c.kind == k] for k in ("not_null", "unique", "relationships")}
-    counts = counts.withColumn("known", F.lit(None).cast("boolean"))
+    counts = counts.select("cid", "val", "n", F.lit(False).alias("known"))
     if ids["relationships"]:
         by_parent: dict[tuple[str, str], list[int]] = {}
         for i in ids["relationships"]:
             by_parent.setdefault((checks[i].to, checks[i].field), []).append(i)
         keys = reduce(DataFrame.unionByName, [
             parents[to].where(F.col(field).isNotNull()).select(
-                F.explode(F.array(*[F.lit(i) for i in cids])).alias("cid"), F.col(field).cast("string").alias("val"))
+                F.explode(F.array(*[F.lit(i) for i in cids])).alias("cid"), F.col(field).cast("string").alias("val"),
+                F.lit(0).cast("bigint").alias("n"), F.lit(True).alias("known"))
             for (to, field), cids in by_parent.items()])
-        counts = counts.drop("known").join(keys.distinct().withColumn("known", F.lit(True)), ["cid", "val"], "left")
+        counts = counts.unionByName(keys)
+    # values and parents' keys meet in one grouping: one shuffle, no sort and no join
+    counts = counts.groupBy("cid", "val").agg(F.sum("n").alias("n"), F.max("known").alias("known"))
     cid, n = F.col("cid"), F.col("n")
     failed = (F.when(cid.isin(ids["not_null"]), n)
               .when(cid.isin(ids["unique"]), (n > 1).cast("bigint"))
-              .when(F.col("known").isNull(), n).otherwise(F.lit(0)))
+              .when(~F.col("known"), n).otherwise(F.lit(0)))
     found = counts.groupBy("cid").agg(F.sum(failed).alias("failures"))
     listing = counts.sparkSession.createDataFrame(
         [(i, c.column, c.kind, c.ref) for i, c in enumerate(checks)],
