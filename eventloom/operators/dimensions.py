@@ -79,18 +79,20 @@ def event_properties(stg: DataFrame, fields=PROPERTY_FIELDS, drop_variant_null:
                 .distinct())
     # one parse and one cast of each distinct object to a struct of the
     # wanted fields; a non-object (e.g. JSON null) gives NULL fields, as
-    # per-path lookups would
-    v = F.parse_json(F.col("properties_text"))
+    # per-path lookups would.  The parsed object is a column of its own, as each
+    # expression that holds the parsing would parse the text again
+    parsed = distinct.select("event_properties_id", "properties_text", F.parse_json("properties_text").alias("__v"))
+    v = F.col("__v")
     st = "struct<" + ", ".join(f"`{k.replace('`', '``')}`: string" for _, k, _ in fields) + ">"
     if mode == "strict":
-        is_object = F.try_variant_get(v, "$", "struct<`__object_probe`: boolean>").isNotNull()
+        is_object = F.col("properties_text").startswith("{")
         s = F.when(is_object, F.variant_get(v, "$", st))
     else:
         s = F.try_variant_get(v, "$", st)
-    wide = distinct.select("event_properties_id", "properties_text", s.alias("__f"))
+    kept = (v if properties_as == "variant" else F.col("properties_text")).alias("properties_json")
+    wide = parsed.select("event_properties_id", kept, s.alias("__f"))
     extracted = [F.left(F.col("__f").getField(key), F.lit(n)).alias(name) for name, key, n in fields]
-    pj = F.parse_json(F.col("properties_text")) if properties_as == "variant" else F.col("properties_text")
-    return wide.select("event_properties_id", pj.alias("properties_json"), *extracted)
+    return wide.select("event_properties_id", "properties_json", *extracted)
 
 
 def latest_user_rows(stg: DataFrame, method: str = "window") -> DataFrame:
