@@ -14,7 +14,7 @@ import datetime as _dt
 import uuid as _uuid
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
@@ -143,6 +143,12 @@ def read_table(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
+def _by_partition(df: DataFrame, partition_by: str) -> DataFrameWriter:
+    """A partitioned write whose tasks hold few partitions each, a large one split over several:
+    else every task writes a file to every partition, and files grow with tasks times partitions."""
+    return df.hint("rebalance", partition_by).write.partitionBy(partition_by)
+
+
 def replace_table(df: DataFrame, path: str, partition_by: str | None = None) -> None:
     """Write ``df`` beside the table and swap it in by two renames.
 
@@ -150,8 +156,7 @@ def replace_table(df: DataFrame, path: str, partition_by: str | None = None) ->
     leaves neither; ``df`` may read the table it replaces.
     """
     spark, new, old = df.sparkSession, f"{path.rstrip('/')}__new-{_uuid.uuid4().hex[:12]}", _old(path)
-    w = df.write.mode("overwrite")
-    (w.partitionBy(partition_by) if partition_by else w).parquet(new)
+    (_by_partition(df, partition_by) if partition_by else df.write).mode("overwrite").parquet(new)
     if _exists(spark, path):
         _delete(spark, old)
         _rename(spark, path, old)
@@ -188,10 +193,7 @@ def upsert(spark: SparkSession, target_path: str, increment: DataFrame, key: str
     keys = [key] if isinstance(key, str) else list(key)
     target = read_table(spark, target_path)
     if target is None:
-        w = increment.write.mode("overwrite")
-        if partition_by:
-            w = w.partitionBy(partition_by)
-        w.parquet(target_path)
+        (_by_partition(increment, partition_by) if partition_by else increment.write).mode("overwrite").parquet(target_path)
         return {"mode": "create", "touched": None}
     if not partition_by:
         replace_table(upsert_frames(target, increment.select(*target.columns), keys, order_by), target_path)
@@ -216,7 +218,7 @@ def upsert(spark: SparkSession, target_path: str, increment: DataFrame, key: str
     if None in touched:
         within = within | F.col(partition_by).isNull()
     rebuilt = upsert_frames(target.where(within), inc, keys, order_by)
-    rebuilt.write.mode("overwrite").partitionBy(partition_by).parquet(staging_path)
+    _by_partition(rebuilt, partition_by).mode("overwrite").parquet(staging_path)
     staged = spark.read.schema(target.schema).parquet(staging_path).select(*target.columns)
     (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .partitionBy(partition_by).parquet(target_path))
