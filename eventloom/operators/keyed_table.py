@@ -38,6 +38,8 @@ from eventloom.operators.incremental import NULL_PARTITION, _delete, _exists, _f
 from eventloom.session import scratch_path
 
 KEYS_PER_BLOCK = 8
+#: Rows for each core that an upsert rewrites at once; its shuffles hold them twice.
+ROWS_PER_CORE = 1 << 19
 WORDS = 4
 LOAD = "load"
 _FILTER = T.StructType([T.StructField("part", T.StringType()), T.StructField("blocks", T.LongType()), T.StructField("block", T.LongType()),
@@ -210,19 +212,58 @@ class KeyedTable:
             return {"mode": "create", "searched": [], "touched": None}
         schema = self._schema(m)
         stage = scratch_path(self.spark, "upsert-increment")
-        increment.select(*schema.names).write.parquet(stage)
-        new = self.spark.read.schema(schema).parquet(stage)
+
+        def staged(rows: DataFrame, name: str, schema: T.StructType | None = None) -> DataFrame:
+            rows.write.mode("append").parquet(f"{stage}/{name}")
+            return self.spark.read.schema(schema or rows.schema).parquet(f"{stage}/{name}")
+
+        new = staged(increment.select(*schema.names), "new", schema)
         searched = self.candidates(new, m)
+        hits = staged(matching(self._rows(m, searched).select(*self.keys, self.partition_by), new, self.keys), "hits")
         p = F.col(self.partition_by).cast("string").alias("part")
-        hit = matching(self._rows(m, searched).select(*self.keys, self.partition_by), new, self.keys)
-        touched = {r.part for r in hit.select(p).union(new.select(p)).distinct().collect()}
+        touched = {r.part: r.rows for r in hits.select(p, F.lit(0).alias("n")).union(new.select(p, F.lit(1)))
+                   .groupBy("part").agg(F.sum("n").alias("rows")).collect()}
         within = [e for e in m.entries if e.part in touched]
-        written = self._write(upsert_frames(self._rows(m, within), new, self.keys, order_by))
+        groups = self._groups(within, touched)
+        if len(groups) == 1:
+            written = self._write(upsert_frames(self._rows(m, within), new, self.keys, order_by))
+        else:
+            # Group by group, so that the shuffles hold one group's rows; first the rows that
+            # stay of all keys on both sides, as a key may move from one group's partitions to another's.
+            rows = [self._rows(m, [e for e in within if e.part in g]) for g in groups]
+            own = [hits.where(self._in(g)) for g in groups]
+            if order_by is not None:
+                for r, h in zip(rows, own):
+                    met = staged(matching(r, h, self.keys), "met")
+                new = staged(upsert_frames(met, new, self.keys, order_by), "latest")
+                for name in ("new", "met"):
+                    _delete(self.spark, f"{stage}/{name}")
+            written = [e for g, r, h in zip(groups, rows, own)
+                       for e in self._write(matching(r, h, self.keys, "left_anti").unionByName(new.where(self._in(g))))]
         self._commit(m, schema, [*(e for e in m.entries if e.part not in touched), *written])
         _delete(self.spark, stage)
         order = lambda v: (v is not None, v or "")
         return {"mode": "partitions", "searched": sorted({e.part for e in searched}, key=order), "touched": sorted(touched, key=order)}
 
+    def _groups(self, within: list[Entry], added: dict[str | None, int]) -> list[set[str | None]]:
+        """The partitions named in ``added`` (rows to come, by partition), dealt in order to groups of
+        about as many rows as the cluster's cores may rewrite at once; a larger partition is one by itself."""
+        size = dict(added)
+        for e in within:
+            size[e.part] += e.rows
+        most, rows, groups = ROWS_PER_CORE * self.spark.sparkContext.defaultParallelism, 0, [set()]
+        for part in sorted(size, key=lambda v: (v is not None, v or "")):
+            if groups[-1] and rows + size[part] > most:
+                groups.append(set())
+                rows = 0
+            groups[-1].add(part)
+            rows += size[part]
+        return groups
+
+    def _in(self, parts: set[str | None]) -> Column:
+        p = F.col(self.partition_by).cast("string")
+        return F.when(p.isNull(), F.lit(None in parts)).otherwise(p.isin(*[v for v in parts if v is not None]))
+
     def replace(self, rows: DataFrame) -> Manifest:
         """The whole table anew; ``rows`` may read it, and may have other columns."""
         m = self.manifest()
@@ -243,18 +284,21 @@ class KeyedTable:
             self._commit(m, self._schema(m), [*(e for e in m.entries if e not in set(old)), *written])
         return len({e.part for e in old})
 
-    def vacuum(self, keep: int = 2) -> int:
+    def vacuum(self, keep: int = 2, strays: bool = True) -> int:
         """Drop all but the newest ``keep`` versions and the loads that only they had (or that
-        no version ever had); the number of loads dropped.  Not while a load runs."""
+        no version ever had); the number of loads dropped.  Not while a load runs, unless ``strays``
+        is false: then loads that no version has stay, as they may be on their way."""
         versions = self._versions()
         kept = versions[-keep:]
         live = {e.load for v in kept for e in self.manifest(v).entries}
+        old = None if strays else {e.load for v in versions[:-keep] for e in self.manifest(v).entries}
         dropped = set()
         for part in ("data", "filters"):
             folder, fs = _fs(self.spark, f"{self.path}/{part}")
             for s in fs.listStatus(folder) if fs.exists(folder) else ():
                 name = s.getPath().getName()
-                if name.startswith(f"{LOAD}=") and name.removeprefix(f"{LOAD}=") not in live:
+                load = name.removeprefix(f"{LOAD}=")
+                if name.startswith(f"{LOAD}=") and load not in live and (old is None or load in old):
                     fs.delete(s.getPath(), True)
                     dropped.add(name)
         for v in versions[:-keep]:

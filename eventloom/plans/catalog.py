@@ -34,7 +34,7 @@ from eventloom.operators.keyed_table import KeyedTable
 from eventloom.operators.maintained import Dimensions
 from eventloom.operators.staging import parse_events, staging_as_text, with_property_keys
 from eventloom.plans import dag
-from eventloom.session import scratch_path
+from eventloom.session import scratch_path, shuffles_dropped
 from eventloom.sources import archives as arch
 from eventloom.sources import landing as land
 from eventloom.sources.raw import raw_from_events, read_raw, read_raw_with_hour
@@ -75,17 +75,24 @@ class Workspace(Models):
     size (static broadcast when small), lineage stays short, and JSON is
     parsed once."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
+    def __init__(self, spark: SparkSession, sf_dir: str, shared: bool = True):
+        self.spark, self.sf_dir, self.shared = spark, sf_dir, shared
         self._tables: dict[str, DataFrame] = {}
+        self._paths: dict[str, str] = {}
 
     def written(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         if name not in self._tables:
-            path = scratch_path(self.spark, name)
+            path = self._paths[name] = scratch_path(self.spark, name)
             build().write.mode("overwrite").parquet(path)
             self._tables[name] = self.spark.read.parquet(path)
         return self._tables[name]
 
+    def release(self, name: str) -> None:
+        """Delete a written table that the rest of the query does not read (asked for once more, it is
+        written anew).  In a shared workspace it stays, for other queries."""
+        if not self.shared and self._tables.pop(name, None) is not None:
+            inc._delete(self.spark, self._paths.pop(name))
+
     @property
     def raw(self) -> DataFrame:
         """The raw events as a view: building them anew for each pass over them."""
@@ -154,7 +161,7 @@ def query(step: Callable[[Workspace], DataFrame], name: str | None = None) -> Ca
     """Register ``step`` (named ``q_...`` unless ``name`` is given)."""
     name = name or step.__name__.removeprefix("q_")
     STEPS[name] = step
-    QUERIES[name] = lambda spark, sf_dir: step(Workspace(spark, sf_dir))
+    QUERIES[name] = lambda spark, sf_dir: step(Workspace(spark, sf_dir, shared=False))
     return step
 
 
@@ -753,12 +760,16 @@ def q_stream_dedupe_late(w):
 
 def _land_and_stream(w, start, table, parts, files=None, checkpoints=None):
     """Land each part, then run the stream over what has landed; several checkpoints
-    make it several streams, each over a landing of its own."""
+    make it several streams, each over a landing of its own.  Landed text is most of
+    what such a query stores, so it is compressed, and the lines go when all have landed."""
     out = scratch_path(w.spark, "stream-out")
     source, ckpt = scratch_path(w.spark, "stream-src"), scratch_path(w.spark, "stream-ckpt")
     for i, part in enumerate(parts):
         path, own = (f"{source}-{i}", f"{ckpt}-{i}") if checkpoints else (source, ckpt)
-        land.land_hours(part, path)
+        with shuffles_dropped(w.spark):
+            land.land_hours(part, path, compression="gzip")
+        if i == len(parts) - 1:
+            w.release("raw-lines")
         start(stream.stream_staging(w.spark, path, max_files_per_trigger=files), out, own).awaitTermination()
     return table(w.spark, out).read()
 
@@ -769,6 +780,7 @@ def q_stream_events_upsert(w):
     land the rest, run it again (several micro-batches); each batch is
     upserted on event_id, latest copy wins."""
     raw, users = w.raw_lines, w.users()
+    w.release("staging")
     start = lambda src, out, ckpt: keyed.start_events(src, out, ckpt, users)
     return _land_and_stream(w, start, keyed.events_table, [_before_mark(raw, True), _before_mark(raw, False)], files=400).drop("event_date")
 

@@ -23,6 +23,10 @@ from eventloom.sources.files import write_named
 from eventloom.sources.parts import PART_BYTES, with_parts
 
 HOUR_KEY = "hour_key"
+#: Partitions that the hours of a landing are dealt to.  One beyond the advisory size is split by map tasks, and each
+#: piece writes a file for every hour of the partition: with few partitions, files number hours times pieces.  Above
+#: 2,000 partitions Spark keeps a mean of their sizes only, and splits no hot hour.
+HOUR_PARTITIONS = 1024
 
 
 def with_hour_key(raw: DataFrame, source: str | None = None) -> DataFrame:
@@ -45,7 +49,7 @@ def _lines(raw_keyed: DataFrame) -> tuple[DataFrame, list[str]]:
     return raw_keyed.select(F.to_json(F.col("json_data")).alias("value"), *parts), parts
 
 
-def _add_untimed(lines: DataFrame, parts: list[str], path: str) -> None:
+def _add_untimed(lines: DataFrame, parts: list[str], path: str, compression: str | None) -> None:
     """Append the lines without an hour that the dataset does not hold yet."""
     new = lines.where(F.col(HOUR_KEY).isNull())
     if _exists(lines.sparkSession, path):
@@ -53,22 +57,23 @@ def _add_untimed(lines: DataFrame, parts: list[str], path: str) -> None:
         if set(parts) <= set(landed.columns):
             held = landed.where(F.col(HOUR_KEY).isNull()).select("value", *[F.col(c).cast("string").alias(c) for c in parts])
             new = matching(new, held, ["value", *parts], "left_anti")
-    new.write.mode("append").partitionBy(*parts).text(path)
+    new.write.mode("append").partitionBy(*parts).text(path, compression=compression)
 
 
-def land_hours(raw_keyed: DataFrame, path: str) -> None:
+def land_hours(raw_keyed: DataFrame, path: str, compression: str | None = None) -> None:
     """Write JSON lines partitioned by ``hour_key`` (and ``source`` if present).
 
     Each line is the raw object itself (or text that :func:`as_lines` made).  Rows are rebalanced by hour: small
     hours share tasks and give one file each, an hour beyond the advisory
     partition size (``spark.sql.adaptive.advisoryPartitionSizeInBytes``) is
-    split over as many tasks as it needs.
+    split over as many tasks as it needs.  ``compression`` is that of the files (``gzip``), by default none;
+    readers tell it by the files' names.
     """
     lines, parts = _lines(raw_keyed)
-    (lines.where(F.col(HOUR_KEY).isNotNull()).hint("rebalance", *[F.col(c) for c in parts])
+    (lines.where(F.col(HOUR_KEY).isNotNull()).hint("rebalance", HOUR_PARTITIONS, *[F.col(c) for c in parts])
           .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-          .partitionBy(*parts).text(path))
-    _add_untimed(lines, parts, path)
+          .partitionBy(*parts).text(path, compression=compression))
+    _add_untimed(lines, parts, path, compression)
 
 
 def landed_hours(spark: SparkSession, path: str) -> DataFrame:

@@ -6,7 +6,8 @@ it had stored.  Stored rows of a batch's keys are found by the tables' key
 filters, so a batch reads the partitions that hold its keys, whatever the
 tables' age, and answers are the batch models' in any order of landing.  Old
 versions and the files only they name are dropped by ``KeyedTable.vacuum``, which
-a job of its own calls from time to time.
+a job of its own calls from time to time.  The events stream drops them itself: each
+of its batches may rewrite the whole table, so versions would add up to batches times table.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from eventloom.operators import incremental as inc
 from eventloom.operators.facts import SESSION_KEYS
 from eventloom.operators.keyed_table import KeyedTable
 from eventloom.operators.latest import latest_per_key
-from eventloom.session import scratch_path
+from eventloom.session import scratch_path, shuffles_dropped
 from eventloom.streaming.stream import _start, _tag
 
 #: Loads of a partition from which its files are put together.
@@ -54,12 +55,17 @@ def _tidy(table: KeyedTable) -> None:
     table.compact(LOADS, set(newest.values()))
 
 
-def start_events(stg_stream: DataFrame, out_path: str, checkpoint: str, users: DataFrame, available_now: bool = True):
+def start_events(stg_stream: DataFrame, out_path: str, checkpoint: str, users: DataFrame, available_now: bool = True,
+                 keep: int = 1):
     """Per micro-batch: the batch's event fact, upserted on event_id; the latest copy of a
-    uuid wins across batches."""
+    uuid wins across batches.  A batch begins by dropping all but the newest ``keep`` versions: the
+    one that it replaces stays readable until the next batch."""
     def apply(batch: DataFrame, batch_id: int) -> None:
+        table = events_table(batch.sparkSession, out_path)
+        table.vacuum(keep, strays=False)
         rows = facts.events(batch, users).withColumn("event_date", F.to_date("event_time"))
-        events_table(batch.sparkSession, out_path).upsert(rows, order_by="event_time")
+        with shuffles_dropped(batch.sparkSession):
+            table.upsert(rows, order_by="event_time")
 
     return _start(stg_stream, apply, checkpoint, available_now)
 
